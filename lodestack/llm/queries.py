@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import compaction, exact_dedup, mixing
+from . import bpe, compaction, exact_dedup, media, mixing, warc
 from .shared import new_path, stripped
 
 
@@ -13,6 +13,16 @@ def _read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op2_webp_media(spark: SparkSession, sf_dir: str) -> DataFrame:
+    stored = media.store(_read(spark, sf_dir, "documents"))
+    return media.describe(stored)
+
+
+def op5_warc_dictionary(spark: SparkSession, sf_dir: str) -> DataFrame:
+    folder, archives = warc.write(_read(spark, sf_dir, "pages"))
+    return warc.read(archives, folder).drop("url", "payload")
+
+
 def op6_fair_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = mixing.mix(_read(spark, sf_dir, "documents"))
     return out.select("doc_id", "size", "source_size", "target", "taken")
@@ -30,6 +40,17 @@ def op7_compacted_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     return store.read().select("doc_id", F.octet_length(text).cast("long").alias("n_bytes"), F.sha2(text, 256).alias("text_sha256"))
 
 
+def word_bpe() -> str:
+    import public_tokenizers
+
+    return public_tokenizers.path("word_bpe_49k.json")
+
+
+def op8_transducer_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, tokenizer = _read(spark, sf_dir, "documents"), word_bpe()
+    return bpe.digests(docs, tokenizer, bpe.compile_lexicon(docs, tokenizer))
+
+
 def op9_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The operator hashes in full only what two cheaper keys leave open; the contract's digest of every text is
     taken from the operator where it has one and computed here for the rest."""
@@ -38,7 +59,10 @@ def op9_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op2_webp_media": op2_webp_media,
+    "op5_warc_dictionary": op5_warc_dictionary,
     "op6_fair_mix": op6_fair_mix,
     "op7_compacted_shards": op7_compacted_shards,
+    "op8_transducer_bpe": op8_transducer_bpe,
     "op9_exact_dedup": op9_exact_dedup,
 }

@@ -27,7 +27,15 @@ SELECT doc_id, first_value(doc_id) OVER g AS keep_id, count(*) OVER (PARTITION B
 FROM n WINDOW g AS (PARTITION BY h ORDER BY chars DESC, doc_id)
 """
 
+_WARC = """
+WITH p AS (SELECT page_id, CAST(octet_length(encode(coalesce(html, ''))) AS BIGINT) AS n, sha256(coalesce(html, '')) AS h FROM pages),
+f AS (SELECT *, min(page_id) OVER (PARTITION BY h) AS m FROM p)
+SELECT page_id, n AS payload_bytes, h AS payload_digest, CASE WHEN n >= 100 AND page_id <> m THEN 'revisit' ELSE 'response' END AS record_type,
+       CASE WHEN n >= 100 AND page_id <> m THEN m END AS refers_to FROM f
+"""
+
 SQL = {
+    "op5_warc_dictionary": _WARC,
     "op6_fair_mix": _MIX,
     "op7_compacted_shards": "SELECT doc_id, CAST(octet_length(encode(coalesce(text, ''))) AS BIGINT) AS n_bytes, sha256(coalesce(text, '')) AS text_sha256 FROM documents",
     "op9_exact_dedup": _DEDUP,
