@@ -25,9 +25,9 @@ from pyspark.sql import functions as F
 from . import lexicon
 from .shared import new_path
 
-LEXICON_WORDS = 200_000
-#: Chunks that a worker's memo holds before it is emptied.
-MEMO = 400_000
+LEXICON_WORDS = 300_000
+#: Chunks in one generation of a worker's memo, and in a partial count.
+MEMO = 250_000
 
 
 def byte_alphabet() -> list[str]:
@@ -98,44 +98,56 @@ class Bpe:
 
 
 class Encoder:
-    """Chunk by chunk: a chunk is what stands between white space, and no token spans white space."""
+    """Chunk by chunk: a chunk is what stands between white space, and no token spans white space.
+
+    Results are kept by chunk in two generations: when the young one is full it becomes the old one, and chunks met
+    again move back, so frequent chunks stay and memory is bounded by two generations and one text."""
 
     def __init__(self, bpe: Bpe, words: lexicon.Lexicon | None):
         self.bpe, self.words = bpe, words
-        self.memo: dict[str, tuple[str, str, int]] = {}
+        self.ids: dict[str, str] = {}
+        self.decoded: dict[str, str] = {}
+        self.old_ids: dict[str, str] = {}
+        self.old_decoded: dict[str, str] = {}
 
     def word(self, word: str) -> list[int]:
         ids = self.words.get(word.encode()) if self.words is not None else None
         return self.bpe.merge(word) if ids is None else ids
 
-    def chunk(self, chunk: str) -> tuple[str, str, int]:
-        """Decimal ids, decoded text and number of ids of a chunk."""
+    def learn(self, chunk: str) -> None:
+        if chunk in self.old_ids:
+            self.ids[chunk], self.decoded[chunk] = self.old_ids[chunk], self.old_decoded[chunk]
+            return
         ids = [i for w in self.bpe.find(chunk) for i in self.word(w)]
-        if len(self.memo) >= MEMO:
-            self.memo.clear()
-        found = self.memo[chunk] = (" ".join(map(str, ids)), " ".join(map(self.bpe.names.__getitem__, ids)), len(ids))
-        return found
-
-    def segment(self, text: str) -> list[tuple[str, str, int]]:
-        get, chunk = self.memo.get, self.chunk
-        return [get(c) or chunk(c) for c in self.bpe.chunks(text)]
+        self.ids[chunk] = " ".join(map(str, ids))
+        self.decoded[chunk] = " ".join(map(self.bpe.names.__getitem__, ids))
+
+    def segment(self, text: str) -> tuple[str, str]:
+        """Decimal ids and decoded text. Every chunk has at least one id."""
+        chunks = self.bpe.chunks(text)
+        try:
+            ids = " ".join(map(self.ids.__getitem__, chunks))
+        except KeyError:
+            if len(self.ids) > MEMO:
+                self.old_ids, self.old_decoded = self.ids, self.decoded
+                self.ids, self.decoded = {}, {}
+            known = self.ids
+            for chunk in chunks:
+                if chunk not in known:
+                    self.learn(chunk)
+            ids = " ".join(map(known.__getitem__, chunks))
+        return ids, " ".join(map(self.decoded.__getitem__, chunks))
 
     def encode(self, text: str) -> tuple[int, str, str]:
         """Number of ids, ids in decimal joined by one space, decoded text."""
         bpe = self.bpe
         if bpe.split_special is not None and any(s in text for s in bpe.special):
-            found = []
-            for part in bpe.split_special(text):
-                if part in bpe.special:
-                    found.append((str(bpe.special[part]), part, 1))
-                else:
-                    found += self.segment(part)
+            parts = [(str(bpe.special[p]), p) if p in bpe.special else self.segment(p) for p in bpe.split_special(text)]
+            ids = " ".join(a for a, _ in parts if a)
+            decoded = " ".join(b for a, b in parts if a)
         else:
-            found = self.segment(text)
-        if not found:
-            return 0, "", ""
-        ids, words, sizes = zip(*found)
-        return sum(sizes), " ".join(filter(None, ids)), " ".join(filter(None, words))
+            ids, decoded = self.segment(text)
+        return (ids.count(" ") + 1 if ids else 0), ids, decoded
 
 
 def word_counts(docs: DataFrame, tokenizer: str, text_col: str = "text") -> DataFrame:
