@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, compaction, exact_dedup, media, mixing, warc
+from . import bpe, compaction, exact_dedup, media, mixing, ngram_join, warc
 from .shared import new_path, stripped
 
 
@@ -18,6 +18,10 @@ def op2_webp_media(spark: SparkSession, sf_dir: str) -> DataFrame:
     return media.describe(stored)
 
 
+def op4_parity_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ngram_join.clusters(_read(spark, sf_dir, "documents")).drop("sid")
+
+
 def op5_warc_dictionary(spark: SparkSession, sf_dir: str) -> DataFrame:
     folder, archives = warc.write(_read(spark, sf_dir, "pages"))
     return warc.read(archives, folder).drop("url", "payload")
@@ -60,6 +64,7 @@ def op9_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "op2_webp_media": op2_webp_media,
+    "op4_parity_join": op4_parity_join,
     "op5_warc_dictionary": op5_warc_dictionary,
     "op6_fair_mix": op6_fair_mix,
     "op7_compacted_shards": op7_compacted_shards,
