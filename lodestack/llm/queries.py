@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, compaction, exact_dedup, media, mixing, ngram_join, warc
+from . import bpe, compaction, exact_dedup, media, mixing, ngram_join, toxicity, warc
 from .shared import new_path, stripped
 
 
@@ -18,6 +18,13 @@ def op2_webp_media(spark: SparkSession, sf_dir: str) -> DataFrame:
     return media.describe(stored)
 
 
+def op3_toxicity_grammar(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _read(spark, sf_dir, "documents")
+    model = toxicity.train(docs, _read(spark, sf_dir, "labels"))
+    out = toxicity.scored(docs.select("doc_id", "text"), model)
+    return out.select("doc_id", toxicity.held_out(F.col("doc_id")).alias("held_out"), "score", F.when(F.col("score") >= toxicity.THRESHOLD, 1).otherwise(0).alias("predicted"))
+
+
 def op4_parity_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ngram_join.clusters(_read(spark, sf_dir, "documents")).drop("sid")
 
@@ -64,6 +71,7 @@ def op9_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "op2_webp_media": op2_webp_media,
+    "op3_toxicity_grammar": op3_toxicity_grammar,
     "op4_parity_join": op4_parity_join,
     "op5_warc_dictionary": op5_warc_dictionary,
     "op6_fair_mix": op6_fair_mix,
