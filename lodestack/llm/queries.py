@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, compaction, exact_dedup, media, mixing, ngram_join, toxicity, warc
+from . import bpe, compaction, exact_dedup, html_blocks, media, mixing, ngram_join, toxicity, warc
 from .shared import new_path, stripped
 
 
@@ -13,6 +13,10 @@ def _read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op1_lstm_blocks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html_blocks.extract(_read(spark, sf_dir, "pages"))
+
+
 def op2_webp_media(spark: SparkSession, sf_dir: str) -> DataFrame:
     stored = media.store(_read(spark, sf_dir, "documents"))
     return media.describe(stored)
@@ -70,6 +74,7 @@ def op9_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op1_lstm_blocks": op1_lstm_blocks,
     "op2_webp_media": op2_webp_media,
     "op3_toxicity_grammar": op3_toxicity_grammar,
     "op4_parity_join": op4_parity_join,
