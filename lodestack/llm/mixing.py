@@ -26,10 +26,14 @@ PASSES = 2
 LEVEL = 4096
 
 
+def row_key(id_col: str, text_col: str, source_col: str):
+    return F.xxhash64(F.col(id_col), F.col(source_col), F.col(text_col))
+
+
 def sizes(docs: DataFrame, id_col: str, text_col: str, source_col: str, seed: str) -> DataFrame:
     words = F.regexp_count(F.coalesce(F.col(text_col), F.lit("")), F.lit("[^\\x20\\x09-\\x0D]+"))
     key = F.md5(F.concat(F.lit(seed), F.coalesce(F.col(id_col).cast("string"), F.lit(""))))
-    return docs.select(F.col(id_col).alias("doc_id"), F.col(source_col).alias("source"), words.cast("long").alias("size"), key.alias("key"), F.xxhash64(text_col).alias("tie"))
+    return docs.select(F.col(id_col).alias("doc_id"), F.col(source_col).alias("source"), words.cast("long").alias("size"), key.alias("key"), row_key(id_col, text_col, source_col).alias("tie"))
 
 
 def targets(per_source: DataFrame, share: float = 1.5, weights: tuple = WEIGHTS, most: float = float(PASSES)) -> DataFrame:
@@ -69,7 +73,7 @@ def queued(rows: DataFrame, n_rows: int, width: int) -> DataFrame:
     local = rows.withColumn("local", F.sum("size").over(inside))
     offsets = small(sums.select(F.col("source").alias("s"), F.col("part").alias("p"), "offset"))
     out = local.join(offsets, F.col("source").eqNullSafe(F.col("s")) & (F.col("part") == F.col("p")), "left")
-    return out.select("doc_id", "source", "size", (F.col("offset") + F.col("local")).alias("cum"))
+    return out.select("doc_id", "source", "size", "tie", (F.col("offset") + F.col("local")).alias("cum"))
 
 
 def budget_cut(entries: DataFrame, budget: float) -> float:
@@ -95,7 +99,7 @@ def budget_cut(entries: DataFrame, budget: float) -> float:
 
 
 def mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source", share: float = 1.5, weights: tuple = WEIGHTS, seed: str = "mix-1:", width: int = 20_000) -> DataFrame:
-    """Row per document: doc_id, source, size, source_size, target, taken."""
+    """Row per document: doc_id, source, size, source_size, target, taken, times and the row's key."""
     rows = table(sizes(docs, id_col, text_col, source_col, seed), "mix-sizes")
     per_source = table(targets(rows.groupBy("source").agg(F.sum("size").alias("source_size")), share, weights), "mix-targets")
     n_rows = rows.count()
@@ -114,4 +118,14 @@ def mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_
     budget = share * (per_source.agg(F.sum("source_size")).first()[0] or 0)
     cut = budget_cut(entries, budget)
     times = sum((F.when(finish(k) < F.lit(cut), 1).otherwise(0) for k in range(PASSES)), F.lit(0))
-    return line.select("doc_id", "source", "size", "source_size", "target", (F.col("size") * times).cast("long").alias("taken"))
+    times = F.when(F.col("size") > 0, times).otherwise(0)
+    return line.select("doc_id", "source", "size", "source_size", "target", (F.col("size") * times).cast("long").alias("taken"), times.alias("times"), "tie")
+
+
+def mixed(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source", **options) -> DataFrame:
+    """The mix itself: every row of docs as often as it is taken, all columns as they came. Rows that agree in id,
+    source and text are taken alike, as often as the one taken most. Documents without words are not taken."""
+    taken = mix(docs, id_col, text_col, source_col, **options)
+    often = small(table(taken.filter("times > 0").groupBy(F.col("tie").alias("__tie")).agg(F.max("times").alias("__times")), "mix-taken"))
+    rows = docs.join(often, row_key(id_col, text_col, source_col) == F.col("__tie")).withColumn("__copy", F.explode(F.sequence(F.lit(1), F.col("__times"))))
+    return rows.drop("__tie", "__times", "__copy")

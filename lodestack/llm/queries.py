@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, compaction, exact_dedup, html_blocks, media, mixing, ngram_join, toxicity, warc
+from . import bpe, compaction, exact_dedup, html_blocks, media, mixing, ngram_join, suffix_dedup, toxicity, warc
 from .shared import new_path, stripped
 
 
@@ -73,6 +73,10 @@ def op9_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.decisions(docs, digest_all=True).select("doc_id", "keep_id", "group_size", "kept", F.col("digest").alias("text_sha256"))
 
 
+def op10_suffix_passages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffix_dedup.passages(_read(spark, sf_dir, "documents"))
+
+
 QUERIES = {
     "op1_lstm_blocks": op1_lstm_blocks,
     "op2_webp_media": op2_webp_media,
@@ -83,4 +87,5 @@ QUERIES = {
     "op7_compacted_shards": op7_compacted_shards,
     "op8_transducer_bpe": op8_transducer_bpe,
     "op9_exact_dedup": op9_exact_dedup,
+    "op10_suffix_passages": op10_suffix_passages,
 }
