@@ -1,0 +1,90 @@
+"""Evidence against source texts: tiers of containment by expressions, fuzzy ratio by an Arrow UDF."""
+
+from __future__ import annotations
+
+import pandas as pd
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+from pyspark.sql.types import DoubleType, StringType
+
+from ..functions.text import compact_text, match_text
+
+
+def tier(quote, text):
+    """1.0 normalised containment, 0.97 compact containment from 30 characters, 0.92 both 12-word anchors, else 0."""
+    q, t = match_text(quote), match_text(text)
+    words = F.split(q, " ")
+    head, tail = F.array_join(F.slice(words, 1, 12), " "), F.array_join(F.slice(words, -12, 12), " ")
+    anchored = (F.size(words) >= 12) & F.contains(t, head) & F.contains(t, F.when(F.size(words) >= 12, tail))
+    return F.when(F.length(q) < 8, 0.0).when(F.contains(t, q), 1.0).when((F.length(compact_text(quote)) >= 30) & F.contains(compact_text(text), compact_text(quote)), 0.97).when(anchored, 0.92).otherwise(0.0)
+
+
+def candidates(quotes: DataFrame, sources: DataFrame, words: int = 4) -> DataFrame:
+    """Quotes with the sources that hold their first words: an equi-join on word runs instead of a nested loop.
+
+    quotes (qid, quote), sources (sid, body). A source's runs are distinct, so a common run is one row a source."""
+    run = lambda a: F.transform(F.sequence(F.lit(1), F.greatest(F.size(a) - (words - 1), F.lit(1))), lambda i: F.array_join(F.slice(a, i, words), " "))
+    q = quotes.withColumn("w", F.split(match_text(F.col("quote")), " ")).withColumn("run", F.array_join(F.slice("w", 1, words), " ")).drop("w")
+    wanted = q.select("run").distinct()
+    s = sources.select("sid", F.explode(F.array_distinct(run(F.split(match_text(F.col("body")), " ")))).alias("run")).join(wanted, "run", "left_semi")
+    return q.join(s, "run").join(sources, "sid").select("qid", "quote", "sid", "body")
+
+
+@F.pandas_udf(DoubleType())
+def sequence_ratio(a: pd.Series, b: pd.Series) -> pd.Series:
+    """difflib's ratio of the quote with the part of the source around the quote's first six words."""
+    from difflib import SequenceMatcher
+
+    def one(x, y):
+        at = y.find(" ".join(x.split()[:6]))
+        part = y[max(0, at - 300) : at + len(x) + 300] if at >= 0 else ""
+        return SequenceMatcher(None, x, part).ratio() if part else 0.0
+
+    return pd.Series([one(x or "", y or "") for x, y in zip(a, b)], dtype="float64")
+
+
+def token_overlap(needle, haystack, least: int = 3, first: int = 80):
+    """Distinct tokens over two letters among the first 80 that the haystack has as whole words."""
+    tokens = lambda x: F.filter(F.split(match_text(x), " "), lambda t: F.length(t) >= least)
+    return F.size(F.array_intersect(F.array_distinct(F.slice(tokens(needle), 1, first)), tokens(haystack)))
+
+
+def nms(boxes: DataFrame, limit: float = 0.45) -> DataFrame:
+    """Greedy suppression per page, best score first. boxes: page, box, score, x, y, w, h. A page's boxes are few."""
+
+    def one(pdf: pd.DataFrame) -> pd.DataFrame:
+        kept = []
+        for row in pdf.sort_values(["score", "box"], ascending=[False, True]).itertuples():
+            for k in kept:
+                wide = max(0, min(row.x + row.w, k.x + k.w) - max(row.x, k.x))
+                high = max(0, min(row.y + row.h, k.y + k.h) - max(row.y, k.y))
+                if wide * high > limit * (row.w * row.h + k.w * k.h - wide * high):
+                    break
+            else:
+                kept.append(row)
+        return pdf.loc[[k.Index for k in kept], ["page", "box"]]
+
+    return boxes.groupBy("page").applyInPandas(one, "page long, box long")
+
+
+@F.pandas_udf(StringType())
+def first_json(text: pd.Series) -> pd.Series:
+    """The first JSON object in a model's answer: whole, in a fenced block, or from the first brace that parses."""
+    import json
+    import re
+
+    decoder = json.JSONDecoder()
+
+    def one(t):
+        tries = [t or "", *re.findall(r"```(?:json)?\s*(.*?)```", t or "", re.S)]
+        for x in tries:
+            at = x.find("{")
+            while at >= 0:
+                try:
+                    value, _ = decoder.raw_decode(x[at:])
+                    return json.dumps(value, sort_keys=True, ensure_ascii=False)
+                except ValueError:
+                    at = x.find("{", at + 1)
+        return None
+
+    return text.map(one)

@@ -1,4 +1,460 @@
-"""Queries over the driver's tables and their SQL."""
+"""Queries over the driver's tables, one for each operator, each with its DuckDB SQL.
 
-QUERIES: dict = {}
+The tables hold no case files, so a query puts an operator on the table that exercises the same algebra; ids and
+dates of case files are made from keys.
+"""
+
+from __future__ import annotations
+
+from collections.abc import Callable
+
+from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import functions as F
+
+from ..functions import text as T
+from ..operators import matching as M
+from ..operators import relational as R
+from ..streaming import status as S
+
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
+
+
+def query(sql: str | None):
+    def add(fn):
+        QUERIES[fn.__name__] = lambda spark, sf_dir: fn(lambda name: spark.read.parquet(f"{sf_dir}/{name}.parquet"))
+        if sql is not None:
+            SQL[fn.__name__] = sql
+        return fn
+
+    return add
+
+
+_CLEAN = "trim(regexp_replace(regexp_replace(regexp_replace({x}, '<(script|style)[^>]*>.*?</(script|style)>', ' ', 'gis'), '<[^>]+>', ' ', 'gs'), '\\s+', ' ', 'g'))"
+_UNESCAPE = "replace(replace(replace(replace(replace(replace(replace(replace({x}, '&nbsp;', ' '), '&lt;', '<'), '&gt;', '>'), '&quot;', '\"'), '&#39;', ''''), '&middot;', '·'), '&copy;', '©'), '&amp;', '&')"
+_MATCH = "trim(regexp_replace(lower({x}), '[^a-z0-9]+', ' ', 'g'))"
+_COMPACT = "replace(" + _MATCH + ", ' ', '')"
+
+
+# text functions
+@query("SELECT doc_id, CAST(length(regexp_replace(text, '[^A-Za-z0-9]', '', 'g')) AS BIGINT) AS n, length(regexp_replace(text, '[^A-Za-z0-9]', '', 'g')) >= 80 AS enough FROM documents")
+def meaningful_chars(t):
+    n = T.meaningful_chars(F.col("text"))
+    return t("documents").select("doc_id", n.cast("long").alias("n"), T.has_meaningful_text(F.col("text")).alias("enough"))
+
+
+@query(f"SELECT page_id, sha256({_CLEAN.format(x=_UNESCAPE.format(x='html'))}) AS clean FROM pages")
+def clean_html_text(t):
+    return t("pages").select("page_id", F.sha2(T.clean_text(F.col("html")), 256).alias("clean"))
+
+
+@query(f"SELECT page_id, sha256(trim(regexp_replace({_UNESCAPE.format(x=_CLEAN.format(x='html'))}, '\\s+', ' ', 'g'))) AS clean FROM pages")
+def clean_html_cells(t):
+    return t("pages").select("page_id", F.sha2(T.clean_cell(F.col("html")), 256).alias("clean"))
+
+
+@query("SELECT page_id, coalesce(nullif(regexp_extract(html, '<h1[^>]*>([^<]*)</h1>', 1), ''), nullif(regexp_extract(html, '<title>([^<]*)</title>', 1), ''), url) AS title FROM pages")
+def html_title_fallback(t):
+    first = lambda p: F.nullif(F.regexp_extract("html", p, 1), F.lit(""))
+    return t("pages").select("page_id", F.coalesce(first("<h1[^>]*>([^<]*)</h1>"), first("<title>([^<]*)</title>"), "url").alias("title"))
+
+
+@query("SELECT page_id, link, count(*) AS n FROM (SELECT page_id, unnest(regexp_extract_all(html, 'href=\"([^\"]*)\"', 1)) AS link FROM pages) GROUP BY ALL")
+def html_links(t):
+    links = t("pages").select("page_id", F.explode(F.regexp_extract_all("html", F.lit('href="([^"]*)"'))).alias("link"))
+    return links.groupBy("page_id", "link").agg(F.count(F.lit(1)).alias("n"))
+
+
+@query("SELECT page_id, sha256(regexp_replace(html, '(href|src|action)=\"/([^/\"][^\"]*)?\"', '\\1=\"https://base.example/\\2\"', 'g')) AS html_sha FROM pages")
+def rewrite_root_links(t):
+    return t("pages").select("page_id", F.sha2(T.rewrite_root_links(F.col("html"), "https://base.example"), 256).alias("html_sha"))
+
+
+@query("SELECT o_orderkey, CASE WHEN o_orderkey % 5 = 0 THEN '' ELSE 'EP' || lpad(CAST(o_orderkey AS VARCHAR), 8, '0') END AS app FROM orders")
+def ep_id_normalise(t):
+    k = F.lpad(F.col("o_orderkey").cast("string"), 8, "0")
+    raw = F.when(F.col("o_orderkey") % 5 == 0, " ").when(F.col("o_orderkey") % 2 == 0, F.concat(F.lit(" ep"), k, F.lit(".3"))).otherwise(k)
+    return t("orders").select("o_orderkey", T.application_id(raw).alias("app"))
+
+
+@query("SELECT o_orderkey, CASE o_orderkey % 4 WHEN 0 THEN 'EP' || lpad(CAST(o_orderkey AS VARCHAR), 7, '0') || 'A1' WHEN 1 THEN 'US2004' || lpad(CAST(o_orderkey % 1000000 AS VARCHAR), 7, '0') || 'A1' WHEN 2 THEN 'WO2001' || lpad(CAST(o_orderkey % 100000 AS VARCHAR), 6, '0') ELSE '' END AS pub FROM orders")
+def pub_id_normalise(t):
+    k = F.col("o_orderkey")
+    s = k.cast("string")
+    raw = F.when(k % 4 == 0, F.concat(F.lit("ep "), F.lpad(s, 7, "0"), F.lit(" a1"))).when(k % 4 == 1, F.concat(F.lit("US 2004/"), F.lpad((k % 1000000).cast("string"), 7, "0"))).when(k % 4 == 2, F.concat(F.lit("WO 2001/"), F.lpad((k % 100000).cast("string"), 5, "0"))).otherwise(F.concat(F.lit("D"), s))
+    return t("orders").select("o_orderkey", T.publication_id(raw).alias("pub"))
+
+
+@query("SELECT p_partkey, 'WO' || CASE WHEN p_size < 50 THEN '20' ELSE '19' END || lpad(CAST(p_size AS VARCHAR), 2, '0') || lpad(CAST(p_partkey % 100000 AS VARCHAR), 6, '0') AS doc FROM part")
+def wipo_id(t):
+    raw = F.concat(F.lit("WO"), F.lpad(F.col("p_size").cast("string"), 2, "0"), F.lpad((F.col("p_partkey") % 100000).cast("string"), 5, "0"))
+    return t("part").select("p_partkey", T.wipo_id(raw).alias("doc"))
+
+
+@query("SELECT o_orderkey, CASE WHEN o_orderkey % 3 = 0 THEN 'open' ELSE strftime(o_orderdate, '%Y-%m-%d') END AS iso, CASE WHEN o_orderkey % 3 = 0 THEN 0 ELSE CAST(strftime(o_orderdate, '%Y%m%d') AS INTEGER) END AS rank FROM orders")
+def ep_date_iso(t):
+    odd = F.col("o_orderkey") % 3 == 0
+    day = F.when(odd, "open").otherwise(F.date_format("o_orderdate", "dd.MM.yyyy"))
+    name = F.when(odd, "open.pdf").when(F.col("o_orderkey") % 2 == 0, F.concat(F.lit("../"), F.date_format("o_orderdate", "dd-MM-yyyy"), F.lit("_x.pdf"))).otherwise(F.date_format("o_orderdate", "yyyy-MM-dd"))
+    return t("orders").select("o_orderkey", T.iso_date(day).alias("iso"), T.date_rank(name).alias("rank"))
+
+
+@query("SELECT p_partkey, substr(regexp_replace(regexp_replace(p_name || ':' || p_type, '[\\\\/:*?\"<>|]', '_', 'g'), '\\s+', '_', 'g'), 1, 120) AS name FROM part")
+def safe_names(t):
+    return t("part").select("p_partkey", T.safe_name(F.concat_ws(":", "p_name", "p_type")).alias("name"))
+
+
+@query("SELECT doc_id, sha256(text) AS sha FROM documents")
+def sha_fingerprint(t):
+    return t("documents").select("doc_id", F.sha2("text", 256).alias("sha"))
+
+
+@query("SELECT CAST(round(100.0 * q / n, 1) AS DOUBLE) AS pct, cls FROM (SELECT sum(quality) AS q, count(*) AS n, CASE WHEN 100.0 * avg(quality) >= 85 THEN 'good' WHEN 100.0 * avg(quality) >= 60 THEN 'warn' ELSE 'risk' END AS cls FROM labels)")
+def quality_percent(t):
+    g = t("labels").agg(F.sum("quality").alias("q"), F.count(F.lit(1)).alias("n"))
+    return g.select(T.percent(F.col("q"), F.col("n")).alias("pct"), T.score_class(F.col("q") * 100.0 / F.col("n")).alias("cls"))
+
+
+@query("SELECT kind, count(*) AS n FROM (SELECT CASE WHEN u LIKE '%.html' THEN 'html' WHEN u LIKE '%.pdf' THEN 'pdf' WHEN u LIKE '%/' THEN 'folder' ELSE 'other' END AS kind FROM (SELECT regexp_replace(url, '[?#].*$', '') AS u FROM pages)) GROUP BY kind")
+def artifact_kind_hist(t):
+    u = F.regexp_replace("url", "[?#].*$", "")
+    kind = F.when(u.endswith(".html"), "html").when(u.endswith(".pdf"), "pdf").when(u.endswith("/"), "folder").otherwise("other")
+    return t("pages").groupBy(kind.alias("kind")).agg(F.count(F.lit(1)).alias("n"))
+
+
+@query("SELECT split_part(regexp_replace(url, '^https?://', ''), '/', 1) AS host, count(*) AS n, sum(length(html)) AS chars FROM pages GROUP BY 1")
+def file_bucket_summary(t):
+    host = F.split_part(F.regexp_replace("url", "^https?://", ""), F.lit("/"), F.lit(1))
+    return t("pages").groupBy(host.alias("host")).agg(F.count(F.lit(1)).alias("n"), F.sum(F.length("html")).alias("chars"))
+
+
+@query("SELECT doc_id, concat_ws(';', CASE WHEN chars < 400 THEN 'short_text' END, CASE WHEN quality IS NULL THEN 'no_label' END, CASE WHEN quality = 0 THEN 'low_quality' END, CASE WHEN toxic = 1 THEN 'toxic' END) AS issues FROM (SELECT d.doc_id, length(regexp_replace(text, '[^A-Za-z0-9]', '', 'g')) AS chars, quality, toxic FROM documents d LEFT JOIN labels USING (doc_id))")
+def quality_gate_issues(t):
+    d = t("documents").select("doc_id", T.meaningful_chars(F.col("text")).alias("chars")).join(t("labels"), "doc_id", "left")
+    gates = [F.when(F.col("chars") < 400, "short_text"), F.when(F.col("quality").isNull(), "no_label"), F.when(F.col("quality") == 0, "low_quality"), F.when(F.col("toxic") == 1, "toxic")]
+    return d.select("doc_id", F.concat_ws(";", F.array_compact(F.array(*gates))).alias("issues"))
+
+
+# pick one per key
+@query("SELECT o_custkey, o_orderpriority, o_orderkey FROM orders QUALIFY row_number() OVER (PARTITION BY o_custkey, lower(trim(o_orderpriority)) ORDER BY o_orderdate, o_orderkey) = 1")
+def earliest_per_title(t):
+    o = t("orders").select("o_custkey", "o_orderpriority", "o_orderdate", "o_orderkey")
+    return R.pick(o, ["o_custkey", T.text_key(F.col("o_orderpriority"))], ["o_orderdate", "o_orderkey"]).drop("o_orderdate")
+
+
+@query("SELECT user_id, event_id, event_type FROM events QUALIFY row_number() OVER (PARTITION BY user_id ORDER BY ts DESC, event_id DESC) = 1")
+def latest_status_per_app(t):
+    return R.pick(t("events").select("user_id", "event_id", "event_type", "ts"), ["user_id"], ["ts", "event_id"], last=True).drop("ts")
+
+
+@query("SELECT user_id, (SELECT string_agg(event_type, ',' ORDER BY f) FROM (SELECT event_type, min(event_id) AS f FROM events i WHERE i.user_id = e.user_id GROUP BY event_type)) AS kinds, arg_min(event_type, event_id) AS first_kind FROM events e GROUP BY user_id")
+def first_wins_pool(t):
+    e = t("events").groupBy("user_id", "event_type").agg(F.min("event_id").alias("event_id"))
+    return e.groupBy("user_id").agg(F.array_join(R.distinct_in_order(F.col("event_type"), F.col("event_id")), ",").alias("kinds"), R.first_filled(F.col("event_type"), F.col("event_id")).alias("first_kind"))
+
+
+@query("SELECT h, doc_id, n FROM (SELECT sha256(text) AS h, doc_id, count(*) OVER (PARTITION BY text) AS n, row_number() OVER (PARTITION BY text ORDER BY coalesce(quality, 0) DESC, doc_id) AS rn FROM documents LEFT JOIN labels USING (doc_id)) WHERE rn = 1")
+def dedupe_prefer_positive(t):
+    d = t("documents").select("doc_id", F.sha2("text", 256).alias("h")).join(t("labels").select("doc_id", "quality"), "doc_id", "left")
+    return d.groupBy("h").agg(F.min_by("doc_id", F.struct(-F.coalesce("quality", F.lit(0)), "doc_id")).alias("doc_id"), F.count(F.lit(1)).alias("n"))
+
+
+@query("SELECT sha256(text) AS h, min(doc_id) AS first_id, count(*) AS n, string_agg(DISTINCT source, ',' ORDER BY source) AS sources FROM documents GROUP BY text")
+def canonical_merge(t):
+    d = t("documents").select("doc_id", "source", F.sha2("text", 256).alias("h"))
+    return d.groupBy("h").agg(F.min("doc_id").alias("first_id"), F.count(F.lit(1)).alias("n"), F.array_join(F.array_sort(F.collect_set("source")), ",").alias("sources"))
+
+
+# joins
+@query("SELECT coalesce(c.c_custkey, o.k) AS app, c.c_custkey IS NOT NULL AS in_left, o.k IS NOT NULL AS in_right, coalesce(n, 0) AS n FROM (SELECT c_custkey FROM customer WHERE c_custkey % 7 <> 0) c FULL JOIN (SELECT o_custkey AS k, count(*) AS n FROM orders GROUP BY 1) o ON c.c_custkey = o.k")
+def ledger_full_outer(t):
+    c = t("customer").filter("c_custkey % 7 <> 0").select(F.col("c_custkey").alias("app"))
+    o = t("orders").groupBy(F.col("o_custkey").alias("app")).agg(F.count(F.lit(1)).alias("n"))
+    return R.full_outer(c, o, "app").select("app", "in_left", "in_right", F.coalesce("n", F.lit(0)).alias("n"))
+
+
+@query("SELECT c_custkey AS app, CASE WHEN n >= 15 AND s > 0 THEN 'complete' WHEN n > 0 OR s > 0 THEN 'partial' ELSE 'not_started' END AS status FROM (SELECT c_custkey, count(o_orderkey) AS n, count(CASE WHEN o_orderstatus = 'F' THEN 1 END) AS s FROM customer LEFT JOIN orders ON c_custkey = o_custkey GROUP BY 1)")
+def overall_status(t):
+    o = t("orders").groupBy("o_custkey").agg(F.count(F.lit(1)).alias("n"), F.count_if(F.col("o_orderstatus") == "F").alias("s"))
+    j = t("customer").select("c_custkey").join(o, F.col("c_custkey") == F.col("o_custkey"), "left").fillna(0)
+    status = F.when((F.col("n") >= 15) & (F.col("s") > 0), "complete").when((F.col("n") > 0) | (F.col("s") > 0), "partial").otherwise("not_started")
+    return j.select(F.col("c_custkey").alias("app"), status.alias("status"))
+
+
+@query("SELECT coalesce(d.doc_id, l.doc_id) AS doc_id, d.doc_id IS NOT NULL AS captured, l.doc_id IS NOT NULL AS in_target FROM documents d FULL JOIN labels l USING (doc_id)")
+def overview_in_target(t):
+    both = R.full_outer(t("documents").select("doc_id"), t("labels").select("doc_id"), "doc_id")
+    return both.select("doc_id", F.col("in_left").alias("captured"), F.col("in_right").alias("in_target"))
+
+
+@query("SELECT c_custkey, c_mktsegment FROM customer WHERE CAST(c_custkey AS VARCHAR) NOT IN (SELECT CAST(o_custkey AS VARCHAR) FROM orders) OR c_custkey % 10 = 0")
+def anti_missing(t):
+    c = t("customer").select("c_custkey", "c_mktsegment", F.when(F.col("c_custkey") % 10 == 0, "").otherwise(F.col("c_custkey").cast("string")).alias("k"))
+    return R.anti_keep_empty(c, t("orders").select(F.col("o_custkey").cast("string").alias("k")), "k").drop("k")
+
+
+@query("SELECT l_orderkey, l_linenumber FROM lineitem WHERE l_partkey NOT IN (SELECT p_partkey FROM part WHERE p_size < 25) AND l_suppkey NOT IN (SELECT p_partkey FROM part WHERE p_size < 25)")
+def double_anti_exclude(t):
+    out = t("part").filter("p_size < 25").select("p_partkey")
+    return R.double_anti(t("lineitem").select("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey"), out, "l_partkey", "l_suppkey").select("l_orderkey", "l_linenumber")
+
+
+@query("(SELECT p_partkey AS k, 'listed_only' AS side FROM part WHERE p_partkey NOT IN (SELECT l_partkey FROM lineitem WHERE l_quantity > 45)) UNION ALL (SELECT DISTINCT l_partkey, 'examined_only' FROM lineitem WHERE l_quantity > 45 AND l_partkey NOT IN (SELECT p_partkey FROM part))")
+def coverage_audit(t):
+    return R.set_difference(t("part").select(F.col("p_partkey").alias("k")), t("lineitem").filter("l_quantity > 45").select(F.col("l_partkey").alias("k")), "k")
+
+
+# aggregates
+@query("SELECT issue, count(*) AS n FROM (SELECT unnest(string_split(l_returnflag || '; ' || l_linestatus || CASE WHEN l_discount > 0.05 THEN '; discount' ELSE '' END, '; ')) AS issue FROM lineitem) GROUP BY issue")
+def issue_histogram(t):
+    joined = F.concat_ws("; ", "l_returnflag", "l_linestatus", F.when(F.col("l_discount") > 0.05, "discount"))
+    return t("lineitem").select(F.explode(F.split(joined, "; ")).alias("issue")).groupBy("issue").agg(F.count(F.lit(1)).alias("n"))
+
+
+@query("SELECT coalesce(event_type, '') AS event_type, count(*) AS n FROM events GROUP BY 1")
+def status_counts(t):
+    return t("events").groupBy(F.coalesce("event_type", F.lit("")).alias("event_type")).agg(F.count(F.lit(1)).alias("n"))
+
+
+@query("SELECT count(*) AS n, count(CASE WHEN o_orderstatus = 'F' THEN 1 END) AS finished, count(CASE WHEN o_totalprice > 100000 THEN 1 END) AS large, count(DISTINCT o_custkey) AS customers FROM orders")
+def conditional_counts(t):
+    return t("orders").agg(F.count(F.lit(1)).alias("n"), F.count_if(F.col("o_orderstatus") == "F").alias("finished"), F.count_if(F.col("o_totalprice") > 100000).alias("large"), F.countDistinct("o_custkey").alias("customers"))
+
+
+@query("SELECT CASE WHEN rn <= 5 THEN p_brand ELSE 'other' END AS label, CAST(sum(c) AS BIGINT) AS n FROM (SELECT p_brand, count(*) AS c, row_number() OVER (ORDER BY count(*) DESC, p_brand) AS rn FROM part GROUP BY 1) GROUP BY 1")
+def topn_plus_other(t):
+    return R.top_and_other(t("part"), "p_brand", 5)
+
+
+_SCORES = "SELECT l_orderkey, l_linenumber, CASE WHEN l_linenumber % 3 = 0 THEN NULL ELSE l_quantity END AS a, l_discount * 1000 AS b, CASE WHEN l_linenumber % 4 = 0 THEN NULL ELSE l_tax * 1000 END AS c FROM lineitem"
+
+
+def _scores(t):
+    li = t("lineitem")
+    a = F.when(F.col("l_linenumber") % 3 != 0, F.col("l_quantity"))
+    c = F.when(F.col("l_linenumber") % 4 != 0, F.col("l_tax") * 1000)
+    return li.select("l_orderkey", "l_linenumber", a.alias("a"), (F.col("l_discount") * 1000).alias("b"), c.alias("c"))
+
+
+def _weighted(mode):
+    def run(t):
+        return _scores(t).select("l_orderkey", "l_linenumber", R.weighted_score([F.col(x) for x in "abc"], [0.25, 0.3, 0.45], mode).alias("score"))
+
+    return run
+
+
+for _mode, _expr in (
+    ("strict", "round_even(a * 0.25::DOUBLE + b * 0.3::DOUBLE + c * 0.45::DOUBLE, 0)"),
+    ("zero_fill", "round_even(coalesce(a, 0) * 0.25::DOUBLE + coalesce(b, 0) * 0.3::DOUBLE + coalesce(c, 0) * 0.45::DOUBLE, 0)"),
+    ("renormalised", "round_even((coalesce(a, 0) * 0.25::DOUBLE + coalesce(b, 0) * 0.3::DOUBLE + coalesce(c, 0) * 0.45::DOUBLE) / nullif(CASE WHEN a IS NULL THEN 0 ELSE 0.25::DOUBLE END + CASE WHEN b IS NULL THEN 0 ELSE 0.3::DOUBLE END + CASE WHEN c IS NULL THEN 0 ELSE 0.45::DOUBLE END, 0), 0)"),
+):
+    _fn = _weighted(_mode)
+    _fn.__name__ = f"weighted_score_{_mode}"
+    query(f"SELECT l_orderkey, l_linenumber, {_expr} AS score FROM ({_SCORES})")(_fn)
+
+
+@query("SELECT doc_id, min(CASE WHEN rejected THEN 'needs_correction' WHEN done THEN 'success' ELSE 'pending' END) AS state FROM (SELECT conv_id AS doc_id, bool_or(length(text) % 17 = 0) AS rejected, bool_and(length(text) % 5 <> 0) AS done FROM conversations GROUP BY 1) GROUP BY 1")
+def review_state(t):
+    n = F.length("text")
+    g = t("conversations").groupBy(F.col("conv_id").alias("doc_id")).agg(F.bool_or(n % 17 == 0).alias("rejected"), F.bool_and(n % 5 != 0).alias("done"))
+    return g.select("doc_id", F.when(F.col("rejected"), "needs_correction").when(F.col("done"), "success").otherwise("pending").alias("state"))
+
+
+@query("SELECT doc_id, section, value FROM (SELECT l.doc_id, CAST(quality AS VARCHAR) AS quality, CAST(toxic AS VARCHAR) AS toxic, lang FROM labels l JOIN documents d USING (doc_id)) UNPIVOT (value FOR section IN (quality, toxic, lang))")
+def unpivot_review_items(t):
+    j = t("labels").join(t("documents").select("doc_id", "lang"), "doc_id")
+    j = j.select("doc_id", F.col("quality").cast("string"), F.col("toxic").cast("string"), "lang")
+    return j.unpivot("doc_id", ["quality", "toxic", "lang"], "section", "value")
+
+
+# windows and top-k
+@query("SELECT turn, lang, doc_id FROM (SELECT row_number() OVER (PARTITION BY lang ORDER BY doc_id) AS turn, lang, doc_id FROM documents) ORDER BY turn, lang LIMIT 50")
+def round_robin(t):
+    return R.round_robin(t("documents").select("lang", "doc_id"), "lang", ["doc_id"], 50).select("turn", "lang", "doc_id")
+
+
+@query("""WITH s AS (SELECT l.doc_id, d.lang, CAST(quality = 1 AS INTEGER) AS pos FROM labels l JOIN documents d USING (doc_id)),
+w AS (SELECT *, row_number() OVER (PARTITION BY pos, lang ORDER BY doc_id) AS turn, count(*) OVER (PARTITION BY pos, lang) AS c, min(doc_id) OVER (PARTITION BY pos, lang) AS seen FROM s),
+r AS (SELECT *, row_number() OVER (PARTITION BY pos ORDER BY turn, c - turn + 1 DESC, seen) AS place FROM w)
+SELECT doc_id, lang, pos, turn, place FROM r WHERE place <= CASE WHEN pos = 1 THEN 20 ELSE 21 END""")
+def balanced_sample(t):
+    s = t("labels").select("doc_id", "quality").join(t("documents").select("doc_id", "lang"), "doc_id")
+    return R.balanced(s, "lang", F.col("quality") == 1, "doc_id", 41).select("doc_id", "lang", "pos", "turn", "place")
+
+
+@query("SELECT page_id, lag(page_id) OVER w AS prev_id, lead(page_id) OVER w AS next_id FROM pages WINDOW w AS (PARTITION BY split_part(url, '/', 3) ORDER BY lower(url), page_id)")
+def prev_next_nav(t):
+    w = Window.partitionBy(F.split_part("url", F.lit("/"), F.lit(3))).orderBy(F.lower("url"), "page_id")
+    return t("pages").select("page_id", F.lag("page_id").over(w).alias("prev_id"), F.lead("page_id").over(w).alias("next_id"))
+
+
+@query("SELECT conv_id, CAST(max(turn + 1) - count(DISTINCT turn + 1) AS BIGINT) AS missing, count(*) - count(DISTINCT turn) AS duplicates FROM conversations WHERE NOT (conv_id % 3 = 0 AND turn = 1) GROUP BY conv_id")
+def turn_contiguity(t):
+    c = t("conversations").filter("not (conv_id % 3 = 0 and turn = 1)").withColumn("number", F.col("turn") + 1)
+    return R.gaps(c, "conv_id", "number")
+
+
+@query("""SELECT doc_id, line_no, last_value(CASE WHEN length(line) % 4 = 0 THEN line_no END IGNORE NULLS) OVER (PARTITION BY doc_id ORDER BY line_no ROWS UNBOUNDED PRECEDING) AS page
+FROM (SELECT doc_id, unnest(string_split(text, chr(10))) AS line, unnest(range(len(string_split(text, chr(10))))) AS line_no FROM documents)""")
+def page_carry_forward(t):
+    lines = t("documents").select("doc_id", F.posexplode(F.split("text", "\n")).alias("line_no", "line"))
+    w = Window.partitionBy("doc_id").orderBy("line_no").rowsBetween(Window.unboundedPreceding, 0)
+    return lines.select("doc_id", F.col("line_no").cast("long").alias("line_no"), F.last(F.when(F.length("line") % 4 == 0, F.col("line_no").cast("long")), ignorenulls=True).over(w).alias("page"))
+
+
+@query("""SELECT conv_id, turn, concat_ws(' ', text, CASE WHEN r1 <> 'user' THEN t1 END, CASE WHEN r1 <> 'user' AND r2 <> 'user' THEN t2 END) AS body FROM
+(SELECT conv_id, turn, role, left(text, 40) AS text, lead(left(text, 40)) OVER w AS t1, lead(role) OVER w AS r1, lead(left(text, 40), 2) OVER w AS t2, lead(role, 2) OVER w AS r2 FROM conversations WINDOW w AS (PARTITION BY conv_id ORDER BY turn)) WHERE role = 'user'""")
+def borrow_next_lines(t):
+    w = Window.partitionBy("conv_id").orderBy("turn")
+    c = t("conversations").withColumn("text", F.left("text", F.lit(40)))
+    for k in (1, 2):
+        c = c.withColumn(f"t{k}", F.lead("text", k).over(w)).withColumn(f"r{k}", F.lead("role", k).over(w))
+    body = F.concat_ws(" ", "text", F.when(F.col("r1") != "user", F.col("t1")), F.when((F.col("r1") != "user") & (F.col("r2") != "user"), F.col("t2")))
+    return c.filter("role = 'user'").select("conv_id", "turn", body.alias("body"))
+
+
+@query("SELECT user_id, CASE WHEN bool_or(event_type = 'purchase') THEN 'purchase' ELSE arg_max(event_type, event_id) END AS outcome FROM events GROUP BY user_id")
+def outcome_precedence(t):
+    g = t("events").groupBy("user_id").agg(F.bool_or(F.col("event_type") == "purchase").alias("won"), F.max_by("event_type", "event_id").alias("last"))
+    return g.select("user_id", F.when(F.col("won"), "purchase").otherwise(F.col("last")).alias("outcome"))
+
+
+@query("SELECT source, doc_id, rn FROM (SELECT source, doc_id, row_number() OVER (PARTITION BY source ORDER BY CASE lang WHEN 'en' THEN 0 WHEN 'de' THEN 1 ELSE 2 END, n_chars DESC, doc_id) AS rn FROM documents WHERE length(regexp_replace(text, '[^A-Za-z0-9]', '', 'g')) >= 120) WHERE rn <= 3")
+def priority_topk_sources(t):
+    priority = F.when(F.col("lang") == "en", 0).when(F.col("lang") == "de", 1).otherwise(2)
+    w = Window.partitionBy("source").orderBy(priority, F.desc("n_chars"), "doc_id")
+    d = t("documents").filter(T.has_meaningful_text(F.col("text"), 120)).select("source", "doc_id", F.row_number().over(w).alias("rn"))
+    return d.filter("rn <= 3")
+
+
+_HITS = f"SELECT b.item_id, d.doc_id FROM (SELECT item_id, {_MATCH.format(x='text')} AS q FROM benchmark) b JOIN (SELECT doc_id, {_MATCH.format(x='text')} AS m FROM documents) d ON contains(d.m, b.q)"
+
+
+def _hits(t):
+    quotes = t("benchmark").select(F.col("item_id").alias("qid"), F.col("text").alias("quote"))
+    sources = t("documents").select(F.col("doc_id").alias("sid"), F.col("text").alias("body"))
+    return M.candidates(quotes, sources)
+
+
+@query(_HITS)
+def evidence_exact_hits(t):
+    hits = _hits(t).filter(F.contains(T.match_text(F.col("body")), T.match_text(F.col("quote"))))
+    return hits.select(F.col("qid").alias("item_id"), F.col("sid").alias("doc_id"))
+
+
+@query(f"SELECT item_id, CAST(mentions AS BIGINT) AS mentions, sources FROM (SELECT item_id, count(*) AS mentions, string_agg(DISTINCT source, ',' ORDER BY source) AS sources, row_number() OVER (ORDER BY count(*) DESC, item_id) AS rn FROM ({_HITS}) h JOIN documents USING (doc_id) GROUP BY item_id) WHERE rn <= 10")
+def mention_topk(t):
+    hits = evidence_exact_hits(t).join(t("documents").select("doc_id", "source"), "doc_id")
+    g = hits.groupBy("item_id").agg(F.count(F.lit(1)).alias("mentions"), F.array_join(F.array_sort(F.collect_set("source")), ",").alias("sources"))
+    return g.orderBy(F.desc("mentions"), "item_id").limit(10)
+
+
+@query(f"SELECT b.item_id, d.doc_id FROM (SELECT item_id, {_COMPACT.format(x='text')} AS q FROM benchmark) b JOIN (SELECT doc_id, {_COMPACT.format(x='text')} AS m FROM documents) d ON length(b.q) >= 30 AND contains(d.m, b.q)")
+def evidence_compact_hits(t):
+    q = T.compact_text(F.col("quote"))
+    return _hits(t).filter((F.length(q) >= 30) & F.contains(T.compact_text(F.col("body")), q)).select(F.col("qid").alias("item_id"), F.col("sid").alias("doc_id"))
+
+
+@query(f"""SELECT item_id, coalesce(max(s), 0.0::DOUBLE) AS score FROM benchmark LEFT JOIN (
+SELECT item_id, 1.0::DOUBLE AS s FROM ({_HITS})) USING (item_id) GROUP BY item_id""")
+def evidence_tiers(t):
+    best = _hits(t).groupBy(F.col("qid").alias("item_id")).agg(F.max(M.tier(F.col("quote"), F.col("body"))).alias("s"))
+    return t("benchmark").select("item_id").join(best, "item_id", "left").select("item_id", F.coalesce(F.when(F.col("s") >= 0.97, F.lit(1.0)), F.lit(0.0)).alias("score"))
+
+
+@query(None)
+def evidence_fuzzy(t):
+    best = _hits(t).withColumn("ratio", M.sequence_ratio(T.match_text(F.col("quote")), T.match_text(F.col("body"))))
+    return best.groupBy("qid").agg(F.max_by("sid", F.struct("ratio", -F.col("sid"))).alias("doc_id"), F.bround(F.max("ratio"), 4).alias("ratio"))
+
+
+@query(f"""SELECT b.item_id, d.doc_id, len(list_intersect(bt, dt)) AS overlap FROM
+(SELECT item_id, list_distinct(list_filter(string_split({_MATCH.format(x='text')}, ' '), lambda x: length(x) >= 3)[1:80]) AS bt FROM benchmark) b JOIN
+(SELECT doc_id, list_distinct(list_filter(string_split({_MATCH.format(x='text')}, ' '), lambda x: length(x) >= 3)) AS dt FROM documents) d ON len(list_intersect(bt, dt)) >= 30""")
+def token_overlap_topk(t):
+    tokens = lambda c: F.filter(F.split(T.match_text(F.col(c)), " "), lambda x: F.length(x) >= 3)
+    q = t("benchmark").select("item_id", F.explode(F.array_distinct(F.slice(tokens("text"), 1, 80))).alias("w"))
+    d = t("documents").select("doc_id", F.explode(F.array_distinct(tokens("text"))).alias("w"))
+    return q.join(d, "w").groupBy("item_id", "doc_id").agg(F.count(F.lit(1)).alias("overlap")).filter("overlap >= 30")
+
+
+@query("SELECT doc_id, unnest(regexp_extract_all(text, '.{0,20}License.{0,40}', 0, 's')) AS snippet FROM documents")
+def keyword_snippets(t):
+    return t("documents").select("doc_id", F.explode(F.regexp_extract_all("text", F.lit("(?s).{0,20}License.{0,40}"), F.lit(0))).alias("snippet"))
+
+
+@query("SELECT user_id, event_id FROM (SELECT user_id, event_id, coalesce(sum(CASE WHEN event_type = 'click' THEN 1 ELSE 0 END) OVER (PARTITION BY user_id ORDER BY event_id ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS b FROM events) WHERE b < 3")
+def cumulative_until_target(t):
+    return R.until_target(t("events").select("user_id", "event_id", "event_type"), ["event_id"], F.col("event_type") == "click", 3, ["user_id"]).select("user_id", "event_id")
+
+
+# status streams, as batch and as stream
+@query("SELECT user_id, max(run) AS longest FROM (SELECT user_id, CAST(sum(bad) AS BIGINT) AS run FROM (SELECT *, sum(1 - bad) OVER (PARTITION BY user_id ORDER BY ts, event_id) AS island FROM (SELECT user_id, ts, event_id, CAST(event_type = 'error' AS INTEGER) AS bad FROM events)) GROUP BY user_id, island) GROUP BY user_id")
+def failure_streak(t):
+    return R.streaks(t("events"), "user_id", ["ts", "event_id"], F.col("event_type") == "error")
+
+
+@query("SELECT e.event_id FROM events e WHERE NOT EXISTS (SELECT 1 FROM events b WHERE b.user_id = e.user_id AND b.event_type = 'error' AND b.ts < e.ts AND b.ts >= e.ts - INTERVAL 12 HOUR)")
+def cooldown_filter(t):
+    w = Window.partitionBy("user_id").orderBy(F.unix_micros("ts")).rangeBetween(-12 * 3600 * 1_000_000, -1)
+    e = t("events").withColumn("recent", F.count_if(F.col("event_type") == "error").over(w))
+    return e.filter("recent = 0").select("event_id")
+
+
+@query("SELECT event_id, row_number() OVER (PARTITION BY user_id, event_type ORDER BY ts, event_id) AS attempt FROM events")
+def retry_attempts(t):
+    return t("events").select("event_id", F.row_number().over(Window.partitionBy("user_id", "event_type").orderBy("ts", "event_id")).alias("attempt"))
+
+
+@query("SELECT event_id, CAST(json_extract_string(props, '$.k') AS BIGINT) AS k FROM events")
+def json_walk(t):
+    return t("events").select("event_id", F.get_json_object("props", "$.k").cast("long").alias("k"))
+
+
+@query("""SELECT app, CASE WHEN n IS NULL THEN 'I_no_orders' WHEN lines >= 60 AND big > 0 THEN 'A_complete' WHEN lines >= 60 THEN 'B_no_large' WHEN big > 0 THEN 'C_few_lines' ELSE 'D_small' END AS class FROM
+(SELECT c_custkey AS app, max(n) AS n, max(lines) AS lines, max(big) AS big FROM customer LEFT JOIN (SELECT o_custkey, count(DISTINCT o_orderkey) AS n, count(*) AS lines, count(CASE WHEN l_quantity >= 49 THEN 1 END) AS big FROM orders JOIN lineitem ON o_orderkey = l_orderkey GROUP BY 1) ON c_custkey = o_custkey GROUP BY 1)""")
+def case_classification(t):
+    li = t("lineitem").groupBy("l_orderkey").agg(F.count(F.lit(1)).alias("lines"), F.count_if(F.col("l_quantity") >= 49).alias("big"))
+    o = t("orders").join(li, F.col("o_orderkey") == F.col("l_orderkey")).groupBy("o_custkey").agg(F.count(F.lit(1)).alias("n"), F.sum("lines").alias("lines"), F.sum("big").alias("big"))
+    j = t("customer").join(o, F.col("c_custkey") == F.col("o_custkey"), "left")
+    cls = F.when(F.col("n").isNull(), "I_no_orders").when((F.col("lines") >= 60) & (F.col("big") > 0), "A_complete").when(F.col("lines") >= 60, "B_no_large").when(F.col("big") > 0, "C_few_lines").otherwise("D_small")
+    return j.select(F.col("c_custkey").alias("app"), cls.alias("class"))
+
+
+def _boxes(t, prefix):
+    k = F.col("l_partkey")
+    li = t("lineitem").filter("l_linenumber <= 3")
+    return li.select(F.col("l_orderkey").alias("page"), F.col("l_linenumber").cast("long").alias(f"{prefix}_n"), (k % 50).alias(f"{prefix}_x"), (k % 37).alias(f"{prefix}_y"), (k % 23 + 5).alias(f"{prefix}_w"), (k % 19 + 5).alias(f"{prefix}_h"))
+
+
+_BOX = "SELECT l_orderkey AS page, CAST(l_linenumber AS BIGINT) AS n, l_partkey % 50 AS x, l_partkey % 37 AS y, l_partkey % 23 + 5 AS w, l_partkey % 19 + 5 AS h FROM lineitem WHERE l_linenumber <= 3"
+
+
+@query(f"""SELECT page, an, bn, round(i / nullif(wa + wb - i, 0), 6) AS iou FROM (SELECT a.page, a.n AS an, b.n AS bn, CAST(greatest(0, least(a.x + a.w, b.x + b.w) - greatest(a.x, b.x)) * greatest(0, least(a.y + a.h, b.y + b.h) - greatest(a.y, b.y)) AS DOUBLE) AS i, a.w * a.h AS wa, b.w * b.h AS wb
+FROM ({_BOX}) a JOIN ({_BOX}) b ON a.page = b.page AND a.n < b.n) WHERE i > 0""")
+def box_iou_pairs(t):
+    pairs = _boxes(t, "a").join(_boxes(t, "b"), "page").filter("a_n < b_n").withColumn("iou", R.iou("a", "b"))
+    return pairs.filter("iou > 0").select("page", F.col("a_n").alias("an"), F.col("b_n").alias("bn"), F.round("iou", 6).alias("iou"))
+
+
+@query(None)
+def greedy_nms(t):
+    b = _boxes(t, "b").toDF("page", "box", "x", "y", "w", "h").withColumn("score", F.col("w") * F.col("h"))
+    return M.nms(b)
+
+
+def _stream(name, fn, sql):
+    def run(spark, sf_dir):
+        import tempfile
+        import uuid
+
+        schema = spark.read.parquet(f"{sf_dir}/events.parquet").schema
+        base = spark.conf.get("spark.checkpoint.dir", None) or "file://" + tempfile.gettempdir()
+        stream = S.read_stream(spark, sf_dir, schema, "events.parquet")
+        return S.run_to_table(fn(stream), f"{name}_{uuid.uuid4().hex[:8]}", f"{base}/stream-{uuid.uuid4().hex}")
+
+    QUERIES[name], SQL[name] = run, sql
+
+
+_stream("stream_latest", lambda s: S.latest(s.select("user_id", "event_id", "event_type", "ts"), "user_id", ["ts", "event_id"]).drop("ts"), SQL["latest_status_per_app"])
+_stream("stream_status_counts", lambda s: S.counts(s, "event_type"), SQL["status_counts"])
