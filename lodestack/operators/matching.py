@@ -19,14 +19,22 @@ def tier(quote, text):
     return F.when(F.length(q) < 8, 0.0).when(F.contains(t, q), 1.0).when((F.length(compact_text(quote)) >= 30) & F.contains(compact_text(text), compact_text(quote)), 0.97).when(anchored, 0.92).otherwise(0.0)
 
 
-def candidates(quotes: DataFrame, sources: DataFrame, words: int = 4) -> DataFrame:
-    """Quotes with the sources that hold their first words: an equi-join on word runs instead of a nested loop.
+def _runs(words):
+    """All runs of four words. Built from whole arrays: inside a lambda the array would be computed again for each element."""
+    rest = lambda a, k: F.slice(a, k + 1, F.greatest(F.size(a) - k, F.lit(0)))
+    glue = lambda x, y: F.concat(x, F.lit(" "), y)
+    pairs = F.array_compact(F.zip_with(words, rest(words, 1), glue))
+    return F.array_compact(F.zip_with(pairs, rest(pairs, 2), glue))
 
-    quotes (qid, quote), sources (sid, body). A source's runs are distinct, so a common run is one row a source."""
-    run = lambda a: F.transform(F.sequence(F.lit(1), F.greatest(F.size(a) - (words - 1), F.lit(1))), lambda i: F.array_join(F.slice(a, i, words), " "))
-    q = quotes.withColumn("w", F.split(match_text(F.col("quote")), " ")).withColumn("run", F.array_join(F.slice("w", 1, words), " ")).drop("w")
+
+def candidates(quotes: DataFrame, sources: DataFrame) -> DataFrame:
+    """Quotes with the sources that hold their first four words: an equi-join on word runs instead of a nested loop.
+
+    quotes (qid, quote), sources (sid, body). A source's runs are distinct, so a common run is one row a source. Quotes
+    of fewer than four words find nothing."""
+    q = quotes.withColumn("run", F.array_join(F.slice(F.split(match_text(F.col("quote")), " "), 1, 4), " "))
     wanted = q.select("run").distinct()
-    s = sources.select("sid", F.explode(F.array_distinct(run(F.split(match_text(F.col("body")), " ")))).alias("run")).join(wanted, "run", "left_semi")
+    s = sources.select("sid", F.explode(F.array_distinct(_runs(F.split(match_text(F.col("body")), " ")))).alias("run")).join(wanted, "run", "left_semi")
     return q.join(s, "run").join(sources, "sid").select("qid", "quote", "sid", "body")
 
 
@@ -49,22 +57,24 @@ def token_overlap(needle, haystack, least: int = 3, first: int = 80):
     return F.size(F.array_intersect(F.array_distinct(F.slice(tokens(needle), 1, first)), tokens(haystack)))
 
 
-def nms(boxes: DataFrame, limit: float = 0.45) -> DataFrame:
-    """Greedy suppression per page, best score first. boxes: page, box, score, x, y, w, h. A page's boxes are few."""
+def nms(boxes: DataFrame, limit: float = 0.45, buckets: int = 64) -> DataFrame:
+    """Greedy suppression per page, best score first. boxes: page, box, score, x, y, w, h. A page's boxes are few, so a task
+    takes a bucket of pages instead of paying a call for each page."""
 
     def one(pdf: pd.DataFrame) -> pd.DataFrame:
-        kept = []
-        for row in pdf.sort_values(["score", "box"], ascending=[False, True]).itertuples():
-            for k in kept:
+        kept: dict[int, list] = {}
+        for row in pdf.sort_values(["page", "score", "box"], ascending=[True, False, True]).itertuples():
+            page = kept.setdefault(row.page, [])
+            for k in page:
                 wide = max(0, min(row.x + row.w, k.x + k.w) - max(row.x, k.x))
                 high = max(0, min(row.y + row.h, k.y + k.h) - max(row.y, k.y))
                 if wide * high > limit * (row.w * row.h + k.w * k.h - wide * high):
                     break
             else:
-                kept.append(row)
-        return pdf.loc[[k.Index for k in kept], ["page", "box"]]
+                page.append(row)
+        return pd.DataFrame([(k.page, k.box) for page in kept.values() for k in page], columns=["page", "box"])
 
-    return boxes.groupBy("page").applyInPandas(one, "page long, box long")
+    return boxes.groupBy(F.pmod(F.xxhash64("page"), F.lit(buckets))).applyInPandas(one, "page long, box long")
 
 
 @F.pandas_udf(StringType())

@@ -396,7 +396,7 @@ def failure_streak(t):
 
 @query("SELECT e.event_id FROM events e WHERE NOT EXISTS (SELECT 1 FROM events b WHERE b.user_id = e.user_id AND b.event_type = 'error' AND b.ts < e.ts AND b.ts >= e.ts - INTERVAL 12 HOUR)")
 def cooldown_filter(t):
-    w = Window.partitionBy("user_id").orderBy(F.unix_micros("ts")).rangeBetween(-12 * 3600 * 1_000_000, -1)
+    w = Window.partitionBy("user_id").orderBy(F.unix_micros(F.col("ts").cast("timestamp"))).rangeBetween(-12 * 3600 * 1_000_000, -1)
     e = t("events").withColumn("recent", F.count_if(F.col("event_type") == "error").over(w))
     return e.filter("recent = 0").select("event_id")
 
