@@ -20,11 +20,18 @@ def read_csv(spark: SparkSession, path: str, schema: str = DOCLIST) -> DataFrame
     return spark.read.schema(schema).option("header", True).option("enforceSchema", True).option("multiLine", True).csv(path)
 
 
+def from_windows(content):
+    """Windows-1252 by way of ISO-8859-1, whose control range 0x80 to 0x9F holds letters and signs there."""
+    c1 = range(0x80, 0xA0)
+    signs = "".join(bytes([i]).decode("cp1252", "replace") for i in c1)
+    return F.translate(F.decode(content, "ISO-8859-1"), "".join(map(chr, c1)), signs)
+
+
 def read_text(spark: SparkSession, path: str, most: int | None = None) -> DataFrame:
     """path, text of whole files: UTF-8 where valid, else Windows-1252."""
     raw = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(path)
     utf8 = F.try_validate_utf8(F.col("content").cast("string"))
-    text = F.regexp_replace(F.coalesce(utf8, F.decode("content", "windows-1252")), "^﻿", "")
+    text = F.regexp_replace(F.coalesce(utf8, from_windows(F.col("content"))), "^﻿", "")
     return raw.select("path", (F.substring(text, 1, most) if most else text).alias("text"))
 
 
