@@ -23,7 +23,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from . import lexicon
-from .shared import new_path
+from .shared import new_path, table
 
 LEXICON_WORDS = 300_000
 #: Chunks in one generation of a worker's memo, and in a partial count.
@@ -181,13 +181,21 @@ def word_counts(docs: DataFrame, tokenizer: str, text_col: str = "text") -> Data
 
 
 def compile_lexicon(docs: DataFrame, tokenizer: str, text_col: str = "text", words: int = LEXICON_WORDS) -> str:
-    """Writes the transducer of the most frequent words to the shared folder; returns its URI. At most ``words`` rows
-    reach the driver."""
+    """Writes the transducer of the most frequent words to the shared folder; returns its URI.
+
+    A histogram of counts (at most 2,048 bars) sets the least count, so that at most ``words`` rows reach the driver and
+    nothing is sorted."""
     from .warc import _file_system
 
-    top = word_counts(docs, tokenizer, text_col).filter("n > 1").orderBy(F.desc("n"), "word").limit(words).select("word")
-    bpe = Bpe(tokenizer)
-    data = lexicon.build([(w.encode(), bpe.merge(w)) for w in top.toPandas()["word"].tolist()])
+    counts = table(word_counts(docs, tokenizer, text_col).filter("n > 1").withColumn("bar", F.floor(32 * F.log2("n"))), "word-counts")
+    least, total = 2048, 0
+    for bar, n in counts.groupBy("bar").count().orderBy(F.desc("bar")).collect():
+        total += n
+        if total > words:
+            break
+        least = bar
+    bpe, frequent = Bpe(tokenizer), counts.filter(F.col("bar") >= least).select("word")
+    data = lexicon.build([(w.encode(), tuple(bpe.merge(w))) for w in frequent.toPandas()["word"]])
     uri = new_path(docs.sparkSession, "lexicon")
     files, base = _file_system(uri)
     files.create_dir(os.path.dirname(base), recursive=True)

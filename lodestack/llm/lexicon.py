@@ -11,6 +11,7 @@ File: magic, then counts, then little-endian arrays: state starts, arc labels, a
 from __future__ import annotations
 
 import struct
+from array import array
 
 import numpy as np
 
@@ -19,31 +20,34 @@ FINAL = 1 << 31
 
 
 class _State:
-    __slots__ = ("arcs", "final", "words", "number")
+    """A state that later words may still change: its arcs lead to numbers of settled states."""
+
+    __slots__ = ("arcs", "final")
 
     def __init__(self):
-        self.arcs, self.final, self.words, self.number = {}, False, 0, -1
+        self.arcs, self.final = {}, False
 
-    def key(self):
-        return self.final, tuple((c, s.number) for c, s in self.arcs.items())
+    def key(self) -> bytes:
+        return array("I", [self.final, *(x for arc in self.arcs.items() for x in arc)]).tobytes()
 
 
 def build(pairs) -> bytes:
     """pairs: (word as bytes, list of ids), any order, distinct words."""
     pairs = sorted(pairs)
-    register: dict = {}
+    register: dict[bytes, int] = {}
+    behind = array("I")  # words behind each settled state
     root, path, last = _State(), [], b""
 
+    def add(state: _State) -> int:
+        number = register.setdefault(state.key(), len(register))
+        if number == len(behind):
+            behind.append(state.final + sum(behind[t] for t in state.arcs.values()))
+        return number
+
     def settle(depth: int) -> None:
         while len(path) > depth:
             parent, label, child = path.pop()
-            same = register.get(key := child.key())
-            if same is None:
-                child.words = child.final + sum(s.words for s in child.arcs.values())
-                child.number = len(register)
-                register[key] = child
-            else:
-                parent.arcs[label] = same
+            parent.arcs[label] = add(child)
 
     for word, _ in pairs:
         common = 0
@@ -54,29 +58,29 @@ def build(pairs) -> bytes:
         settle(common)
         state = path[-1][2] if path else root
         for c in word[common:]:
-            state.arcs[c] = child = _State()
+            child = _State()
             path.append((state, c, child))
             state = child
         state.final = True
         last = word
     settle(0)
-    states = sorted(register.values(), key=lambda s: s.number) + [root]
-    root.number = len(states) - 1
-    starts, labels, targets, outputs = [0], [], [], []
-    for s in states:
-        before = int(s.final)
-        for c, t in s.arcs.items():
+    keys = [*register, root.key()]
+    starts, labels, targets, outputs = array("I", [0]), array("B"), array("I"), array("I")
+    for key in keys:
+        final, *arcs = array("I", key)
+        before = final
+        for c, t in zip(arcs[::2], arcs[1::2]):
             labels.append(c)
-            targets.append(t.number)
+            targets.append(t)
             outputs.append(before)
-            before += t.words
+            before += behind[t]
         starts.append(len(labels))
-    finals = np.array([s.final for s in states], dtype=bool)
+    finals = np.array([key[0] for key in keys], dtype=bool)
     starts = np.array(starts, dtype="<u4")
     starts[:-1][finals] |= FINAL
     lists = np.cumsum([0] + [len(ids) for _, ids in pairs]).astype("<u4")
     flat = np.array([i for _, ids in pairs for i in ids], dtype="<u4")
-    head = MAGIC + struct.pack("<4I", len(states), len(labels), len(pairs), len(flat))
+    head = MAGIC + struct.pack("<4I", len(keys), len(labels), len(pairs), len(flat))
     pad = b"\0" * (-len(labels) % 4)
     return head + starts.tobytes() + np.array(labels, dtype="u1").tobytes() + pad + np.array(targets, dtype="<u4").tobytes() + np.array(outputs, dtype="<u4").tobytes() + lists.tobytes() + flat.tobytes()
 
