@@ -28,6 +28,8 @@ from .shared import new_path, table
 LEXICON_WORDS = 300_000
 #: Chunks in one generation of a worker's memo, and in a partial count.
 MEMO = 250_000
+#: Words of more parts are merged a whole round at a time, which costs less than single steps there.
+LONG = 100
 
 
 def byte_alphabet() -> list[str]:
@@ -80,20 +82,30 @@ class Bpe:
         if not parts:
             return []
         parts[-1] += self.suffix
-        ranks, none = self.ranks, len(self.ranks)
-        while len(parts) > 1:
-            best = min(ranks.get(pair, none) for pair in zip(parts, parts[1:]))
+        rank, none = self.ranks.get, len(self.ranks)
+        costs = [rank(pair, none) for pair in zip(parts, parts[1:])]
+        while len(costs) > LONG:
+            best = min(costs)
             if best == none:
                 break
-            at, out, last = 0, [], len(parts) - 1
+            at, out, last = 0, [], len(costs)
             while at <= last:
-                if at < last and ranks.get((parts[at], parts[at + 1]), none) == best:
+                if at < last and costs[at] == best:
                     out.append(parts[at] + parts[at + 1])
                     at += 2
                 else:
                     out.append(parts[at])
                     at += 1
             parts = out
+            costs = [rank(pair, none) for pair in zip(parts, parts[1:])]
+        while costs and (best := min(costs)) < none:
+            at = costs.index(best)
+            parts[at] += parts.pop(at + 1)
+            del costs[at]
+            if at:
+                costs[at - 1] = rank((parts[at - 1], parts[at]), none)
+            if at < len(costs):
+                costs[at] = rank((parts[at], parts[at + 1]), none)
         return [self.vocab[p] for p in parts]
 
 
@@ -183,18 +195,19 @@ def word_counts(docs: DataFrame, tokenizer: str, text_col: str = "text") -> Data
 def compile_lexicon(docs: DataFrame, tokenizer: str, text_col: str = "text", words: int = LEXICON_WORDS) -> str:
     """Writes the transducer of the most frequent words to the shared folder; returns its URI.
 
-    A histogram of counts (at most 2,048 bars) sets the least count, so that at most ``words`` rows reach the driver and
-    nothing is sorted."""
+    A histogram of counts (at most 2,048 bars) sets the least count, so that about ``words`` rows reach the driver and
+    nothing is sorted; of the bar that does not fit whole, a share by the hash of the word is taken."""
     from .warc import _file_system
 
     counts = table(word_counts(docs, tokenizer, text_col).filter("n > 1").withColumn("bar", F.floor(32 * F.log2("n"))), "word-counts")
-    least, total = 2048, 0
+    least, share, total = 0, 0, 0
     for bar, n in counts.groupBy("bar").count().orderBy(F.desc("bar")).collect():
-        total += n
-        if total > words:
+        if total + n > words:
+            least, share = bar, (words - total) * 10_000 // n
             break
-        least = bar
-    bpe, frequent = Bpe(tokenizer), counts.filter(F.col("bar") >= least).select("word")
+        total += n
+    partly = (F.col("bar") == least) & (F.pmod(F.xxhash64("word"), F.lit(10_000)) < share)
+    bpe, frequent = Bpe(tokenizer), counts.filter((F.col("bar") > least) | partly).select("word")
     data = lexicon.build([(w.encode(), tuple(bpe.merge(w))) for w in frequent.toPandas()["word"]])
     uri = new_path(docs.sparkSession, "lexicon")
     files, base = _file_system(uri)

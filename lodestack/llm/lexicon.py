@@ -17,6 +17,7 @@ import numpy as np
 
 MAGIC = b"LXTRANS1"
 FINAL = 1 << 31
+_BYTES = [bytes([b]) for b in range(256)]
 
 
 class _State:
@@ -108,26 +109,20 @@ class Lexicon:
         self.root, self.n_states, self.n_arcs, self.n_words = states - 1, states, arcs, words
         # memoryviews of the mapped file: an item is a plain int, faster to fetch than a numpy scalar
         self.starts = memoryview(take(states + 1, "<u4"))
-        self.labels = memoryview(take(arcs, "u1"))
-        at += -arcs % 4
+        self.data, self.first_label = data, at  # the labels are searched where they lie
+        at += arcs + -arcs % 4
         self.targets, self.outputs = memoryview(take(arcs, "<u4")), memoryview(take(arcs, "<u4"))
         self.lists, self.ids = memoryview(take(words + 1, "<u4")), memoryview(take(ids, "<u4"))
 
     def rank(self, word: bytes) -> int:
         """Place of the word among the sorted words, -1 if it is none of them."""
         state, rank = self.root, 0
-        starts, labels = self.starts, self.labels
+        starts, find, base = self.starts, self.data.find, self.first_label
         for c in word:
-            low, end = starts[state] & ~FINAL, starts[state + 1] & ~FINAL
-            high = end
-            while low < high:  # arcs are in order of label
-                mid = (low + high) >> 1
-                if labels[mid] < c:
-                    low = mid + 1
-                else:
-                    high = mid
-            if low == end or labels[low] != c:
+            at = find(_BYTES[c], base + (starts[state] & ~FINAL), base + (starts[state + 1] & ~FINAL))
+            if at < 0:
                 return -1
+            low = at - base
             rank += self.outputs[low]
             state = self.targets[low]
         return rank if starts[state] & FINAL else -1
