@@ -14,6 +14,7 @@ Cases: a null or empty text has no ids and decodes to the empty string; texts ar
 
 from __future__ import annotations
 
+import functools
 import hashlib
 import json
 import os
@@ -26,7 +27,7 @@ from . import lexicon
 from .shared import new_path, table
 
 LEXICON_WORDS = 300_000
-#: Chunks in one generation of a worker's memo, and in a partial count.
+#: Chunks or words in one generation of a worker's memos, and chunks in a partial count.
 MEMO = 250_000
 #: Words of more parts are merged a whole round at a time, which costs less than single steps there.
 LONG = 100
@@ -56,13 +57,17 @@ class Bpe:
         model = spec["model"]
         self.vocab = model["vocab"]
         self.suffix = model.get("end_of_word_suffix") or ""
-        self.ranks = {tuple(m if isinstance(m, list) else m.split(" ")): i for i, m in enumerate(model["merges"])}
+        merges = [m if isinstance(m, list) else m.split(" ") for m in model["merges"]]
+        # A pair of ids is one integer: its rank and the id it merges to are found without making strings.
+        self.ranks = {self.vocab[a] << 32 | self.vocab[b]: i for i, (a, b) in enumerate(merges)}
+        self.merged = [self.vocab[a + b] for a, b in merges]
         self.special = {t["content"]: t["id"] for t in spec["added_tokens"] if t["special"]}
         self.names = {i: t for t, i in self.vocab.items()} | {i: t for t, i in self.special.items()}
         pattern = spec["pre_tokenizer"]["pretokenizers"][0]["pattern"]["Regex"]
         self.find = regex.compile(pattern).findall
         self.split_special = regex.compile("(" + "|".join(map(regex.escape, sorted(self.special, key=len, reverse=True))) + ")").split if self.special else None
-        self.alphabet = byte_alphabet()
+        alphabet = byte_alphabet()
+        self.inner, self.last = [self.vocab[c] for c in alphabet], [self.vocab[c + self.suffix] for c in alphabet]
         self.spaces = regex.compile(r"\p{White_Space}+").split
         self.separators = regex.compile("[\x1c-\x1f]").search
 
@@ -76,14 +81,15 @@ class Bpe:
         text = self.normal(text)
         return [c for c in self.spaces(text) if c] if self.separators(text) else text.split()
 
-    def merge(self, word: str) -> list[int]:
-        """Ids of one word by merging the pair of lowest rank, leftmost first, until none is left."""
-        parts = [self.alphabet[b] for b in word.encode()]
+    def merge(self, word: bytes) -> list[int]:
+        """Ids of one word in UTF-8 by merging the pair of lowest rank, leftmost first, until none is left."""
+        inner, merged = self.inner, self.merged
+        parts = [inner[b] for b in word]
         if not parts:
             return []
-        parts[-1] += self.suffix
+        parts[-1] = self.last[word[-1]]
         rank, none = self.ranks.get, len(self.ranks)
-        costs = [rank(pair, none) for pair in zip(parts, parts[1:])]
+        costs = [rank(a << 32 | b, none) for a, b in zip(parts, parts[1:])]
         while len(costs) > LONG:
             best = min(costs)
             if best == none:
@@ -91,64 +97,72 @@ class Bpe:
             at, out, last = 0, [], len(costs)
             while at <= last:
                 if at < last and costs[at] == best:
-                    out.append(parts[at] + parts[at + 1])
+                    out.append(merged[best])
                     at += 2
                 else:
                     out.append(parts[at])
                     at += 1
             parts = out
-            costs = [rank(pair, none) for pair in zip(parts, parts[1:])]
+            costs = [rank(a << 32 | b, none) for a, b in zip(parts, parts[1:])]
         while costs and (best := min(costs)) < none:
             at = costs.index(best)
-            parts[at] += parts.pop(at + 1)
-            del costs[at]
+            parts[at] = merged[best]
+            del parts[at + 1], costs[at]
             if at:
-                costs[at - 1] = rank((parts[at - 1], parts[at]), none)
+                costs[at - 1] = rank(parts[at - 1] << 32 | parts[at], none)
             if at < len(costs):
-                costs[at] = rank((parts[at], parts[at + 1]), none)
-        return [self.vocab[p] for p in parts]
+                costs[at] = rank(parts[at] << 32 | parts[at + 1], none)
+        return parts
 
 
-class Encoder:
-    """Chunk by chunk: a chunk is what stands between white space, and no token spans white space.
+class Memo(dict):
+    """Chunk or word -> (decimal ids, decoded text), made when first asked for.
+
+    Two generations: when the young one is full it becomes the old one, and keys met again move back, so frequent
+    ones stay and memory is bounded by two generations and one text."""
+
+    def __init__(self, encode):
+        super().__init__()
+        self.encode, self.old = encode, {}
 
-    Results are kept by chunk in two generations: when the young one is full it becomes the old one, and chunks met
-    again move back, so frequent chunks stay and memory is bounded by two generations and one text."""
+    def __missing__(self, chunk: str) -> tuple[str, str]:
+        found = self.old.get(chunk)
+        if found is None:
+            found = self.encode(chunk)
+        self[chunk] = found
+        return found
+
+    def age(self) -> None:
+        if len(self) > MEMO:
+            self.old = dict(self)
+            self.clear()
+
+
+class Encoder:
+    """Chunk by chunk: a chunk is what stands between white space, and no token spans white space."""
 
     def __init__(self, bpe: Bpe, words: lexicon.Lexicon | None):
         self.bpe, self.words = bpe, words
-        self.ids: dict[str, str] = {}
-        self.decoded: dict[str, str] = {}
-        self.old_ids: dict[str, str] = {}
-        self.old_decoded: dict[str, str] = {}
-
-    def word(self, word: str) -> list[int]:
-        ids = self.words.get(word.encode()) if self.words is not None else None
-        return self.bpe.merge(word) if ids is None else ids
-
-    def learn(self, chunk: str) -> None:
-        if chunk in self.old_ids:
-            self.ids[chunk], self.decoded[chunk] = self.old_ids[chunk], self.old_decoded[chunk]
-            return
-        ids = [i for w in self.bpe.find(chunk) for i in self.word(w)]
-        self.ids[chunk] = " ".join(map(str, ids))
-        self.decoded[chunk] = " ".join(map(self.bpe.names.__getitem__, ids))
+        self.memo, self.word_memo = Memo(self.chunk), Memo(self.word)
+
+    def word(self, word: str) -> tuple[str, str]:
+        word = word.encode()
+        ids = self.words.get(word) if self.words is not None else None
+        if ids is None:
+            ids = self.bpe.merge(word)
+        return " ".join(map(str, ids)), " ".join(map(self.bpe.names.__getitem__, ids))
+
+    def chunk(self, chunk: str) -> tuple[str, str]:
+        """Every chunk has at least one word, and every word at least one id."""
+        pairs = [self.word_memo[w] for w in self.bpe.find(chunk)]
+        return pairs[0] if len(pairs) == 1 else (" ".join([ids for ids, _ in pairs]), " ".join([decoded for _, decoded in pairs]))
 
     def segment(self, text: str) -> tuple[str, str]:
-        """Decimal ids and decoded text. Every chunk has at least one id."""
-        chunks = self.bpe.chunks(text)
-        try:
-            ids = " ".join(map(self.ids.__getitem__, chunks))
-        except KeyError:
-            if len(self.ids) > MEMO:
-                self.old_ids, self.old_decoded = self.ids, self.decoded
-                self.ids, self.decoded = {}, {}
-            known = self.ids
-            for chunk in chunks:
-                if chunk not in known:
-                    self.learn(chunk)
-            ids = " ".join(map(known.__getitem__, chunks))
-        return ids, " ".join(map(self.decoded.__getitem__, chunks))
+        """Decimal ids and decoded text."""
+        self.memo.age()
+        self.word_memo.age()
+        pairs = list(map(self.memo.__getitem__, self.bpe.chunks(text)))
+        return " ".join([ids for ids, _ in pairs]), " ".join([decoded for _, decoded in pairs])
 
     def encode(self, text: str) -> tuple[int, str, str]:
         """Number of ids, ids in decimal joined by one space, decoded text."""
@@ -162,6 +176,12 @@ class Encoder:
         return (ids.count(" ") + 1 if ids else 0), ids, decoded
 
 
+@functools.lru_cache(maxsize=1)
+def worker_encoder(tokenizer: str, lexicon_uri: str | None) -> Encoder:
+    """The encoder of a Python worker, with its memo: tasks that run in one worker share it."""
+    return Encoder(Bpe(tokenizer), open_lexicon(lexicon_uri) if lexicon_uri else None)
+
+
 def word_counts(docs: DataFrame, tokenizer: str, text_col: str = "text") -> DataFrame:
     """word, n over all documents, as the tokenizer splits them."""
 
@@ -208,7 +228,7 @@ def compile_lexicon(docs: DataFrame, tokenizer: str, text_col: str = "text", wor
         total += n
     partly = (F.col("bar") == least) & (F.pmod(F.xxhash64("word"), F.lit(10_000)) < share)
     bpe, frequent = Bpe(tokenizer), counts.filter((F.col("bar") > least) | partly).select("word")
-    data = lexicon.build([(w.encode(), tuple(bpe.merge(w))) for w in frequent.toPandas()["word"]])
+    data = lexicon.build([(w, tuple(bpe.merge(w))) for w in map(str.encode, frequent.toPandas()["word"])])
     uri = new_path(docs.sparkSession, "lexicon")
     files, base = _file_system(uri)
     files.create_dir(os.path.dirname(base), recursive=True)
@@ -242,7 +262,7 @@ def digests(docs: DataFrame, tokenizer: str, lexicon_uri: str | None, id_col: st
     def run(batches):
         import pyarrow as pa
 
-        encoder = Encoder(Bpe(tokenizer), open_lexicon(lexicon_uri) if lexicon_uri else None)
+        encoder = worker_encoder(tokenizer, lexicon_uri)
         for batch in batches:
             n, ids, decoded = [], [], []
             for text in batch.column(1).to_pylist():
@@ -260,7 +280,7 @@ def encode(docs: DataFrame, tokenizer: str, lexicon_uri: str | None, text_col: s
     """docs with a column of token ids."""
 
     def run(series):
-        encoder = Encoder(Bpe(tokenizer), open_lexicon(lexicon_uri) if lexicon_uri else None)
+        encoder = worker_encoder(tokenizer, lexicon_uri)
         for texts in series:
             yield texts.map(lambda t: [int(i) for i in encoder.encode(t)[1].split()])
 
