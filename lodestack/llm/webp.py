@@ -1,10 +1,13 @@
-"""Lossless WebP (VP8L) codec in numpy: a complete decoder and a small encoder.
+"""Lossless WebP (VP8L) codec in numpy: a complete decoder and an encoder that fits its stream to the pixels.
 
 The decoder reads the RIFF container and the VP8L bit stream: simple and normal prefix codes, meta prefix
 images, length/distance back-references with the two-dimensional distance codes, the colour cache, and the
 inverse of the four transforms (predictor, cross-colour, subtract-green, palette with pixel bundling).
-Images whose five codes are plain 8-bit codes (what ``encode_bytes`` writes) decode with whole-array
-operations instead of symbol by symbol; the bit stream decides, not the caller.
+Every stream is parsed in full. Images whose codes turn out to be plain 8-bit codes decode with whole-array
+operations instead of symbol by symbol.
+
+``encode_bytes`` chooses per image, by estimated size, a transform or none and a colour cache or none, and writes
+back-references and Huffman codes; pixels that no code shortens get plain 8-bit codes.
 
 Pixels are arrays (height, width, 4) of uint8 in the order R, G, B, A.
 """
@@ -12,6 +15,7 @@ Pixels are arrays (height, width, 4) of uint8 in the order R, G, B, A.
 from __future__ import annotations
 
 import struct
+from itertools import groupby
 
 import numpy as np
 
@@ -67,36 +71,38 @@ class Code:
         self.lengths = lengths
         self.only = int(used[0]) if len(used) == 1 else None
         self.flat = len(lengths) >= 256 and bool((lengths[:256] == 8).all()) and not lengths[256:].any()
-        self.table = None
+        self.table = self.mask = None
         if len(used) == 0:
             raise ValueError("a prefix code without symbols")
         if self.only is None and (2.0 ** -lengths[used].astype(float)).sum() != 1.0:
             raise ValueError("an incomplete prefix code")
 
-    def _build(self):
-        table = np.zeros((1 << 15, 2), dtype=np.int32)
-        code, used = 0, np.flatnonzero(self.lengths)
-        order = used[np.lexsort((used, self.lengths[used]))]
-        last = int(self.lengths[order[0]])
-        for symbol in order.tolist():
-            size = int(self.lengths[symbol])
+    def entries(self, shift: int) -> tuple[list[int], int]:
+        """Table from the next bits to symbol << shift + 6 | length, and the mask of the bits that it takes."""
+        if self.only is not None:
+            return [self.only << shift + 6], 0
+        sizes = self.lengths.tolist()
+        used = sorted((n, i) for i, n in enumerate(sizes) if n)
+        deepest = used[-1][0]
+        table, code, last = [0] * (1 << deepest), 0, used[0][0]
+        for size, symbol in used:
             code <<= size - last
             last = size
-            low = int(f"{code:0{size}b}"[::-1], 2)
-            table[low :: 1 << size] = (symbol, size)
+            low = (REVERSED[code & 255] << 8 | REVERSED[code >> 8]) >> 16 - size
+            table[low :: 1 << size] = [symbol << shift + 6 | size] * (1 << deepest - size)
             code += 1
-        self.table = table.tolist()
+        return table, (1 << deepest) - 1
 
     def next(self, bits: Bits) -> int:
         if self.only is not None:
             return self.only
         if self.table is None:
-            self._build()
-        symbol, size = self.table[bits.peek15()]
-        bits.pos += size
+            self.table, self.mask = self.entries(0)
+        found = self.table[bits.peek15() & self.mask]
+        bits.pos += found & 63
         if bits.pos > bits.end:
             raise ValueError("the bit stream ends early")
-        return symbol
+        return found >> 6
 
 
 def _read_code(bits: Bits, alphabet: int) -> Code:
@@ -181,29 +187,40 @@ def _symbols(bits, codes, meta, side, cache_bits, width, total) -> np.ndarray:
     out = [0] * total
     cache = [0] * (1 << cache_bits) if cache_bits else None
     shift = 32 - cache_bits
+    # Symbols stand where the pixel has them, above six bits for the lengths, so that one sum holds a pixel and its bits.
+    tables = [[x for code, at in zip(group, (8, 16, 0, 24)) for x in code.entries(at)] for group in codes]
+    green, green_mask, red, red_mask, blue, blue_mask, alpha, alpha_mask = tables[0]
+    distances = codes[0][4]
+    data, pos, at, literal = bits.data, bits.pos, 0, 256 << 14
 
-    def remember(pixel):
-        cache[((CACHE_MULTIPLIER * pixel) & 0xFFFFFFFF) >> shift] = pixel
-
-    at = 0
     while at < total:
-        if meta is None:
-            green, red, blue, alpha, distance = codes[0]
-        else:
-            green, red, blue, alpha, distance = codes[meta[(at // width) >> side, (at % width) >> side]]
-        s = green.next(bits)
-        if s < 256:
-            r = red.next(bits)
-            b = blue.next(bits)
-            a = alpha.next(bits)
-            pixel = a << 24 | r << 16 | s << 8 | b
+        if meta is not None:
+            group = meta[at // width >> side, at % width >> side]
+            green, green_mask, red, red_mask, blue, blue_mask, alpha, alpha_mask = tables[group]
+            distances = codes[group][4]
+        byte = pos >> 3
+        window = int.from_bytes(data[byte : byte + 9], "little") >> (pos & 7)
+        g = green[window & green_mask]
+        if g < literal:
+            window >>= g & 63
+            r = red[window & red_mask]
+            window >>= r & 63
+            b = blue[window & blue_mask]
+            g += r + b + alpha[(window >> (b & 63)) & alpha_mask]
+            pos += g & 63
+            pixel = g >> 6
             out[at] = pixel
             if cache is not None:
-                remember(pixel)
+                cache[((CACHE_MULTIPLIER * pixel) & 0xFFFFFFFF) >> shift] = pixel
             at += 1
-        elif s < 280:
+            continue
+        pos += g & 63
+        s = g >> 14
+        if s < 280:
+            bits.pos = pos
             length = _prefixed(bits, s - 256)
-            code = _prefixed(bits, distance.next(bits))
+            code = _prefixed(bits, distances.next(bits))
+            pos = bits.pos
             if code > 120:
                 back = code - 120
             else:
@@ -212,15 +229,18 @@ def _symbols(bits, codes, meta, side, cache_bits, width, total) -> np.ndarray:
             if back > at or at + length > total:
                 raise ValueError("a back-reference leaves the image")
             for k in range(at, at + length):
-                out[k] = out[k - back]
+                pixel = out[k] = out[k - back]
                 if cache is not None:
-                    remember(out[k])
+                    cache[((CACHE_MULTIPLIER * pixel) & 0xFFFFFFFF) >> shift] = pixel
             at += length
         else:
             pixel = cache[s - 280]
             out[at] = pixel
-            remember(pixel)
+            cache[((CACHE_MULTIPLIER * pixel) & 0xFFFFFFFF) >> shift] = pixel
             at += 1
+    if pos > bits.end:
+        raise ValueError("the bit stream ends early")
+    bits.pos = pos
     return np.array(out, dtype=np.uint32)
 
 
@@ -230,8 +250,8 @@ def _average(a, b):
 
 
 def _select(left, top, corner):
-    to_left, to_top = np.abs(top - corner).sum(), np.abs(left - corner).sum()
-    return left if to_left < to_top else top
+    to_left, to_top = np.abs(top - corner).sum(-1, keepdims=True), np.abs(left - corner).sum(-1, keepdims=True)
+    return np.where(to_left < to_top, left, top)
 
 
 def _clamp(x):
@@ -307,7 +327,7 @@ def uncross(image: np.ndarray, data: np.ndarray, side: int, forward: bool = Fals
     """Cross-colour transform: data holds per block red_to_blue, green_to_blue, green_to_red in R, G, B."""
     height, width, _ = image.shape
     out = image.astype(np.int64).copy()
-    block = np.repeat(np.repeat(data, 1 << side, 0)[:height], 1 << side, 1)[:, :width].astype(np.int64)
+    block = data[(np.arange(height) >> side)[:, None], np.arange(width) >> side].astype(np.int64)
     red_blue, green_blue, green_red = (_signed(block[..., k]) for k in (1, 2, 3))
     green = _signed(out[..., 2])
     sign = -1 if forward else 1
@@ -327,10 +347,6 @@ def decode_vp8l(data: bytes) -> np.ndarray:
         raise ValueError("no VP8L signature")
     bits = Bits(data[1:])
     width, height = bits.read(14) + 1, bits.read(14) + 1
-    if bits.end - bits.pos > PLAIN_HEAD[1] and bits.peek(PLAIN_HEAD[1]) == PLAIN_HEAD[0]:
-        # These bits say: alpha, version 0, no transform, no cache, one group of 8-bit codes. Parsing them again would cost more than the pixels.
-        bits.pos += PLAIN_HEAD[1]
-        return _plain(bits, width * height).astype("<u4").view(np.uint8).reshape(height, width, 4)[..., [2, 1, 0, 3]]
     bits.read(1)  # alpha is used: a hint only
     if bits.read(3):
         raise ValueError("unknown version")
@@ -401,34 +417,32 @@ class Writer:
 
 def _runs(lengths: list[int]) -> list[tuple[int, int, int]]:
     """The code lengths as (symbol, extra value, extra bits): 16 repeats the last non-zero length, 17 and 18 zeros."""
-    out, at, before = [], 0, 8
-    while at < len(lengths):
-        run = 1
-        while at + run < len(lengths) and lengths[at + run] == lengths[at]:
-            run += 1
-        if lengths[at] == 0 and run >= 3:
-            run = min(run, 138)
-            out.append((18, run - 11, 7) if run >= 11 else (17, run - 3, 3))
-        elif lengths[at] and lengths[at] == before and run >= 3:
-            run = min(run, 6)
-            out.append((16, run - 3, 2))
-        else:
-            before, run = lengths[at] or before, 1
-            out.append((lengths[at], 0, 0))
-        at += run
+    out, before = [], 8
+    for size, same in groupby(lengths):
+        run = len(list(same))
+        if size and size != before:
+            out.append((size, 0, 0))
+            before, run = size, run - 1
+        while run:
+            if run < 3:
+                out += [(size, 0, 0)] * run
+                break
+            took = min(run, 6 if size else 138)
+            out.append((16, took - 3, 2) if size else (18, took - 11, 7) if took >= 11 else (17, took - 3, 3))
+            run -= took
     return out
 
 
 def _canonical(lengths) -> dict[int, tuple[int, int]]:
     """symbol -> (bits as written, count)."""
-    used = [i for i, n in enumerate(lengths) if n]
+    used = sorted((n, i) for i, n in enumerate(lengths) if n)
     if len(used) == 1:
-        return {used[0]: (0, 0)}
+        return {used[0][1]: (0, 0)}
     found, value, last = {}, 0, 0
-    for symbol in sorted(used, key=lambda s: (lengths[s], s)):
-        value <<= lengths[symbol] - last
-        last = lengths[symbol]
-        found[symbol] = (int(f"{value:0{last}b}"[::-1], 2), last)
+    for size, symbol in used:
+        value <<= size - last
+        last = size
+        found[symbol] = ((REVERSED[value & 255] << 8 | REVERSED[value >> 8]) >> 16 - size, size)
         value += 1
     return found
 
@@ -437,25 +451,26 @@ def put_code(out: Writer, lengths: list[int]) -> dict[int, tuple[int, int]]:
     """Writes a prefix code and returns symbol -> (bits as written, count)."""
     used = [i for i, n in enumerate(lengths) if n]
     if len(used) == 1 and used[0] < 256:
-        out.put(0b101, 3)
-        out.put(used[0], 8)
+        out.put(0b101 | used[0] << 3, 11)
         return {used[0]: (0, 0)}
     runs = _runs(lengths)
-    kinds = sorted({r[0] for r in runs})
+    kinds = {r[0] for r in runs}
     depth = max(0, (len(kinds) - 1).bit_length())
     # A fixed-width code for the kinds of runs, filled up with unused kinds so that it is complete.
     fill = [k for k in range(19) if k not in kinds][: (1 << depth) - len(kinds)]
     of_lengths = [max(1, depth) if k in kinds or k in fill else 0 for k in range(19)]
     count = max(4, 1 + max(i for i, k in enumerate(CODE_LENGTH_ORDER) if of_lengths[k]))
-    out.put(0, 1)
-    out.put(count - 4, 4)
+    value, size = count - 4 << 1, 5
     for k in CODE_LENGTH_ORDER[:count]:
-        out.put(of_lengths[k], 3)
-    out.put(0, 1)
+        value |= of_lengths[k] << size
+        size += 3
+    size += 1
     code = _canonical(of_lengths)
-    for kind, extra, size in runs:
-        out.put(*code[kind])
-        out.put(extra, size)
+    for kind, extra, n in runs:
+        bits, m = code[kind]
+        value |= (bits | extra << m) << size
+        size += m + n
+    out.put(value, size)
     return _canonical(lengths)
 
 
@@ -481,25 +496,253 @@ def _plain_head() -> tuple[int, int]:
 PLAIN_HEAD = _plain_head()
 ROW = 64
 TILE = ROW * MAX_SIDE
+#: The writer's longest code; the format has 15, but a reader's table doubles with each bit.
+DEEPEST = 11
+SHORTEST_COPY, LONGEST_COPY = 3, 4096
+#: Predictors that the writer tries, each for the whole image.
+TRIED = (1, 2, 7, 11, 12)
+
+
+def code_lengths(counts: np.ndarray) -> list[int]:
+    """Huffman code lengths of at most DEEPEST bits; counts are halved until the tree is flat enough."""
+    lengths = [0] * len(counts)
+    used = np.flatnonzero(counts)
+    if len(used) < 2:
+        lengths[int(used[0]) if len(used) else 0] = 1
+        return lengths
+    n, weights = len(used), counts[used]
+    while True:
+        order = np.argsort(weights, kind="stable")
+        w = weights[order].tolist()
+        parent, leaf, inner = [0] * (2 * n - 1), 0, n
+        for node in range(n, 2 * n - 1):
+            total = 0
+            for _ in range(2):
+                if leaf < n and (inner >= node or w[leaf] <= w[inner]):
+                    pick, leaf = leaf, leaf + 1
+                else:
+                    pick, inner = inner, inner + 1
+                parent[pick] = node
+                total += w[pick]
+            w.append(total)
+        depth = [0] * (2 * n - 1)
+        for node in range(2 * n - 3, -1, -1):
+            depth[node] = depth[parent[node]] + 1
+        if depth[0] <= DEEPEST:
+            break
+        weights = (weights + 1) >> 1
+    for symbol, size in zip(used[order].tolist(), depth):
+        lengths[symbol] = size
+    return lengths
+
+
+def _prefixes(values: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(symbols, extra values, extra bits) of lengths or distances."""
+    v = values - 1
+    top = np.frexp(np.maximum(v, 1).astype(float))[1].astype(np.int64) - 1
+    extra = np.maximum(top - 1, 0)
+    few = v < 4
+    return np.where(few, v, 2 * top + ((v >> extra) & 1)), np.where(few, 0, v & ((1 << extra) - 1)), np.where(few, 0, extra)
+
+
+def _size(counts: np.ndarray) -> float:
+    """Bits that codes for these counts take, about, the codes themselves included. A row of counts is a code."""
+    totals = counts.sum(-1)
+    return float((totals * np.log2(np.maximum(totals, 1))).sum() - (counts * np.log2(np.maximum(counts, 1))).sum() + 4 * np.count_nonzero(counts))
+
+
+def _channels(image: np.ndarray) -> np.ndarray:
+    flat = image.reshape(-1, 4) + np.arange(0, 1024, 256)
+    return np.bincount(flat.ravel(), minlength=1024).reshape(4, 256)
+
+
+def _copies(pixels: np.ndarray) -> list[tuple[int, int, int]]:
+    """(start, length, distance), greedily: three pixels or more that the latest like place before also has."""
+    n = len(pixels) - SHORTEST_COPY + 1
+    if n < 2:
+        return []
+    p = pixels.astype(np.uint64)
+    key = p[:n] * np.uint64(0x9E3779B97F4A7C15) + p[1 : n + 1] * np.uint64(0xC2B2AE3D27D4EB4F) + p[2 : n + 2] * np.uint64(0x165667B19E3779F9)
+    order = np.argsort(key, kind="stable")
+    same = key[order[1:]] == key[order[:-1]]
+    places, before = order[1:][same], order[:-1][same]
+    found, at = [], 0
+    by_place = np.argsort(places)
+    for i, j in zip(places[by_place].tolist(), before[by_place].tolist()):
+        if i < at:
+            continue
+        part = pixels[i : i + LONGEST_COPY]
+        other = part != pixels[j : j + len(part)]
+        length = int(other.argmax()) if other.any() else len(part)
+        if length >= SHORTEST_COPY:
+            found.append((i, length, i - j))
+            at = i + length
+    return found
+
+
+def _near(width: int, known: dict = {}) -> dict[int, int]:  # noqa: B006 - filled once a width
+    if width not in known:
+        known[width] = {}
+        for code, (x, y) in enumerate(DISTANCE_MAP, 1):
+            known[width].setdefault(max(1, x + y * width), code)
+    return known[width]
+
+
+def put_pixels(out: Writer, pixels: np.ndarray, width: int, top: bool) -> None:
+    """Writes flat ARGB pixels (uint32) as an entropy-coded image with one group of codes."""
+    copies = _copies(pixels)
+    near = _near(width)
+    start, length, back = (np.array(x, dtype=np.int64) for x in (zip(*copies) if copies else ((), (), ())))
+    distance = np.array([near.get(d, d + 120) for d in back.tolist()], dtype=np.int64)
+    copied = np.zeros(len(pixels) + 1, dtype=np.int64)
+    copied[start] += 1
+    copied[start + length] -= 1
+    alone = np.flatnonzero(np.cumsum(copied)[:-1] == 0)
+    samples = np.stack([(pixels[alone] >> k).astype(np.int64) & 255 for k in (8, 16, 0, 24)])
+    (length_symbol, length_extra, length_bits), (symbol, extra, extra_bits) = _prefixes(length), _prefixes(distance)
+
+    def counted(bits):
+        """Size, counts, and of the pixels alone whether the cache has them, and at which key."""
+        hit, key = np.zeros(len(alone), dtype=bool), np.zeros(len(pixels), dtype=np.int64)
+        if bits:
+            key = ((pixels.astype(np.uint64) * np.uint64(CACHE_MULTIPLIER) & np.uint64(0xFFFFFFFF)) >> np.uint64(32 - bits)).astype(np.int64)
+            order = np.argsort(key, kind="stable")
+            held = np.zeros(len(pixels), dtype=pixels.dtype)  # an unused place holds 0
+            held[order[1:]] = np.where(key[order[1:]] == key[order[:-1]], pixels[order[:-1]], 0)
+            hit = (held == pixels)[alone]
+        key = key[alone]
+        green = np.bincount(samples[0][~hit], minlength=280 + (1 << bits if bits else 0))
+        np.add.at(green, 256 + length_symbol, 1)
+        np.add.at(green, 280 + key[hit], 1)
+        others = np.stack([np.bincount(x[~hit], minlength=256) for x in samples[1:]])
+        return _size(green) + _size(others), green, others, hit, key
+
+    best, bits = counted(0), 0
+    tried = min(10, max(1, (len(np.unique(pixels)) - 1).bit_length()))
+    if len(alone) > 1 and (other := counted(tried))[0] < best[0]:
+        best, bits = other, tried
+    _, green, others, hit, key = best
+    out.put(1 if bits else 0, 1)
+    if bits:
+        out.put(bits, 4)
+    if top:
+        out.put(0, 1)
+    lookup = []
+    for counts in (green, *others, np.bincount(symbol, minlength=40)):
+        code = put_code(out, code_lengths(counts))
+        table = np.zeros((len(counts), 2), dtype=np.int64)
+        table[list(code)] = list(code.values())
+        lookup.append(table)
+    # Row per token: up to four fields of (bits as written, count).
+    fields = np.zeros((len(alone) + len(start), 4, 2), dtype=np.int64)
+    singles = fields[: len(alone)]
+    singles[:, 0] = lookup[0][np.where(hit, 280 + key, samples[0]) if bits else samples[0]]
+    for k in (1, 2, 3):
+        singles[~hit, k] = lookup[k][samples[k][~hit]]
+    pairs = fields[len(alone) :]
+    pairs[:, 0], pairs[:, 2] = lookup[0][256 + length_symbol], lookup[4][symbol]
+    pairs[:, 1, 0], pairs[:, 1, 1], pairs[:, 3, 0], pairs[:, 3, 1] = length_extra, length_bits, extra, extra_bits
+    if len(start):
+        fields = fields[np.argsort(np.concatenate((alone, start)), kind="stable")]
+    values, counts = fields[..., 0].ravel(), fields[..., 1].ravel()
+    ends = np.cumsum(counts)
+    total = int(ends[-1])
+    if total:
+        place = np.arange(total) - np.repeat(ends - counts, counts)
+        packed = np.packbits(((np.repeat(values, counts) >> place) & 1).astype(np.uint8), bitorder="little")
+        out.put(int.from_bytes(packed.tobytes(), "little"), total)
+
+
+def _joined(image: np.ndarray) -> np.ndarray:
+    """Flat uint32 ARGB of an int array in the order A, R, G, B."""
+    return np.ascontiguousarray(image[..., ::-1].astype(np.uint8)).view("<u4").ravel()
+
+
+def _residuals(image: np.ndarray, mode: int) -> np.ndarray:
+    """What unpredict undoes when every block has this mode; whole arrays, since the encoder knows all pixels."""
+    height, width, _ = image.shape
+    out = image.copy()
+    out[0, 0] -= (255, 0, 0, 0)
+    out[0, 1:] -= image[0, :-1]
+    out[1:, 0] -= image[:-1, 0]
+    if height > 1 and width > 1:
+        right = np.concatenate((image[:-1, 2:], image[1:, :1]), 1)
+        out[1:, 1:] -= predict(mode, image[1:, :-1], image[:-1, 1:], right, image[:-1, :-1])
+    return out & 255
+
+
+def _slope(x: np.ndarray, y: np.ndarray) -> int:
+    """Least-squares slope of y on x in 32nds, as the cross-colour transform has them."""
+    x, y = x - x.mean(), y - y.mean()
+    square = float((x * x).sum())
+    return int(np.clip(round(32 * float((x * y).sum()) / square), -128, 127)) if square else 0
+
+
+def _forms(image: np.ndarray):
+    """(estimated bits, transform or None, its data, pixels to code) for every form that the writer tries."""
+    yield _size(_channels(image)), None, None, image
+    green = image.copy()
+    green[..., [1, 3]] = (green[..., [1, 3]] - image[..., 2:3]) & 255
+    yield _size(_channels(green)) + 3, 2, None, green
+    for mode in TRIED:
+        rest = _residuals(image, mode)
+        yield _size(_channels(rest)) + 64, 0, (0, 0, mode, 0), rest
+    signed = _signed(image)
+    steps = (0, _slope(signed[..., 1], signed[..., 3]), _slope(signed[..., 2], signed[..., 3]), _slope(signed[..., 2], signed[..., 1]))
+    if any(steps):
+        steps = tuple(x & 255 for x in steps)
+        crossed = uncross(image, np.array(steps).reshape(1, 1, 4), 14, forward=True)
+        yield _size(_channels(crossed)) + 64, 1, steps, crossed
+    colours, index = np.unique(_joined(image), return_inverse=True)
+    if len(colours) <= 256:
+        height, width, _ = image.shape
+        bundle = 3 if len(colours) <= 2 else 2 if len(colours) <= 4 else 1 if len(colours) <= 16 else 0
+        per, bits = 1 << bundle, 8 >> bundle
+        index = np.pad(index.reshape(height, width), ((0, 0), (0, -width % per)))
+        packed = np.zeros((height, index.shape[1] // per, 4), dtype=np.int64)
+        packed[..., 0] = 255
+        for k in range(per):
+            packed[..., 2] |= index[:, k::per] << k * bits
+        palette = np.diff(_split(colours, len(colours), 1)[0], axis=0, prepend=0) & 255
+        yield _size(_channels(packed)) + _size(_channels(palette)) + 64, 3, palette, packed
+
+
+def encode_image(part: bytes) -> bytes:
+    """VP8L stream of up to TILE bytes as an image 16 pixels wide."""
+    width, height = ROW // 4, len(part) // ROW
+    image = np.frombuffer(part, dtype=np.uint8).reshape(height, width, 4)[..., [3, 1, 0, 2]].astype(np.int64)
+    _, kind, data, coded = min(_forms(image), key=lambda x: x[0])
+    out = Writer()
+    out.put(width - 1 | height - 1 << 14, 28)
+    out.put(1, 1)
+    out.put(0, 3)
+    if kind is not None:
+        out.put(1 | kind << 1, 3)
+        if kind == 3:
+            out.put(len(data) - 1, 8)
+            put_pixels(out, _joined(data), len(data), False)
+        elif kind != 2:
+            out.put(7, 3)  # blocks of 512 pixels
+            put_pixels(out, np.repeat(_joined(np.array(data)), -(-height >> 9)), 1, False)
+    out.put(0, 1)
+    put_pixels(out, _joined(coded), coded.shape[1], True)
+    plain, size = PLAIN_HEAD
+    if out.size <= 28 + size + 8 * len(part):
+        return b"\x2f" + out.bytes()
+    head = (width - 1) | (height - 1) << 14 | plain << 28
+    whole, shift = divmod(size + 28, 8)
+    first = (head & ((1 << 8 * whole) - 1)).to_bytes(whole, "little")
+    rest = head >> 8 * whole | int.from_bytes(part.translate(REVERSED), "little") << shift
+    return b"\x2f" + first + rest.to_bytes(len(part) + (shift > 0), "little")
 
 
 def encode_bytes(payload: bytes) -> bytes:
     """A payload of a positive multiple of 64 bytes as one or more images 16 pixels wide, one after the other.
 
-    Four bytes make a pixel: the stream holds samples in the order G, R, B, A, as the payload's bytes come."""
+    Four bytes make a pixel: its samples in the order G, R, B, A, as the payload's bytes come."""
     if not payload or len(payload) % ROW:
         raise ValueError("the payload must be a positive multiple of 64 bytes")
-    parts = []
-    for at in range(0, len(payload), TILE):
-        part = payload[at : at + TILE]
-        head, size = PLAIN_HEAD
-        head = (ROW // 4 - 1) | (len(part) // ROW - 1) << 14 | head << 28
-        size += 28
-        whole, shift = divmod(size, 8)
-        first = (head & ((1 << 8 * whole) - 1)).to_bytes(whole, "little")
-        rest = head >> 8 * whole | int.from_bytes(part.translate(REVERSED), "little") << shift
-        parts.append(riff(b"\x2f" + first + rest.to_bytes(len(part) + (shift > 0), "little")))
-    return b"".join(parts)
+    return b"".join(riff(encode_image(payload[at : at + TILE])) for at in range(0, len(payload), TILE))
 
 
 def decode_bytes(media: bytes) -> tuple[bytes, list[np.ndarray]]:

@@ -260,3 +260,36 @@ def test_damaged_files_raise():
     for bad in (b"", media[:30], b"RIFX" + media[4:]):
         with pytest.raises(ValueError):
             webp.decode(bad)
+
+
+def test_rows_go_through_the_full_decoder(monkeypatch):
+    """Text gets prefix codes, copies, a cache or a palette, and comes back by symbols; only noise keeps 8-bit codes."""
+    calls, inner, plain = [], webp._symbols, []
+    monkeypatch.setattr(webp, "_symbols", lambda *a: calls.append(a) or inner(*a))
+    flat_form = webp._plain
+    monkeypatch.setattr(webp, "_plain", lambda *a: plain.append(a) or flat_form(*a))
+    rng = np.random.default_rng(4)
+    words = [bytes(rng.integers(97, 123, int(n), dtype=np.uint8)) for n in rng.integers(2, 9, 80)]
+    text = b" ".join(words[i] for i in rng.integers(0, 80, 3000))[:12800]
+    for payload in (text, text[:640] * 7, b"ab" * 320, bytes(range(64)) * 500, b"x" * 64 * 40000):
+        media = webp.encode_bytes(payload)
+        assert webp.decode_bytes(media)[0] == payload and len(media) < len(payload)
+    assert len(calls) > 5 and not plain
+
+
+def test_writer_uses_transforms():
+    rng = np.random.default_rng(6)
+    ramp = (np.arange(16)[None, :, None] * np.array([3, 5, 7, 11]) + np.arange(400)[:, None, None] * 13 + rng.integers(0, 2, (400, 16, 4))) & 255
+    green = rng.integers(0, 256, (400, 16, 1)) + np.array([0, 7, 9, 0])
+    green[..., 3] = 200
+    crossed = rng.integers(0, 128, (400, 16, 4)) & np.array([127, 0, 0, 0])
+    crossed[..., 1], crossed[..., 2], crossed[..., 3] = crossed[..., 0] // 2, 60, 5
+    few = rng.integers(0, 256, (5, 4))[rng.integers(0, 5, (400, 16))]
+    kinds = set()
+    for samples in (ramp, green, crossed, few):
+        payload = (samples & 255).astype(np.uint8).tobytes()
+        media = webp.encode_bytes(payload)
+        bits = int.from_bytes(media[21:29], "little") >> 32
+        kinds.add((bits >> 1) & 3 if bits & 1 else None)
+        assert webp.decode_bytes(media)[0] == payload and len(media) < len(payload)
+    assert kinds == {0, 1, 2, 3}
