@@ -423,8 +423,7 @@ def case_classification(t):
 
 def _boxes(t, prefix):
     k = F.col("l_partkey")
-    li = t("lineitem").filter("l_linenumber <= 3")
-    return li.select(F.col("l_orderkey").alias("page"), F.col("l_linenumber").cast("long").alias(f"{prefix}_n"), (k % 50).alias(f"{prefix}_x"), (k % 37).alias(f"{prefix}_y"), (k % 23 + 5).alias(f"{prefix}_w"), (k % 19 + 5).alias(f"{prefix}_h"))
+    return t("lineitem").select(F.col("l_orderkey").alias("page"), F.col("l_linenumber").cast("long").alias(f"{prefix}_n"), (k % 50).alias(f"{prefix}_x"), (k % 37).alias(f"{prefix}_y"), (k % 23 + 5).alias(f"{prefix}_w"), (k % 19 + 5).alias(f"{prefix}_h"))
 
 
 _BOX = "SELECT l_orderkey AS page, CAST(l_linenumber AS BIGINT) AS n, l_partkey % 50 AS x, l_partkey % 37 AS y, l_partkey % 23 + 5 AS w, l_partkey % 19 + 5 AS h FROM lineitem WHERE l_linenumber <= 3"

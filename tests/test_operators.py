@@ -61,3 +61,19 @@ def test_entry_and_names():
 
     queries, sql = entry.queries(), entry.oracle_sql()
     assert set(sql) <= set(queries) and "mention_topk" in queries
+
+
+def on_tables(spark, tmp_path, name, **tables):
+    """Rows of a catalog query over tables given as (rows, schema)."""
+    from lodestack.plans import catalog
+
+    for table, (rows, schema) in tables.items():
+        spark.createDataFrame(rows, schema).coalesce(1).write.parquet(str(tmp_path / f"{table}.parquet"))
+    return sorted(tuple(r) for r in catalog.QUERIES[name](spark, str(tmp_path)).collect())
+
+
+def test_boxes_of_a_whole_page(spark, tmp_path):
+    lines = ([(1, n, 10) for n in range(1, 8)], "l_orderkey long, l_linenumber int, l_partkey long")
+    assert len(on_tables(spark, tmp_path / "pairs", "box_iou_pairs", lineitem=lines)) == 21
+    apart = ([(1, n, k) for n, k in ((1, 0), (5, 25))], "l_orderkey long, l_linenumber int, l_partkey long")
+    assert on_tables(spark, tmp_path / "nms", "greedy_nms", lineitem=apart) == [(1, 1), (1, 5)]
