@@ -375,7 +375,7 @@ def token_overlap_topk(t):
     tokens = lambda c: F.filter(F.split(T.match_text(F.col(c)), " "), lambda x: F.length(x) >= 3)
     q = t("benchmark").select("item_id", F.explode(F.array_distinct(F.slice(tokens("text"), 1, 80))).alias("w"))
     d = t("documents").select("doc_id", F.explode(F.array_distinct(tokens("text"))).alias("w"))
-    return q.join(d, "w").groupBy("item_id", "doc_id").agg(F.count(F.lit(1)).alias("overlap")).filter("overlap >= 30")
+    return q.join(d, "w").groupBy("item_id", "doc_id").agg(F.count(F.lit(1)).alias("overlap"))
 
 
 @query("SELECT doc_id, unnest(regexp_extract_all(text, '.{0,20}License.{0,40}', 0, 's')) AS snippet FROM documents")

@@ -77,3 +77,9 @@ def test_boxes_of_a_whole_page(spark, tmp_path):
     assert len(on_tables(spark, tmp_path / "pairs", "box_iou_pairs", lineitem=lines)) == 21
     apart = ([(1, n, k) for n, k in ((1, 0), (5, 25))], "l_orderkey long, l_linenumber int, l_partkey long")
     assert on_tables(spark, tmp_path / "nms", "greedy_nms", lineitem=apart) == [(1, 1), (1, 5)]
+
+
+def test_token_overlap_of_short_quotes(spark, tmp_path):
+    bench = ([(1, "Alpha beta, gamma"), (2, "delta of it")], "item_id long, text string")
+    docs = ([(7, "gamma ALPHA x"), (8, "none here"), (9, "delta")], "doc_id long, text string")
+    assert on_tables(spark, tmp_path, "token_overlap_topk", benchmark=bench, documents=docs) == [(1, 7, 2), (2, 9, 1)]
