@@ -5,7 +5,7 @@ from __future__ import annotations
 import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import DoubleType, StringType
+from pyspark.sql.types import ArrayType, DoubleType, StringType
 
 from ..functions.text import compact_text, match_text
 
@@ -19,23 +19,27 @@ def tier(quote, text):
     return F.when(F.length(q) < 8, 0.0).when(F.contains(t, q), 1.0).when((F.length(compact_text(quote)) >= 30) & F.contains(compact_text(text), compact_text(quote)), 0.97).when(anchored, 0.92).otherwise(0.0)
 
 
-def _runs(words):
-    """All runs of four words. Built from whole arrays: inside a lambda the array would be computed again for each element."""
-    rest = lambda a, k: F.slice(a, k + 1, F.greatest(F.size(a) - k, F.lit(0)))
-    glue = lambda x, y: F.concat(x, F.lit(" "), y)
-    pairs = F.array_compact(F.zip_with(words, rest(words, 1), glue))
-    return F.array_compact(F.zip_with(pairs, rest(pairs, 2), glue))
+#: Length of a gram: six words have six characters at least, so every tier and the fuzzy ratio imply a common gram.
+GRAM = 6
+
+
+@F.pandas_udf(ArrayType(StringType()))
+def _grams(text: pd.Series) -> pd.Series:
+    return text.map(lambda x: sorted({x[i : i + GRAM] for i in range(len(x or "") - GRAM + 1)}))
 
 
 def candidates(quotes: DataFrame, sources: DataFrame) -> DataFrame:
-    """Quotes with the sources that hold their first four words: an equi-join on word runs instead of a nested loop.
-
-    quotes (qid, quote), sources (sid, body). A source's runs are distinct, so a common run is one row a source. Quotes
-    of fewer than four words find nothing."""
-    q = quotes.withColumn("run", F.array_join(F.slice(F.split(match_text(F.col("quote")), " "), 1, 4), " "))
-    wanted = q.select("run").distinct()
-    s = sources.select("sid", F.explode(F.array_distinct(_runs(F.split(match_text(F.col("body")), " ")))).alias("run")).join(wanted, "run", "left_semi")
-    return q.join(s, "run").join(sources, "sid").select("qid", "quote", "sid", "body")
+    """Quotes with the sources whose compact text holds the quote's first characters, an equi-join on grams.
+
+    quotes (qid, quote), sources (sid, body). A source's grams are distinct, so a common gram is one row a source. Every
+    way of containment implies the gram; quotes shorter than a gram are few and are looked for in all sources."""
+    q = quotes.withColumn("compact", compact_text(F.col("quote")))
+    long = q.filter(F.length("compact") >= GRAM).withColumn("gram", F.left("compact", F.lit(GRAM))).drop("compact")
+    s = sources.select("sid", F.explode(_grams(compact_text(F.col("body")))).alias("gram")).join(long.select("gram").distinct(), "gram", "left_semi")
+    found = long.join(s, "gram").join(sources, "sid").select("qid", "quote", "sid", "body")
+    short = F.broadcast(q.filter(F.length("compact") < GRAM))
+    scanned = sources.join(short, F.contains(compact_text(F.col("body")), F.col("compact")))
+    return found.unionByName(scanned.select("qid", "quote", "sid", "body"))
 
 
 @F.pandas_udf(DoubleType())

@@ -359,7 +359,7 @@ def evidence_compact_hits(t):
 SELECT item_id, 1.0::DOUBLE AS s FROM ({_HITS})) USING (item_id) GROUP BY item_id""")
 def evidence_tiers(t):
     best = _hits(t).groupBy(F.col("qid").alias("item_id")).agg(F.max(M.tier(F.col("quote"), F.col("body"))).alias("s"))
-    return t("benchmark").select("item_id").join(best, "item_id", "left").select("item_id", F.coalesce(F.when(F.col("s") >= 0.97, F.lit(1.0)), F.lit(0.0)).alias("score"))
+    return t("benchmark").select("item_id").join(best, "item_id", "left").select("item_id", F.coalesce("s", F.lit(0.0)).alias("score"))
 
 
 @query(None)

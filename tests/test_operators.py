@@ -83,3 +83,12 @@ def test_token_overlap_of_short_quotes(spark, tmp_path):
     bench = ([(1, "Alpha beta, gamma"), (2, "delta of it")], "item_id long, text string")
     docs = ([(7, "gamma ALPHA x"), (8, "none here"), (9, "delta")], "doc_id long, text string")
     assert on_tables(spark, tmp_path, "token_overlap_topk", benchmark=bench, documents=docs) == [(1, 7, 2), (2, 9, 1)]
+
+
+def test_evidence_of_every_tier(spark, tmp_path):
+    words = [f"word{i}" for i in range(30)]
+    anchors = " ".join(words[:12] + ["other"] + words[-12:])
+    bench = ([(1, "pha beta"), (2, "The composition holds twenty grams of it"), (3, " ".join(words)), (4, "zq x")], "item_id long, text string")
+    docs = ([(7, "alpha beta"), (8, "the compo sition holds twenty grams of it"), (9, anchors), (10, "a zq x")], "doc_id long, text string")
+    for name, want in (("evidence_tiers", [(1, 1.0), (2, 0.97), (3, 0.92), (4, 0.0)]), ("evidence_exact_hits", [(1, 7), (4, 10)]), ("evidence_compact_hits", [(2, 8)])):
+        assert on_tables(spark, tmp_path / name, name, benchmark=bench, documents=docs) == want
