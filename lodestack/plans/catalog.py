@@ -306,10 +306,13 @@ def page_carry_forward(t):
 (SELECT conv_id, turn, role, left(text, 40) AS text, lead(left(text, 40)) OVER w AS t1, lead(role) OVER w AS r1, lead(left(text, 40), 2) OVER w AS t2, lead(role, 2) OVER w AS r2 FROM conversations WINDOW w AS (PARTITION BY conv_id ORDER BY turn)) WHERE role = 'user'""")
 def borrow_next_lines(t):
     w = Window.partitionBy("conv_id").orderBy("turn")
-    c = t("conversations").withColumn("text", F.left("text", F.lit(40)))
-    for k in (1, 2):
+    c = t("conversations")
+    for k in (1, 2, 3):
         c = c.withColumn(f"t{k}", F.lead("text", k).over(w)).withColumn(f"r{k}", F.lead("role", k).over(w))
-    body = F.concat_ws(" ", "text", F.when(F.col("r1") != "user", F.col("t1")), F.when((F.col("r1") != "user") & (F.col("r2") != "user"), F.col("t2")))
+    one = F.col("r1") != "user"
+    two = one & (F.col("r2") != "user")
+    three = two & (F.col("r3") != "user")
+    body = F.concat_ws(" ", "text", F.when(one, F.col("t1")), F.when(two, F.col("t2")), F.when(three, F.col("t3")))
     return c.filter("role = 'user'").select("conv_id", "turn", body.alias("body"))
 
 
@@ -380,7 +383,7 @@ def token_overlap_topk(t):
 
 @query("SELECT doc_id, unnest(regexp_extract_all(text, '.{0,20}License.{0,40}', 0, 's')) AS snippet FROM documents")
 def keyword_snippets(t):
-    return t("documents").select("doc_id", F.explode(F.regexp_extract_all("text", F.lit("(?s).{0,20}License.{0,40}"), F.lit(0))).alias("snippet"))
+    return t("documents").select("doc_id", F.explode(F.regexp_extract_all("text", F.lit("(?isu).{0,180}License.{0,420}"), F.lit(0))).alias("snippet"))
 
 
 @query("SELECT user_id, event_id FROM (SELECT user_id, event_id, coalesce(sum(CASE WHEN event_type = 'click' THEN 1 ELSE 0 END) OVER (PARTITION BY user_id ORDER BY event_id ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS b FROM events) WHERE b < 3")
