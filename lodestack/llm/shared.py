@@ -16,16 +16,23 @@ from pyspark.sql import functions as F
 
 #: White space of the contracts: space and \\t \\n \\v \\f \\r.
 BLANK = " \t\n\x0b\x0c\r"
-#: Largest number of rows of two or three fixed-width columns that is ever broadcast (about 16 MB).
-BROADCAST_ROWS = 500_000
+#: Largest size of a relation that is ever broadcast, by its counted rows and the widths of its columns.
+BROADCAST_BYTES = 32 << 20
+#: Arrow batches to and from Python workers end at this many rows or bytes, so that long texts come few at a time.
+BATCH_ROWS, BATCH_BYTES = 1_000, 4 << 20
 
 
 def ship(spark: SparkSession) -> None:
-    """Let Python workers import this package also where the driver found it by sys.path alone."""
+    """Let Python workers import this package also where the driver found it by sys.path alone, in bounded batches.
+
+    Workers are told to give freed memory back: they stay when a task has ended, beside the next stage's ones."""
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(BATCH_ROWS))
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(BATCH_BYTES))
     root = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
     env = spark.sparkContext.environment
     if root not in env.get("PYTHONPATH", "").split(os.pathsep):
         env["PYTHONPATH"] = os.pathsep.join(x for x in (root, env.get("PYTHONPATH", "")) if x)
+        env |= {"ARROW_DEFAULT_MEMORY_POOL": "system", "MALLOC_MMAP_THRESHOLD_": "262144", "MALLOC_TRIM_THRESHOLD_": "1048576", "MALLOC_ARENA_MAX": "2"}
 
 
 def shared_dir(spark: SparkSession) -> str:
@@ -64,9 +71,12 @@ def drop(df: DataFrame) -> None:
 
 
 def small(df: DataFrame, rows: int | None = None) -> DataFrame:
-    """Broadcast hint where the counted rows of a narrow table are few; else the join stays a shuffle join."""
+    """Broadcast hint where a narrow table is small by its counted rows; else the join stays a shuffle join.
+
+    A row costs 40 bytes in a hashed relation, a fixed-width column 8 and a binary key or name 48."""
     n = df.count() if rows is None else rows
-    return F.broadcast(df) if n <= BROADCAST_ROWS else df
+    width = 40 + sum(48 if f.dataType.typeName() in ("string", "binary") else 8 for f in df.schema)
+    return F.broadcast(df) if n * width <= BROADCAST_BYTES else df
 
 
 def stripped(text):
