@@ -81,3 +81,11 @@ def test_prints_do_not_depend_on_windows(monkeypatch):
 def test_clashing_columns_stay_unread(spark):
     docs = spark.createDataFrame([(1, "k" * 500, 7, "p"), (2, "a b", 8, "q")], "doc_id long, text string, chunk_id int, path string")
     assert sorted(tuple(r)[:4] for r in sd.passages(docs).collect()) == [(1, 500, 500, 1), (2, 3, 0, 0)]
+
+
+def test_packed_prints():
+    rng = np.random.default_rng(2)
+    for kind in ("u4", "u8"):
+        for n in (1, 2, 700):
+            prints = np.unique(rng.integers(0, np.iinfo(kind).max, n, dtype=kind, endpoint=True))
+            assert (sd.unpacked(sd.packed(prints), kind) == prints).all()
