@@ -1,26 +1,33 @@
 """Toxicity by a weighted finite-state pattern grammar.
 
-Words become symbols: insult, threat, target, negation, reported speech, other. Three transducers rewrite the
-symbols of a clause: the first marks insults and threats within reach of a negation, the second those inside
-reported speech, the third those near a target. They are composed into one machine, which is run over each
-clause that holds an insult or a threat, forwards and backwards (a target may follow). Each mark an insult or threat
-ends up with is a pattern; a text's score is the logistic function of the patterns' weights and counts, so it is matched
-clauses that count, not words alone.
-
-The lists of targets, negations and speech verbs are fixed. The insult list is a seed extended from labelled rows by
-words and word beginnings that cover toxic texts and hardly any others; the weights are fitted on the same rows. At
-most ``SAMPLE`` labelled rows are used (those with the smallest hash of their id), a documented bound for the fit
-alone: every text is scored whole, in one narrow pass without a shuffle.
+1. The lexicon is a transducer over letters: a word, or any word with a listed beginning, goes out as the symbol of an insult
+   with that entry's weight; listed words among them pass without one. Fixed words go out as threat, intent, target,
+   negation and report.
+2. Three weighted transducers read a clause's symbols: negation takes an insult's or threat's weight back, reported speech
+   does so to the clause's end, and a target near an insult adds some. A fourth weighs threat frames: a threat word alone
+   hardly counts, intent before it more, and a target of it makes the frame. They are composed into one machine, whose
+   weights add along the path; clauses that hold an insult or threat are run through it in both directions of reach.
+3. A matched word's weight is that of the best path through one of its clauses, never below nothing. A text's score is
+   the logistic function of the sum over its different matched words, less what words of that number bring by chance.
+
+So an insult that each of its clauses denies or reports adds nothing, and a threat word without its frame next to nothing.
+
+The fit takes at most ``SAMPLE`` labelled rows of at most ``SAMPLE_CHARS`` characters together (those with the smallest hash of
+their id), a documented bound for the fit alone. It finds entries of the lexicon by a likelihood ratio of how many different
+texts hold a word or beginning, their weights, and the scale, price of length and bias. What negation, report, target and the
+threat frames weigh is fixed. Every text is scored whole, in one narrow pass without a shuffle.
 
 Cases: null and empty texts get the score of no matched clause; null or contradicting labels count as toxic if any
 is 1 and as unlabelled if all are null; without labelled rows the default weights hold; repeated rows and ids are
-scored row by row.
+scored row by row; very long texts are scored whole, row by row; an empty table gives an empty one; other columns, whatever
+their names, pass through.
 """
 
 from __future__ import annotations
 
 import math
 import re
+import zlib
 from collections import Counter
 
 import numpy as np
@@ -28,39 +35,46 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 SAMPLE = 6000
+SAMPLE_CHARS = 64 << 20
 THRESHOLD = 0.3
 MEMO = 400_000
-REACH = 3
+REACH = 2
 NEAR = 4
+#: Fixed arc weights.
+DENIED, TARGETED = -20.0, 0.7
+VERB, MEANT, FRAMED = 0.3, 1.7, 4.0
+#: Weight of a listed insult before any fit, and bounds of a fitted one.
+INSULT_WEIGHT, LEAST_WEIGHT, MOST_WEIGHT = 5.0, 0.8, 5.0
 
 # Fixed word lists.
 INSULTS = "idiot idiots moron morons stupid loser losers scum trash worthless pathetic disgusting clown dumb imbecile cretin filthy vermin dummkopf trottel abschaum wertlos idiote imbécile crétin ordure minable imbécil estúpido estúpida basura escoria inútil".split()
 THREATS = "kill murder hurt strangle stab töten umbringen tuer matar".split()
-TARGETS = "you your you're he she they him her them du dich dein ihr euch er sie tu toi vous ton il elle ils elles eres tú usted ustedes ellos ellas".split()
+INTENTS = "will shall gonna going i'll we'll werde werden wird wirst vais va allons voy vamos vas".split()
+TARGETS = "you your you're he she they him her them du dich dein ihr euch er sie tu toi vous ton il elle ils elles eres tú usted ustedes ellos ellas te".split()
 NEGATIONS = "not no never n't isn't aren't wasn't don't nicht kein keine nie pas jamais ne nunca jamás ningún".split()
 REPORTS = "said says say wrote writes called calls quoted reported sagte sagt schrieb nannte dit disait écrit appelé dijo dice escribió llamó".split()
 
-OTHER, INSULT, THREAT, TARGET, NEGATION, REPORT = "o", "i", "t", "y", "n", "r"
+OTHER, INSULT, THREAT, INTENT, TARGET, NEGATION, REPORT = "oitmynr"
+ALPHABET = [OTHER, INSULT, THREAT, INTENT, TARGET, NEGATION, REPORT]
 TOKEN = re.compile(r"[^\W_]+(?:['’][^\W_]+)*|[.!?;:\n]")
 WORD = re.compile(r"[^\W_]+(?:['’][^\W_]+)*")
+SIZES = range(3, 9)
 
 
 class Transducer:
-    """Deterministic, weighted: arcs (state, symbol) -> (state, output, weight). Absent symbols pass unchanged."""
+    """Deterministic, weighted: arcs (state, symbol) -> (state, output, weight)."""
 
     def __init__(self, start, arcs: dict):
         self.start, self.arcs = start, arcs
 
-    def step(self, state, symbol):
-        return self.arcs[state, symbol]
-
-    def run(self, symbols):
-        state, out, weight = self.start, [], 0.0
+    def run(self, symbols) -> tuple[list[str], list[float]]:
+        """Outputs and the weights of the arcs taken."""
+        state, out, weights = self.start, [], []
         for s in symbols:
             state, o, w = self.arcs[state, s]
             out.append(o)
-            weight += w
-        return out, weight
+            weights.append(w)
+        return out, weights
 
 
 def compose(first: Transducer, second: Transducer, alphabet) -> Transducer:
@@ -79,142 +93,235 @@ def compose(first: Transducer, second: Transducer, alphabet) -> Transducer:
     return Transducer(start, arcs)
 
 
-def marker(trigger: str, mark: str, reach: int | None, alphabet) -> Transducer:
-    """Adds mark to insults and threats at most ``reach`` symbols after a trigger (None: to the clause's end)."""
-    arcs = {}
-    states = range((reach or 1) + 1)
-    for left in states:
-        for symbol in alphabet:
-            hit = symbol[0] in (INSULT, THREAT)
-            out = symbol + mark if hit and left else symbol
-            rest = (reach or 1) if symbol[0] == trigger else left if reach is None else max(0, left - 1)
-            arcs[left, symbol] = (rest, out, 0.0)
+def near(trigger: str, weight: float, reach: int | None, hit: str = INSULT + THREAT) -> Transducer:
+    """Adds weight to the symbols ``hit`` at most ``reach`` symbols after a trigger (None: to the clause's end)."""
+    full, arcs = reach or 1, {}
+    for left in range(full + 1):
+        for symbol in ALPHABET:
+            rest = full if symbol == trigger else left if reach is None else max(0, left - 1)
+            arcs[left, symbol] = (rest, symbol, weight if left and symbol in hit else 0.0)
     return Transducer(0, arcs)
 
 
-def grammar() -> Transducer:
-    base = [OTHER, INSULT, THREAT, TARGET, NEGATION, REPORT]
-    negated = [*base, INSULT + "-", THREAT + "-"]
-    reported = negated + [s + "q" for s in negated if s[0] in (INSULT, THREAT)]
-    machine = compose(marker(NEGATION, "-", REACH, base), marker(REPORT, "q", None, negated), base)
-    return compose(machine, marker(TARGET, "y", NEAR, reported), base)
-
-
-PATTERNS = [k + n + q + y for k in (INSULT, THREAT) for n in ("", "-") for q in ("", "q") for y in ("", "y")]
+def frames(reach: int = 3) -> Transducer:
+    """Threat frames: a state holds how many symbols ago intent, target and threat may lie at most. The target may stand
+    before the threat word or after it."""
+    arcs, todo, seen = {}, [(0, 0, 0)], {(0, 0, 0)}
+    while todo:
+        state = todo.pop()
+        intent, target, threat = state
+        for symbol in ALPHABET:
+            step = [max(0, x - 1) for x in state]
+            weight = 0.0
+            if symbol == INTENT:
+                step[0] = reach + 1
+            elif symbol == TARGET:
+                weight = FRAMED if threat else 0.0
+                step[1:] = [reach, 0]
+            elif symbol == THREAT:
+                weight = VERB + (MEANT if intent else 0.0) + (FRAMED if intent and target else 0.0)
+                step[2] = 0 if not intent or target else reach
+            arcs[state, symbol] = (tuple(step), symbol, weight)
+            if tuple(step) not in seen:
+                seen.add(tuple(step))
+                todo.append(tuple(step))
+    return Transducer((0, 0, 0), arcs)
+
+
+def grammar() -> tuple[Transducer, Transducer]:
+    """The machine that reads a clause, and the one that reads it backwards for targets that follow an insult."""
+    denied = compose(near(NEGATION, DENIED, REACH), near(REPORT, DENIED, None), ALPHABET)
+    return compose(compose(denied, near(TARGET, TARGETED, NEAR, INSULT), ALPHABET), frames(), ALPHABET), near(TARGET, TARGETED, NEAR, INSULT)
+
+
+class Lexicon:
+    """Letter by letter: states of a tree; a state may end a word, or let any letters follow, with a weight."""
+
+    def __init__(self, words: dict[str, float], beginnings: dict[str, float], passed=()):
+        self.next: list[dict[str, int]] = [{}]
+        self.word: dict[int, float] = {}
+        self.beginning: dict[int, float] = {}
+        for weights, table in ((beginnings, self.beginning), (words, self.word), (dict.fromkeys(passed, 0.0), self.word)):
+            for entry, weight in weights.items():
+                table[self._state(entry)] = weight
+
+    def _state(self, entry: str) -> int:
+        at = 0
+        for c in entry:
+            if c not in self.next[at]:
+                self.next[at][c] = len(self.next)
+                self.next.append({})
+            at = self.next[at][c]
+        return at
+
+    def weight(self, word: str) -> float:
+        """The entry's weight: the whole word's, else that of the longest beginning; 0 if there is none."""
+        at, found = 0, 0.0
+        for k, c in enumerate(word):
+            if k:
+                found = self.beginning.get(at, found)
+            at = self.next[at].get(c, -1)
+            if at < 0:
+                return found
+        return self.word.get(at, found)
 
 
 class Model:
-    """Insult words and beginnings, and a weight for each pattern."""
-
-    def __init__(self, words, beginnings, weights=None, bias=-4.0):
-        self.words, self.beginnings = frozenset(words), frozenset(beginnings)
-        self.sizes = tuple(sorted({len(b) for b in beginnings}))
-        self.weights = weights or {p: (1.0 if "-" in p or "q" in p else 4.0) + ("y" in p) for p in PATTERNS}
-        self.bias = bias
-
-    def insult(self, word: str) -> bool:
-        return word in self.words or any(word[:n] in self.beginnings for n in self.sizes)
+    def __init__(self, words=None, beginnings=None, passed=(), scale: float = 1.0, price: float = 0.0, bias: float = -3.5):
+        self.words = {w: INSULT_WEIGHT for w in INSULTS} if words is None else words
+        self.beginnings, self.passed = beginnings or {}, tuple(passed)
+        self.scale, self.price, self.bias = scale, price, bias
 
 
 class Scorer:
     def __init__(self, model: Model):
-        self.model, self.machine = model, grammar()
-        self.fixed = {w: s for s, ws in ((REPORT, REPORTS), (NEGATION, NEGATIONS), (TARGET, TARGETS), (THREAT, THREATS)) for w in ws}
-        self.symbols: dict[str, str] = {}
+        self.model, (self.machine, self.back) = model, grammar()
+        self.lexicon = Lexicon(model.words, model.beginnings, model.passed)
+        self.fixed = {w: s for s, ws in ((REPORT, REPORTS), (NEGATION, NEGATIONS), (TARGET, TARGETS), (INTENT, INTENTS), (THREAT, THREATS)) for w in ws}
+        self.symbols: dict[str, tuple[str, float]] = {}
         self.chunks: dict[str, bool] = {}
 
-    def symbol(self, word: str) -> str:
+    def symbol(self, word: str) -> tuple[str, float]:
         found = self.symbols.get(word)
         if found is None:
             if len(self.symbols) > MEMO:
                 self.symbols.clear()
-            found = self.fixed.get(word) or (INSULT if self.model.insult(word) else OTHER)
+            if word in self.fixed:
+                found = self.fixed[word], 0.0
+            else:
+                weight = self.lexicon.weight(word)
+                found = (INSULT, weight) if weight else (OTHER, 0.0)
             self.symbols[word] = found
         return found
 
     def hits(self, chunk: str) -> bool:
         if len(self.chunks) > MEMO:
             self.chunks.clear()
-        found = self.chunks[chunk] = any(self.symbol(w) in (INSULT, THREAT) for w in WORD.findall(chunk.lower()))
+        found = self.chunks[chunk] = any(self.symbol(w)[0] in (INSULT, THREAT) for w in WORD.findall(chunk.lower()))
         return found
 
-    def patterns(self, text: str) -> Counter:
-        """How often each pattern occurs in the text's clauses."""
-        found: Counter = Counter()
+    def clause(self, words: list[str]) -> list[tuple[str, float]]:
+        """Matched words of a clause with their weight on the path. A frame's weight is its threat word's."""
+        pairs = [self.symbol(w) for w in words]
+        symbols = [s for s, _ in pairs]
+        if INSULT not in symbols and THREAT not in symbols:
+            return []
+        _, there = self.machine.run(symbols)
+        _, behind = self.back.run(symbols[::-1])
+        out, threat = [], None
+        for word, (symbol, weight), a, b in zip(words, pairs, there, behind[::-1]):
+            if symbol == INSULT:
+                out.append((word, max(0.0, weight + max(a, b if a >= 0 else a))))
+            elif symbol == THREAT:
+                threat = len(out)
+                out.append((word, max(0.0, a)))
+            elif symbol == TARGET and a > 0 and threat is not None and out[threat][1] > 0:
+                out[threat] = (out[threat][0], out[threat][1] + a)
+        return out
+
+    def matches(self, text: str) -> dict[str, float]:
+        """Different matched words of a text, each with the best weight of its clauses."""
+        found: dict[str, float] = {}
         known = self.chunks
         if not any(known[c] if c in known else self.hits(c) for c in text.split()):
             return found
-        clause: list[str] = []
+        words: list[str] = []
         for token in [*TOKEN.findall(text.lower()), "."]:
             if token in ".!?;:\n":
-                if INSULT in clause or THREAT in clause:
-                    there, _ = self.machine.run(clause)
-                    back, _ = self.machine.run(clause[::-1])
-                    for a, b in zip(there, back[::-1]):
-                        if a[0] in (INSULT, THREAT):
-                            found[a + "y" if "y" in b and "y" not in a else a] += 1
-                clause = []
+                for word, weight in self.clause(words):
+                    found[word] = max(weight, found.get(word, 0.0))
+                words = []
             else:
-                clause.append(self.symbol(token))
+                words.append(token)
         return found
 
+    def parts(self, text: str) -> tuple[float, float]:
+        """Sum of weights, and thousands of words (counted by blanks) where there is a match."""
+        found = self.matches(text)
+        return sum(found.values()), (text.count(" ") + 1) / 1000 if found else 0.0
+
     def score(self, text: str) -> float:
-        z = self.model.bias + sum(self.model.weights.get(p, 0.0) * math.log1p(n) for p, n in self.patterns(text).items())
+        total, length = self.parts(text)
+        z = self.model.bias + self.model.scale * total - self.model.price * length
         return 1.0 / (1.0 + math.exp(-max(-30.0, min(30.0, z))))
 
 
-def features(text: str) -> set[str]:
-    """Words of at least three letters as they are, and beginnings of four to six letters of longer ones, marked ``*``."""
-    words = {w for w in WORD.findall(text.lower()) if len(w) >= 3}
-    return words | {w[:n] + "*" for w in words for n in (4, 5, 6) if len(w) > n}
-
-
-def extend(texts: list[str], toxic: list[int], least: int = 3, purity: float = 0.95) -> tuple[set, set]:
-    """Greedy cover of the toxic texts by features that at least ``least`` of them and hardly any others have."""
-    positive = [features(t) for t, y in zip(texts, toxic) if y]
-    seeds = set(INSULTS)
-    pos = Counter(f for fs in positive for f in fs)
-    candidates = {f for f, n in pos.items() if n >= least}
-    neg: Counter = Counter()
-    for t, y in zip(texts, toxic):
-        if not y:
-            neg.update(features(t) & candidates)
-    good = {f for f in candidates if pos[f] >= purity * (pos[f] + neg[f])}
-    open_ = [fs & good for fs in positive if not fs & seeds]
-    words, beginnings = {w for w in seeds if neg[w] <= 2 * pos[w] + 1}, set()
-    while open_:
-        cover = Counter(f for fs in open_ for f in fs)
-        if not cover:
-            break
-        best, n = max(cover.items(), key=lambda x: (x[1], pos[x[0]], x[0]))
-        if n < least:
+def least_runs(text: str) -> set[tuple[int, int]]:
+    """The least hash of a text's runs of four words under three seeds: near copies share one nearly surely."""
+    words = text.lower().split()
+    runs = [" ".join(words[i : i + 4]).encode("utf-8", "surrogatepass") for i in range(len(words) - 3)]
+    return {(seed, min(zlib.crc32(r, seed) for r in runs)) for seed in (1, 2, 3)} if runs else set()
+
+
+def entries(texts: list[str], toxic: list[int], gain: float = 14.0, least: int = 3) -> tuple[dict, dict, set]:
+    """Words and beginnings that toxic texts hold far more often than others, with log odds as weights. Of near copies,
+    which would make any of their words look telling, one counts.
+
+    Greedy by the likelihood ratio of the numbers of (text, different word) pairs; a chosen entry's words are taken out
+    before the next is chosen. A beginning needs five different words. Of a beginning's words, those that as many others hold pass."""
+    sides, seen = [Counter(), Counter()], set()
+    for text, y in zip(texts, toxic):
+        marks = least_runs(text)
+        if marks & seen:
+            continue
+        seen |= marks
+        sides[y].update({w for w in WORD.findall(text.lower()) if len(w) >= 3})
+    names = sorted(w for w in sides[1] | sides[0] if not w.isdigit())
+    pos, neg = (np.array([c[w] for w in names], dtype=float) for c in (sides[1], sides[0]))
+    share = pos.sum() / max(1.0, pos.sum() + neg.sum())
+    keys: dict[str, int] = {}
+    word_at = np.array([keys.setdefault(w, len(keys)) for w in names], dtype=np.int64)
+    pairs = [(i, keys.setdefault(w[:n] + "*", len(keys))) for i, w in enumerate(names) for n in SIZES if len(w) > n]
+    who, what = (np.array(x, dtype=np.int64) for x in zip(*pairs)) if pairs else (np.zeros(0, dtype=np.int64),) * 2
+    who, what = np.concatenate((np.arange(len(names)), who)), np.concatenate((word_at, what))
+    labels, alive = list(keys), np.ones(len(names), dtype=bool)
+    several = np.bincount(what, minlength=len(keys))
+    long = np.array([k.endswith("*") for k in labels], dtype=bool)
+    words, beginnings, passed = {}, {}, set()
+    while len(words) + len(beginnings) < 200:
+        live = alive[who]
+        p = np.bincount(what[live], weights=pos[who[live]], minlength=len(keys))
+        q = np.bincount(what[live], weights=neg[who[live]], minlength=len(keys))
+        rate = (p + 0.5 * share) / (p + q + 0.5)
+        odds = np.log(rate / (1 - rate + 1e-9)) - math.log(share / (1 - share))
+        value = np.where((p >= least) & (odds > 1.2) & (~long | (several >= 5)), p * odds - q, 0.0)
+        best = int(value.argmax())
+        if value[best] < gain:
             break
-        (beginnings if best.endswith("*") else words).add(best.rstrip("*"))
-        open_ = [fs for fs in open_ if best not in fs]
-    return words, beginnings
+        mine = np.unique(who[(what == best) & live])
+        weight = float(min(MOST_WEIGHT, max(LEAST_WEIGHT, odds[best])))
+        if long[best]:
+            out = [i for i in mine if neg[i] >= 3 and neg[i] >= pos[i] / 3]
+            passed.update(names[i] for i in out)
+            rest = np.setdiff1d(mine, out)
+            r = (pos[rest].sum() + 0.5 * share) / (pos[rest].sum() + neg[rest].sum() + 0.5)
+            weight = float(min(MOST_WEIGHT, max(LEAST_WEIGHT, math.log(r / (1 - r + 1e-9)) - math.log(share / (1 - share)))))
+            beginnings[labels[best][:-1]] = weight
+        else:
+            words[labels[best]] = weight
+        alive[mine] = False
+    for w in INSULTS:
+        if w not in words and not sides[0][w]:
+            words[w] = INSULT_WEIGHT
+    return words, beginnings, passed
 
 
 def fit(texts: list[str], toxic: list[int]) -> Model:
-    """Insult list and pattern weights from labelled texts; every pattern's weight is held near its default."""
-    if not texts or not any(toxic):
-        return Model(INSULTS, ())
-    words, beginnings = extend(texts, toxic)
-    model = Model(words, beginnings)
+    """Lexicon, scale, price of length and bias from labelled texts; bounds keep the unmatched text well below the threshold."""
+    if not texts or not any(toxic) or all(toxic):
+        return Model()
+    model = Model(*entries(texts, toxic))
     scorer = Scorer(model)
-    x = np.zeros((len(texts), len(PATTERNS)))
-    for i, t in enumerate(texts):
-        for p, n in scorer.patterns(t).items():
-            x[i, PATTERNS.index(p)] = math.log1p(n)
+    x = np.array([(*scorer.parts(t), 1.0) for t in texts])
     y = np.array(toxic, dtype=float)
-    start = np.array([model.weights[p] for p in PATTERNS])
-    w, b, pull = start.copy(), model.bias, 0.02 * len(texts) / 1000
-    curvature = 0.25 * (x**2).sum(0) + pull + 1e-9
-    for _ in range(300):
-        error = 1 / (1 + np.exp(-np.clip(x @ w + b, -30, 30))) - y
-        w -= (x.T @ error + pull * (w - start)) / (curvature * 2)
-        b -= error.sum() / (0.25 * len(y) + 1) / 2
-        b = min(b, -1.5)
-    return Model(words, beginnings, dict(zip(PATTERNS, w.tolist())), float(b))
+    least, most = np.array([0.3, -1.5, -6.0]), np.array([3.0, 0.0, -2.0])
+    w = np.array([1.0, -0.1, -3.5])
+    curvature = 0.25 * (x**2).sum(0) + 1e-6
+    for _ in range(3000):
+        error = 1 / (1 + np.exp(-np.clip(x @ w, -30, 30))) - y
+        w = np.clip(w - (x.T @ error) / (curvature * 3), least, most)
+    model.scale, model.price, model.bias = float(w[0]), float(-w[1]), float(w[2])
+    return model
 
 
 def held_out(doc_id):
@@ -222,11 +329,15 @@ def held_out(doc_id):
     return F.coalesce(F.crc32(doc_id.cast("string")) % 4 == 2, F.lit(False))
 
 
-def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", rows: int = SAMPLE) -> Model:
+def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", rows: int = SAMPLE, chars: int = SAMPLE_CHARS) -> Model:
+    from pyspark.sql import Window
+
     known = labels.filter(F.col("toxic").isNotNull() & F.col("doc_id").isNotNull() & ~held_out(F.col("doc_id")))
     known = known.groupBy("doc_id").agg(F.max("toxic").alias("toxic")).orderBy(F.xxhash64("doc_id"), "doc_id").limit(rows)
     text = docs.select(F.col(id_col).alias("doc_id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
-    sample = text.join(F.broadcast(known), "doc_id").groupBy("doc_id").agg(F.min("text").alias("text"), F.first("toxic").alias("toxic")).orderBy("doc_id").toPandas()
+    sample = text.join(F.broadcast(known), "doc_id").groupBy("doc_id").agg(F.min("text").alias("text"), F.first("toxic").alias("toxic"))
+    so_far = F.sum(F.length("text")).over(Window.orderBy(F.xxhash64("doc_id"), "doc_id"))  # over at most ``rows`` rows
+    sample = sample.withColumn("so_far", so_far).filter(F.col("so_far") <= chars).orderBy("doc_id").toPandas()
     return fit(sample["text"].tolist(), [int(t == 1) for t in sample["toxic"]])
 
 
@@ -247,5 +358,8 @@ def scored(docs: DataFrame, model: Model, text_col: str = "text", out: str = "sc
 
 def clean(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """The rows of docs that are not rejected, all columns as they came."""
-    kept = scored(docs, train(docs, labels, id_col, text_col), text_col, "__score").filter(F.col("__score") < THRESHOLD)
-    return kept.drop("__score")
+    name = "__score"
+    while name in docs.columns:
+        name += "_"
+    kept = scored(docs, train(docs, labels, id_col, text_col), text_col, name).filter(F.col(name) < THRESHOLD)
+    return kept.select(*docs.columns)
