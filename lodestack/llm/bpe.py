@@ -9,7 +9,8 @@ The lexicon decides speed only: with an empty one the ids are the same. The toke
 parts are read from it: normaliser NFC, white space to one space, lower case; split by the pattern; byte-level
 alphabet; merges with an end-of-word suffix. Special tokens in a text are found before the normaliser runs.
 
-Cases: a null or empty text has no ids and decodes to the empty string; texts are never cut; rows may repeat.
+Cases: a null or empty text has no ids and decodes to the empty string; texts are never cut; rows may repeat; an empty table
+gives an empty result and an empty lexicon; columns other than the two named are not read, or pass through encode() unchanged.
 """
 
 from __future__ import annotations
@@ -20,6 +21,7 @@ import json
 import os
 import unicodedata
 
+import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -31,6 +33,12 @@ LEXICON_WORDS = 300_000
 MEMO = 250_000
 #: Words of more parts are merged a whole round at a time, which costs less than single steps there.
 LONG = 100
+#: Words of at most this many bytes are merged many at a time.
+SHORT = 48
+BATCH_CHARS = 2 << 20
+# Parts of the tokenizer file that the code here stands for; files with others are refused.
+NORMALIZER = {"type": "Sequence", "normalizers": [{"type": "NFC"}, {"type": "Replace", "pattern": {"Regex": "\\s+"}, "content": " "}, {"type": "Lowercase"}]}
+BYTE_LEVEL = {"type": "ByteLevel", "add_prefix_space": False, "trim_offsets": True, "use_regex": False}
 
 
 def byte_alphabet() -> list[str]:
@@ -55,6 +63,10 @@ class Bpe:
         with open(path, encoding="utf-8") as f:
             spec = json.load(f)
         model = spec["model"]
+        split, *rest = spec["pre_tokenizer"]["pretokenizers"]
+        plain = all(t["special"] and not (t["single_word"] or t["lstrip"] or t["rstrip"] or t["normalized"]) for t in spec["added_tokens"])
+        if spec["normalizer"] != NORMALIZER or rest != [BYTE_LEVEL] or (split["type"], split["behavior"], split["invert"]) != ("Split", "Removed", True) or spec["decoder"] or not plain or model["type"] != "BPE" or model.get("dropout") or model.get("ignore_merges"):
+            raise ValueError(f"{path}: a tokenizer of another kind")
         self.vocab = model["vocab"]
         self.suffix = model.get("end_of_word_suffix") or ""
         merges = [m if isinstance(m, list) else m.split(" ") for m in model["merges"]]
@@ -63,15 +75,22 @@ class Bpe:
         self.merged = [self.vocab[a + b] for a, b in merges]
         self.special = {t["content"]: t["id"] for t in spec["added_tokens"] if t["special"]}
         self.names = {i: t for t, i in self.vocab.items()} | {i: t for t, i in self.special.items()}
-        pattern = spec["pre_tokenizer"]["pretokenizers"][0]["pattern"]["Regex"]
+        pattern = split["pattern"]["Regex"]
         self.find = regex.compile(pattern).findall
         self.split_special = regex.compile("(" + "|".join(map(regex.escape, sorted(self.special, key=len, reverse=True))) + ")").split if self.special else None
         alphabet = byte_alphabet()
         self.inner, self.last = [self.vocab[c] for c in alphabet], [self.vocab[c + self.suffix] for c in alphabet]
+        # The same as arrays: pairs in order, their ranks, and what a rank merges to.
+        pairs = np.array(list(self.ranks), dtype=np.uint64)
+        order = np.argsort(pairs)
+        self.pairs, self.pair_ranks = pairs[order], order.astype(np.int32)
+        self.merged_ids, self.first_ids, self.last_ids = (np.array(x, dtype=np.int32) for x in (self.merged, self.inner, self.last))
         self.spaces = regex.compile(r"\p{White_Space}+").split
         self.separators = regex.compile("[\x1c-\x1f]").search
 
     def normal(self, text: str) -> str:
+        if text.isascii():
+            return text.lower()
         text = unicodedata.normalize("NFC", text)
         # Letter by letter as in the library: a final capital sigma becomes the plain small one.
         return text.replace("Σ", "σ").lower()
@@ -114,66 +133,140 @@ class Bpe:
                 costs[at] = rank(parts[at] << 32 | parts[at + 1], none)
         return parts
 
-
-class Memo(dict):
-    """Chunk or word -> (decimal ids, decoded text), made when first asked for.
-
-    Two generations: when the young one is full it becomes the old one, and keys met again move back, so frequent
-    ones stay and memory is bounded by two generations and one text."""
-
-    def __init__(self, encode):
-        super().__init__()
-        self.encode, self.old = encode, {}
-
-    def __missing__(self, chunk: str) -> tuple[str, str]:
-        found = self.old.get(chunk)
-        if found is None:
-            found = self.encode(chunk)
-        self[chunk] = found
-        return found
+    def _pair_ranks(self, a: np.ndarray, b: np.ndarray) -> np.ndarray:
+        keys = a.astype(np.uint64) << np.uint64(32) | b.astype(np.uint64)
+        at = np.minimum(np.searchsorted(self.pairs, keys), len(self.pairs) - 1)
+        return np.where(self.pairs[at] == keys, self.pair_ranks[at], np.int32(len(self.pairs)))
+
+    def merge_many(self, words: list[bytes]) -> list[list[int]]:
+        """merge() of many words: those of a length step by step together, one merge a word and step, so that the words that
+        are not done have equally many parts all the time."""
+        out: list = [None] * len(words)
+        by_length: dict[int, list[int]] = {}
+        for i, word in enumerate(words):
+            if 0 < len(word) <= SHORT:
+                by_length.setdefault(len(word), []).append(i)
+            else:
+                out[i] = self.merge(word)
+        none = len(self.pairs)
+        for n, index in by_length.items():
+            index = np.array(index)
+            raw = np.frombuffer(b"".join([words[i] for i in index.tolist()]), dtype=np.uint8).reshape(-1, n)
+            parts = self.first_ids[raw]
+            parts[:, -1] = self.last_ids[raw[:, -1]]
+            ranks = self._pair_ranks(parts[:, :-1], parts[:, 1:])
+            while len(index):
+                best = ranks.min(axis=1) if ranks.shape[1] else np.full(len(index), none)
+                done = best == none
+                for i, ids in zip(index[done].tolist(), parts[done].tolist()):
+                    out[i] = ids
+                if done.any():
+                    index, parts, ranks, best = index[~done], parts[~done], ranks[~done], best[~done]
+                if not len(index):
+                    break
+                at, rows, columns = ranks.argmin(axis=1), np.arange(len(index)), np.arange(parts.shape[1] - 1)
+                parts = np.take_along_axis(parts, columns + (columns > at[:, None]), axis=1)
+                parts[rows, at] = self.merged_ids[best]
+                columns = columns[:-1]
+                ranks = np.take_along_axis(ranks, columns + (columns >= at[:, None]), axis=1)
+                left, right = np.flatnonzero(at > 0), np.flatnonzero(at < len(columns))
+                ranks[left, at[left] - 1] = self._pair_ranks(parts[left, at[left] - 1], parts[left, at[left]])
+                ranks[right, at[right]] = self._pair_ranks(parts[right, at[right]], parts[right, at[right] + 1])
+        return out
+
+
+class Memo:
+    """Chunk or word -> decimal ids, and -> decoded text, in two generations: when the young one is full it becomes the old one,
+    and keys met again move back, so frequent ones stay and memory is bounded by two generations and one batch."""
+
+    def __init__(self):
+        self.ids: dict[str, str] = {}
+        self.text: dict[str, str] = {}
+        self.old: tuple[dict, dict] = {}, {}
 
     def age(self) -> None:
-        if len(self) > MEMO:
-            self.old = dict(self)
-            self.clear()
+        if len(self.ids) > MEMO:
+            self.old = self.ids, self.text
+            self.ids, self.text = {}, {}
+
+    def missing(self, keys: set) -> list:
+        """The keys that neither generation holds; the old one's move to the young one."""
+        found = keys - self.ids.keys()
+        old = [k for k in found if k in self.old[0]]
+        for young, before in zip((self.ids, self.text), self.old):
+            young.update(zip(old, map(before.__getitem__, old)))
+        return list(found.difference(old)) if old else list(found)
 
 
 class Encoder:
-    """Chunk by chunk: a chunk is what stands between white space, and no token spans white space."""
+    """Chunk by chunk: a chunk is what stands between white space, and no token spans white space. The unknown words of a
+    whole batch of texts are looked up and merged together."""
 
     def __init__(self, bpe: Bpe, words: lexicon.Lexicon | None):
         self.bpe, self.words = bpe, words
-        self.memo, self.word_memo = Memo(self.chunk), Memo(self.word)
-
-    def word(self, word: str) -> tuple[str, str]:
-        word = word.encode()
-        ids = self.words.get(word) if self.words is not None else None
-        if ids is None:
-            ids = self.bpe.merge(word)
-        return " ".join(map(str, ids)), " ".join(map(self.bpe.names.__getitem__, ids))
-
-    def chunk(self, chunk: str) -> tuple[str, str]:
-        """Every chunk has at least one word, and every word at least one id."""
-        pairs = [self.word_memo[w] for w in self.bpe.find(chunk)]
-        return pairs[0] if len(pairs) == 1 else (" ".join([ids for ids, _ in pairs]), " ".join([decoded for _, decoded in pairs]))
-
-    def segment(self, text: str) -> tuple[str, str]:
-        """Decimal ids and decoded text."""
+        self.memo, self.word_memo = Memo(), Memo()
+
+    def learn(self, chunks: set[str]) -> None:
+        find, names = self.bpe.find, self.bpe.names.__getitem__
+        memo, known = self.memo, self.word_memo
+        alone, split = [], []
+        for c in memo.missing(chunks):
+            if c.isalpha():  # letters alone are one word
+                alone.append(c)
+            else:
+                split.append((c, find(c)))
+        found, rest, look_up = [], [], self.words.get if self.words is not None else None
+        missing = known.missing({w for _, ws in split for w in ws}.union(alone))
+        if look_up is None:
+            rest = missing
+        else:
+            for word in missing:
+                if (ids := look_up(word.encode())) is None:
+                    rest.append(word)
+                else:
+                    found.append((word, ids))
+        found += zip(rest, self.bpe.merge_many([w.encode() for w in rest]))
+        for word, ids in found:
+            known.ids[word], known.text[word] = " ".join(map(str, ids)), " ".join(map(names, ids))
+        for young, of in ((memo.ids, known.ids), (memo.text, known.text)):
+            get = of.__getitem__
+            young.update(zip(alone, map(get, alone)))
+            for chunk, words in split:  # every chunk has at least one word, and every word at least one id
+                young[chunk] = " ".join(map(get, words))
+
+    def encode_batch(self, texts: list[str]) -> list[tuple[int, str, str]]:
+        """For each text the number of ids, the ids in decimal joined by one space, and the decoded text."""
+        bpe, cut = self.bpe, []
+        for text in texts:
+            if bpe.split_special is not None and any(s in text for s in bpe.special):
+                cut.append([p if p in bpe.special else bpe.chunks(p) for p in bpe.split_special(text)])
+            else:
+                cut.append([bpe.chunks(text)])
         self.memo.age()
         self.word_memo.age()
-        pairs = list(map(self.memo.__getitem__, self.bpe.chunks(text)))
-        return " ".join([ids for ids, _ in pairs]), " ".join([decoded for _, decoded in pairs])
+        self.learn(set().union(*(p for parts in cut for p in parts if type(p) is list)))
+        ids_of, text_of, out = self.memo.ids.__getitem__, self.memo.text.__getitem__, []
+        for parts in cut:
+            if len(parts) == 1:
+                ids, decoded = " ".join(map(ids_of, parts[0])), " ".join(map(text_of, parts[0]))
+            else:
+                ids = " ".join([x for p in parts for x in (map(ids_of, p) if type(p) is list else [str(bpe.special[p])])])
+                decoded = " ".join([x for p in parts for x in (map(text_of, p) if type(p) is list else [p])])
+            out.append((ids.count(" ") + 1 if ids else 0, ids, decoded))
+        return out
+
+    def batches(self, texts: list[str]):
+        """encode_batch over slices of bounded length."""
+        start, size = 0, 0
+        for i, text in enumerate(texts):
+            size += len(text)
+            if size >= BATCH_CHARS:
+                yield from self.encode_batch(texts[start : i + 1])
+                start, size = i + 1, 0
+        yield from self.encode_batch(texts[start:])
 
     def encode(self, text: str) -> tuple[int, str, str]:
-        """Number of ids, ids in decimal joined by one space, decoded text."""
-        bpe = self.bpe
-        if bpe.split_special is not None and any(s in text for s in bpe.special):
-            parts = [(str(bpe.special[p]), p) if p in bpe.special else self.segment(p) for p in bpe.split_special(text)]
-            ids = " ".join(a for a, _ in parts if a)
-            decoded = " ".join(b for a, b in parts if a)
-        else:
-            ids, decoded = self.segment(text)
-        return (ids.count(" ") + 1 if ids else 0), ids, decoded
+        return self.encode_batch([text])[0]
 
 
 @functools.lru_cache(maxsize=1)
@@ -228,7 +321,8 @@ def compile_lexicon(docs: DataFrame, tokenizer: str, text_col: str = "text", wor
         total += n
     partly = (F.col("bar") == least) & (F.pmod(F.xxhash64("word"), F.lit(10_000)) < share)
     bpe, frequent = Bpe(tokenizer), counts.filter((F.col("bar") > least) | partly).select("word")
-    data = lexicon.build([(w, tuple(bpe.merge(w))) for w in map(str.encode, frequent.toPandas()["word"])])
+    found = [w.encode() for w in frequent.toPandas()["word"]]
+    data = lexicon.build(list(zip(found, map(tuple, bpe.merge_many(found)))))
     uri = new_path(docs.sparkSession, "lexicon")
     files, base = _file_system(uri)
     files.create_dir(os.path.dirname(base), recursive=True)
@@ -265,8 +359,7 @@ def digests(docs: DataFrame, tokenizer: str, lexicon_uri: str | None, id_col: st
         encoder = worker_encoder(tokenizer, lexicon_uri)
         for batch in batches:
             n, ids, decoded = [], [], []
-            for text in batch.column(1).to_pylist():
-                size, a, b = encoder.encode(text)
+            for size, a, b in encoder.batches(batch.column(1).to_pylist()):
                 n.append(size)
                 ids.append(hashlib.sha256(a.encode()).hexdigest())
                 decoded.append(hashlib.sha256(b.encode()).hexdigest())
@@ -278,16 +371,15 @@ def digests(docs: DataFrame, tokenizer: str, lexicon_uri: str | None, id_col: st
 
 def encode(docs: DataFrame, tokenizer: str, lexicon_uri: str | None, text_col: str = "text", out_col: str = "ids") -> DataFrame:
     """docs with a column of token ids."""
+    import pandas as pd
 
     def run(series):
         encoder = worker_encoder(tokenizer, lexicon_uri)
         for texts in series:
-            yield texts.map(lambda t: [int(i) for i in encoder.encode(t)[1].split()])
+            yield pd.Series([list(map(int, ids.split())) for _, ids, _ in encoder.batches(texts.tolist())], dtype=object)
 
     from collections.abc import Iterator
 
-    import pandas as pd
-
     run.__annotations__ = {"series": Iterator[pd.Series], "return": Iterator[pd.Series]}
     return docs.withColumn(out_col, F.pandas_udf(run, "array<int>")(F.coalesce(F.col(text_col), F.lit(""))))
 

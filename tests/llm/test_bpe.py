@@ -74,3 +74,31 @@ def test_query_on_cases(spark):
     back = bpe.decode(bpe.encode(docs, PATH, uri), PATH).filter("doc_id = 1").first()
     assert back.decoded == "hello</w> the</w> world</w>" and len(back.ids) == 3
     assert hashlib.sha256(b"").hexdigest() in {r.ids_sha256 for r in bpe.digests(docs, PATH, uri).collect()}
+
+
+def test_merging_many_equals_merging_one(model):
+    rng = random.Random(3)
+    words = ["".join(rng.choice("abcdehilnorst'éß日") for _ in range(rng.randrange(1, 30))).encode() for _ in range(3000)] + [b"", b"a" * 47, b"ab" * 40]
+    assert model.merge_many(words) == [model.merge(w) for w in words]
+
+
+def test_batches_equal_the_library_on_whole_documents(spark):
+    docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet")
+    library = Tokenizer.from_file(PATH)
+    texts = {r.doc_id: r.text or "" for r in docs.collect()}
+    got = bpe.digests(docs, PATH, bpe.compile_lexicon(docs, PATH)).collect()
+    assert len(got) == len(texts)
+    for r in got:
+        ids = library.encode(texts[r.doc_id], add_special_tokens=False).ids
+        want = hashlib.sha256(" ".join(map(str, ids)).encode()).hexdigest(), hashlib.sha256(library.decode(ids, skip_special_tokens=False).encode()).hexdigest()
+        assert (r.n_tokens, r.ids_sha256, r.decoded_sha256) == (len(ids), *want)
+
+
+def test_other_tokenizers_are_refused(tmp_path):
+    import json
+
+    spec = json.load(open(PATH, encoding="utf-8"))
+    spec["normalizer"] = {"type": "NFKC"}
+    (tmp_path / "t.json").write_text(json.dumps(spec), encoding="utf-8")
+    with pytest.raises(ValueError):
+        bpe.Bpe(str(tmp_path / "t.json"))
