@@ -1,7 +1,7 @@
 """Sharding by size-tiered compaction, in DataFrame operations and the Hadoop file API only.
 
-An arrival is appended as small immutable shards. Compaction merges runs of similarly sized shards (sizes within
-one power of ``fan_in``) into files of about ``target_bytes``; a merged file that reaches half of the target is final.
+An arrival is appended as small immutable shards. Compaction merges similarly sized shards (sizes within
+one power of ``fan_in``) into files of at most about ``target_bytes``; a merged file that reaches half of the target is final.
 Shards are never changed: every append or compaction commits a new manifest version that lists the
 live shards, and old shards stay until vacuum() so that readers of older versions are not disturbed.
 
@@ -10,17 +10,20 @@ rename onto an existing version fails, so of two writers one wins and the other
 executors that are lost leave only files that no manifest names.
 
 Cases: any schema (columns are stored as they come; nulls and repeated rows stay), an empty arrival commits a
-version without new shards, and rows of any length go whole to one shard.
+version without new shards, and rows of any length go whole to one shard. Columns may have any names.
 """
 
 from __future__ import annotations
 
 import json
+import time
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from .shared import fresh
+
 
 class Conflict(RuntimeError):
     """Another writer committed this version."""
@@ -84,44 +87,40 @@ class ShardStore:
             level, bound = level + 1, bound * self.fan_in
         return level
 
-    def plan(self, shards: list[dict]) -> list[list[dict]]:
-        """Runs to merge: within a tier, shards below half of the target, cut where a run reaches the target."""
+    def plan(self, shards: list[dict]) -> list[dict]:
+        """Shards to merge: those below half of the target in tiers that hold ``fan_in`` of them, or enough for a final file."""
         tiers: dict[int, list[dict]] = {}
         for shard in shards:
             if shard["bytes"] * 2 < self.target:
                 tiers.setdefault(self.tier(shard["bytes"]), []).append(shard)
-        runs = []
-        for level in sorted(tiers):
-            run, size = [], 0
-            for shard in sorted(tiers[level], key=lambda x: x["path"]):
-                if run and size + shard["bytes"] > self.target:
-                    runs.append(run)
-                    run, size = [], 0
-                run.append(shard)
-                size += shard["bytes"]
-            runs.append(run)
-        return [r for r in runs if len(r) >= self.fan_in or sum(x["bytes"] for x in r) * 2 >= self.target and len(r) > 1]
+        full = lambda run: len(run) >= self.fan_in or len(run) > 1 and sum(x["bytes"] for x in run) * 2 >= self.target
+        return [x for level in sorted(tiers) if full(tiers[level]) for x in tiers[level]]
 
     def compact(self) -> dict:
-        """One round: every planned run becomes one file; a single Spark job merges all runs."""
+        """One round in one narrow job without a shuffle: the scan packs the planned shards, largest first, into partitions of
+        about ``target_bytes``, and each partition becomes one file. The plan has one leaf, however many shards it reads."""
         now = self.manifest()
-        runs = self.plan(now["shards"])
-        if not runs:
+        merge = self.plan(now["shards"])
+        if not merge:
             return now
         folder = f"{self.root}/data/{uuid.uuid4().hex}"
-        # A run's shards are read by one task and written as one file: coalesce does not shuffle. The runs' jobs are
-        # independent, so they form one union with one partition a run.
-        merged = None
-        for run in runs:
-            one = self.spark.read.schema(self._schema(now)).parquet(*[x["path"] for x in run]).coalesce(1)
-            merged = one if merged is None else merged.unionAll(one)
-        merged.write.option("maxRecordsPerFile", 0).parquet(folder)
-        gone = {x["path"] for run in runs for x in run}
-        kept = [x for x in now["shards"] if x["path"] not in gone]
-        return self.commit(now["version"], now["schema"], kept + self._files(folder))
+        packing = {"spark.sql.files.maxPartitionBytes": str(self.target), "spark.sql.files.openCostInBytes": "0", "spark.sql.files.minPartitionNum": "1"}
+        before = {k: self.spark.conf.get(k, None) for k in packing}
+        try:
+            for k, v in packing.items():
+                self.spark.conf.set(k, v)
+            merged = self.spark.read.schema(self._schema(now)).parquet(*[x["path"] for x in merge])
+            merged.write.option("maxRecordsPerFile", 0).parquet(folder)
+        finally:
+            for k, v in before.items():
+                self.spark.conf.unset(k) if v is None else self.spark.conf.set(k, v)
+        gone, made = {x["path"] for x in merge}, self._files(folder)
+        if len(made) >= len(merge):  # nothing was won: the session packs less than the target into a partition
+            return now
+        return self.commit(now["version"], now["schema"], [x for x in now["shards"] if x["path"] not in gone] + made)
 
     def settle(self) -> dict:
-        """Rounds until no tier has a run to merge."""
+        """Rounds until no tier has shards to merge."""
         while True:
             before = self.manifest()["version"]
             if (after := self.compact())["version"] == before:
@@ -133,20 +132,30 @@ class ShardStore:
         return StructType.fromJson(json.loads(manifest["schema"]))
 
     def read(self, version: int | None = None) -> DataFrame:
-        """The rows of a version (the last by default) with the shard each row came from in ``_shard``."""
+        """The rows of a version (the last by default) with the shard each row came from in ``_shard`` (with more underscores
+        where a stored column begins so)."""
         now = self.manifest(version)
         if now["schema"] is None:
             raise ValueError("nothing was appended yet")
         schema, paths = self._schema(now), [x["path"] for x in now["shards"]]
         if not paths:
-            return self.spark.createDataFrame([], schema).withColumn("_shard", F.lit(None).cast("string"))
-        return self.spark.read.schema(schema).parquet(*paths).withColumn("_shard", F.element_at(F.split(F.input_file_name(), "/"), -1))
-
-    def vacuum(self) -> int:
-        """Deletes shards that the last version does not name; returns how many."""
-        live = {x["path"] for x in self.manifest()["shards"]}
-        folders = [f"{self.root}/data/{x.getPath().getName()}" for x in self._fs.listStatus(self._path(f"{self.root}/data"))]
-        dead = [x["path"] for f in folders for x in self._files(f) if x["path"] not in live]
-        for path in dead:
-            self._fs.delete(self._path(path), False)
-        return len(dead)
+            rows, shard = self.spark.createDataFrame([], schema), F.lit(None).cast("string")
+        else:
+            rows, shard = self.spark.read.schema(schema).parquet(*paths), F.element_at(F.split(F.input_file_name(), "/"), -1)
+        return rows.withColumn(fresh(rows, "_shard"), shard)
+
+    def vacuum(self, least_age: float = 24 * 3600.0) -> int:
+        """Deletes shards that older versions name and the last one doesn't, and files that no version names once they are
+        ``least_age`` seconds old: younger ones may belong to a writer that hasn't committed yet. Returns how many."""
+        versions = [self.manifest(v) for v in self.versions()]
+        live = {x["path"] for x in versions[-1]["shards"]} if versions else set()
+        named = {x["path"] for v in versions for x in v["shards"]}
+        dead = 0
+        for folder in self._fs.listStatus(self._path(f"{self.root}/data")):
+            for file in self._fs.listStatus(folder.getPath()):
+                path = f"{self.root}/data/{folder.getPath().getName()}/{file.getPath().getName()}"
+                old = time.time() - file.getModificationTime() / 1000 > least_age
+                if path not in live and (path in named or old):
+                    self._fs.delete(file.getPath(), False)
+                    dead += path.rpartition("/")[2].startswith("part-")
+        return dead

@@ -2,15 +2,16 @@
 
 Each source is a queue in shuffled order (the MD5 of seed and id). The k-th pass over a document finishes at
 virtual time (k * source tokens + cumulative tokens in the queue) / target. All (document, pass) entries are
-range-sorted by finish time and cut where the total budget is reached.
+range-sorted by finish time (repartitionByRange and a sort in each range) and cut where the total budget is reached.
 
 A source may hold any share of the rows: a queue is dealt by ranges of the shuffle key into slices of about
 ``width`` rows, the slices' sums are partial aggregates, and only the slices' sums (not rows) meet in one
-window per source. The cut is found by a range histogram refined level by level: each level sends one row
-to the driver, whatever the input's size.
+window per source. The cut is found from the sums of the sorted ranges and, in the one range where it lies, by a histogram:
+each step sends one row to the driver, whatever the input's size.
 
 Cases: a null text has size 0 and is taken 0 words; a null source is a source of its own, last in order;
-repeated ids keep one place each (ties are broken by size and text hash); an empty table gives an empty result.
+repeated ids keep one place each (ties are broken by size and text hash); texts of any length are counted whole; an empty table
+gives an empty result; other columns, whatever their names, are not read by mix() and pass through mixed().
 """
 
 from __future__ import annotations
@@ -18,16 +19,20 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .shared import hot_free, small, table
+from .shared import fresh, slices_of, small, table
 
 WEIGHTS = (5.0, 2.0, 1.0)
 #: A queue is passed at most this often.
 PASSES = 2
 LEVEL = 4096
+#: Entries in a range of the global sort, and the most ranges.
+RANGE, MOST_RANGES = 50_000, 10_000
 
 
 def row_key(id_col: str, text_col: str, source_col: str):
-    return F.xxhash64(F.col(id_col), F.col(source_col), F.col(text_col))
+    """128 bits of a row, by which rows that agree in id, source and text are found again."""
+    key = F.col(id_col), F.col(source_col), F.col(text_col)
+    return F.struct(F.xxhash64(*key).alias("a"), F.xxhash64(F.lit(7), *key).alias("b"))
 
 
 def sizes(docs: DataFrame, id_col: str, text_col: str, source_col: str, seed: str) -> DataFrame:
@@ -63,7 +68,7 @@ def targets(per_source: DataFrame, share: float = 1.5, weights: tuple = WEIGHTS,
 
 def queued(rows: DataFrame, n_rows: int, width: int) -> DataFrame:
     """Adds cum: tokens of the source up to and including this document, in shuffled order."""
-    slices = hot_free(rows, "key", n_rows, width)
+    slices = slices_of(n_rows, width)
     part = F.floor(F.conv(F.substring("key", 1, 8), 16, 10).cast("double") / (2.0**32 / slices)).cast("long")
     rows = rows.withColumn("part", part)
     sums = rows.groupBy("source", "part").agg(F.sum("size").alias("part_size"))
@@ -76,13 +81,31 @@ def queued(rows: DataFrame, n_rows: int, width: int) -> DataFrame:
     return out.select("doc_id", "source", "size", "tie", (F.col("offset") + F.col("local")).alias("cum"))
 
 
-def budget_cut(entries: DataFrame, budget: float) -> float:
-    """Finish time of the first entry that no longer fits: those before it are taken. Entries that finish at the
-    same time are taken or left together."""
-    found = entries.agg(F.sum("size"), F.max("vft")).first()
-    if (found[0] or 0) <= budget:
+def in_order(entries: DataFrame) -> DataFrame:
+    """The global queue: entries (size, vft) sorted by finish time, with the number of the range that each lies in."""
+    ranges = max(1, min(MOST_RANGES, -(-entries.count() // RANGE)))
+    line = entries.repartitionByRange(ranges, "vft").sortWithinPartitions("vft")
+    return table(line.select("size", "vft", F.spark_partition_id().alias("range")), "mix-line")
+
+
+def budget_cut(line: DataFrame, budget: float) -> float:
+    """Finish time of the first entry of the sorted line that no longer fits: those before it are taken. Entries that finish
+    at the same time are taken or left together.
+
+    Sums by range (at most MOST_RANGES rows) show the range in which the budget ends; that range alone is looked at further."""
+    sums = line.groupBy("range").agg(F.sum("size").alias("size"), F.min("vft").alias("first"))
+    running = Window.orderBy("first").rowsBetween(Window.unboundedPreceding, 0)
+    over = sums.withColumn("run", F.sum("size").over(running)).filter(F.col("run") > F.lit(budget)).orderBy("run").limit(1).collect()
+    if not over:
         return float("inf")
-    low, high, spent = 0.0, found[1] * (1 + 2**-50), 0
+    inside = line.filter(F.col("range") == over[0]["range"])
+    return _cut_inside(inside, budget - (over[0]["run"] - over[0]["size"]))
+
+
+def _cut_inside(entries: DataFrame, budget: float) -> float:
+    """The same within one range, by histograms of finish times: each level sends one row to the driver."""
+    low, high = entries.agg(F.min("vft"), F.max("vft")).first()
+    high, spent = high * (1 + 2**-50), 0
     while True:
         step = (high - low) / LEVEL
         exact = step <= 1e-13 * high
@@ -98,7 +121,7 @@ def budget_cut(entries: DataFrame, budget: float) -> float:
         low, high = row["first"], row["last"] * (1 + 2**-50)
 
 
-def mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source", share: float = 1.5, weights: tuple = WEIGHTS, seed: str = "mix-1:", width: int = 20_000) -> DataFrame:
+def mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source", share: float = 1.5, weights: tuple = WEIGHTS, seed: str = "mix-1:", width: int = 4_000) -> DataFrame:
     """Row per document: doc_id, source, size, source_size, target, taken, times and the row's key."""
     rows = table(sizes(docs, id_col, text_col, source_col, seed), "mix-sizes")
     per_source = table(targets(rows.groupBy("source").agg(F.sum("size").alias("source_size")), share, weights), "mix-targets")
@@ -116,7 +139,7 @@ def mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_
         one = line.filter("size > 0").select("size", finish(k).alias("vft"))
         entries = one if entries is None else entries.unionByName(one)
     budget = share * (per_source.agg(F.sum("source_size")).first()[0] or 0)
-    cut = budget_cut(entries, budget)
+    cut = budget_cut(in_order(entries), budget)
     times = sum((F.when(finish(k) < F.lit(cut), 1).otherwise(0) for k in range(PASSES)), F.lit(0))
     times = F.when(F.col("size") > 0, times).otherwise(0)
     return line.select("doc_id", "source", "size", "source_size", "target", (F.col("size") * times).cast("long").alias("taken"), times.alias("times"), "tie")
@@ -126,6 +149,9 @@ def mixed(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", sourc
     """The mix itself: every row of docs as often as it is taken, all columns as they came. Rows that agree in id,
     source and text are taken alike, as often as the one taken most. Documents without words are not taken."""
     taken = mix(docs, id_col, text_col, source_col, **options)
-    often = small(table(taken.filter("times > 0").groupBy(F.col("tie").alias("__tie")).agg(F.max("times").alias("__times")), "mix-taken"))
-    rows = docs.join(often, row_key(id_col, text_col, source_col) == F.col("__tie")).withColumn("__copy", F.explode(F.sequence(F.lit(1), F.col("__times"))))
-    return rows.drop("__tie", "__times", "__copy")
+    tie, times, copy = (fresh(docs, x) for x in ("__tie", "__times", "__copy"))
+    often = taken.filter("times > 0").groupBy("tie").agg(F.max("times").alias(times))
+    often = small(table(often.select(F.col("tie.a").alias(tie + "a"), F.col("tie.b").alias(tie + "b"), times), "mix-taken"))
+    key = row_key(id_col, text_col, source_col)
+    rows = docs.join(often, (key["a"] == F.col(tie + "a")) & (key["b"] == F.col(tie + "b")))
+    return rows.withColumn(copy, F.explode(F.sequence(F.lit(1), F.col(times)))).select(*[docs[c] for c in docs.columns])

@@ -43,16 +43,22 @@ def op6_fair_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", "size", "source_size", "target", "taken")
 
 
+#: Arrivals that op7 deals the documents into.
+ARRIVALS = 4
+
+
 def op7_compacted_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Appends all documents as small shards, compacts them, and returns what the committed version holds: per
-    document its id, UTF-8 length and the SHA-256 of the text as read back."""
+    """Appends the documents in several arrivals (by the hash of the id), compacts their shards, and returns what the committed
+    version holds: per document its id, UTF-8 length, the SHA-256 of the text as read back, and whether a compaction was
+    committed after the arrivals."""
     store = compaction.ShardStore(spark, new_path(spark, "shards"), target_bytes=64 << 20)
     docs = _read(spark, sf_dir, "documents")
-    store.append(docs)
-    store.settle()
+    for k in range(ARRIVALS):
+        store.append(docs.filter(F.pmod(F.xxhash64("doc_id"), F.lit(ARRIVALS)) == k))
+    version = store.settle()["version"]
     store.vacuum()
     text = F.coalesce("text", F.lit(""))
-    return store.read().select("doc_id", F.octet_length(text).cast("long").alias("n_bytes"), F.sha2(text, 256).alias("text_sha256"))
+    return store.read().select("doc_id", F.octet_length(text).cast("long").alias("n_bytes"), F.sha2(text, 256).alias("text_sha256"), F.lit(version > ARRIVALS).alias("compacted"))
 
 
 def word_bpe() -> str:

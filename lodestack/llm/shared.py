@@ -84,9 +84,16 @@ def stripped(text):
     return F.translate(F.coalesce(text, F.lit("")), BLANK, "")
 
 
-def hot_free(df: DataFrame, key, rows: int, width: int = 20_000) -> int:
+def slices_of(rows: int, width: int) -> int:
     """Number of equal slices so that a slice holds about ``width`` rows (a power of two)."""
     n = 1
     while n * width < rows:
         n *= 2
     return n
+
+
+def fresh(df: DataFrame, name: str) -> str:
+    """A column name that neither a column of df nor a longer name of it begins with."""
+    while any(c.lower().startswith(name.lower()) for c in df.columns):
+        name = "_" + name
+    return name

@@ -37,6 +37,6 @@ SELECT page_id, n AS payload_bytes, h AS payload_digest, CASE WHEN n >= 100 AND
 SQL = {
     "op5_warc_dictionary": _WARC,
     "op6_fair_mix": _MIX,
-    "op7_compacted_shards": "SELECT doc_id, CAST(octet_length(encode(coalesce(text, ''))) AS BIGINT) AS n_bytes, sha256(coalesce(text, '')) AS text_sha256 FROM documents",
+    "op7_compacted_shards": "SELECT doc_id, CAST(octet_length(encode(coalesce(text, ''))) AS BIGINT) AS n_bytes, sha256(coalesce(text, '')) AS text_sha256, true AS compacted FROM documents",
     "op9_exact_dedup": _DEDUP,
 }

@@ -34,6 +34,8 @@ import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from .shared import fresh
+
 SAMPLE = 6000
 SAMPLE_CHARS = 64 << 20
 THRESHOLD = 0.3
@@ -358,8 +360,6 @@ def scored(docs: DataFrame, model: Model, text_col: str = "text", out: str = "sc
 
 def clean(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """The rows of docs that are not rejected, all columns as they came."""
-    name = "__score"
-    while name in docs.columns:
-        name += "_"
+    name = fresh(docs, "__score")
     kept = scored(docs, train(docs, labels, id_col, text_col), text_col, name).filter(F.col(name) < THRESHOLD)
     return kept.select(*docs.columns)

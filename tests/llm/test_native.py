@@ -40,14 +40,41 @@ def test_mix_targets_and_repeats(spark):
     assert all(abs(taken[s] - target[s]) <= 8 and target[s] <= 2 * size[s] for s in size)
     assert abs(sum(target.values()) - 1.5 * sum(size.values())) < 1e-6
     assert mixing.mix(docs.limit(0)).count() == 0
-    assert mixing.mixed(docs).columns == docs.columns
+    clash = docs.selectExpr("*", "'a' as __tie", "'b' as __tiea", "1 as __times", "2 as __copy", "3 as __score")
+    assert mixing.mixed(clash).columns == clash.columns and {r["__copy"] for r in mixing.mixed(clash).collect()} == {2}
+
+
+def test_mix_is_cut_in_the_sorted_line(spark, monkeypatch):
+    """The taken passes are the first ones of the whole line in order of finish time, over many ranges."""
+    monkeypatch.setattr(mixing, "RANGE", 30)
+    rows = [(i, "w " * (i * i % 23 + 1), "abcd"[i % 4]) for i in range(400)] + [(900, "long " * 3000, "a")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    line = mixing.in_order(spark.range(1000).selectExpr("id % 7 + 1 as size", "double((id * 37) % 1000) as vft"))
+    found = {}
+    for r in line.collect():
+        found.setdefault(r["range"], []).append(r.vft)
+    assert len(found) > 5 and all(v == sorted(v) for v in found.values())
+    spans = sorted((v[0], v[-1]) for v in found.values())
+    assert all(a[1] <= b[0] for a, b in zip(spans, spans[1:]))
+    sizes = sorted((float(i * 37 % 1000), i % 7 + 1) for i in range(1000))
+    for budget in (0, 1, 50, 1234, 3990):
+        run, want = 0, float("inf")
+        for vft, size in sizes:
+            run += size
+            if run > budget:
+                want = vft
+                break
+        assert mixing.budget_cut(line, budget) == want
+    got = mixing.mix(docs).collect()
+    total = sum(r.size for r in got)
+    assert 0 <= 1.5 * total - sum(r.taken for r in got) < 3000 and {r.size for r in got if r.doc_id == 900} == {3000}
 
 
 def test_sharding(spark):
     store = compaction.ShardStore(spark, shared.new_path(spark, "t"), target_bytes=20_000, fan_in=2)
     with pytest.raises(ValueError):
         store.read()
-    docs = spark.range(3000).selectExpr("id as doc_id", "case when id % 50 = 0 then null else repeat(string(id), 9) end as text", "'s' as _x")
+    docs = spark.range(3000).selectExpr("id as doc_id", "case when id % 50 = 0 then null else repeat(string(id), 9) end as text", "'s' as _x", "'t' as _shard")
     for k in range(4):
         store.append(docs.filter(f"doc_id % 4 = {k}").repartition(4))
     before = len(store.manifest()["shards"])
@@ -55,7 +82,11 @@ def test_sharding(spark):
     after = store.settle()
     assert len(after["shards"]) < before and store.versions()[-1] == after["version"]
     assert store.read().count() == 3000 and store.read(2).count() == 1500  # older versions stay readable
-    assert store.vacuum() > 0 and store.read().select("doc_id").distinct().count() == 3000
+    assert after["version"] > 5 and {r._shard for r in store.read().collect()} == {"t"} and store.read().columns[-1] == "__shard"
+    docs.limit(5).write.parquet(f"{store.root}/data/uncommitted")  # another writer's, not committed yet
+    assert store.vacuum() == before and len(store._files(f"{store.root}/data/uncommitted")) > 0
+    assert store.vacuum(0.0) > 0 and store._files(f"{store.root}/data/uncommitted") == []
+    assert store.read().select("doc_id").distinct().count() == 3000
     with pytest.raises(compaction.Conflict):
         store.commit(1, after["schema"], [])
 
