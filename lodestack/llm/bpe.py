@@ -29,8 +29,10 @@ from . import lexicon
 from .shared import new_path, table
 
 LEXICON_WORDS = 300_000
-#: Chunks or words in one generation of a worker's memos, and chunks in a partial count.
-MEMO = 250_000
+#: Chunks or words in one generation of a worker's memos; they stay with the worker, beside the next stages' ones.
+MEMO = 60_000
+#: Chunks in a partial count.
+COUNTED = 200_000
 #: Words of more parts are merged a whole round at a time, which costs less than single steps there.
 LONG = 100
 #: Words of at most this many bytes are merged many at a time.
@@ -296,7 +298,7 @@ def word_counts(docs: DataFrame, tokenizer: str, text_col: str = "text") -> Data
         for batch in batches:
             for text in batch.column(0).to_pylist():
                 chunks.update(bpe.chunks(text))
-                if len(chunks) > MEMO:
+                if len(chunks) > COUNTED:
                     yield flush()
         if chunks:
             yield flush()

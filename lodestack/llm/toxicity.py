@@ -39,7 +39,7 @@ from .shared import fresh
 SAMPLE = 6000
 SAMPLE_CHARS = 64 << 20
 THRESHOLD = 0.3
-MEMO = 400_000
+MEMO = 100_000
 REACH = 2
 NEAR = 4
 #: Fixed arc weights.
