@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 from ..functions import text as T
 from ..operators import matching as M
 from ..operators import relational as R
+from ..session import ship
 from ..streaming import status as S
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -22,7 +23,11 @@ SQL: dict[str, str] = {}
 
 def query(sql: str | None):
     def add(fn):
-        QUERIES[fn.__name__] = lambda spark, sf_dir: fn(lambda name: spark.read.parquet(f"{sf_dir}/{name}.parquet"))
+        def run(spark, sf_dir):
+            ship(spark)
+            return fn(lambda name: spark.read.parquet(f"{sf_dir}/{name}.parquet"))
+
+        QUERIES[fn.__name__] = run
         if sql is not None:
             SQL[fn.__name__] = sql
         return fn
@@ -302,8 +307,8 @@ def page_carry_forward(t):
     return lines.select("doc_id", F.col("line_no").cast("long").alias("line_no"), F.last(F.when(F.length("line") % 4 == 0, F.col("line_no").cast("long")), ignorenulls=True).over(w).alias("page"))
 
 
-@query("""SELECT conv_id, turn, concat_ws(' ', text, CASE WHEN r1 <> 'user' THEN t1 END, CASE WHEN r1 <> 'user' AND r2 <> 'user' THEN t2 END) AS body FROM
-(SELECT conv_id, turn, role, left(text, 40) AS text, lead(left(text, 40)) OVER w AS t1, lead(role) OVER w AS r1, lead(left(text, 40), 2) OVER w AS t2, lead(role, 2) OVER w AS r2 FROM conversations WINDOW w AS (PARTITION BY conv_id ORDER BY turn)) WHERE role = 'user'""")
+@query("""SELECT conv_id, turn, concat_ws(' ', text, CASE WHEN r1 <> 'user' THEN t1 END, CASE WHEN r1 <> 'user' AND r2 <> 'user' THEN t2 END, CASE WHEN r1 <> 'user' AND r2 <> 'user' AND r3 <> 'user' THEN t3 END) AS body FROM
+(SELECT conv_id, turn, role, text, lead(text) OVER w AS t1, lead(role) OVER w AS r1, lead(text, 2) OVER w AS t2, lead(role, 2) OVER w AS r2, lead(text, 3) OVER w AS t3, lead(role, 3) OVER w AS r3 FROM conversations WINDOW w AS (PARTITION BY conv_id ORDER BY turn)) WHERE role = 'user'""")
 def borrow_next_lines(t):
     w = Window.partitionBy("conv_id").orderBy("turn")
     c = t("conversations")
@@ -333,16 +338,13 @@ def priority_topk_sources(t):
 _HITS = f"SELECT b.item_id, d.doc_id FROM (SELECT item_id, {_MATCH.format(x='text')} AS q FROM benchmark) b JOIN (SELECT doc_id, {_MATCH.format(x='text')} AS m FROM documents) d ON contains(d.m, b.q)"
 
 
-def _hits(t):
-    quotes = t("benchmark").select(F.col("item_id").alias("qid"), F.col("text").alias("quote"))
-    sources = t("documents").select(F.col("doc_id").alias("sid"), F.col("text").alias("body"))
-    return M.candidates(quotes, sources)
+def _quotes(t):
+    return t("benchmark").select(F.col("item_id").alias("qid"), F.col("text").alias("quote")), t("documents").select(F.col("doc_id").alias("sid"), F.col("text").alias("body"))
 
 
 @query(_HITS)
 def evidence_exact_hits(t):
-    hits = _hits(t).filter(F.contains(T.match_text(F.col("body")), T.match_text(F.col("quote"))))
-    return hits.select(F.col("qid").alias("item_id"), F.col("sid").alias("doc_id"))
+    return M.evidence_hits(*_quotes(t)).filter("exact").select(F.col("qid").alias("item_id"), F.col("sid").alias("doc_id"))
 
 
 @query(f"SELECT item_id, CAST(mentions AS BIGINT) AS mentions, sources FROM (SELECT item_id, count(*) AS mentions, string_agg(DISTINCT source, ',' ORDER BY source) AS sources, row_number() OVER (ORDER BY count(*) DESC, item_id) AS rn FROM ({_HITS}) h JOIN documents USING (doc_id) GROUP BY item_id) WHERE rn <= 10")
@@ -354,36 +356,49 @@ def mention_topk(t):
 
 @query(f"SELECT b.item_id, d.doc_id FROM (SELECT item_id, {_COMPACT.format(x='text')} AS q FROM benchmark) b JOIN (SELECT doc_id, {_COMPACT.format(x='text')} AS m FROM documents) d ON length(b.q) >= 30 AND contains(d.m, b.q)")
 def evidence_compact_hits(t):
-    q = T.compact_text(F.col("quote"))
-    return _hits(t).filter((F.length(q) >= 30) & F.contains(T.compact_text(F.col("body")), q)).select(F.col("qid").alias("item_id"), F.col("sid").alias("doc_id"))
+    return M.evidence_hits(*_quotes(t)).filter("compact").select(F.col("qid").alias("item_id"), F.col("sid").alias("doc_id"))
+
+
+_TIERS = f"""WITH b AS (SELECT item_id, {_MATCH.format(x='text')} AS q, {_COMPACT.format(x='text')} AS c, string_split({_MATCH.format(x='text')}, ' ') AS w FROM benchmark),
+d AS (SELECT doc_id, {_MATCH.format(x='text')} AS m, {_COMPACT.format(x='text')} AS c FROM documents),
+h AS (SELECT item_id, doc_id, 0 AS tier, CASE WHEN contains(m, q) THEN 1.0::DOUBLE ELSE 0.97::DOUBLE END AS score FROM b JOIN d ON length(q) >= 8 AND (contains(m, q) OR length(b.c) >= 30 AND contains(d.c, b.c))
+UNION ALL SELECT item_id, doc_id, 1, 0.92::DOUBLE FROM b JOIN d ON len(w) >= 12 AND contains(m, array_to_string(w[1:12], ' ')) AND contains(m, array_to_string(w[-12:], ' ')))
+SELECT b.item_id, h.doc_id, coalesce(h.score, 0.0::DOUBLE) AS score FROM b LEFT JOIN (SELECT * FROM h QUALIFY row_number() OVER (PARTITION BY item_id ORDER BY tier, doc_id) = 1) h USING (item_id)"""
 
 
-@query(f"""SELECT item_id, coalesce(max(s), 0.0::DOUBLE) AS score FROM benchmark LEFT JOIN (
-SELECT item_id, 1.0::DOUBLE AS s FROM ({_HITS})) USING (item_id) GROUP BY item_id""")
+@query(_TIERS)
 def evidence_tiers(t):
-    best = _hits(t).groupBy(F.col("qid").alias("item_id")).agg(F.max(M.tier(F.col("quote"), F.col("body"))).alias("s"))
-    return t("benchmark").select("item_id").join(best, "item_id", "left").select("item_id", F.coalesce("s", F.lit(0.0)).alias("score"))
+    """The tiers that containment decides, as values: 1.0, 0.97, 0.92, else 0.0."""
+    best = M.best_evidence(*_quotes(t))
+    sure = F.col("score") >= 0.92
+    return best.select(F.col("qid").alias("item_id"), F.when(sure, F.col("sid")).alias("doc_id"), F.when(sure, F.col("score")).otherwise(0.0).alias("score"))
 
 
 @query(None)
 def evidence_fuzzy(t):
-    best = _hits(t).withColumn("ratio", M.sequence_ratio(T.match_text(F.col("quote")), T.match_text(F.col("body"))))
-    return best.groupBy("qid").agg(F.max_by("sid", F.struct("ratio", -F.col("sid"))).alias("doc_id"), F.bround(F.max("ratio"), 4).alias("ratio"))
+    """The best ratio of each quote with a window of a source that holds its first six words (no SQL: difflib's ratio)."""
+    hits = M.evidence_hits(*_quotes(t), ratios=True).filter("prefixed")
+    return hits.groupBy("qid").agg(F.max_by("sid", F.struct("ratio", -F.col("sid"))).alias("doc_id"), F.bround(F.max("ratio"), 4).alias("ratio"))
 
 
 @query(f"""SELECT b.item_id, d.doc_id, len(list_intersect(bt, dt)) AS overlap FROM
 (SELECT item_id, list_distinct(list_filter(string_split({_MATCH.format(x='text')}, ' '), lambda x: length(x) >= 3)[1:80]) AS bt FROM benchmark) b JOIN
-(SELECT doc_id, list_distinct(list_filter(string_split({_MATCH.format(x='text')}, ' '), lambda x: length(x) >= 3)) AS dt FROM documents) d ON len(list_intersect(bt, dt)) >= 30""")
+(SELECT doc_id, list_distinct(list_filter(string_split({_MATCH.format(x='text')}, ' '), lambda x: length(x) >= 3)) AS dt FROM documents) d ON len(list_intersect(bt, dt)) >= 1
+QUALIFY row_number() OVER (PARTITION BY b.item_id ORDER BY len(list_intersect(bt, dt)) DESC, d.doc_id) <= 5""")
 def token_overlap_topk(t):
-    tokens = lambda c: F.filter(F.split(T.match_text(F.col(c)), " "), lambda x: F.length(x) >= 3)
-    q = t("benchmark").select("item_id", F.explode(F.array_distinct(F.slice(tokens("text"), 1, 80))).alias("w"))
-    d = t("documents").select("doc_id", F.explode(F.array_distinct(tokens("text"))).alias("w"))
-    return q.join(d, "w").groupBy("item_id", "doc_id").agg(F.count(F.lit(1)).alias("overlap"))
+    """For each quote the five documents with the most of its tokens."""
+    return M.overlap_topk(*_quotes(t), 5).select(F.col("qid").alias("item_id"), F.col("sid").alias("doc_id"), "overlap")
 
 
-@query("SELECT doc_id, unnest(regexp_extract_all(text, '.{0,20}License.{0,40}', 0, 's')) AS snippet FROM documents")
+@query("""SELECT doc_id, key, arg_min(snippet, p) AS snippet FROM (SELECT doc_id, p, snippet, left(snippet, 120) AS key FROM (
+SELECT doc_id, generate_subscripts(l, 1) AS p, left(trim(regexp_replace(unnest(l), '\\s+', ' ', 'g')), 800) AS snippet FROM (
+SELECT doc_id, regexp_extract_all(text, '(?is).{0,180}(?:License|Copyright).{0,420}') AS l FROM documents))) GROUP BY doc_id, key""")
 def keyword_snippets(t):
-    return t("documents").select("doc_id", F.explode(F.regexp_extract_all("text", F.lit("(?isu).{0,180}License.{0,420}"), F.lit(0))).alias("snippet"))
+    """Text around keywords in any case, 180 characters before and 420 after; of snippets that begin alike, a document's first."""
+    s = t("documents").filter(F.col("text").rlike("(?i)License|Copyright"))
+    s = s.select("doc_id", F.posexplode(F.regexp_extract_all("text", F.lit("(?is).{0,180}(?:License|Copyright).{0,420}"), F.lit(0))).alias("p", "raw"))
+    s = s.select("doc_id", "p", F.substring(T.norm_space(F.col("raw")), 1, 800).alias("snippet"))
+    return s.groupBy("doc_id", F.substring("snippet", 1, 120).alias("key")).agg(F.min_by("snippet", "p").alias("snippet"))
 
 
 @query("SELECT user_id, event_id FROM (SELECT user_id, event_id, coalesce(sum(CASE WHEN event_type = 'click' THEN 1 ELSE 0 END) OVER (PARTITION BY user_id ORDER BY event_id ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS b FROM events) WHERE b < 3")
@@ -409,9 +424,13 @@ def retry_attempts(t):
     return t("events").select("event_id", F.row_number().over(Window.partitionBy("user_id", "event_type").orderBy("ts", "event_id")).alias("attempt"))
 
 
-@query("SELECT event_id, CAST(json_extract_string(props, '$.k') AS BIGINT) AS k FROM events")
+@query("""SELECT event_id, 'dims[0].original_text' AS path, json_extract_string(props, '$.k') AS value FROM events
+UNION ALL SELECT event_id, 'dims[1].deep.more[0].original_text', CAST(event_id AS VARCHAR) FROM events""")
 def json_walk(t):
-    return t("events").select("event_id", F.get_json_object("props", "$.k").cast("long").alias("k"))
+    """A recursive walk over objects and lists; the excluded list's value must not come out."""
+    e, text = t("events"), lambda c: F.concat(F.lit('{"original_text": "'), c, F.lit('"}'))
+    nested = F.concat(F.lit('{"dims": ['), text(F.get_json_object("props", "$.k")), F.lit(', {"deep": {"more": ['), text(F.col("event_id").cast("string")), F.lit(']}}], "top_risk_reasons": [{"original_text": "no"}]}'))
+    return e.select("event_id", F.explode(M.walk_json(nested)).alias("x")).select("event_id", "x.path", "x.value")
 
 
 @query("""SELECT app, CASE WHEN n IS NULL THEN 'I_no_orders' WHEN lines >= 60 AND big > 0 THEN 'A_complete' WHEN lines >= 60 THEN 'B_no_large' WHEN big > 0 THEN 'C_few_lines' ELSE 'D_small' END AS class FROM
@@ -429,7 +448,7 @@ def _boxes(t, prefix):
     return t("lineitem").select(F.col("l_orderkey").alias("page"), F.col("l_linenumber").cast("long").alias(f"{prefix}_n"), (k % 50).alias(f"{prefix}_x"), (k % 37).alias(f"{prefix}_y"), (k % 23 + 5).alias(f"{prefix}_w"), (k % 19 + 5).alias(f"{prefix}_h"))
 
 
-_BOX = "SELECT l_orderkey AS page, CAST(l_linenumber AS BIGINT) AS n, l_partkey % 50 AS x, l_partkey % 37 AS y, l_partkey % 23 + 5 AS w, l_partkey % 19 + 5 AS h FROM lineitem WHERE l_linenumber <= 3"
+_BOX = "SELECT l_orderkey AS page, CAST(l_linenumber AS BIGINT) AS n, l_partkey % 50 AS x, l_partkey % 37 AS y, l_partkey % 23 + 5 AS w, l_partkey % 19 + 5 AS h FROM lineitem"
 
 
 @query(f"""SELECT page, an, bn, round(i / nullif(wa + wb - i, 0), 6) AS iou FROM (SELECT a.page, a.n AS an, b.n AS bn, CAST(greatest(0, least(a.x + a.w, b.x + b.w) - greatest(a.x, b.x)) * greatest(0, least(a.y + a.h, b.y + b.h) - greatest(a.y, b.y)) AS DOUBLE) AS i, a.w * a.h AS wa, b.w * b.h AS wb
