@@ -90,7 +90,7 @@ def test_evidence_of_every_tier(spark, tmp_path):
     anchors = " ".join(words[:12] + ["other"] + words[-12:])
     bench = ([(1, "pha beta"), (2, "The composition holds twenty grams of it"), (3, " ".join(words)), (4, "zq x")], "item_id long, text string")
     docs = ([(7, "alpha beta"), (8, "the compo sition holds twenty grams of it"), (9, anchors), (10, "a zq x")], "doc_id long, text string")
-    for name, want in (("evidence_tiers", [(1, 1.0), (2, 0.97), (3, 0.92), (4, 0.0)]), ("evidence_exact_hits", [(1, 7), (4, 10)]), ("evidence_compact_hits", [(2, 8)])):
+    for name, want in (("evidence_tiers", [(1, 7, 1.0), (2, 8, 0.97), (3, 9, 0.92), (4, None, 0.0)]), ("evidence_exact_hits", [(1, 7), (4, 10)]), ("evidence_compact_hits", [(2, 8)])):
         assert on_tables(spark, tmp_path / name, name, benchmark=bench, documents=docs) == want
 
 
@@ -99,4 +99,4 @@ def test_whole_lines_and_snippets(spark, tmp_path):
     got = on_tables(spark, tmp_path / "lines", "borrow_next_lines", conversations=(turns, "conv_id long, turn long, role string, text string"))
     assert got == [(1, 0, " ".join(["u" * 60, "a" * 50, "b", "c"]))]
     docs = ([(1, "x" * 200 + "LICENSE" + "y" * 500)], "doc_id long, text string")
-    assert on_tables(spark, tmp_path / "snippets", "keyword_snippets", documents=docs) == [(1, "x" * 180 + "LICENSE" + "y" * 420)]
+    assert on_tables(spark, tmp_path / "snippets", "keyword_snippets", documents=docs) == [(1, "x" * 120, "x" * 180 + "LICENSE" + "y" * 420)]
