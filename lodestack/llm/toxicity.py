@@ -28,6 +28,7 @@ from __future__ import annotations
 import math
 import re
 import zlib
+from array import array
 from collections import Counter
 
 import numpy as np
@@ -268,14 +269,24 @@ def entries(texts: list[str], toxic: list[int], gain: float = 14.0, least: int =
             continue
         seen |= marks
         sides[y].update({w for w in WORD.findall(text.lower()) if len(w) >= 3})
-    names = sorted(w for w in sides[1] | sides[0] if not w.isdigit())
-    pos, neg = (np.array([c[w] for w in names], dtype=float) for c in (sides[1], sides[0]))
-    share = pos.sum() / max(1.0, pos.sum() + neg.sum())
+    # Entries come from words of toxic texts; other words matter only where they share one.
     keys: dict[str, int] = {}
-    word_at = np.array([keys.setdefault(w, len(keys)) for w in names], dtype=np.int64)
-    pairs = [(i, keys.setdefault(w[:n] + "*", len(keys))) for i, w in enumerate(names) for n in SIZES if len(w) > n]
-    who, what = (np.array(x, dtype=np.int64) for x in zip(*pairs)) if pairs else (np.zeros(0, dtype=np.int64),) * 2
-    who, what = np.concatenate((np.arange(len(names)), who)), np.concatenate((word_at, what))
+    for w in sorted(sides[1]):
+        if not w.isdigit():
+            for key in (w, *(w[:n] + "*" for n in SIZES if len(w) > n)):
+                keys.setdefault(key, len(keys))
+    names, who, what = [], array("i"), array("i")
+    for w in sorted(sides[0].keys() | sides[1].keys()):
+        found = [k for k in (keys.get(w), *(keys.get(w[:n] + "*") for n in SIZES if len(w) > n)) if k is not None]
+        if found:
+            who.extend([len(names)] * len(found))
+            what.extend(found)
+            names.append(w)
+    pos, neg = (np.array([c[w] for w in names], dtype=float) for c in (sides[1], sides[0]))
+    share = sum(sides[1].values()) / max(1, sum(sides[1].values()) + sum(sides[0].values()))
+    who, what = np.array(who, dtype=np.int32), np.array(what, dtype=np.int32)
+    if not keys:
+        return {w: INSULT_WEIGHT for w in INSULTS}, {}, set()
     labels, alive = list(keys), np.ones(len(names), dtype=bool)
     several = np.bincount(what, minlength=len(keys))
     long = np.array([k.endswith("*") for k in labels], dtype=bool)
