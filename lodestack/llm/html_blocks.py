@@ -9,7 +9,8 @@ The network is trained here, at first use, on generated pages of many layouts (f
 the input is a training page. Pages are labelled in batches of similar length; a narrow pass without a shuffle.
 
 Cases: null and empty pages give the empty text; unclosed and crossing tags, stray ends and cut-off pages are read
-as far as they go; character references are decoded; nothing of a chosen block is cut; repeated rows stay.
+as far as they go; character references are decoded; nothing of a chosen block is cut; repeated rows stay; an empty table gives an
+empty one; a page of any length is one sequence, in memory with some 600 bytes a block; other columns are not read.
 """
 
 from __future__ import annotations
@@ -24,7 +25,7 @@ from pyspark.sql import functions as F
 
 PATH, WORDS, EXTRA = 96, 32, 8
 SIZE = PATH + WORDS + EXTRA
-HIDDEN = 16
+HIDDEN = 20
 
 TAG = re.compile(r"<!--.*?(?:-->|\Z)|<(/?)([A-Za-z][\w:-]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)>|<[!?][^>]*>", re.S)
 ATTRIBUTE = re.compile(r"([\w:-]+)(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+)))?")
@@ -316,6 +317,14 @@ class Layouts:
         import random
 
         self.r = random.Random(seed)
+        self.style = "named"
+
+    def name(self, names: list[str]) -> str:
+        """Class or id of a part; pages of an unknown style have names that say nothing, or none."""
+        r = self.r
+        if self.style == "named":
+            return f' {r.choice(("class", "class", "id"))}="{r.choice(names)}"'
+        return f' class="{self.word()}{r.choice(("", "-" + self.word(), str(r.randrange(12))))}"' if r.random() < 0.7 else ""
 
     def word(self) -> str:
         r = self.r
@@ -329,6 +338,8 @@ class Layouts:
         return (text.replace(" ", ", ", 1) if self.r.random() < 0.4 else text) + self.r.choice("....!?")
 
     def prose(self, most=7) -> str:
+        if self.r.random() < 0.12:
+            return self.sentence(1, 4)
         return " ".join(self.sentence() for _ in range(self.r.randrange(1, most)))
 
     def other(self, kind: str) -> list[str]:
@@ -349,8 +360,8 @@ class Layouts:
     def part(self, kind: str) -> tuple[str, list[int]]:
         r = self.r
         texts = self.other(kind)
-        tag = SEMANTIC.get(kind, "div") if r.random() < 0.5 else "div"
-        name = f' {r.choice(("class", "class", "id"))}="{r.choice(OTHER_NAMES[kind])}"' if tag in ("div", "section", "aside") or r.random() < 0.3 else ""
+        tag = SEMANTIC.get(kind, "div") if r.random() < (0.5 if self.style == "named" else 0.2) else "div"
+        name = self.name(OTHER_NAMES[kind]) if tag in ("div", "section", "aside") or r.random() < 0.3 else ""
         if kind in ("nav", "share", "aside") and r.random() < 0.8:
             body = "<ul>" + "".join(f'<li><a href="/{i}">{t}</a></li>' for i, t in enumerate(texts)) + "</ul>"
         elif len(texts) == 1 and r.random() < 0.7:
@@ -365,7 +376,7 @@ class Layouts:
     def article(self) -> tuple[str, list[int]]:
         r = self.r
         out, labels = [], []
-        for k in range(r.choice((1, 2, 3, 5, 8, 12, 20))):
+        for k in range(r.choice((1, 2, 3, 5, 8, 12, 20, 32))):
             kind = r.random()
             if k == 0 and kind < 0.85 or kind < 0.1:
                 tag = "h1" if k == 0 else r.choice(("h2", "h3"))
@@ -379,11 +390,12 @@ class Layouts:
                 texts = [self.sentence(2, 9) for _ in range(r.randrange(1, 4))]
                 out.append("<ul>" + "".join(f"<li>{t}</li>" for t in texts) + "</ul>")
                 labels += [1] * (len(texts) - 1)
-            elif kind < 0.9:
+            elif kind < 0.88:
                 out.append(f"<blockquote>{self.prose()}</blockquote>")
-            elif kind < 0.94:
-                out.append(f"<table><tr><td>{self.words(2)}</td><td>{self.words(1)}</td></tr></table>")
-                labels.append(1)
+            elif kind < 0.95:
+                text, n = self.special()
+                out.append(text)
+                labels += [1] * (n - 1)
             else:
                 out.append(f"<div>{self.prose()}</div>")
             labels.append(1)
@@ -391,20 +403,52 @@ class Layouts:
                 text, more = self.part(r.choice(("ad", "share", "notice", "aside")))
                 out.append(text)
                 labels += more
-        body, n = "".join(out), r.choice(MAIN_NAMES)
-        form = r.random()
+        body = "".join(out)
+        if r.random() < 0.1:
+            body = f"<section>{body}</section>"
+        if self.style == "bare":
+            return body, labels
+        form = r.random() if self.style == "named" else 0.5 + 0.7 * r.random()
         if form < 0.55:
             return f"<article>{body}</article>", labels
         if form < 0.7:
             return f"<main>{body}</main>", labels
-        return f'<div {r.choice(("class", "id"))}="{n}">{body}</div>', labels
+        return f"<div{self.name(MAIN_NAMES)}>{body}</div>", labels
+
+    def special(self) -> tuple[str, int]:
+        """Parts of an article other than paragraphs, and how many blocks they make."""
+        r = self.r
+        kind = r.randrange(6)
+        if kind == 0:
+            rows = [[self.words(r.randrange(1, 3)) for _ in range(2)] for _ in range(r.randrange(1, 4))]
+            head = r.random() < 0.5
+            cells = "".join("<tr>" + "".join(f"<{'th' if head and k == 0 else 'td'}>{c}</{'th' if head and k == 0 else 'td'}>" for c in row) + "</tr>" for k, row in enumerate(rows))
+            return f"<table>{cells}</table>", 2 * len(rows)
+        if kind == 1:
+            a, b = self.word(), self.word()
+            return r.choice((f"<pre>{a} = {b}({r.randrange(9)})</pre>", f"<pre><code>{a} &lt; {b} and {r.randrange(9)} > 2</code></pre>", f"<pre>for {a} in {b}:\n  {self.word()}({a})</pre>")), 1
+        if kind == 2:
+            return f"<details><summary>{self.words(r.randrange(1, 4))}</summary>{self.prose(4)}</details>", 2
+        if kind == 3:
+            n = r.randrange(1, 4)
+            return "<dl>" + "".join(f"<dt>{self.words(r.randrange(1, 3))}</dt><dd>{self.sentence()}</dd>" for _ in range(n)) + "</dl>", 2 * n
+        if kind == 4:
+            return f'<figure><img src="/{self.word()}.png"><figcaption>{self.sentence(2, 9)}</figcaption></figure>', 1
+        return f"<p>{self.word()} &lt; {self.word()} {self.word()} {r.randrange(9)} > {r.randrange(9)}{r.choice(('.', ''))}</p>", 1
 
     def page(self) -> tuple[str, list[int]]:
         r = self.r
+        self.style = r.choices(("named", "unknown", "bare"), (6, 3, 1.5))[0]
+        if self.style == "bare" and r.random() < 0.6:
+            article, labels = self.article()
+            return f"<html><body>{article}</body></html>" if r.random() < 0.7 else f"<body>{article}", labels
         before = [k for k, p in (("notice", 0.2), ("header", 0.5), ("nav", 0.8), ("ad", 0.45), ("form", 0.15), ("aside", 0.2)) if r.random() < p]
         after = [k for k, p in (("share", 0.25), ("comments", 0.35), ("aside", 0.35), ("form", 0.15), ("ad", 0.2), ("nav", 0.15), ("footer", 0.8), ("notice", 0.1)) if r.random() < p]
         parts = [self.part(k) for k in before] + [self.article()] + [self.part(k) for k in after]
-        return "<!DOCTYPE html><html><head><title>t</title></head><body>" + "".join(p for p, _ in parts) + "</body></html>", [y for _, ys in parts for y in ys]
+        body = "".join(p for p, _ in parts)
+        if r.random() < 0.2:
+            body = f"<div{self.name(['wrapper', 'page', 'container', 'site'])}>{body}</div>"
+        return "<!DOCTYPE html><html><head><title>t</title></head><body>" + body + "</body></html>", [y for _, ys in parts for y in ys]
 
 
 def training_pages(n: int, seed: int = 11) -> list[tuple[np.ndarray, np.ndarray]]:
@@ -424,7 +468,7 @@ def trained() -> Labeller:
     """The labeller, trained once in a process; the same weights every time."""
     if not _TRAINED:
         labeller = Labeller.fresh()
-        labeller.train(training_pages(700))
+        labeller.train(training_pages(2600))
         _TRAINED.append(labeller)
     return _TRAINED[0]
 
