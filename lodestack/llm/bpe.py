@@ -30,7 +30,7 @@ from .shared import new_path, table
 
 LEXICON_WORDS = 300_000
 #: Chunks or words in one generation of a worker's memos; they stay with the worker, beside the next stages' ones.
-MEMO = 60_000
+MEMO = 90_000
 #: Chunks in a partial count.
 COUNTED = 200_000
 #: Words of more parts are merged a whole round at a time, which costs less than single steps there.
@@ -206,35 +206,28 @@ class Encoder:
 
     def __init__(self, bpe: Bpe, words: lexicon.Lexicon | None):
         self.bpe, self.words = bpe, words
-        self.memo, self.word_memo = Memo(), Memo()
+        self.memo = Memo()  # of chunks and of their words: a word alone is a chunk of its own with the same ids
 
     def learn(self, chunks: set[str]) -> None:
-        find, names = self.bpe.find, self.bpe.names.__getitem__
-        memo, known = self.memo, self.word_memo
-        alone, split = [], []
+        find, names, memo = self.bpe.find, self.bpe.names.__getitem__, self.memo
+        new, split = [], []
         for c in memo.missing(chunks):
-            if c.isalpha():  # letters alone are one word
-                alone.append(c)
+            if c.isalpha() or (words := find(c)) == [c]:  # letters alone are one word
+                new.append(c)
             else:
-                split.append((c, find(c)))
-        found, rest, look_up = [], [], self.words.get if self.words is not None else None
-        missing = known.missing({w for _, ws in split for w in ws}.union(alone))
-        if look_up is None:
-            rest = missing
-        else:
-            for word in missing:
-                if (ids := look_up(word.encode())) is None:
-                    rest.append(word)
-                else:
-                    found.append((word, ids))
-        found += zip(rest, self.bpe.merge_many([w.encode() for w in rest]))
-        for word, ids in found:
-            known.ids[word], known.text[word] = " ".join(map(str, ids)), " ".join(map(names, ids))
-        for young, of in ((memo.ids, known.ids), (memo.text, known.text)):
-            get = of.__getitem__
-            young.update(zip(alone, map(get, alone)))
-            for chunk, words in split:  # every chunk has at least one word, and every word at least one id
-                young[chunk] = " ".join(map(get, words))
+                split.append((c, words))
+        if split:
+            new += memo.missing({w for _, ws in split for w in ws}.difference(new))
+        raw = [w.encode() for w in new]
+        found = self.words.get_many(raw) if self.words is not None else [None] * len(raw)
+        rest = [k for k, ids in enumerate(found) if ids is None]
+        for k, ids in zip(rest, self.bpe.merge_many([raw[k] for k in rest])):
+            found[k] = ids
+        ids_of, text_of = memo.ids, memo.text
+        for word, ids in zip(new, found):
+            ids_of[word], text_of[word] = " ".join(map(str, ids)), " ".join(map(names, ids))
+        for chunk, words in split:  # every chunk has at least one word, and every word at least one id
+            ids_of[chunk], text_of[chunk] = " ".join([ids_of[w] for w in words]), " ".join([text_of[w] for w in words])
 
     def encode_batch(self, texts: list[str]) -> list[tuple[int, str, str]]:
         """For each text the number of ids, the ids in decimal joined by one space, and the decoded text."""
@@ -245,7 +238,6 @@ class Encoder:
             else:
                 cut.append([bpe.chunks(text)])
         self.memo.age()
-        self.word_memo.age()
         self.learn(set().union(*(p for parts in cut for p in parts if type(p) is list)))
         ids_of, text_of, out = self.memo.ids.__getitem__, self.memo.text.__getitem__, []
         for parts in cut:
@@ -290,8 +282,11 @@ def word_counts(docs: DataFrame, tokenizer: str, text_col: str = "text") -> Data
         def flush():
             words = Counter()
             for chunk, n in chunks.items():
-                for w in bpe.find(chunk):
-                    words[w] += n
+                if chunk.isalpha():
+                    words[chunk] += n
+                else:
+                    for w in bpe.find(chunk):
+                        words[w] += n
             chunks.clear()
             return pa.RecordBatch.from_arrays([pa.array(list(words), pa.string()), pa.array(list(words.values()), pa.int64())], names=["word", "n"])
 

@@ -5,7 +5,8 @@ them, so the automaton is minimal and never exists as a trie. Each arc carries t
 before those behind it; the sum along a word's path is the word's rank, which points at its list of ids. Equal
 suffixes therefore share states although their outputs differ.
 
-File: magic, then counts, then little-endian arrays: state starts, arc labels, arc targets, arc outputs, list starts, ids.
+File: magic, then counts, then little-endian arrays: state starts, arc labels, arc keys (state and label, in order), arc targets, arc
+outputs, list starts, ids. Many words are looked up together, a letter of all words of a length at a time.
 """
 
 from __future__ import annotations
@@ -79,11 +80,15 @@ def build(pairs) -> bytes:
     finals = np.array([key[0] for key in keys], dtype=bool)
     starts = np.array(starts, dtype="<u4")
     starts[:-1][finals] |= FINAL
+    if len(keys) >= 1 << 24:
+        raise ValueError("too many states for an arc key of 32 bits")
+    arcs_of = np.diff(starts & np.uint32(FINAL - 1))
+    arc_keys = np.repeat(np.arange(len(keys), dtype="<u4") << np.uint32(8), arcs_of) | np.array(labels, dtype="<u4")
     lists = np.cumsum([0] + [len(ids) for _, ids in pairs]).astype("<u4")
     flat = np.array([i for _, ids in pairs for i in ids], dtype="<u4")
     head = MAGIC + struct.pack("<4I", len(keys), len(labels), len(pairs), len(flat))
     pad = b"\0" * (-len(labels) % 4)
-    return head + starts.tobytes() + np.array(labels, dtype="u1").tobytes() + pad + np.array(targets, dtype="<u4").tobytes() + np.array(outputs, dtype="<u4").tobytes() + lists.tobytes() + flat.tobytes()
+    return head + starts.tobytes() + np.array(labels, dtype="u1").tobytes() + pad + arc_keys.tobytes() + np.array(targets, dtype="<u4").tobytes() + np.array(outputs, dtype="<u4").tobytes() + lists.tobytes() + flat.tobytes()
 
 
 class Lexicon:
@@ -111,7 +116,9 @@ class Lexicon:
         self.starts = memoryview(take(states + 1, "<u4"))
         self.data, self.first_label = data, at  # the labels are searched where they lie
         at += arcs + -arcs % 4
-        self.targets, self.outputs = memoryview(take(arcs, "<u4")), memoryview(take(arcs, "<u4"))
+        # arrays for many words, memoryviews of the same bytes for one
+        self.keys, self.target_array, self.output_array = take(arcs, "<u4"), take(arcs, "<u4"), take(arcs, "<u4")
+        self.targets, self.outputs = memoryview(self.target_array), memoryview(self.output_array)
         self.lists, self.ids = memoryview(take(words + 1, "<u4")), memoryview(take(ids, "<u4"))
 
     def rank(self, word: bytes) -> int:
@@ -130,3 +137,32 @@ class Lexicon:
     def get(self, word: bytes):
         rank = self.rank(word)
         return None if rank < 0 else self.ids[self.lists[rank] : self.lists[rank + 1]].tolist()
+
+    def ranks(self, words: list[bytes]) -> list[int]:
+        """rank() of many words."""
+        out = np.full(len(words), -1, dtype=np.int64)
+        by_length: dict[int, list[int]] = {}
+        for i, word in enumerate(words):
+            by_length.setdefault(len(word), []).append(i)
+        finals = np.frombuffer(self.starts, dtype="<u4") >= FINAL
+        for n, places in by_length.items():
+            index = np.array(places)
+            raw = np.frombuffer(b"".join([words[i] for i in places]), dtype=np.uint8).reshape(-1, n).astype(np.uint32) if n else None
+            state, rank = np.full(len(index), self.root, dtype=np.uint32), np.zeros(len(index), dtype=np.int64)
+            for k in range(n if len(self.keys) else 0):
+                key = state << np.uint32(8) | raw[:, k]
+                at = np.minimum(np.searchsorted(self.keys, key), len(self.keys) - 1)
+                on = self.keys[at] == key
+                if not on.all():
+                    index, raw, rank, at = index[on], raw[on], rank[on], at[on]
+                state, rank = self.target_array[at], rank + self.output_array[at]
+            if n and not len(self.keys):
+                continue
+            ends = finals[state]
+            out[index[ends]] = rank[ends]
+        return out.tolist()
+
+    def get_many(self, words: list[bytes]) -> list:
+        """get() of many words."""
+        lists, ids = self.lists, self.ids
+        return [None if r < 0 else ids[lists[r] : lists[r + 1]].tolist() for r in self.ranks(words)]

@@ -53,6 +53,8 @@ def test_transducer_is_minimal_and_exact(tmp_path):
         assert built.get(w) == ids
     for w in (b"", b"x", b"abcabcabc", b"ab\xff"):
         assert built.get(w) is (None if w not in words else words[w])
+    asked = [*words, b"", b"x", b"abcabcabc", b"ab\xff", b"a", b"cccccc"]
+    assert built.get_many(asked) == [built.get(w) for w in asked] and built.get_many([]) == []
     # Minimal: as many states as there are distinct sets of continuations.
     tails = {}
     for w in words:
@@ -60,7 +62,9 @@ def test_transducer_is_minimal_and_exact(tmp_path):
             tails.setdefault(w[:i], set()).add(w[i:])
     assert built.n_states == len({frozenset(x) for x in tails.values()})
     empty = lexicon.Lexicon(data=lexicon.build([]))
-    assert empty.get(b"a") is None and empty.get(b"") is None
+    assert empty.get(b"a") is None and empty.get(b"") is None and empty.get_many([b"a", b""]) == [None, None]
+    only = lexicon.Lexicon(data=lexicon.build([(b"", [7])]))
+    assert only.get_many([b"", b"a"]) == [only.get(b""), only.get(b"a")] == [[7], None]
 
 
 def test_query_on_cases(spark):
