@@ -34,9 +34,56 @@ SELECT page_id, n AS payload_bytes, h AS payload_digest, CASE WHEN n >= 100 AND
        CASE WHEN n >= 100 AND page_id <> m THEN m END AS refers_to FROM f
 """
 
+_STAMPS = r"""
+WITH s AS (SELECT stamp_id, source, zone, trim(raw, ' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)) AS t FROM stamps),
+w AS (SELECT *, regexp_extract(t, '^(?:(20[0-9]{2})-([0-9]{2})-([0-9]{2})|(20[0-9]{2})([0-9]{2})([0-9]{2})|([0-9]{2})[.]([0-9]{2})[.](20[0-9]{2})|([0-9]{2}) (Jan|Feb|Mar|Apr|May|Jun|Jul|Aug|Sep|Oct|Nov|Dec) (20[0-9]{2})|([0-9]{2})/([0-9]{2})/(20[0-9]{2}))((?:[T ][0-9]{2}:[0-9]{2}(?::[0-9]{2})?(?: ?[AP]M)?(?: ?(?:Z|[+-][0-9]{2}:?[0-9]{2}))?)?)$',
+             ['y1', 'm1', 'd1', 'y2', 'm2', 'd2', 'd3', 'm3', 'y3', 'd4', 'b4', 'y4', 'd5', 'm5', 'y5', 'rest']) AS g,
+             regexp_full_match(t, '[0-9]{10}') AS secs, regexp_full_match(t, '[0-9]{13}') AS millis FROM s),
+d AS (SELECT *, TRY_CAST(CASE WHEN g.y1 <> '' THEN g.y1 || '-' || g.m1 || '-' || g.d1 WHEN g.y2 <> '' THEN g.y2 || '-' || g.m2 || '-' || g.d2
+                              WHEN g.y3 <> '' THEN g.y3 || '-' || g.m3 || '-' || g.d3
+                              WHEN g.y4 <> '' THEN g.y4 || '-' || lpad(CAST((strpos('JanFebMarAprMayJunJulAugSepOctNovDec', g.b4) + 2) // 3 AS VARCHAR), 2, '0') || '-' || g.d4
+                              WHEN g.y5 <> '' THEN g.y5 || '-' || g.m5 || '-' || g.d5 END AS DATE) AS df,
+             TRY_CAST(CASE WHEN g.y5 <> '' THEN g.y5 || '-' || g.d5 || '-' || g.m5 END AS DATE) AS mf,
+             regexp_extract(g.rest, '^.([0-9]{2}):([0-9]{2})(?::([0-9]{2}))?(?: ?([AP]M))?(?: ?(.*))?$', ['h', 'mi', 's', 'half', 'off']) AS c FROM w),
+e AS (SELECT *, TRY_CAST(c.h AS INT) AS h, coalesce(TRY_CAST(c.mi AS INT), 0) AS mi, coalesce(TRY_CAST(c.s AS INT), 0) AS sec,
+             TRY_CAST(substr(c.off, 2, 2) AS INT) AS oh, TRY_CAST(right(c.off, 2) AS INT) AS om FROM d),
+f AS (SELECT *, CASE WHEN g.rest = '' THEN 0 WHEN mi > 59 OR sec > 59 THEN NULL WHEN c.half <> '' AND NOT h BETWEEN 1 AND 12 THEN NULL WHEN c.half = '' AND h > 23 THEN NULL
+                ELSE (CASE WHEN c.half = 'PM' THEN h % 12 + 12 WHEN c.half = 'AM' THEN h % 12 ELSE h END) * 3600 + mi * 60 + sec END AS tod,
+             CASE WHEN c.off = 'Z' THEN 0 WHEN c.off <> '' AND oh <= 14 AND om <= 59 THEN (CASE WHEN c.off[1] = '-' THEN -1 ELSE 1 END) * (oh * 3600 + om * 60) END AS shift FROM e),
+k AS (SELECT *, CASE WHEN secs OR millis THEN 'epoch' WHEN t IS NULL OR coalesce(df, mf) IS NULL OR tod IS NULL OR (c.off <> '' AND shift IS NULL) OR (c.off = '' AND zone IS NULL) THEN 'bad'
+                     WHEN df <> mf THEN 'both' ELSE 'plain' END AS kind FROM f),
+v AS (SELECT source, count(*) FILTER (WHERE mf IS NULL) AS days, count(*) FILTER (WHERE df IS NULL) AS months FROM k WHERE kind = 'plain' AND g.y5 <> '' GROUP BY source),
+r AS (SELECT stamp_id, zone, t, kind, secs, shift, CASE WHEN kind <> 'both' THEN kind WHEN coalesce(days, 0) = coalesce(months, 0) THEN 'default' ELSE 'votes' END AS rule,
+             CAST(CASE WHEN kind = 'both' AND coalesce(months, 0) > coalesce(days, 0) THEN mf ELSE coalesce(df, mf) END AS TIMESTAMP) + to_seconds(tod) AS wall
+      FROM k LEFT JOIN v ON k.source IS NOT DISTINCT FROM v.source),
+b AS (SELECT *, wall + (wall - INTERVAL 2 DAY - timezone(zone, timezone('UTC', wall - INTERVAL 2 DAY))) AS c0, wall + (wall + INTERVAL 2 DAY - timezone(zone, timezone('UTC', wall + INTERVAL 2 DAY))) AS c1
+      FROM r WHERE rule NOT IN ('bad', 'epoch') AND shift IS NULL),
+p AS (SELECT *, timezone(zone, timezone('UTC', c0)) = wall AS fits0, timezone(zone, timezone('UTC', c1)) = wall AS fits1 FROM b)
+SELECT stamp_id, CASE WHEN rule = 'epoch' THEN CAST(t AS BIGINT) * (CASE WHEN secs THEN 1000000 ELSE 1000 END) WHEN rule <> 'bad' THEN epoch_us(wall) - CAST(shift AS BIGINT) * 1000000 END AS utc_us,
+       rule, rule IN ('votes', 'default') AS ambiguous FROM r WHERE rule IN ('bad', 'epoch') OR shift IS NOT NULL
+UNION ALL
+SELECT stamp_id, epoch_us(CASE WHEN fits0 AND NOT fits1 THEN c0 ELSE c1 END), rule, rule <> 'plain' OR (c0 <> c1 AND fits0 = fits1) FROM p
+"""
+
+_CHAT = r"""
+WITH t AS (SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
+           UNION ALL SELECT -7, k, r, '</s>[INST] ok [/INST]' FROM (VALUES (0, 'user'), (1, 'assistant')) x(k, r)),
+b AS (SELECT *, row_number() OVER w AS place, lag(role) OVER w AS above, lead(role) OVER w AS below,
+             regexp_replace(text, '([<\[])(\*)(/?s>|/?INST\]|/?ROLE\]|TURN\])', '\', 'g') AS quoted FROM t WINDOW w AS (PARTITION BY conv_id ORDER BY turn, role, text)),
+p AS (SELECT *, CASE WHEN above = role THEN '[TURN]' WHEN role = 'assistant' THEN '' WHEN role = 'user' THEN '[INST]' ELSE '[INST][ROLE]' || role || '[/ROLE]' END
+             || quoted || CASE WHEN below = role THEN '' WHEN role = 'assistant' THEN '</s>' ELSE '[/INST]' END AS piece FROM b)
+SELECT conv_id, count(*) AS n_turns, sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY place)) AS turns_sha256,
+       CAST(coalesce(sum(CASE WHEN role = 'assistant' THEN length(text) END), 0) AS BIGINT) AS loss_chars,
+       sha256(coalesce(string_agg(CASE WHEN role = 'assistant' THEN text END, '' ORDER BY place), '')) AS loss_sha256,
+       CAST(3 + sum(length(piece)) AS BIGINT) AS formatted_chars
+FROM p GROUP BY conv_id
+"""
+
 SQL = {
     "op5_warc_dictionary": _WARC,
     "op6_fair_mix": _MIX,
     "op7_compacted_shards": "SELECT doc_id, CAST(octet_length(encode(coalesce(text, ''))) AS BIGINT) AS n_bytes, sha256(coalesce(text, '')) AS text_sha256, true AS compacted FROM documents",
     "op9_exact_dedup": _DEDUP,
+    "op12_offset_stamps": _STAMPS,
+    "op13_chat_template": _CHAT,
 }
