@@ -69,7 +69,7 @@ _CHAT = r"""
 WITH t AS (SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
            UNION ALL SELECT -7, k, r, '</s>[INST] ok [/INST]' FROM (VALUES (0, 'user'), (1, 'assistant')) x(k, r)),
 b AS (SELECT *, row_number() OVER w AS place, lag(role) OVER w AS above, lead(role) OVER w AS below,
-             regexp_replace(text, '([<\[])(\*)(/?s>|/?INST\]|/?ROLE\]|TURN\])', '\', 'g') AS quoted FROM t WINDOW w AS (PARTITION BY conv_id ORDER BY turn, role, text)),
+             regexp_replace(text, '([<\[])(\\*)(/?s>|/?INST\]|/?ROLE\]|TURN\])', '\1\\\2\3', 'g') AS quoted FROM t WINDOW w AS (PARTITION BY conv_id ORDER BY turn, role, text)),
 p AS (SELECT *, CASE WHEN above = role THEN '[TURN]' WHEN role = 'assistant' THEN '' WHEN role = 'user' THEN '[INST]' ELSE '[INST][ROLE]' || role || '[/ROLE]' END
              || quoted || CASE WHEN below = role THEN '' WHEN role = 'assistant' THEN '</s>' ELSE '[/INST]' END AS piece FROM b)
 SELECT conv_id, count(*) AS n_turns, sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY place)) AS turns_sha256,
