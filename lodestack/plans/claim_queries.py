@@ -3,8 +3,10 @@ what is computed from them is written twice."""
 
 from __future__ import annotations
 
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
+from ..operators import analysis as A
 from ..operators import claims as K
 from .catalog import query
 
@@ -43,3 +45,69 @@ def split_claims(t):
     docs = turns.select("conv_id", F.array_join(F.transform("turns", lambda x: x["piece"]), "\n").alias("text"))
     rows = K.numbered(docs, ["conv_id"])
     return rows.select("conv_id", "claim_number", "text", F.array_join(F.transform("source_pages", lambda p: p.cast("string")), ",").alias("pages"), "notes")
+
+
+_DIMS = "['novelty', 'inventive_step', 'support', 'clarity', 'eligibility']"
+_DIM = "element_at(array('novelty', 'inventive_step', 'support', 'clarity', 'eligibility'), CAST((l_linenumber - 1) % 5 AS INT) + 1)"
+#: A model's answer for one dimension, from a line: scores as number, numeral, null or word, discussions as object, text or null, mixed lists. Keys are in order.
+_ANSWER = """concat('{"', dim, '_score":', CASE l_partkey % 7 WHEN 0 THEN 'null' WHEN 1 THEN concat('"', CAST(l_suppkey % 90 AS VARCHAR(9)), '"') WHEN 2 THEN '"high"' ELSE CAST(l_partkey % 101 AS VARCHAR(9)) END,
+',"', dim, '_disc":', CASE l_suppkey % 6 WHEN 0 THEN '"only text"' WHEN 1 THEN 'null' WHEN 2 THEN concat('{"analysis":"a","original_text":"', CASE WHEN l_partkey % 2 = 0 THEN '' ELSE ' ' END, '"}') ELSE concat('{"analysis":"a","original_text":"passage ', CAST(l_partkey % 4 AS VARCHAR(9)), '","source":"', CASE WHEN l_partkey % 3 = 0 THEN '' ELSE 'docs/a.pdf' END, '"}') END,
+',"affected_claims":[', CAST(l_partkey % 6 AS VARCHAR(9)), ',"', CAST(l_suppkey % 6 AS VARCHAR(9)), '","x",null]',
+',"evidence":[{"issue":"', dim, '","original_text":"e', CAST(l_partkey % 3 AS VARCHAR(9)), '"},"loose",{"location":"p. 3","original_text":"', CASE WHEN l_suppkey % 2 = 0 THEN '' ELSE 'where' END, '"}]',
+',"recommended_action":', CASE WHEN l_partkey % 4 = 0 THEN 'null' ELSE concat('" act ', CAST(l_partkey % 4 AS VARCHAR(9)), '"') END, ',"risk_reason":"', CASE WHEN l_suppkey % 3 = 0 THEN '' ELSE concat('risk ', CAST(l_suppkey % 3 AS VARCHAR(9))) END, '"}')"""
+_SCORE_SQL = "coalesce(arg_max(json_extract(j, '$.{d}_score')::VARCHAR, pass) FILTER (WHERE dim = '{d}'), 'null')"
+_VALUE_SQL = "TRY_CAST(arg_max(coalesce(json_extract_string(j, '$.{d}_score'), ''), pass) FILTER (WHERE dim = '{d}') AS DOUBLE)"
+_WEIGHT_SQL = {"novelty": 0.25, "inventive_step": 0.30, "support": 0.15, "clarity": 0.10, "eligibility": 0.20}
+
+_MERGE_SQL = f"""WITH a AS (SELECT *, row_number() OVER (PARTITION BY l_orderkey, dim ORDER BY l_linenumber, l_partkey, l_suppkey) AS pass FROM (SELECT l_orderkey, l_linenumber, (l_linenumber - 1) % 5 + 1 AS place, {_DIMS}[(l_linenumber - 1) % 5 + 1] AS dim, l_partkey, l_suppkey FROM lineitem)),
+p AS (SELECT l_orderkey, pass, place, dim, CAST({_ANSWER} AS JSON) AS j FROM a),
+e AS (SELECT *, list_filter(CAST(json_extract(j, '$.evidence[*]') AS JSON[]), lambda x: json_type(x) = 'OBJECT') AS evidence, json_extract(j, '$.' || dim || '_disc') AS disc FROM p),
+s AS (SELECT *, CASE WHEN dim <> 'support' THEN [] ELSE list_concat(CASE WHEN json_type(disc) = 'OBJECT' AND json_extract_string(disc, '$.original_text') <> '' THEN [CAST(json_object('llm_evidence_explanation', '', 'location', coalesce(nullif(json_extract_string(disc, '$.source'), ''), 'support_disc'), 'original_text', json_extract_string(disc, '$.original_text'), 'translation', '') AS VARCHAR)] ELSE [] END,
+      list_transform(list_filter(evidence, lambda x: json_extract_string(x, '$.original_text') <> ''), lambda x: CAST(json_object('llm_evidence_explanation', '', 'location', coalesce(json_extract_string(x, '$.location'), 'support evidence'), 'original_text', json_extract_string(x, '$.original_text'), 'translation', '') AS VARCHAR))) END AS support FROM e),
+d AS (SELECT l_orderkey, arg_max(CASE WHEN json_type(disc) = 'VARCHAR' THEN '{{"analysis":' || CAST(disc AS VARCHAR) || ',"llm_evidence_explanation":"模型未返回该维度的结构化原文证据，已保留分析结论；请根据审查材料补齐原文和翻译。","original_text":"","translation":""}}' WHEN json_type(disc) = 'NULL' THEN '{{"analysis":"","llm_evidence_explanation":"","original_text":"","translation":""}}' ELSE CAST(disc AS VARCHAR) END, pass) FILTER (WHERE dim = 'support') AS support_disc FROM s GROUP BY 1)
+SELECT l_orderkey AS case_id, {', '.join(f"{_SCORE_SQL.format(d=x)} AS {x}_score" for x in _WEIGHT_SQL)}, any_value(support_disc) AS support_disc,
+coalesce(CAST(round_even({' + '.join(f"{_VALUE_SQL.format(d=x)} * {w}::DOUBLE" for x, w in _WEIGHT_SQL.items())}, 0) AS INTEGER), 0) AS aggregate_score,
+coalesce(array_to_string(list(json_extract_string(j, '$.risk_reason') ORDER BY pass, place) FILTER (WHERE json_extract_string(j, '$.risk_reason') <> '')[1:5], '|'), '') AS risks,
+coalesce(array_to_string(list(trim(json_extract_string(j, '$.recommended_action')) ORDER BY pass, place) FILTER (WHERE json_extract_string(j, '$.recommended_action') IS NOT NULL)[1:5], '|'), '') AS actions,
+array_to_string(list_sort(list_distinct(flatten(list([CAST(json_extract_string(j, '$.affected_claims[0]') AS BIGINT), CAST(json_extract_string(j, '$.affected_claims[1]') AS BIGINT)])))), ',') AS claims,
+coalesce(array_to_string(flatten(list(support ORDER BY pass, place)), '|'), '') AS support, array_to_string(flatten(list(list_transform(evidence, lambda x: CAST(x AS VARCHAR)) ORDER BY pass, place)), '|') AS evidence
+FROM s JOIN d USING (l_orderkey) GROUP BY l_orderkey"""
+
+
+def _answers(t):
+    """All lines of an order as answers; lines that fall on the same dimension are its passes."""
+    lines = t("lineitem").withColumn("dim", F.expr(_DIM))
+    n = F.row_number().over(Window.partitionBy("l_orderkey", "dim").orderBy("l_linenumber", "l_partkey", "l_suppkey"))
+    return lines.select(F.col("l_orderkey").alias("case_id"), "dim", F.expr(_ANSWER).alias("answer"), n.alias("pass"))
+
+
+@query(_MERGE_SQL)
+def merged_analyses(t):
+    """All answers of a case as one analysis; a dimension's last pass gives its score and discussion."""
+    m = A.merge(A.partials(_answers(t), "case_id", "dim", "answer", "pass"))
+    return m.select("case_id", *[f"{d}_score" for d in A.DIMENSIONS], F.coalesce("support_disc").alias("support_disc"), "aggregate_score", F.array_join("top_risk_reasons", "|").alias("risks"), F.array_join("recommended_actions", "|").alias("actions"), F.array_join("affected_claims", ",").alias("claims"), F.array_join("specification_support", "|").alias("support"), F.array_join("examination_material_evidence", "|").alias("evidence"))
+
+
+_OPEN = """concat('{"aggregate_score":7,"dimension_scores":{"clarity_disc":{"original_text":"seen"},"clarity_score":', CASE WHEN o_custkey % 3 = 0 THEN 'null' ELSE CAST(o_custkey % 100 AS VARCHAR(9)) END, ',"novelty_disc":', CASE WHEN o_custkey % 2 = 0 THEN '"text"' ELSE '{"original_text":"old"}' END, ',"novelty_score":"', CAST(o_custkey % 77 AS VARCHAR(9)), '"},"evidence_trace":{"affected_claims":[1,"2"]},"top_risk_reasons":["risk 1","own"]}')"""
+_COMPLETE_SQL = f"""WITH a AS (SELECT *, row_number() OVER (PARTITION BY l_orderkey, dim ORDER BY l_linenumber, l_partkey, l_suppkey) AS pass FROM (SELECT l_orderkey, l_linenumber, (l_linenumber - 1) % 5 + 1 AS place, {_DIMS}[(l_linenumber - 1) % 5 + 1] AS dim, l_partkey, l_suppkey FROM lineitem)),
+p AS (SELECT l_orderkey, pass, place, dim, CAST({_ANSWER} AS JSON) AS j FROM a),
+c AS (SELECT *, json_extract(j, '$.' || dim || '_score')::VARCHAR AS score, json_extract(j, '$.' || dim || '_disc') AS disc FROM p WHERE score <> 'null' AND trim(coalesce(json_extract_string(disc, '$.original_text'), '')) <> ''),
+o AS (SELECT o_orderkey, o_custkey FROM orders),
+u AS (SELECT c.* FROM c JOIN o ON o_orderkey = l_orderkey WHERE CASE dim WHEN 'clarity' THEN o_custkey % 3 = 0 WHEN 'novelty' THEN o_custkey % 2 = 0 ELSE true END QUALIFY row_number() OVER (PARTITION BY l_orderkey, dim ORDER BY pass) = 1),
+g AS (SELECT o_orderkey, any_value(o_custkey) AS k, {', '.join(f"any_value(score) FILTER (WHERE dim = '{x}') AS {x}" for x in _WEIGHT_SQL)}, coalesce(string_agg(dim, ',' ORDER BY pass, place), '') AS repaired,
+      coalesce(list(json_extract_string(j, '$.risk_reason') ORDER BY pass, place) FILTER (WHERE json_extract_string(j, '$.risk_reason') <> ''), []) AS new_risks,
+      coalesce(flatten(list([json_extract_string(j, '$.affected_claims[0]'), json_extract_string(j, '$.affected_claims[1]'), '"x"', 'null'] ORDER BY pass, place) FILTER (WHERE l_orderkey IS NOT NULL)), []) AS new_claims FROM o LEFT JOIN u ON o_orderkey = l_orderkey GROUP BY o_orderkey),
+f AS (SELECT o_orderkey, coalesce(novelty, '"' || (k % 77) || '"') AS novelty, coalesce(inventive_step, 'null') AS inventive_step, coalesce(support, 'null') AS support, coalesce(clarity, CASE WHEN k % 3 = 0 THEN 'null' ELSE CAST(k % 100 AS VARCHAR) END) AS clarity, coalesce(eligibility, 'null') AS eligibility, repaired, new_risks, new_claims FROM g),
+n AS (SELECT *, {', '.join(f"TRY_CAST(trim({x}, '\"') AS DOUBLE) AS {x}_n" for x in _WEIGHT_SQL)} FROM f)
+SELECT o_orderkey AS case_id, {', '.join(f'{x} AS {x}_score' for x in _WEIGHT_SQL)}, repaired,
+coalesce(CAST(round_even(({' + '.join(f'coalesce({x}_n * {w}::DOUBLE, 0)' for x, w in _WEIGHT_SQL.items())}) / nullif({' + '.join(f'(CASE WHEN {x}_n IS NULL THEN 0.0::DOUBLE ELSE {w}::DOUBLE END)' for x, w in _WEIGHT_SQL.items())}, 0), 0) AS INTEGER), 7) AS aggregate_score,
+array_to_string(list_concat(['risk 1', 'own'], list_filter(new_risks, lambda x, i: x <> 'risk 1' AND list_position(new_risks, x) = i)), '|') AS risks,
+array_to_string(list_concat(['1', '"2"'], list_filter(new_claims, lambda x, i: x NOT IN ('1', '2') AND list_position(new_claims, x) = i)), ',') AS claims FROM n"""
+
+
+@query(_COMPLETE_SQL)
+def completed_analyses(t):
+    """Documents with gaps, filled from the answers of two passes."""
+    docs = t("orders").select(F.col("o_orderkey").alias("case_id"), F.expr(_OPEN).alias("analysis"))
+    c = A.complete(docs, A.partials(_answers(t), "case_id", "dim", "answer", "pass"))
+    return c.select("case_id", *[f"{d}_score" for d in A.DIMENSIONS], F.array_join("repaired", ",").alias("repaired"), "aggregate_score", F.array_join("top_risk_reasons", "|").alias("risks"), F.array_join("affected_claims", ",").alias("claims"))
