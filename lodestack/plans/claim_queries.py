@@ -8,6 +8,8 @@ from pyspark.sql import functions as F
 
 from ..operators import analysis as A
 from ..operators import claims as K
+from ..operators import review as V
+from ..sources import discovery as D
 from .catalog import query
 
 #: A turn of a conversation as lines of a claims page: headings, page marks, numbers that skip, repeat or are missing, page breaks inside.
@@ -111,3 +113,80 @@ def completed_analyses(t):
     docs = t("orders").select(F.col("o_orderkey").alias("case_id"), F.expr(_OPEN).alias("analysis"))
     c = A.complete(docs, A.partials(_answers(t), "case_id", "dim", "answer", "pass"))
     return c.select("case_id", *[f"{d}_score" for d in A.DIMENSIONS], F.array_join("repaired", ",").alias("repaired"), "aggregate_score", F.array_join("top_risk_reasons", "|").alias("risks"), F.array_join("affected_claims", ",").alias("claims"))
+
+
+_KEY = "CAST(c_custkey % {} AS VARCHAR(9))"
+#: Three documents of a case: lists that are empty, missing or no lists, records with paths at several depths, keys in order.
+_REVIEWED = """concat('{"aggregate_score":', CASE c_custkey % 5 WHEN 0 THEN 'null' WHEN 1 THEN '""' ELSE CAST(c_custkey % 100 AS VARCHAR(9)) END, ',"dimension_scores":{"clarity_score":"8","novelty_disc":{"original_text":"t","source":"docs/n', CAST(c_custkey % 7 AS VARCHAR(9)), '.pdf"},"novelty_score":', CAST(c_custkey % 90 AS VARCHAR(9)),
+'},"evidence_trace":{"affected_claims":[1,"x.txt",null],"examination_material_evidence":[', CASE WHEN c_custkey % 3 = 0 THEN '' ELSE '{"path":"b.TXT","source":["a.pdf","no",{"pdf":"a.pdf"}]},"c.html"' END, '],"prior_art_documents":', CASE WHEN c_custkey % 2 = 0 THEN '"D1"' ELSE '[{"citation":"D1","local_pdf":"prior-art/d1.pdf"}]' END,
+'},"grant_label":"yes","meta":{"applicant":"', c_name, '","title":"', CASE WHEN c_custkey % 4 = 0 THEN '' ELSE 'T' END, '"},"top_risk_reasons":[', CASE WHEN c_custkey % 4 = 1 THEN '"r1","r2.pdf"' ELSE '' END, ']}')"""
+_REVIEWED_INPUT = """concat('{"benchmark_input":{"claim_text":{"claim_1":"', CASE WHEN c_custkey % 6 = 0 THEN '' ELSE 'A compound' END, '"},"drug_structure":{"markush_images":[', CASE c_custkey % 3 WHEN 0 THEN '' WHEN 1 THEN '{"image_path":"assets/m.png"}' ELSE '{"image_path":""},{"image_path":"p.png"}' END, ']}}}')"""
+_REVIEWED_CLAIMS = """CASE WHEN c_custkey % 5 = 0 THEN NULL ELSE concat('{"claims":[{"claim_number":', CAST(c_custkey % 3 AS VARCHAR(9)), ',"source_pdf":"docs/c.pdf"},{"text":"t"}]}') END"""
+
+
+def _pointer_sql(path: str) -> str:
+    return "/" + path.replace(".", "/")
+
+
+def _single_sql(path: str, doc: str = "a", required: bool = True, auto: bool = False) -> str:
+    return f"SELECT k, '{_pointer_sql(path)}' AS id, json_extract({doc}, '$.{path}') AS v, {required} AS required, {auto} AS auto_pass, 'x' AS kind FROM d"
+
+
+def _list_sql(path: str, doc: str = "a", pointer: str = "", kind: str = "x") -> str:
+    at, rows = pointer or _pointer_sql(path), f"coalesce(CAST(CASE WHEN json_type(json_extract({doc}, '$.{path}')) = 'ARRAY' THEN json_extract({doc}, '$.{path}[*]') END AS JSON[]), [])"
+    return f"SELECT k, '{at}/' || CAST(i AS VARCHAR), list_extract(r, i + 1), true, false, '{kind}' FROM (SELECT k, {rows} AS r, unnest(range(len(r))) AS i FROM d) UNION ALL SELECT k, '{at}', NULL, true, false, '{kind}' FROM d WHERE len({rows}) = 0"
+
+
+_ITEMS_SQL = " UNION ALL ".join(
+    [_single_sql(f"meta.{x}", auto=True) for x, _ in V.META]
+    + [_single_sql("grant_label", auto=True), _list_sql(V.IMAGES, "b", kind="image"), _single_sql("benchmark_input.claim_text.claim_1", "b")]
+    + [_single_sql(f"dimension_scores.{x}_{y}", required=y == "score") for x, _ in V.DIMENSIONS for y in ("score", "disc")]
+    + [_single_sql("aggregate_score"), _single_sql("evidence_trace.examination_rounds")]
+    + [_list_sql(x) for x, _, _ in V.LISTS + V.TRACE_LISTS]
+    + [_list_sql("claims", "c", "/claims_verified/claims")]
+)
+_REVIEW_SQL = f"""WITH d AS (SELECT c_custkey AS k, CAST({_REVIEWED} AS JSON) AS a, CAST({_REVIEWED_INPUT} AS JSON) AS b, CAST({_REVIEWED_CLAIMS} AS JSON) AS c FROM customer), i AS ({_ITEMS_SQL}),
+w AS (SELECT k, id, v, required, auto_pass, kind, CASE WHEN v IS NULL THEN [] WHEN kind = 'image' THEN list_filter([json_extract_string(v, '$.image_path')], lambda x: x <> '') WHEN json_type(v) = 'VARCHAR' THEN [json_extract_string(v, '$')]
+      WHEN json_type(v) = 'OBJECT' THEN list_distinct(list_filter(list_concat(flatten([CASE WHEN json_type(json_extract(v, '$.source')) = 'ARRAY' THEN [json_extract_string(v, '$.source[0]'), json_extract_string(v, '$.source[1]'), json_extract_string(v, '$.source[2].pdf')] ELSE [json_extract_string(v, '$.source')] END]), [json_extract_string(v, '$.source_pdf'), json_extract_string(v, '$.path'), json_extract_string(v, '$.local_pdf')]), lambda x: x IS NOT NULL)) ELSE [] END AS paths FROM i)
+SELECT k AS case_id, id, required AND CASE WHEN kind = 'image' THEN v IS NULL OR json_extract_string(v, '$.image_path') = '' ELSE v IS NULL OR CAST(v AS VARCHAR) IN ('null', '""') END AS missing_required, auto_pass,
+CASE WHEN json_type(v) IN ('OBJECT') THEN CAST(v AS VARCHAR) ELSE json_extract_string(v, '$') END AS value, array_to_string(list_sort(list_filter(paths, lambda x: regexp_matches(lower(x), '\\.(pdf|txt|html?|png|jpe?g|webp)$'))), ',') AS paths FROM w"""
+
+
+def _reviewed(t):
+    return t("customer").select(F.col("c_custkey").alias("case_id"), F.expr(_REVIEWED).alias("analysis"), F.expr(_REVIEWED_INPUT).alias("benchmark"), F.expr(_REVIEWED_CLAIMS).alias("claims"))
+
+
+@query(_REVIEW_SQL)
+def review_items(t):
+    """What a person has to check in every case, with the files that prove it."""
+    i = V.review_items(_reviewed(t))
+    value = F.when(F.col("value") == "null", None).when(F.col("value").startswith('"'), F.expr("substring(value, 2, length(value) - 2)")).otherwise(F.col("value"))
+    return i.select("case_id", "id", "missing_required", "auto_pass", value.alias("value"), F.array_join(F.array_sort("evidence_paths"), ",").alias("paths"))
+
+
+#: A file's path from a line: cases in groups or not, cases in cases, working folders, loose files.
+_TREE = """concat(CASE l_orderkey % 4 WHEN 0 THEN '' WHEN 1 THEN 'group/' WHEN 2 THEN concat('area ', CAST(l_orderkey % 7 AS VARCHAR(9)), '/sub/') ELSE 'outer/' END, CASE WHEN l_orderkey % 9 = 0 THEN 'misc' ELSE concat(CASE WHEN l_orderkey % 2 = 0 THEN 'EP' ELSE 'ep' END, lpad(CAST(l_orderkey AS VARCHAR(20)), 8, '0')) END, '/',
+CASE l_partkey % 8 WHEN 0 THEN concat('EP', CAST(l_orderkey AS VARCHAR(20)), '-analysis.json') WHEN 1 THEN 'docs/x-analysis.json' WHEN 2 THEN 'docs/deep/a.pdf' WHEN 3 THEN 'assets/b.png' WHEN 4 THEN 'more/y-analysis.json' WHEN 5 THEN '_state/s.json' WHEN 6 THEN 'register/z-main.html' ELSE 'loose.txt' END)"""
+_OWNER_SQL = f"""WITH f AS (SELECT l_suppkey, {_TREE} AS path, regexp_replace(path, '/?[^/]*$', '') AS dir FROM lineitem), r AS (SELECT dir AS root, min(regexp_extract(path, '[^/]*$')) AS marker FROM f WHERE path LIKE '%-analysis.json' GROUP BY dir),
+o AS (SELECT dir, arg_max(root, length(root)) AS root FROM (SELECT DISTINCT dir FROM f) JOIN r ON dir = root OR starts_with(dir, root || '/') GROUP BY dir)
+SELECT root, any_value(marker) AS marker, count(*) AS files, CAST(sum(l_suppkey) AS BIGINT) AS bytes, count(DISTINCT path[length(root) + 2:]) AS names, CASE WHEN contains(root, '/') THEN regexp_extract(root, '([^/]*)/[^/]*$', 1) ELSE '未分类' END AS category FROM f JOIN o USING (dir) JOIN r USING (root) GROUP BY root"""
+
+
+@query(_OWNER_SQL)
+def case_discovery(t):
+    """Case folders by their marker files, and what each owns of a file listing."""
+    files = t("lineitem").select(F.expr(_TREE).alias("path"), "l_suppkey")
+    roots = D.roots(files)
+    own = D.owned(files, roots).groupBy("root").agg(F.count(F.lit(1)).alias("files"), F.sum("l_suppkey").cast("long").alias("bytes"), F.countDistinct("inside").alias("names"))
+    return own.join(roots, "root").select("root", "marker", "files", "bytes", "names", D.category(F.col("root")).alias("category"))
+
+
+_NAMED_SQL = f"""WITH f AS (SELECT l_suppkey, string_split({_TREE}, '/') AS p, list_position(list_transform(p, lambda x: regexp_full_match(x, '(?i)EP[0-9]{{8,}}')), true) AS n FROM lineitem)
+SELECT array_to_string(p[1:n], '/') AS case_dir, upper(p[n]) AS case_id, count(*) AS files, count(CASE WHEN p[n + 1] = 'register' THEN 1 END) AS pages FROM f WHERE n > 0 AND NOT list_has_any(p, ['_state', '_logs', '.git', '__pycache__']) AND NOT list_contains(list_transform(p[n + 1:], lambda x: lower(x)), 'assets') GROUP BY 1, 2"""
+
+
+@query(_NAMED_SQL)
+def case_files_by_name(t):
+    """Files below folders that are named like a case."""
+    f = D.case_files(t("lineitem").select(F.expr(_TREE).alias("path")))
+    return f.groupBy("case_dir", "case_id").agg(F.count(F.lit(1)).alias("files"), F.count_if(F.col("inside").startswith("register/")).alias("pages"))
