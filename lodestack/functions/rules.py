@@ -5,7 +5,9 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from .text import norm_space, publication_id
+from ..operators import claims
+from . import publications
+from .text import bound, norm_space
 
 # Patterns and their results, the first that fits wins.
 DOCUMENT_PRIORITY = (
@@ -122,28 +124,29 @@ def is_noise_citation(citation: Column, application: Column) -> Column:
 
 
 def cited_publication(citation: Column) -> Column:
-    """Normalised publication of a citation with or without its label."""
-    return publication_id(F.regexp_replace(citation, "(?i)^\\s*D[0-9]{1,2}\\s+", ""))
+    """Publication that a citation names, with or without its label."""
+    return publications.find(citation)
 
 
-def citation_query(citation: Column) -> Column:
-    """What a citation is looked up by: its publication, a number in it, or its first 120 characters without the label."""
+def _number_or_start(citation: Column) -> Column:
     bare = F.regexp_replace(F.trim(citation), "(?i)^\\s*D[0-9]{1,2}\\s+", "")
     number = F.regexp_extract(bare, "(?i)\\b((?:WO|EP|US|JP|CN|GB)[-\\s]?[A-Z]?-?\\s?[0-9][A-Z0-9/.,\\-\\s]{3,50})", 1)
-    return F.coalesce(F.nullif(cited_publication(citation), F.lit("")), F.nullif(norm_space(number), F.lit("")), norm_space(F.substring(bare, 1, 120)))
+    return F.coalesce(F.nullif(norm_space(number), F.lit("")), norm_space(F.substring(bare, 1, 120)))
+
+
+def citation_query(citation: Column) -> Column:
+    """What a citation is looked up by: its publication, a number in it, or its first 120 characters without the label."""
+    return bound(cited_publication(citation), lambda p: F.when(p != "", p).otherwise(_number_or_start(citation)))
 
 
 def citation_key(citation: Column) -> Column:
     """Citations with the same key are the same document: the publication without its kind, else the query."""
-    found = cited_publication(citation)
-    return F.lower(F.when(found != "", F.regexp_replace(found, "[A-Z]\\d?$", "")).otherwise(citation_query(citation)))
+    return F.lower(bound(cited_publication(citation), lambda p: F.when(p != "", F.regexp_replace(p, "[A-Z]\\d?$", "")).otherwise(_number_or_start(citation))))
 
 
 def is_noise_line(line: Column) -> Column:
     """Empty lines, page and line numbers, number ranges, headings and running heads of claims pages."""
-    t = norm_space(F.replace(line, F.lit("\u00a0"), F.lit(" ")))
-    number = t.rlike("^[0-9]{1,3}$") | t.rlike("^[0-9]{1,3}\\s*(?:->|→|-|/)\\s*[0-9]{1,3}$") | t.rlike("(?i)^EP\\s*[0-9][0-9\\s.]{6,}$")
-    return (t == "") | number | F.lower(t).isin("claim", "claims", "claimset")
+    return claims.is_noise(claims.cleaned(line))
 
 
 def is_blocked(error: Column) -> Column:

@@ -6,7 +6,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..functions import rules
+from ..functions import publications, rules
 from ..functions.text import clean_text, iso_date, norm_space
 
 # The classes of a case in order.
@@ -129,13 +129,29 @@ def register_meta(pages: DataFrame) -> DataFrame:
     )
 
 
-def prior_art(mentions: DataFrame, k: int) -> DataFrame:
+def mentions(documents: DataFrame, case_col: str = "case_id", application_col: str = "application", source_col: str = "source", text_col: str = "text", order_col: str = "place") -> DataFrame:
+    """Row per citation in the texts of a case: case_id, application, source, citation, at (place of the document, then labelled lines, labels in
+    the text, bare publications, in order). A null text has none."""
+    text = F.coalesce(F.col(text_col), F.lit(""))
+    found = F.array(publications.labelled_lines(text), publications.labelled(text), publications.all_in(text))
+    rows = documents.select(F.col(case_col).alias("case_id"), F.col(application_col).alias("application"), F.col(source_col).alias("source"), F.col(order_col).alias("place"), F.posexplode_outer(found).alias("way", "cited"))
+    rows = rows.select("case_id", "application", "source", "place", "way", F.posexplode_outer("cited").alias("n", "citation")).filter(F.col("citation").isNotNull())
+    return rows.select("case_id", "application", "source", "citation", F.struct("place", "way", "n").alias("at"))
+
+
+def prior_art(mentions: DataFrame, k: int, documents: DataFrame | None = None) -> DataFrame:
     """case_id, rank, citation, mentions, sources: the k most mentioned documents of each case, one for each key. mentions: case_id,
-    application, source, citation, at (order of appearance). Noise is left out; ties go to the earlier citation, then by name."""
+    application, source, citation, at (order of appearance). Noise is left out; ties go to the earlier citation, then by name.
+
+    Only documents that name an examination step count, all documents of a case that has none. documents: case_id, source of all documents, also of those
+    without mentions (left out: the sources of the mentions)."""
     tidy = F.regexp_replace(norm_space(F.col("citation")), "^[ ;,.]+|[ ;,.]+$", "")
-    m = mentions.filter(rules.is_examined_source(F.col("source"))).withColumn("citation", tidy)
+    examined = rules.is_examined_source(F.col("source"))
+    known = (mentions if documents is None else documents).groupBy("case_id").agg(F.bool_or(examined).alias("any_examined"))
+    m = mentions.join(known, "case_id").filter(examined | ~F.col("any_examined")).withColumn("citation", tidy)
     m = m.filter((F.col("citation") != "") & ~rules.is_noise_citation(F.col("citation"), F.col("application")))
     g = m.groupBy("case_id", "citation").agg(F.count(F.lit(1)).alias("mentions"), F.array_join(F.array_sort(F.collect_set("source")), ",").alias("sources"), F.min("at").alias("at"))
+    g = g.filter(~publications.find(F.col("citation")).isin(*publications.UNTRUSTED))
     best = F.min_by(F.struct("citation", "mentions", "sources", "at"), F.struct(-F.col("mentions"), "at", "citation")).alias("best")
     g = g.groupBy("case_id", rules.citation_key(F.col("citation")).alias("key")).agg(best).select("case_id", "best.*")
     w = Window.partitionBy("case_id").orderBy(F.desc("mentions"), "at", "citation")

@@ -12,6 +12,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..functions.text import bound
+
 # Patterns of lines.
 PAGE = r"(?i)---\s*PAGE\s+([0-9]+)\s*---"
 CLAIM_START = r"^\s*([0-9]{1,3})\s*[.)]\s*(.*)$"
@@ -65,11 +67,6 @@ def parsed_lines(text: Column) -> Column:
     return F.transform(F.split(text, _BREAK), one)
 
 
-def bound(value: Column, body) -> Column:
-    """body(value) with value computed once. A lambda that named the expression itself would compute it for every element."""
-    return F.get(F.transform(F.array(value), body), F.lit(0))
-
-
 def _positions(rows: Column, keep) -> Column:
     """Zero-based positions of the rows that keep() accepts."""
     return F.filter(F.transform(rows, lambda r, i: F.when(keep(r), i)), lambda i: i.isNotNull())

@@ -6,9 +6,11 @@ from __future__ import annotations
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
+from ..functions import publications as P
 from ..functions import rules
 from ..functions import text as T
 from ..operators import cases as C
+from ..operators import review as V
 from .catalog import query
 
 PATHS = [
@@ -20,7 +22,7 @@ NAMES = [
     "2019-03-01_decision_to_grant.pdf", "01-02-2018_Decision to refuse.pdf", "2017-01-01_withdrawn.txt", "communication_about_intention_to_grant.pdf", "Communication_from_the_examining_division.pdf", "annex_to_the_communication.txt", "reply_to_communication.pdf",
     "2016-05-05_amended_claims.pdf", "2015-01-01_claims.pdf", "european_search_opinion.pdf", "text_intended_for_grant_clean_copy.pdf", "text_intended_for_grant_version_for_approval.pdf", "description.pdf", "published_international_x.pdf", "minutes.txt", "reclaimsx.pdf",
 ]
-CITATIONS = ["D1 WO 2004/012345 A1", "D2: not a number", "EP 1 492 030 B1", "D1 is relevant", "US 2004/0012345", "US 6123456 A", "WO 99/12345 wherein", "PCT/EP01/1234567", "EP00000001 A1", "D3 EP1492030A1", " ;EP 1492030 B1. "]
+CITATIONS = ["D1 WO 2004/012345 A1", "D2: not a number", "EP 1 492 030 B1", "D1 is relevant", "US 2004/0012345", "US 6123456 A", "WO 99/12345 wherein", "PCT/EP01/1234567", "EP00000001 A1", "D3 EP1492030A1", " ;EP 1492030 B1. ", "see JP 05 123456 A for it", "D4: JP H03-224054 A", "CN 1234567 A", "DE 10 2004 012 345 A1", "GB2345678B and more", "US 14,123,456", "JP 03 224054", "D5 WO 2004/12345", "EP 1,492,030 selected", "D6 KR 10-0123456 B1"]
 ERRORS = ["Just a moment...", "timeout", "CLOUDFLARE error", "<script src=/cdn-cgi/challenge>", ""]
 
 
@@ -133,24 +135,78 @@ def ledger_stages(t):
 _CITE, _CITE_SQL = pick(CITATIONS, "l_partkey")
 
 
-@query(f"""SELECT l_orderkey, l_linenumber, i % 11 IN (1, 3, 6, 7, 8) AS noise, CASE i % 11 WHEN 0 THEN 'wo2004012345' WHEN 1 THEN 'd2: not a number' WHEN 2 THEN 'ep1492030' WHEN 3 THEN 'is relevant' WHEN 4 THEN 'us20040012345' WHEN 5 THEN 'us6123456' WHEN 6 THEN 'wo 99/12345' WHEN 7 THEN 'ep01/1234567'
-WHEN 8 THEN 'ep0000001' WHEN 9 THEN 'ep1492030' ELSE ';ep 1492030 b1.' END AS key FROM (SELECT l_orderkey, l_linenumber, l_partkey AS i FROM lineitem WHERE l_partkey % 11 NOT IN (6, 7, 10))""")
+def _publication_sql(c: str) -> str:
+    """The search cascade over a cleaned, upper-case text c without its label."""
+    p = dict(P.FAMILIES)
+    hit = lambda name: f"regexp_matches({c}, '{p[name]}')"
+    part = lambda name, k: f"regexp_extract({c}, '{p[name]}', {k})"
+    digits = lambda name, k: f"regexp_replace({part(name, k)}, '\\D+', '', 'g')"
+    us = digits("us_patent", 1)
+    return f"""CASE WHEN {hit("wo_long")} THEN 'WO' || {part("wo_long", 1)} || {part("wo_long", 2)} || {part("wo_long", 3)} WHEN {hit("wo_short")} THEN 'WO' || {part("wo_short", 1)} || {part("wo_short", 2)} || {part("wo_short", 3)} WHEN {hit("ep")} THEN 'EP' || {digits("ep", 1)} || {part("ep", 2)}
+WHEN {hit("us_application")} THEN 'US' || {part("us_application", 1)} || lpad({part("us_application", 2)}, 7, '0') || CASE WHEN {part("us_application", 3)} = '' THEN 'A1' ELSE {part("us_application", 3)} END
+WHEN {hit("us_patent")} THEN CASE WHEN {part("us_patent", 2)} = '' AND len({us}) = 8 AND CAST({us} AS INT) > 13000000 THEN '' ELSE 'US' || {us} || {part("us_patent", 2)} END WHEN {hit("jp_year")} THEN 'JPH' || {part("jp_year", 1)} || coalesce(nullif(ltrim({digits("jp_year", 2)}, '0'), ''), '0') || {part("jp_year", 3)}
+WHEN {hit("jp_era")} THEN 'JP' || {part("jp_era", 1)} || {digits("jp_era", 2)} || {part("jp_era", 3)} WHEN {hit("country")} THEN {part("country", 1)} || {digits("country", 2)} || {part("country", 3)} ELSE '' END"""
+
+
+_SPACED = "trim(regexp_replace({x}, '\\s+', ' ', 'g'))"
+_BARE_SQL = "regexp_replace(upper(" + _SPACED + "), '^D[0-9]{{1,2}}\\s+', '')"
+_TERMS_SQL = "|".join(rules.NOISE_TERMS)
+#: pub, noise and key of the column citation of a relation, for the application EP00000001.
+_JUDGED_SQL = f"""SELECT *, pub = '' OR regexp_matches(upper(citation), '^D[0-9]{{{{1,2}}}}\\s+(IS|FROM|DOES|REPRESENTS|MENTIONS|SHOWS)\\b') OR contains(regexp_replace(citation, '\\D', '', 'g'), '00000001') OR regexp_matches(upper(citation), '\\b(PCT/)?[A-Z]{{{{2}}}}\\d{{{{2}}}}/\\d{{{{4,}}}}\\b') OR regexp_matches(upper(citation), '{_TERMS_SQL}') AS noise,
+lower(CASE WHEN pub <> '' THEN regexp_replace(pub, '[A-Z]\\d?$', '') WHEN number <> '' THEN {_SPACED.format(x="number")} ELSE {_SPACED.format(x="left(nolabel, 120)")} END) AS key
+FROM (SELECT *, {_publication_sql("bare").replace("{", "{{").replace("}", "}}")} AS pub, regexp_replace(trim(citation), '(?i)^\\s*D[0-9]{{{{1,2}}}}\\s+', '') AS nolabel, regexp_extract(nolabel, '(?i)\\b((?:WO|EP|US|JP|CN|GB)[-\\s]?[A-Z]?-?\\s?[0-9][A-Z0-9/.,\\-\\s]{{{{3,50}}}})', 1) AS number FROM (SELECT *, {_BARE_SQL.format(x="citation").replace("{", "{{").replace("}", "}}")} AS bare FROM ({{rows}})))"""
+
+
+@query(f"SELECT l_orderkey, l_linenumber, noise, key FROM ({_JUDGED_SQL.format(rows=f'SELECT l_orderkey, l_linenumber, {_CITE_SQL} AS citation FROM lineitem')})")
 def citation_keys(t):
-    c = t("lineitem").filter("l_partkey % 11 not in (6, 7, 10)").select("l_orderkey", "l_linenumber", F.expr(_CITE).alias("citation"))
+    c = t("lineitem").select("l_orderkey", "l_linenumber", F.expr(_CITE).alias("citation"))
     return c.select("l_orderkey", "l_linenumber", rules.is_noise_citation(F.col("citation"), F.lit("EP00000001")).alias("noise"), rules.citation_key(F.col("citation")).alias("key"))
 
 
-@query(f"""WITH m AS (SELECT l_orderkey AS case_id, l_linenumber AS pos, l_partkey % 11 AS i, {pick(NAMES, 'l_suppkey')[1]} AS source FROM lineitem),
-g AS (SELECT case_id, CASE i WHEN 0 THEN 'D1 WO 2004/012345 A1' WHEN 2 THEN 'EP 1 492 030 B1' WHEN 4 THEN 'US 2004/0012345' WHEN 5 THEN 'US 6123456 A' WHEN 9 THEN 'D3 EP1492030A1' WHEN 10 THEN 'EP 1492030 B1' END AS citation, CASE i WHEN 0 THEN 'w' WHEN 4 THEN 'u' WHEN 5 THEN 'v' ELSE 'e' END AS key,
-count(*) AS mentions, string_agg(DISTINCT source, ',' ORDER BY source) AS sources, min(pos) AS pos FROM m WHERE i IN (0, 2, 4, 5, 9, 10) AND (regexp_matches(lower(source), 'search_(opinion|report)|communication|annex|summons|grounds|decision') OR NOT regexp_matches(lower(source), 'claims|description|text_intended|published_international|translation')) GROUP BY case_id, i),
-b AS (SELECT * FROM g QUALIFY row_number() OVER (PARTITION BY case_id, key ORDER BY mentions DESC, pos, citation) = 1)
-SELECT case_id, row_number() OVER (PARTITION BY case_id ORDER BY mentions DESC, pos, citation) AS rank, citation, mentions, sources FROM b QUALIFY row_number() OVER (PARTITION BY case_id ORDER BY mentions DESC, pos, citation) <= 3""")
+_EXAMINED_SQL = "(regexp_matches(lower({x}), 'search_(opinion|report)|communication|annex|summons|grounds|decision') OR NOT regexp_matches(lower({x}), 'claims|description|text_intended|published_international|translation'))"
+#: The three best citations of a case from m (case_id, at, source, citation): examined sources only where a case has some.
+_RANKED_SQL = f"""e AS (SELECT case_id, bool_or({_EXAMINED_SQL.format(x="source")}) AS has_examined FROM d GROUP BY case_id),
+u AS (SELECT m.case_id, pos, source, trim(regexp_replace(citation, '\\s+', ' ', 'g'), ' ;,.') AS citation FROM m JOIN e USING (case_id) WHERE {_EXAMINED_SQL.format(x="source")} OR NOT has_examined),
+j AS ({_JUDGED_SQL.format(rows="SELECT * FROM u")}),
+g AS (SELECT case_id, citation, any_value(key) AS key, count(*) AS mentions, string_agg(DISTINCT source, ',' ORDER BY source) AS sources, min(pos) AS pos FROM j WHERE NOT noise AND pub NOT IN ('JPH03224054', 'JPH03224054A') GROUP BY case_id, citation),
+best AS (SELECT * FROM g QUALIFY row_number() OVER (PARTITION BY case_id, key ORDER BY mentions DESC, pos, citation) = 1)
+SELECT case_id, row_number() OVER (PARTITION BY case_id ORDER BY mentions DESC, pos, citation) AS rank, citation, mentions, sources FROM best QUALIFY row_number() OVER (PARTITION BY case_id ORDER BY mentions DESC, pos, citation) <= 3"""
+
+
+@query(f"WITH m AS (SELECT l_orderkey AS case_id, l_linenumber AS pos, {pick(NAMES, 'l_suppkey')[1]} AS source, {_CITE_SQL} AS citation FROM lineitem), d AS (SELECT case_id, source FROM m), {_RANKED_SQL}")
 def prior_art_rank(t):
     """The most mentioned documents of each case, without noise, one for each publication."""
     m = t("lineitem").select(F.col("l_orderkey").alias("case_id"), F.lit("EP00000001").alias("application"), F.expr(pick(NAMES, "l_suppkey")[0]).alias("source"), F.expr(_CITE).alias("citation"), F.col("l_linenumber").alias("at"))
     return C.prior_art(m, 3)
 
 
+#: A conversation's turn as a document of a case: its text with references, labels in lines and bare labels between them.
+_CITING = """concat(text, chr(10), '{a}', chr(10), CASE WHEN turn % 2 = 0 THEN concat('D', CAST(turn + 1 AS VARCHAR(9)), ':', chr(10), ' {b} ', chr(10), 'D7 - US 6,123,456 A') ELSE concat('the D2 = ', '{b}', ' and D3: Chou et al., WO 99/12345 A1, but') END, CASE WHEN conv_id % 3 = 0 THEN concat(chr(10), 'D9', chr(10), chr(10), 'CN 1234567 A', chr(10), 'D8: none') ELSE '' END)"""
+
+
+def _citing(side: int) -> str:
+    first, second = (pick([c.replace("'", "") for c in CITATIONS], i)[side] for i in ("conv_id + turn", "conv_id * 5 + turn * 3"))
+    return _CITING.replace("'{a}'", first).replace("' {b} '", second).replace("'{b}'", second)
+
+
+_MENTIONS_SQL = f"""WITH d AS (SELECT conv_id AS case_id, turn AS place, {pick(NAMES, "conv_id + turn * 5")[1]} AS source, {_citing(1)} AS text FROM conversations),
+l AS (SELECT case_id, place, source, unnest(range(len(a))) AS n, unnest(a) AS line, a AS lines FROM (SELECT *, list_transform(string_split(text, chr(10)), lambda x: {_SPACED.format(x="x")}) AS a FROM d)),
+b AS (SELECT *, regexp_extract(line, '(?i)^(D[0-9]{{1,2}})\\s*[:\\-]?\\s*(.*)$', 1) AS label, trim(regexp_extract(line, '(?i)^(D[0-9]{{1,2}})\\s*[:\\-]?\\s*(.*)$', 2)) AS rest, lines[n + 2:n + 4] AS below, list_position(list_transform(below, lambda x: regexp_matches(x, '(?i)^D[0-9]{{1,2}}')), true) AS stop FROM l WHERE regexp_matches(line, '(?i)^D[0-9]{{1,2}}')),
+r AS (SELECT case_id, place, source, 0 AS way, n, upper(label) AS label, CASE WHEN len(rest) < 5 AND n + 1 < len(lines) THEN array_to_string(list_filter(CASE WHEN stop > 0 THEN below[:stop - 1] ELSE below END, lambda x: x <> ''), ' ') ELSE rest END AS rest FROM b
+      UNION ALL SELECT case_id, place, source, 1, unnest(range(len(x))), unnest(list_transform(x, lambda y: upper(y))), unnest(z) FROM (SELECT *, regexp_extract_all(text, '(?i){P.LABELLED.replace("'", "''")}', 1) AS x, regexp_extract_all(text, '(?i){P.LABELLED.replace("'", "''")}', 2) AS z FROM d)
+      UNION ALL SELECT case_id, place, source, 2, unnest(range(len(x))), '', unnest(x) FROM (SELECT *, regexp_extract_all(text, '(?i){P.BROAD}', 0) AS x FROM d)),
+p AS (SELECT case_id, place, source, way, n, label, {_publication_sql("bare")} AS pub FROM (SELECT *, {_BARE_SQL.format(x="rest")} AS bare FROM r)),
+q AS (SELECT case_id, place, source, way, n, trim(label || ' ' || pub) AS citation FROM p WHERE pub <> '' QUALIFY way < 2 OR row_number() OVER (PARTITION BY case_id, place, way, pub ORDER BY n) = 1),
+m AS (SELECT case_id, source, citation, place * 1000000 + way * 100000 + n AS pos FROM q), {_RANKED_SQL}"""
+
+
+@query(_MENTIONS_SQL)
+def prior_art_in_texts(t):
+    """The same from whole texts: labelled lines, labels inside lines and bare publications."""
+    d = t("conversations").select(F.col("conv_id").alias("case_id"), F.lit("EP00000001").alias("application"), F.expr(pick(NAMES, "conv_id + turn * 5")[0]).alias("source"), F.expr(_citing(0)).alias("text"), F.col("turn").alias("place"))
+    return C.prior_art(C.mentions(d), 3, d)
+
+
 _CLAIM_SQL = "SELECT conv_id, CASE WHEN conv_id % 5 = 0 AND turn = 2 THEN '1' WHEN conv_id % 7 = 0 AND turn = 0 THEN 'x' ELSE CAST(turn + 1 + CASE WHEN conv_id % 4 = 0 THEN turn ELSE 0 END AS VARCHAR(9)) END AS claim_number, CASE WHEN turn % 4 = 3 THEN 'draft' ELSE 'Verified' END AS status, text FROM conversations"
 
 
@@ -198,10 +254,11 @@ def snippet_priorities(t):
     return d.select("doc_id", rules.snippet_priority(F.col("text")).alias("priority"))
 
 
-_LINE, _LINE_SQL = pick(["12", " 3 -> 4 ", "EP 1 234 567", "Claims", "1. A method of", "", "5/6", "EP12", "claimset"], "p_partkey")
+_LINE, _LINE_SQL = pick(["12", " 3 -> 4 ", "EP 1 234 567", "Claims", "1. A method of", "", "5/6", "EP12", "claimset", "Amended claims", "Claims (new)", "claims of", " claim ", "1234", "7 → 9", "ep 12.345 678"], "p_partkey")
 
 
-@query(f"SELECT p_partkey, trim({_LINE_SQL}) IN ('12', '3 -> 4', 'EP 1 234 567', 'Claims', '', '5/6', 'claimset') AS noise FROM part")
+@query(f"""SELECT p_partkey, l = '' OR lower(l) IN ('claim', 'claimset') OR regexp_full_match(lower(l), '(amended )?claims?( ?\\([^)]+\\))?') OR regexp_full_match(l, '[0-9]{{1,3}}( ?(->|→|-|/) ?[0-9]{{1,3}})?') OR regexp_full_match(lower(l), 'ep ?[0-9][0-9 .]{{6,}}') AS noise
+FROM (SELECT p_partkey, trim(regexp_replace({_LINE_SQL}, '\\s+', ' ', 'g')) AS l FROM part)""")
 def noise_lines(t):
     return t("part").select("p_partkey", rules.is_noise_line(F.expr(_LINE)).alias("noise"))
 
@@ -233,9 +290,9 @@ def merged_boxes(t):
     return C.merged_boxes(b)
 
 
-@query("SELECT doc_id, sha256(html) = sha256(text) AS same FROM documents JOIN pages ON doc_id = page_id")
+@query("""SELECT page_id, sha256(html) = sha256(now) AS same FROM (SELECT page_id, html, CASE WHEN page_id % 3 = 0 THEN replace(html, '<p>', '<p >') ELSE html END AS now FROM pages)""")
 def fingerprint_matches(t):
-    d = t("documents").join(t("pages"), F.col("doc_id") == F.col("page_id"))
-    return d.select("doc_id", (F.sha2("html", 256) == F.sha2("text", 256)).alias("same"))
-
-
+    """A stored digest of each page against that of its present form; some have changed."""
+    p = t("pages").withColumn("now", F.when(F.col("page_id") % 3 == 0, F.replace("html", F.lit("<p>"), F.lit("<p >"))).otherwise(F.col("html")))
+    none = F.lit(None).cast("string")
+    return p.select("page_id", V.fingerprint_matches(F.sha2("html", 256), none, F.sha2("now", 256), none).alias("same"))
