@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from ..operators import analysis as A
 from ..operators import claims as K
+from ..operators import repair as W
 from ..operators import review as V
 from ..sources import discovery as D
 from .catalog import query
@@ -190,3 +191,15 @@ def case_files_by_name(t):
     """Files below folders that are named like a case."""
     f = D.case_files(t("lineitem").select(F.expr(_TREE).alias("path")))
     return f.groupBy("case_dir", "case_id").agg(F.count(F.lit(1)).alias("files"), F.count_if(F.col("inside").startswith("register/")).alias("pages"))
+
+
+@query(None)
+def repaired_evidence(t):
+    """Passages of conversations with letters and words lost, put right from the conversation's own turns (no SQL: the measure of likeness is a sequence
+    matcher's; tested against a plain search)."""
+    turns = t("conversations").select(F.col("conv_id").alias("case_id"), F.concat(F.lit("turns/"), F.lpad(F.col("turn").cast("string"), 4, "0"), F.lit(".txt")).alias("file"), "text", "turn")
+    worn = F.regexp_replace(F.regexp_replace(F.element_at(F.split("text", "\n"), 1), "e", ""), " (la|und|el) ", " ")
+    quote = F.struct(worn.alias("original_text"), F.when(F.col("turn") % 3 == 0, "").otherwise(F.element_at(F.split("file", "/"), -1)).alias("source"))
+    docs = turns.filter(F.col("turn") % 2 == 0).groupBy("case_id").agg(F.array_sort(F.collect_list(F.struct("turn", quote.alias("q")))).alias("qs"))
+    docs = docs.select("case_id", F.to_json(F.struct(F.transform("qs", lambda x: x["q"]).alias("evidence"))).alias("analysis"))
+    return W.repair(docs, turns.select("case_id", "file", "text"))
