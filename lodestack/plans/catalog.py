@@ -15,6 +15,7 @@ from ..functions import text as T
 from ..operators import matching as M
 from ..operators import relational as R
 from ..session import ship
+from ..streaming import gates as G
 from ..streaming import status as S
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -464,18 +465,26 @@ def greedy_nms(t):
     return M.nms(b)
 
 
-def _stream(name, fn, sql):
+def _stream(name, fn, sql, run_all=None):
     def run(spark, sf_dir):
         import tempfile
         import uuid
 
+        ship(spark)
         schema = spark.read.parquet(f"{sf_dir}/events.parquet").schema
         base = spark.conf.get("spark.checkpoint.dir", None) or "file://" + tempfile.gettempdir()
-        stream = S.read_stream(spark, sf_dir, schema, "events.parquet")
-        return S.run_to_table(fn(stream), f"{name}_{uuid.uuid4().hex[:8]}", f"{base}/stream-{uuid.uuid4().hex}")
+        stream, at = S.read_stream(spark, sf_dir, schema, "events.parquet"), f"{base}/stream-{uuid.uuid4().hex}"
+        return run_all(fn(stream), f"{at}/out", f"{at}/checkpoint") if run_all else S.run_to_table(fn(stream), f"{name}_{uuid.uuid4().hex[:8]}", at)
 
     QUERIES[name], SQL[name] = run, sql
 
 
 _stream("stream_latest", lambda s: S.latest(s.select("user_id", "event_id", "event_type", "ts"), "user_id", ["ts", "event_id"]).drop("ts"), SQL["latest_status_per_app"])
 _stream("stream_status_counts", lambda s: S.counts(s, "event_type"), SQL["status_counts"])
+
+_GATES_SQL = """WITH e AS (SELECT CAST(user_id AS VARCHAR) AS key, CAST(event_id AS VARCHAR) AS id, min(epoch_ms(ts)) AS ms FROM events WHERE user_id IS NOT NULL AND event_id IS NOT NULL AND ts IS NOT NULL GROUP BY 1, 2),
+f AS (SELECT *, min(ms) OVER (PARTITION BY key) AS first, row_number() OVER (PARTITION BY key ORDER BY ms, id) AS n, max(ms) OVER () AS now FROM e),
+g AS (SELECT key, any_value(first) AS first, any_value(now) AS now, min(ms) FILTER (WHERE n = 60) AS reached, count(CASE WHEN ms <= first + 864000000 THEN 1 END) AS soon FROM f GROUP BY key)
+SELECT key, CASE WHEN reached <= first + 864000000 THEN 'started' ELSE 'given_up' END AS outcome, CASE WHEN reached <= first + 864000000 THEN 60 ELSE soon END AS records, CASE WHEN reached <= first + 864000000 THEN (reached - first) // 1000 ELSE 864000 END AS waited_s
+FROM g WHERE reached <= first + 864000000 OR first + 864000000 < now"""
+_stream("stream_gates", lambda s: G.gated(s, "user_id", "event_id", "ts", 60, "10 days"), _GATES_SQL, G.run_to_files)
