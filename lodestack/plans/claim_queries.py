@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from ..operators import analysis as A
 from ..operators import claims as K
+from ..operators import pages as G
 from ..operators import repair as W
 from ..operators import review as V
 from ..sources import discovery as D
@@ -203,3 +204,32 @@ def repaired_evidence(t):
     docs = turns.filter(F.col("turn") % 2 == 0).groupBy("case_id").agg(F.array_sort(F.collect_list(F.struct("turn", quote.alias("q")))).alias("qs"))
     docs = docs.select("case_id", F.to_json(F.struct(F.transform("qs", lambda x: x["q"]).alias("evidence"))).alias("analysis"))
     return W.repair(docs, turns.select("case_id", "file", "text"))
+
+
+#: A document as pages, one a sentence; some pages name a formula.
+_PAGED = "array_join(transform(split(text, '[.] '), (x, i) -> concat('--- PAGE ', i + 1, ' ---\n', x, CASE WHEN (i + doc_id) % 5 = 0 THEN ' wherein Formula (IV) R1 scope' ELSE '' END)), '\n')"
+_PAGES_SQL = r"""WITH p AS (SELECT doc_id, unnest(range(len(a))) AS i, unnest(a) AS x, len(a) AS n FROM (SELECT doc_id, string_split_regex(text, '[.] ') AS a FROM documents)),
+g AS (SELECT doc_id, i + 1 AS page, n, x, chr(10) || x || CASE WHEN (i + doc_id) % 5 = 0 THEN ' wherein Formula (IV) R1 scope' ELSE '' END || chr(10) AS text FROM p),
+s AS (SELECT doc_id, doc_id % 4 AS place, CASE doc_id % 4 WHEN 0 THEN x WHEN 1 THEN x || ' scope of formula (IV)' WHEN 2 THEN 'chemical formulae ' || x ELSE x || ' formula II wherein' END AS text FROM g WHERE page = doc_id % n + 1),
+t AS (SELECT doc_id, place, text, array_slice(list_filter(string_split(trim(regexp_replace(lower(text), '[^a-z0-9]+', ' ', 'g')), ' '), lambda w: len(w) > 2), 1, 80) AS own FROM s),
+o AS (SELECT g.doc_id, page, place, len(list_distinct(list_intersect(own, string_split(trim(regexp_replace(lower(g.text), '[^a-z0-9]+', ' ', 'g')), ' ')))) AS score, regexp_replace(lower(g.text), '[^a-z0-9]+', ' ', 'g') AS plain,
+      (length(lower(g.text)) - length(replace(lower(g.text), 'formula', ''))) // 7 * 3 + (length(lower(g.text)) - length(replace(lower(g.text), 'wherein', ''))) // 7 * 3 + (length(lower(g.text)) - length(replace(lower(g.text), 'markush', ''))) // 7 * 3 + len(regexp_extract_all(regexp_replace(g.text, '[^\x00-\x7F]', '_', 'g'), '(?i)\bR\d*[A-Z]?\b|\bX\d*[A-Z]?\b|\bFormula\s*\(?[IVX0-9]+\)?')) AS formulas
+      FROM g JOIN t USING (doc_id)),
+c AS (SELECT *, CASE place WHEN 1 THEN score >= 5 AND contains(plain, 'formula iv') AND contains(plain, 'scope') WHEN 3 THEN score >= 5 AND contains(plain, 'formula ii') ELSE false END AS named FROM o),
+d AS (SELECT *, bool_or(named) OVER (PARTITION BY doc_id) AS any_named FROM c),
+f AS (SELECT doc_id, page FROM d WHERE CASE WHEN any_named THEN named ELSE place <> 2 AND score >= 18 END QUALIFY row_number() OVER (PARTITION BY doc_id ORDER BY score DESC, page) <= 2),
+b AS (SELECT doc_id, page FROM d WHERE place <> 2 AND formulas > 0 AND doc_id NOT IN (SELECT doc_id FROM f) QUALIFY row_number() OVER (PARTITION BY doc_id ORDER BY formulas DESC, page) <= 4)
+SELECT doc_id, CAST(page AS BIGINT) AS page, CASE doc_id % 4 WHEN 1 THEN 2900 WHEN 3 THEN 600 ELSE 0 END AS priority FROM (SELECT * FROM f UNION ALL SELECT * FROM b)"""
+
+
+@query(_PAGES_SQL)
+def snippet_page_choice(t):
+    """Pages to look at for a passage of every document."""
+    d = t("documents").withColumns({"x": F.split("text", "[.] ")})
+    x = F.element_at("x", (F.col("doc_id") % F.size("x") + 1).cast("int"))
+    kind = F.col("doc_id") % 4
+    snippet = F.when(kind == 0, x).when(kind == 1, F.concat(x, F.lit(" scope of formula (IV)"))).when(kind == 2, F.concat(F.lit("chemical formulae "), x)).otherwise(F.concat(x, F.lit(" formula II wherein")))
+    name = F.lit("d_ocr.txt").alias("source")
+    snippets = d.select(F.col("doc_id").alias("case_id"), kind.alias("place"), name, snippet.alias("text"))
+    jobs = G.page_jobs(snippets, d.select(F.col("doc_id").alias("case_id"), name, F.expr(_PAGED).alias("text")), 4)
+    return jobs.select(F.col("case_id").alias("doc_id"), "page", "priority")
