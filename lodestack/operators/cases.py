@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from ..functions import publications, rules
 from ..functions.text import clean_text, iso_date, norm_space
+from .matching import by_page
 
 # The classes of a case in order.
 CASE_CLASSES = "A_strict_complete B_original_text_and_benchmark C_original_pdf_text_ready D_original_pdf_needs_text_extract E_original_fallback_only F_file_wrapper_docs_only G_register_metadata_only H_misc_or_failed_artifacts I_empty_case_dir".split()
@@ -68,6 +69,16 @@ def stages(profile: DataFrame, last_status: Column) -> DataFrame:
     return out.withColumn("overall_status", overall)
 
 
+def missing_numbers(have: Column, most: int = 1000) -> Column:
+    """Texts of the numbers from 1 that a sorted array of distinct ones skips; more than ``most`` in a row are one text (4-2000000)."""
+    known = F.concat(F.array(F.lit(0)), F.filter(have, lambda n: n > 0))
+    first, last = lambda n: n + 1, lambda i: F.get(known, i + 1) - 1
+    listed = lambda a, b: F.transform(F.sequence(a, b), lambda n: n.cast("string"))
+    none = F.array().cast("array<string>")
+    gap = lambda n, i: F.when(F.coalesce(last(i) < first(n), F.lit(True)), none).when(last(i) - n > most, F.array(F.concat(first(n).cast("string"), F.lit("-"), last(i).cast("string")))).otherwise(listed(first(n), last(i)))
+    return F.flatten(F.transform(known, gap))
+
+
 def claim_issues(claims: DataFrame) -> DataFrame:
     """case_id, issues (sorted): duplicate, unverified, short and missing claims. claims: case_id, claim_number (text), status, text."""
     number = F.col("claim_number").try_cast("int")
@@ -77,15 +88,14 @@ def claim_issues(claims: DataFrame) -> DataFrame:
     valid = c.filter("n is not null")
     short = F.length(F.regexp_replace(F.coalesce("text", F.lit("")), "[^A-Za-z0-9\\x{4e00}-\\x{9fff}]", "")) < 20
     per = valid.groupBy("case_id").agg(F.max("n").alias("top"), F.array_sort(F.collect_set("n")).alias("have"))
-    missing = F.array_except(F.when(F.col("top") >= 1, F.sequence(F.lit(1), F.col("top"))).otherwise(F.array().cast("array<int>")), F.col("have"))
-    per = per.withColumn("gone", missing)
+    per = per.withColumn("gone", missing_numbers(F.col("have")))
     issues = [
         said(c.filter("n is null"), F.lit("claim_number invalid")),
         said(valid.filter(F.lower(F.coalesce("status", F.lit(""))) != "verified"), named(" not verified")),
         said(valid.filter(short), named(" text too short")),
         said(valid.groupBy("case_id", "n").count().filter("count > 1"), F.concat(F.lit("duplicate claim "), F.col("n").cast("string"))),
         said(per.filter(~F.array_contains("have", 1)), F.lit("claim 1 missing")),
-        said(per.filter(F.size("gone") > 0), F.concat(F.lit("claim numbers not contiguous, missing: "), F.array_join(F.col("gone").cast("array<string>"), ","))),
+        said(per.filter(F.size("gone") > 0), F.concat(F.lit("claim numbers not contiguous, missing: "), F.array_join("gone", ","))),
     ]
     every = issues[0]
     for more in issues[1:]:
@@ -164,22 +174,19 @@ def text_rows(centres: DataFrame, key: str, y: str, height: int = 14, least: int
     return bands.groupBy(key).agg(F.count_if(F.col("count") >= least).alias("n"))
 
 
-def merged_boxes(boxes: DataFrame, pad: int = 8, buckets: int = 64) -> DataFrame:
-    """page, x, y, w, h: boxes grown by ``pad`` and united while they touch, in order of box. A page's boxes are few, so a task takes a
-    bucket of pages."""
-
-    def one(pdf: pd.DataFrame) -> pd.DataFrame:
-        out = []
-        for page, rows in pdf.sort_values(["page", "box"]).groupby("page", sort=False):
-            united: list[tuple] = []
-            for r in rows.itertuples():
-                rect = (r.x - pad, r.y - pad, r.x + r.w + pad, r.y + r.h + pad)
-                while touching := [o for o in united if o[0] <= rect[2] and rect[0] <= o[2] and o[1] <= rect[3] and rect[1] <= o[3]]:
-                    united = [o for o in united if o not in touching]
-                    lows, highs = zip(*[(b[:2], b[2:]) for b in (rect, *touching)])
-                    rect = (*map(min, zip(*lows)), *map(max, zip(*highs)))
-                united.append(rect)
-            out += [(page, a, b, c - a, d - b) for a, b, c, d in united]
-        return pd.DataFrame(out, columns=["page", "x", "y", "w", "h"])
-
-    return boxes.groupBy(F.pmod(F.xxhash64("page"), F.lit(buckets))).applyInPandas(one, "page long, x long, y long, w long, h long")
+def merged_boxes(boxes: DataFrame, pad: int = 8, buckets: int | None = None) -> DataFrame:
+    """page, x, y, w, h: boxes grown by ``pad`` and united while they touch, in order of box."""
+
+    def one(rows: pd.DataFrame) -> pd.DataFrame:
+        pages: dict[int, list[tuple]] = {}
+        for r in rows.itertuples():
+            united = pages.setdefault(r.page, [])
+            rect = (r.x - pad, r.y - pad, r.x + r.w + pad, r.y + r.h + pad)
+            while touching := [o for o in united if o[0] <= rect[2] and rect[0] <= o[2] and o[1] <= rect[3] and rect[1] <= o[3]]:
+                united[:] = [o for o in united if o not in touching]
+                lows, highs = zip(*[(b[:2], b[2:]) for b in (rect, *touching)])
+                rect = (*map(min, zip(*lows)), *map(max, zip(*highs)))
+            united.append(rect)
+        return pd.DataFrame([(page, a, b, c - a, d - b) for page, united in pages.items() for a, b, c, d in united], columns=["page", "x", "y", "w", "h"])
+
+    return by_page(boxes, ["box"], one, "page long, x long, y long, w long, h long", buckets)

@@ -112,18 +112,20 @@ def overlap_topk(quotes: DataFrame, sources: DataFrame, k: int, least: int = 3,
                 for token in set([w for w in text.split() if len(w) >= least][:first]):
                     owners.setdefault(token, []).append(i)
             arrays = {t: np.array(x) for t, x in owners.items()}
+            qids = np.array([q for q, _ in block], dtype=np.int64)
             for batch in batches:
-                sids, counts = np.array(batch.column(0).to_pylist(), dtype=np.int64), []
-                for body in batch.column(1).to_pylist():
+                parts = [np.zeros((3, 0), np.int64)]
+                for sid, body in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
                     hit = [arrays[t] for t in set(body.split()) & arrays.keys()]
-                    counts.append(np.bincount(np.concatenate(hit), minlength=len(block)) if hit else np.zeros(len(block), dtype=np.int64))
-                table = np.array(counts).reshape(len(sids), len(block))
-                rows = []
-                for i, (qid, _) in enumerate(block):
-                    best = np.lexsort((sids, -table[:, i]))[:k]
-                    rows += [(qid, int(sids[j]), int(table[j, i])) for j in best if table[j, i] > 0]
-                columns = list(zip(*rows)) if rows else [[]] * 3
-                yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in columns], names=["qid", "sid", "overlap"])
+                    if hit:
+                        which, n = np.unique(np.concatenate(hit), return_counts=True)
+                        parts.append(np.array([which, np.full(len(which), sid), n]))
+                which, sids, n = np.concatenate(parts, axis=1)
+                order = np.lexsort((sids, -n, which))
+                which, sids, n = which[order], sids[order], n[order]
+                # Place of a row among its quote's: only the first k can be among the best k of all.
+                best = np.arange(len(which)) - np.searchsorted(which, which) < k
+                yield pa.RecordBatch.from_arrays([pa.array(c[best], pa.int64()) for c in (qids[which], sids, n)], names=["qid", "sid", "overlap"])
 
         return run
 
@@ -171,13 +173,32 @@ def token_overlap(needle, haystack, least: int = 3, first: int = 80):
     return F.size(F.array_intersect(F.array_distinct(F.slice(tokens(needle), 1, first)), tokens(haystack)))
 
 
-def nms(boxes: DataFrame, limit: float = 0.45, buckets: int = 64) -> DataFrame:
-    """Greedy suppression per page, best score first. boxes: page, box, score, x, y, w, h. A page's boxes are few, so a task
-    takes a bucket of pages instead of paying a call for each page."""
+def by_page(boxes: DataFrame, order: list, one, schema: str, partitions: int | None = None) -> DataFrame:
+    """one(rows of whole pages, in order) over all pages, without a call a page: pages are dealt by the session's shuffle width (or ``partitions``), sorted,
+    and read one after another; memory holds a page and a batch."""
+    dealt = boxes.repartition(partitions, "page") if partitions else boxes.repartition("page")
 
-    def one(pdf: pd.DataFrame) -> pd.DataFrame:
+    def run(batches):
+        held = None
+        for pdf in batches:
+            pdf = pdf if held is None else pd.concat([held, pdf])
+            if len(pdf):
+                last = pdf["page"] == pdf["page"].iloc[-1]
+                held, whole = pdf[last], pdf[~last]
+                if len(whole):
+                    yield one(whole)
+        if held is not None and len(held):
+            yield one(held)
+
+    return dealt.sortWithinPartitions("page", *order).mapInPandas(run, schema)
+
+
+def nms(boxes: DataFrame, limit: float = 0.45, buckets: int | None = None) -> DataFrame:
+    """Greedy suppression per page, best score first. boxes: page, box, score, x, y, w, h."""
+
+    def one(rows: pd.DataFrame) -> pd.DataFrame:
         kept: dict[int, list] = {}
-        for row in pdf.sort_values(["page", "score", "box"], ascending=[True, False, True]).itertuples():
+        for row in rows.itertuples():
             page = kept.setdefault(row.page, [])
             for k in page:
                 wide = max(0, min(row.x + row.w, k.x + k.w) - max(row.x, k.x))
@@ -188,7 +209,7 @@ def nms(boxes: DataFrame, limit: float = 0.45, buckets: int = 64) -> DataFrame:
                 page.append(row)
         return pd.DataFrame([(k.page, k.box) for page in kept.values() for k in page], columns=["page", "box"])
 
-    return boxes.groupBy(F.pmod(F.xxhash64("page"), F.lit(buckets))).applyInPandas(one, "page long, box long")
+    return by_page(boxes, [F.desc("score"), "box"], one, "page long, box long", buckets)
 
 
 @F.pandas_udf(StringType())

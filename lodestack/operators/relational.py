@@ -78,19 +78,33 @@ def weighted_score(scores: list[Column], weights: list[float], mode: str) -> Col
 
 # windows
 def round_robin(df: DataFrame, group: str, order: list, n: int) -> DataFrame:
-    """One row of each group in turn, groups by name."""
+    """One row of each group in turn, groups by name. No group gives more than n rows, so only its first n leave a task."""
     rn = F.row_number().over(Window.partitionBy(group).orderBy(*_cols(order)))
-    return df.withColumn("turn", rn).orderBy("turn", group).limit(n)
+    return df.withColumn("turn", rn).filter(F.col("turn") <= n).orderBy("turn", group).limit(n)
 
 
 def balanced(df: DataFrame, group: str, positive: Column, order: str, n: int) -> DataFrame:
-    """n // 2 positives, the rest negatives; within each, a pass takes one row a group, largest remaining group first."""
+    """n // 2 positives, the rest negatives; within each, a pass takes one row a group, largest remaining group first.
+
+    Sizes of groups are aggregated apart, so that only the first n rows of a group leave a task and are ranked."""
     side = df.withColumn("pos", positive.cast("int"))
-    w = Window.partitionBy("pos", group)
-    side = side.withColumn("turn", F.row_number().over(w.orderBy(order))).withColumn("left_over", F.count(F.lit(1)).over(w) - F.col("turn") + 1).withColumn("seen", F.min(order).over(w))
-    rank = F.row_number().over(Window.partitionBy("pos").orderBy("turn", F.desc("left_over"), "seen"))
+    sizes = side.groupBy(F.col("pos").alias("of_pos"), F.col(group).alias("of_group")).agg(F.count(F.lit(1)).alias("size"), F.min(order).alias("seen"))
+    first = side.withColumn("turn", F.row_number().over(Window.partitionBy("pos", group).orderBy(order))).filter(F.col("turn") <= n)
+    first = first.join(sizes, F.col("pos").eqNullSafe(F.col("of_pos")) & F.col(group).eqNullSafe(F.col("of_group")))
+    rank = F.row_number().over(Window.partitionBy("pos").orderBy("turn", F.desc(F.col("size") - F.col("turn")), "seen"))
     share = F.when(F.col("pos") == 1, n // 2).otherwise(n - n // 2)
-    return side.withColumn("place", rank).filter(F.col("place") <= share).drop("left_over", "seen")
+    return first.withColumn("place", rank).filter(F.col("place") <= share).drop("of_pos", "of_group", "size", "seen")
+
+
+def topped_up(df: DataFrame, chosen: DataFrame, key: str, order: str, n: int) -> DataFrame:
+    """The rows of df that chosen holds, and where those are fewer than n, the first others in order: key, added."""
+    have = chosen.select(key).distinct()
+    missing = n - have.count()
+    kept = have.withColumn("added", F.lit(False))
+    if missing <= 0:
+        return kept
+    others = df.join(have, key, "left_anti").groupBy(key).agg(F.min(order).alias("at")).orderBy("at", key).limit(missing)
+    return kept.unionByName(others.select(key, F.lit(True).alias("added")))
 
 
 def until_target(df: DataFrame, order: list, success: Column, target: int, within: list) -> DataFrame:
@@ -108,10 +122,10 @@ def streaks(df: DataFrame, key: str, order: list, failed: Column) -> DataFrame:
 
 
 def gaps(df: DataFrame, key: str, number: str) -> DataFrame:
-    """Contiguity of 1..max per key: missing numbers and duplicates."""
-    g = df.groupBy(key).agg(F.max(number).alias("top"), F.count(number).alias("rows"), F.array_sort(F.collect_set(number)).alias("have"))
-    missing = F.array_except(F.when(F.col("top") >= 1, F.sequence(F.lit(1).cast("long"), F.col("top").cast("long"))).otherwise(F.array().cast("array<long>")), F.col("have").cast("array<long>"))
-    return g.select(key, F.size(missing).cast("long").alias("missing"), (F.col("rows") - F.size("have")).alias("duplicates"))
+    """Contiguity of 1..max per key: how many numbers are missing, and duplicates. Nothing is made for a missing number, however large max is."""
+    n = F.col(number)
+    g = df.groupBy(key).agg(F.max(number).alias("top"), F.count(number).alias("rows"), F.countDistinct(number).alias("distinct"), F.countDistinct(F.when(n >= 1, n)).alias("positive"))
+    return g.select(key, (F.greatest(F.col("top").cast("long"), F.lit(0)) - F.col("positive")).alias("missing"), (F.col("rows") - F.col("distinct")).alias("duplicates"))
 
 
 # geometry
