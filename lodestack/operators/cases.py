@@ -7,7 +7,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import publications, rules
-from ..functions.text import clean_text, iso_date, norm_space
+from ..functions.text import clean_text, date_rank, has_meaningful_text, iso_date, norm_space
 from .matching import by_page
 
 # The classes of a case in order.
@@ -168,6 +168,22 @@ def prior_art(mentions: DataFrame, k: int, documents: DataFrame | None = None) -
     return g.withColumn("rank", F.row_number().over(w)).filter(F.col("rank") <= k).select("case_id", "rank", "citation", "mentions", "sources")
 
 
+def source_texts(documents: DataFrame, max_files: int, max_chars: int, budget: int | None = None) -> DataFrame:
+    """case_id, place (from 1), name, text: the first ``max_files`` documents of a case that hold meaningful text, by priority, date (late first) and
+    name, each cut to max_chars, and all of them together to ``budget`` characters: one that is too long for the rest is cut, later ones are left out.
+
+    documents: case_id, name, text. A null text is never meaningful; equal names are taken in order of their texts. Only the first rows of a case and cut
+    texts leave a task."""
+    d = documents.select("case_id", "name", F.substring(F.coalesce("text", F.lit("")), 1, max_chars).alias("text")).filter(has_meaningful_text(F.col("text")))
+    order = [rules.document_priority(F.col("name")), -date_rank(F.col("name")), "name", "text"]
+    d = d.withColumn("place", F.row_number().over(Window.partitionBy("case_id").orderBy(*order))).filter(F.col("place") <= max_files)
+    if budget is None:
+        return d.select("case_id", "place", "name", "text")
+    before = F.coalesce(F.sum(F.length("text")).over(Window.partitionBy("case_id").orderBy("place").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    d = d.withColumn("left", (F.lit(budget) - before).cast("int")).filter(F.col("left") > 0)
+    return d.select("case_id", "place", "name", F.substring("text", F.lit(1), F.col("left")).alias("text"))
+
+
 def text_rows(centres: DataFrame, key: str, y: str, height: int = 14, least: int = 5) -> DataFrame:
     """key, n: rows of text on a page, counted as bands of ``height`` that hold ``least`` centres or more."""
     bands = centres.groupBy(key, F.floor(F.col(y) / height).alias("band")).count()

@@ -132,6 +132,19 @@ def ledger_stages(t):
     return out.select("case_id", "original_stage", "docs_stage", "processing_stage", "overall_status")
 
 
+_TURN_NAME, _TURN_NAME_SQL = pick(NAMES, "conv_id + turn * 5")
+
+
+@query(f"""WITH d AS (SELECT conv_id, {_TURN_NAME_SQL} AS name, left(text, 300) AS text FROM conversations),
+r AS (SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY {_PRIORITY_SQL.format(x='name')}, -({_RANK_SQL.format(x='name')}), name, text) AS place FROM d WHERE length(regexp_replace(text, '[^A-Za-z0-9]', '', 'g')) >= 80 QUALIFY place <= 4),
+b AS (SELECT *, 700 - coalesce(sum(length(text)) OVER (PARTITION BY conv_id ORDER BY place ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS rest FROM r)
+SELECT conv_id AS case_id, place, name, left(text, CAST(rest AS BIGINT)) AS text FROM b WHERE rest > 0""")
+def source_budget(t):
+    """What of a case's documents is read: the most telling ones, each and all within a number of characters."""
+    d = t("conversations").select(F.col("conv_id").alias("case_id"), F.expr(_TURN_NAME).alias("name"), "text")
+    return C.source_texts(d, 4, 300, 700)
+
+
 _CITE, _CITE_SQL = pick(CITATIONS, "l_partkey")
 
 

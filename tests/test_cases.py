@@ -68,3 +68,13 @@ def test_merged_boxes(spark):
             united.append(rect)
         want |= {(p, a, b, c - a, d - b) for a, b, c, d in united}
     assert got == want
+
+
+def test_source_texts(spark):
+    long = "meaningful letters " * 40
+    docs = [("a", "2019-01-01_claims.pdf", long), ("a", "2020-01-01_claims.pdf", long + "newer"), ("a", "decision_to_grant.txt", "--- PAGE 1 ---\nSOURCE: x"), ("a", "annex_to_the_communication.txt", long), ("a", "minutes.txt", None), ("b", "minutes.txt", long), ("b", "minutes.txt", "x" * 90), ("c", "withdrawn.txt", "short")]
+    df = spark.createDataFrame(docs, "case_id string, name string, text string")
+    got = lambda *a: [(r.case_id, r.place, r.name, len(r.text)) for r in C.source_texts(df, *a).orderBy("case_id", "place").collect()]
+    assert got(2, 10_000) == [("a", 1, "annex_to_the_communication.txt", 760), ("a", 2, "2020-01-01_claims.pdf", 765), ("b", 1, "minutes.txt", 760), ("b", 2, "minutes.txt", 90)]
+    assert got(9, 200, 450) == [("a", 1, "annex_to_the_communication.txt", 200), ("a", 2, "2020-01-01_claims.pdf", 200), ("a", 3, "2019-01-01_claims.pdf", 50), ("b", 1, "minutes.txt", 200), ("b", 2, "minutes.txt", 90)]
+    assert got(9, 200, 400)[:3] == [("a", 1, "annex_to_the_communication.txt", 200), ("a", 2, "2020-01-01_claims.pdf", 200), ("b", 1, "minutes.txt", 200)]
