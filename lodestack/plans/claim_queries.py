@@ -11,6 +11,7 @@ from ..operators import claims as K
 from ..operators import pages as G
 from ..operators import repair as W
 from ..operators import review as V
+from ..operators import validation as N
 from ..sources import discovery as D
 from .catalog import query
 
@@ -233,3 +234,37 @@ def snippet_page_choice(t):
     snippets = d.select(F.col("doc_id").alias("case_id"), kind.alias("place"), name, snippet.alias("text"))
     jobs = G.page_jobs(snippets, d.select(F.col("doc_id").alias("case_id"), name, F.expr(_PAGED).alias("text")), 4)
     return jobs.select(F.col("case_id").alias("doc_id"), "page", "priority")
+
+
+_APP = "concat('EP', lpad(CAST({} AS VARCHAR(20)), 8, '0'))"
+#: A file of a case and a row of its download indexes, from a line.
+_HELD = """CASE l_partkey % 14 WHEN 0 THEN concat('register/', app, '-main.html') WHEN 1 THEN concat('register/', app, '-doclist.html') WHEN 2 THEN concat('register/', app, '-doclist.csv') WHEN 3 THEN concat(app, '-benchmark-input.json') WHEN 4 THEN concat(app, '-analysis.json') WHEN 5 THEN concat(app, '-analysis.html')
+WHEN 6 THEN 'docs/download-index.csv' WHEN 7 THEN 'original-application/download-index.csv' WHEN 8 THEN 'docs/a.pdf' WHEN 9 THEN 'docs/a.txt' WHEN 10 THEN 'docs/claims.pdf' WHEN 11 THEN 'docs/claims_ocr.txt' WHEN 12 THEN 'docs/claims.txt' ELSE 'original-application/o.pdf' END"""
+_LISTED = "CASE l_suppkey % 4 WHEN 0 THEN 'a.pdf' WHEN 1 THEN 'x/claims.pdf' WHEN 2 THEN 'gone.pdf' ELSE 'o.pdf' END"
+_SCOPE = "CASE WHEN l_linenumber % 3 = 0 THEN 'original-application' ELSE 'docs' END"
+_SIZE = "CASE WHEN l_suppkey % 5 = 0 THEN 0 ELSE l_suppkey END"
+_REQUIRED_SQL = ", ".join("'" + p.replace("{app}", "' || app || '") + "'" for p in N.REQUIRED)
+_VALID_SQL = f"""WITH l AS (SELECT *, {_APP.format("l_orderkey")} AS app FROM lineitem), f AS (SELECT app, {_HELD} AS path, max({_SIZE}) AS length, arg_max(l_suppkey % 3 <> 0, {_SIZE}) AS pdf FROM l GROUP BY 1, 2),
+x AS (SELECT app, scope, file, row_number() OVER (PARTITION BY app, scope ORDER BY l_linenumber, file) AS place FROM (SELECT app, {_SCOPE} AS scope, l_linenumber, regexp_extract({_LISTED}, '[^/]*$') AS file FROM l)), c AS (SELECT {_APP.format("o_orderkey")} AS app FROM orders),
+q AS (SELECT app, unnest([{_REQUIRED_SQL}]) AS path, unnest(range({len(N.REQUIRED)})) AS n FROM c),
+r AS (SELECT q.app, 0 AS rule, n, '' AS file, 0 AS part, CASE WHEN length IS NULL THEN 'missing ' || path WHEN length = 0 THEN 'empty ' || path END AS issue FROM q LEFT JOIN f USING (app, path)),
+s AS (SELECT app, scope, rule FROM c, (VALUES ('docs', 1), ('original-application', 2)) v(scope, rule)),
+h AS (SELECT s.*, f.app IS NOT NULL AS has FROM s LEFT JOIN f ON f.app = s.app AND f.path = scope || '/download-index.csv'),
+i AS (SELECT h.app, rule, scope, place, file FROM h JOIN x USING (app, scope) WHERE has),
+p AS (SELECT i.*, pdf.length AS pdf_size, pdf.pdf AS ok, txt.length AS txt_size, ocr.length AS ocr_size FROM i LEFT JOIN f pdf ON pdf.app = i.app AND pdf.path = scope || '/' || file LEFT JOIN f txt ON txt.app = i.app AND txt.path = scope || '/' || replace(file, '.pdf', '.txt') LEFT JOIN f ocr ON ocr.app = i.app AND ocr.path = scope || '/' || replace(file, '.pdf', '_ocr.txt')),
+a AS (SELECT app, rule, issue, n, file, part FROM r WHERE issue IS NOT NULL UNION ALL SELECT app, rule, 'missing ' || scope || '/download-index.csv', 0, '', 0 FROM h WHERE NOT has UNION ALL SELECT app, rule, 'empty ' || scope || '/download-index.csv', 0, '', 0 FROM h WHERE has AND NOT EXISTS (SELECT 1 FROM x WHERE x.app = h.app AND x.scope = h.scope)
+      UNION ALL SELECT app, rule, 'missing PDF: ' || scope || '/' || file, place, file, 0 FROM p WHERE pdf_size IS NULL UNION ALL SELECT app, rule, CASE WHEN pdf_size = 0 THEN 'empty PDF: ' ELSE 'bad PDF header: ' END || scope || '/' || file, place, file, 0 FROM p WHERE pdf_size = 0 OR NOT ok
+      UNION ALL SELECT app, rule, 'missing TXT: ' || scope || '/' || replace(file, '.pdf', '.txt'), place, file, 1 FROM p WHERE pdf_size IS NOT NULL AND rule = 1 AND coalesce(txt_size, 0) = 0
+      UNION ALL SELECT app, rule, 'missing key OCR: ' || scope || '/' || replace(file, '.pdf', '_ocr.txt'), place, file, 2 FROM p WHERE pdf_size IS NOT NULL AND rule = 1 AND file = 'claims.pdf' AND coalesce(ocr_size, 0) <= 80)
+SELECT app AS case_id, CASE WHEN count(issue) = 0 THEN 'pass' ELSE 'fail' END AS status, count(issue) AS n, coalesce(string_agg(issue, ';' ORDER BY rule, n, file, part), '') AS issues FROM c LEFT JOIN a USING (app) GROUP BY app"""
+
+
+@query(_VALID_SQL)
+def case_validation(t):
+    """Every case's files and download indexes against each other."""
+    lines = t("lineitem").withColumn("app", F.expr(_APP.format("l_orderkey")))
+    files = lines.select(F.col("app").alias("case_id"), F.expr(_HELD).alias("path"), F.expr(_SIZE).cast("long").alias("length"), (F.col("l_suppkey") % 3 != 0).alias("pdf"), F.lit("").alias("sha256"))
+    index = lines.select(F.col("app").alias("case_id"), F.expr(_SCOPE).alias("scope"), F.col("l_linenumber").alias("place"), F.expr(_LISTED).alias("file"))
+    none = [F.lit(None).cast("string").alias(c) for c in ("claims", "benchmark", "analysis", "html")]
+    v = N.validate(t("orders").select(F.expr(_APP.format("o_orderkey")).alias("case_id"), *none), files, index)
+    return v.select("case_id", "status", F.size("issues").cast("long").alias("n"), F.array_join("issues", ";").alias("issues"))
