@@ -94,7 +94,7 @@ def file_bucket(path: Column, case_prefix: str = "EP") -> Column:
     for name, bucket in BUCKET_OTHER.items():
         inside = inside.when(section == name, bucket)
     root = F.when(path.endswith("-benchmark-input.json"), "case_benchmark_input").otherwise("case_root_misc")
-    return F.when(top.isin("_logs", "_state"), top).when(~top.startswith(case_prefix), "root_status_or_audit").when(F.size(parts) == 2, root).otherwise(inside.otherwise("case_other"))
+    return F.when(top.isin("_logs", "_state"), top).when(~top.startswith(case_prefix), "root_status_or_audit").when(F.size(parts) == 1, root).otherwise(inside.otherwise("case_other"))
 
 
 def artifact_kind(path: Column) -> Column:

@@ -20,15 +20,19 @@ COUNTERS = (
     ("original_xml", "original-application", ".xml"), ("original_zip", "original-application", ".zip"), ("original_index", "original-application", "/download-index.csv"),
     ("original_source_json", "original-application", "/publication-server-source.json"), ("docs_pdf", "docs", ".pdf"), ("docs_txt", "docs", ".txt"),
     ("docs_index", "docs", "/download-index.csv"), ("register_main_html", "register", "-main.html"), ("register_doclist_html", "register", "-doclist.html"),
-    ("register_doclist_csv", "register", "-doclist.csv"), ("benchmark_input_json", "", "-benchmark-input.json"), ("rendered_png", "assets", ".png"),
-    ("rendered_json", "assets", ".json"), ("prior_art_files", "prior-art", None), ("total_files", None, None),
+    ("register_doclist_csv", "register", "-doclist.csv"), ("benchmark_input_json", None, "-benchmark-input.json"), ("rendered_png", "assets", ".png"),
+    ("rendered_json", "assets", ".json"), ("prior_art_files", "prior-art", None), ("total_files", None, None), ("register_files", "register", None),
 )
-SIZES = (("total_mb", None), ("original_mb", "original-application"), ("docs_mb", "docs"), ("register_mb", "register"), ("assets_mb", "assets"), ("prior_art_mb", "prior-art"))
+SIZES = (("total_mb", None, None), ("original_mb", "original-application", None), ("docs_mb", "docs", None), ("register_mb", "register", None), ("assets_mb", "assets", None), ("prior_art_mb", "prior-art", None), ("benchmark_mb", None, "-benchmark-input.json"))
+#: Stages that a profile takes over from the ledger.
+LEDGER = ("ledger_original_stage", "ledger_docs_stage", "ledger_processing_stage")
 
 
-def case_profile(files: DataFrame, cases: DataFrame, status: Column | None = None) -> DataFrame:
+def case_profile(files: DataFrame, cases: DataFrame, status: Column | None = None, ledger: dict[str, Column] | None = None) -> DataFrame:
     """One row per case with all counters, sizes, flags and its class. files: case_id, path (below the case's folder), bytes; cases: case_id
-    and what ``status`` reads. One aggregate with map-side partial sums; cases without files stay."""
+    and what ``status`` and the columns of ``ledger`` (stages by name) read. One aggregate with map-side partial sums; cases without files stay.
+
+    Besides what is reported there are register_files, any file in that folder, and own_benchmark_input, the input named after the case."""
     section = F.when(F.contains("path", F.lit("/")), F.split_part("path", F.lit("/"), F.lit(1))).otherwise("")
 
     def fits(where, end):
@@ -36,8 +40,10 @@ def case_profile(files: DataFrame, cases: DataFrame, status: Column | None = Non
         return ok & (F.concat(F.lit("/"), F.col("path")).endswith(end) if end else F.lit(True))
 
     counts = [F.count_if(fits(where, end)).alias(name) for name, where, end in COUNTERS]
-    sizes = [F.round(F.sum(F.when(fits(where, None), F.col("bytes")).otherwise(0)) / 1048576, 3).alias(name) for name, where in SIZES]
-    found = cases.withColumn("ledger_status", F.coalesce(status, F.lit("")) if status is not None else F.lit("")).join(files.groupBy("case_id").agg(*counts, *sizes), "case_id", "left").na.fill(0)
+    sizes = [F.round(F.sum(F.when(fits(where, end), F.col("bytes")).otherwise(0)) / 1048576, 3).alias(name) for name, where, end in SIZES]
+    counts.append(F.count_if(F.col("path") == F.concat(F.col("case_id").cast("string"), F.lit("-benchmark-input.json"))).alias("own_benchmark_input"))
+    told = {"ledger_status": status} | {name: (ledger or {}).get(name) for name in LEDGER}
+    found = cases.withColumns({name: F.lit("") if x is None else F.coalesce(x, F.lit("")) for name, x in told.items()}).join(files.groupBy("case_id").agg(*counts, *sizes), "case_id", "left").na.fill(0)
     n = F.col
     fallback = n("original_html") + n("original_xml") + n("original_zip")
     register = n("register_main_html") + n("register_doclist_html") + n("register_doclist_csv")
@@ -61,8 +67,8 @@ def stages(profile: DataFrame, last_status: Column) -> DataFrame:
     texts = lambda pdf, txt: F.when((n(pdf) > 0) & (n(txt) > 0), "success_pdf_text").when(n(pdf) > 0, "success_pdf")
     told = F.when(last_status.isin("publication_unavailable", "pdf_unavailable"), last_status).when(last_status == "error", "failed").otherwise("not_started")
     original = texts("original_pdf", "original_txt").when(n("original_html") + n("original_xml") + n("original_zip") > 0, "success_fallback").otherwise(told)
-    docs = texts("docs_pdf", "docs_txt").when(n("has_register_metadata"), "register_seen_no_docs").otherwise("not_started")
-    local = F.when(n("benchmark_input_json") > 0, "benchmark_input_ready").when(n("original_txt") + n("docs_txt") > 0, "source_text_ready").otherwise("not_started")
+    docs = texts("docs_pdf", "docs_txt").when(n("register_files") > 0, "register_seen_no_docs").otherwise("not_started")
+    local = F.when(n("own_benchmark_input") > 0, "benchmark_input_ready").when(n("original_txt") + n("docs_txt") > 0, "source_text_ready").otherwise("not_started")
     out = profile.withColumns({"original_stage": original, "docs_stage": docs, "processing_stage": local})
     good = [n("original_stage").startswith("success_"), n("docs_stage").startswith("success_"), n("processing_stage") == "benchmark_input_ready"]
     overall = F.when(good[0] & good[1] & good[2], "full_success").when(good[0] | good[1] | good[2], "partial_success").when((n("total_files") > 0) | last_status.isNotNull(), "failed").otherwise("not_started")

@@ -15,9 +15,9 @@ from .catalog import query
 
 PATHS = [
     "original-application/a.pdf", "original-application/a.txt", "original-application/B.XML", "original-application/download-index.csv", "original-application/x.bin", "docs/2001-02-03_claims.pdf", "docs/n.txt",
-    "docs/download-index.csv", "register/EP1-main.html", "register/EP1-doclist.csv", "assets/p.png", "assets/p.json", "prior-art/d1.pdf", "EP1-benchmark-input.json", "notes.md", "other/deep/file.html",
+    "docs/download-index.csv", "register/EP1-main.html", "register/EP1-doclist.csv", "assets/p.png", "assets/p.json", "prior-art/d1.pdf", "EP1-benchmark-input.json", "notes.md", "other/deep/file.html", "docs/deep/EP9-benchmark-input.json",
 ]
-ROOTS = ["_logs/run.log", "_state/s.json", "summary.csv"]
+ROOTS = ["_logs/run.log", "_state/s.json", "summary.csv", "EP1-benchmark-input.json", "EP1-notes.md"]
 NAMES = [
     "2019-03-01_decision_to_grant.pdf", "01-02-2018_Decision to refuse.pdf", "2017-01-01_withdrawn.txt", "communication_about_intention_to_grant.pdf", "Communication_from_the_examining_division.pdf", "annex_to_the_communication.txt", "reply_to_communication.pdf",
     "2016-05-05_amended_claims.pdf", "2015-01-01_claims.pdf", "european_search_opinion.pdf", "text_intended_for_grant_clean_copy.pdf", "text_intended_for_grant_version_for_approval.pdf", "description.pdf", "published_international_x.pdf", "minutes.txt", "reclaimsx.pdf",
@@ -35,11 +35,14 @@ def pick(names: list[str], index: str) -> tuple[str, str]:
 
 _PATH, _PATH_SQL = pick(PATHS, "l_partkey")
 _CASE = "concat('EP', lpad(CAST({} AS VARCHAR(20)), 8, '0'))"
-_FILES_SQL = f"SELECT {_CASE.format('l_orderkey')} AS case_id, {_PATH_SQL} AS path, l_suppkey * 100000 AS bytes FROM lineitem"
+#: Every other input file is named after its case.
+_OWN = "CASE WHEN path = 'EP1-benchmark-input.json' AND l_orderkey % 2 = 0 THEN concat(case_id, '-benchmark-input.json') ELSE path END"
+_FILES_SQL = f"SELECT case_id, {_OWN} AS path, bytes FROM (SELECT l_orderkey, {_CASE.format('l_orderkey')} AS case_id, {_PATH_SQL} AS path, l_suppkey * 100000 AS bytes FROM lineitem)"
 
 
 def _files(t):
-    return t("lineitem").select(F.expr(_CASE.format("l_orderkey")).alias("case_id"), F.expr(_PATH).alias("path"), (F.col("l_suppkey") * 100000).alias("bytes"))
+    f = t("lineitem").select("l_orderkey", F.expr(_CASE.format("l_orderkey")).alias("case_id"), F.expr(_PATH).alias("path"), (F.col("l_suppkey") * 100000).alias("bytes"))
+    return f.select("case_id", F.expr(_OWN).alias("path"), "bytes")
 
 
 def _cases(t):
@@ -82,10 +85,10 @@ _REL_SQL = f"CASE WHEN l_linenumber = 7 THEN {_ROOT_SQL} ELSE concat({_CASE.form
 _REL = f"CASE WHEN l_linenumber = 7 THEN {_ROOT} ELSE concat({_CASE.format('l_orderkey')}, '/', {_PATH}) END"
 
 
-@query(f"""SELECT bucket, count(*) AS files, CAST(sum(l_suppkey) AS BIGINT) AS bytes FROM (SELECT l_suppkey, CASE WHEN p LIKE '\\_logs/%' ESCAPE '\\' THEN '_logs' WHEN p LIKE '\\_state/%' ESCAPE '\\' THEN '_state' WHEN p NOT LIKE 'EP%' THEN 'root_status_or_audit'
+@query(f"""SELECT bucket, count(*) AS files, CAST(sum(l_suppkey) AS BIGINT) AS bytes FROM (SELECT l_suppkey, CASE WHEN p LIKE '\\_logs/%' ESCAPE '\\' THEN '_logs' WHEN p LIKE '\\_state/%' ESCAPE '\\' THEN '_state' WHEN p NOT LIKE 'EP%' THEN 'root_status_or_audit' WHEN p NOT LIKE '%/%' THEN CASE WHEN p LIKE '%-benchmark-input.json' THEN 'case_benchmark_input' ELSE 'case_root_misc' END
 WHEN r LIKE 'original-application/%' THEN 'original_publication_' || CASE WHEN lower(r) LIKE '%.pdf' THEN 'pdf' WHEN lower(r) LIKE '%.txt' THEN 'text' WHEN regexp_matches(lower(r), '\\.(html|xml|zip)$') THEN 'fallback' WHEN regexp_matches(lower(r), '\\.(csv|json)$') THEN 'metadata' ELSE 'misc' END
 WHEN r LIKE 'docs/%' THEN 'file_wrapper_' || CASE WHEN r LIKE '%.pdf' THEN 'pdf' WHEN r LIKE '%.txt' THEN 'text' WHEN r LIKE '%.csv' THEN 'index' ELSE 'misc' END WHEN r LIKE 'register/%' THEN 'register_metadata' WHEN r LIKE 'assets/%.png' THEN 'local_rendered_png' WHEN r LIKE 'assets/%.json' THEN 'local_rendered_json'
-WHEN r LIKE 'prior-art/%' THEN 'prior_art' WHEN r LIKE '%-benchmark-input.json' THEN 'case_benchmark_input' WHEN r NOT LIKE '%/%' THEN 'case_root_misc' ELSE 'case_other' END AS bucket
+WHEN r LIKE 'prior-art/%' THEN 'prior_art' ELSE 'case_other' END AS bucket
 FROM (SELECT l_suppkey, p, regexp_replace(p, '^[^/]*/', '') AS r FROM (SELECT l_suppkey, {_REL_SQL} AS p FROM lineitem))) GROUP BY bucket""")
 def file_buckets(t):
     f = t("lineitem").select("l_suppkey", rules.file_bucket(F.expr(_REL)).alias("bucket"))
@@ -99,25 +102,27 @@ def artifact_kinds(t):
     return t("lineitem").groupBy(rules.artifact_kind(F.expr(_REL)).alias("kind")).agg(F.count(F.lit(1)).alias("files"))
 
 
-_LIKE = {"original_pdf": "original-application/%.pdf", "original_txt": "original-application/%.txt", "original_html": "original-application/%.html", "original_xml": "original-application/%.xml", "original_zip": "original-application/%.zip", "original_index": "original-application/download-index.csv", "original_source_json": "original-application/publication-server-source.json", "docs_pdf": "docs/%.pdf", "docs_txt": "docs/%.txt", "docs_index": "docs/download-index.csv", "register_main_html": "register/%-main.html", "register_doclist_html": "register/%-doclist.html", "register_doclist_csv": "register/%-doclist.csv", "benchmark_input_json": "EP%-benchmark-input.json", "rendered_png": "assets/%.png", "rendered_json": "assets/%.json", "prior_art_files": "prior-art/%", "total_files": "%"}
+_LIKE = {"original_pdf": "original-application/%.pdf", "original_txt": "original-application/%.txt", "original_html": "original-application/%.html", "original_xml": "original-application/%.xml", "original_zip": "original-application/%.zip", "original_index": "original-application/download-index.csv", "original_source_json": "original-application/publication-server-source.json", "docs_pdf": "docs/%.pdf", "docs_txt": "docs/%.txt", "docs_index": "docs/download-index.csv", "register_main_html": "register/%-main.html", "register_doclist_html": "register/%-doclist.html", "register_doclist_csv": "register/%-doclist.csv", "benchmark_input_json": "%-benchmark-input.json", "rendered_png": "assets/%.png", "rendered_json": "assets/%.json", "prior_art_files": "prior-art/%", "total_files": "%", "register_files": "register/%"}
 _PROFILE_SQL = f"""SELECT *, CASE WHEN ledger_status = 'full_success' THEN 'A_strict_complete' WHEN original_pdf > 0 AND original_txt > 0 AND benchmark_input_json > 0 THEN 'B_original_text_and_benchmark' WHEN original_pdf > 0 AND original_txt > 0 THEN 'C_original_pdf_text_ready'
 WHEN original_pdf > 0 THEN 'D_original_pdf_needs_text_extract' WHEN original_html + original_xml + original_zip > 0 THEN 'E_original_fallback_only' WHEN docs_pdf + docs_txt > 0 THEN 'F_file_wrapper_docs_only' WHEN register_main_html + register_doclist_html + register_doclist_csv > 0 THEN 'G_register_metadata_only'
 WHEN total_files > 0 THEN 'H_misc_or_failed_artifacts' ELSE 'I_empty_case_dir' END AS primary_class, original_pdf + original_html + original_xml + original_zip > 0 AS has_original_material, original_txt > 0 AS has_original_text, docs_pdf + docs_txt > 0 AS has_docs_material,
 register_main_html + register_doclist_html + register_doclist_csv > 0 AS has_register_metadata, benchmark_input_json + rendered_png > 0 AS has_local_processing
-FROM (SELECT c.case_id, CASE WHEN o_orderkey % 11 = 0 THEN 'full_success' ELSE '' END AS ledger_status, {', '.join(f"count(CASE WHEN path LIKE '{like}' THEN 1 END) AS {name}" for name, like in _LIKE.items())},
-{', '.join(f"round(coalesce(sum(CASE WHEN path LIKE '{like}' THEN bytes END), 0) / 1048576, 3) AS {name}" for name, like in (('total_mb', '%'), ('original_mb', 'original-application/%'), ('docs_mb', 'docs/%'), ('register_mb', 'register/%'), ('assets_mb', 'assets/%'), ('prior_art_mb', 'prior-art/%')))}
+FROM (SELECT c.case_id, CASE WHEN o_orderkey % 11 = 0 THEN 'full_success' ELSE '' END AS ledger_status, CASE WHEN o_orderkey % 4 = 0 THEN 'success_pdf' ELSE '' END AS ledger_original_stage, '' AS ledger_docs_stage, CASE WHEN o_orderkey % 3 = 0 THEN 'source_text_ready' ELSE '' END AS ledger_processing_stage,
+count(CASE WHEN path = c.case_id || '-benchmark-input.json' THEN 1 END) AS own_benchmark_input, {', '.join(f"count(CASE WHEN path LIKE '{like}' THEN 1 END) AS {name}" for name, like in _LIKE.items())},
+{', '.join(f"round(coalesce(sum(CASE WHEN path LIKE '{like}' THEN bytes END), 0) / 1048576, 3) AS {name}" for name, like in (('total_mb', '%'), ('original_mb', 'original-application/%'), ('docs_mb', 'docs/%'), ('register_mb', 'register/%'), ('assets_mb', 'assets/%'), ('prior_art_mb', 'prior-art/%'), ('benchmark_mb', '%-benchmark-input.json')))}
 FROM (SELECT {_CASE.format('o_orderkey')} AS case_id, o_orderkey FROM orders) c LEFT JOIN ({_FILES_SQL}) f USING (case_id) GROUP BY c.case_id, o_orderkey)"""
 
 
 def _profile(t):
     status = F.when(F.col("o_orderkey") % 11 == 0, "full_success").otherwise("")
-    return C.case_profile(_files(t), _cases(t), status)
+    told = {"ledger_original_stage": F.when(F.col("o_orderkey") % 4 == 0, "success_pdf"), "ledger_processing_stage": F.when(F.col("o_orderkey") % 3 == 0, "source_text_ready")}
+    return C.case_profile(_files(t), _cases(t), status, told)
 
 
-@query(_PROFILE_SQL)
+@query(f"SELECT * EXCLUDE (register_files, own_benchmark_input) FROM ({_PROFILE_SQL})")
 def case_profiles(t):
     """All counters, sizes, flags and the class of every case folder."""
-    return _profile(t).drop("o_orderkey", "o_orderstatus")
+    return _profile(t).drop("o_orderkey", "o_orderstatus", "register_files", "own_benchmark_input")
 
 
 _LAST_SQL = "CASE o_orderkey % 5 WHEN 0 THEN 'error' WHEN 1 THEN 'pdf_unavailable' WHEN 2 THEN 'ok' END"
@@ -125,8 +130,8 @@ _LAST_SQL = "CASE o_orderkey % 5 WHEN 0 THEN 'error' WHEN 1 THEN 'pdf_unavailabl
 
 @query(f"""SELECT *, CASE WHEN o AND d AND p THEN 'full_success' WHEN o OR d OR p THEN 'partial_success' WHEN total_files > 0 OR last IS NOT NULL THEN 'failed' ELSE 'not_started' END AS overall_status EXCLUDE (o, d, p, total_files, last) FROM (SELECT case_id, total_files, last, original_stage, docs_stage, processing_stage,
 starts_with(original_stage, 'success_') AS o, starts_with(docs_stage, 'success_') AS d, processing_stage = 'benchmark_input_ready' AS p FROM (SELECT case_id, total_files, last, CASE WHEN original_pdf > 0 AND original_txt > 0 THEN 'success_pdf_text' WHEN original_pdf > 0 THEN 'success_pdf' WHEN original_html + original_xml + original_zip > 0 THEN 'success_fallback'
-WHEN last = 'pdf_unavailable' THEN last WHEN last = 'error' THEN 'failed' ELSE 'not_started' END AS original_stage, CASE WHEN docs_pdf > 0 AND docs_txt > 0 THEN 'success_pdf_text' WHEN docs_pdf > 0 THEN 'success_pdf' WHEN has_register_metadata THEN 'register_seen_no_docs' ELSE 'not_started' END AS docs_stage,
-CASE WHEN benchmark_input_json > 0 THEN 'benchmark_input_ready' WHEN original_txt + docs_txt > 0 THEN 'source_text_ready' ELSE 'not_started' END AS processing_stage FROM ({_PROFILE_SQL}) JOIN (SELECT {_CASE.format('o_orderkey')} AS case_id, {_LAST_SQL} AS last FROM orders) USING (case_id)))""".replace("SELECT *, CASE WHEN o AND", "SELECT case_id, original_stage, docs_stage, processing_stage, CASE WHEN o AND").replace(" EXCLUDE (o, d, p, total_files, last)", ""))
+WHEN last = 'pdf_unavailable' THEN last WHEN last = 'error' THEN 'failed' ELSE 'not_started' END AS original_stage, CASE WHEN docs_pdf > 0 AND docs_txt > 0 THEN 'success_pdf_text' WHEN docs_pdf > 0 THEN 'success_pdf' WHEN register_files > 0 THEN 'register_seen_no_docs' ELSE 'not_started' END AS docs_stage,
+CASE WHEN own_benchmark_input > 0 THEN 'benchmark_input_ready' WHEN original_txt + docs_txt > 0 THEN 'source_text_ready' ELSE 'not_started' END AS processing_stage FROM ({_PROFILE_SQL}) JOIN (SELECT {_CASE.format('o_orderkey')} AS case_id, {_LAST_SQL} AS last FROM orders) USING (case_id)))""".replace("SELECT *, CASE WHEN o AND", "SELECT case_id, original_stage, docs_stage, processing_stage, CASE WHEN o AND").replace(" EXCLUDE (o, d, p, total_files, last)", ""))
 def ledger_stages(t):
     out = C.stages(_profile(t), F.expr(_LAST_SQL))
     return out.select("case_id", "original_stage", "docs_stage", "processing_stage", "overall_status")

@@ -16,8 +16,8 @@ def test_priorities_and_kinds(spark):
     assert values(spark, rules.document_priority, names) == [0, 8, 20, 8, 7, 20, 20]
     assert values(spark, lambda x: rules.authority(x, F.lit("granted")), ["text_intended_for_grant_clean_copy.pdf", "claims.pdf", "minutes.pdf"]) == [0, 2, 20]
     assert values(spark, lambda x: rules.authority(x, F.lit("refused")), ["text_intended_for_grant_clean_copy.pdf", "claims.pdf"]) == [2, 0]
-    paths = ["_state/a", "EP1/original-application/x.ZIP", "EP1/docs/x", "EP1/a-benchmark-input.json", "EP1/a", "list.csv", "EP1/assets/x.gif", "EP1/else/x"]
-    assert values(spark, rules.file_bucket, paths) == ["_state", "original_publication_fallback", "file_wrapper_misc", "case_benchmark_input", "case_root_misc", "root_status_or_audit", "local_asset_misc", "case_other"]
+    paths = ["_state/a", "EP1/original-application/x.ZIP", "EP1/docs/x", "EP1/a-benchmark-input.json", "EP1/a", "EP1-benchmark-input.json", "EP1-notes", "list.csv", "EP1/assets/x.gif", "EP1/else/x"]
+    assert values(spark, rules.file_bucket, paths) == ["_state", "original_publication_fallback", "file_wrapper_misc", "case_other", "case_other", "case_benchmark_input", "case_root_misc", "root_status_or_audit", "local_asset_misc", "case_other"]
 
 
 def test_noise(spark):
