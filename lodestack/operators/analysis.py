@@ -13,11 +13,15 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..functions.text import bound
+
 # Dimensions in order, their weights, list lengths, shapes.
 DIMENSIONS = ("novelty", "inventive_step", "support", "clarity", "eligibility")
 WEIGHTS = {"novelty": 0.25, "inventive_step": 0.30, "support": 0.15, "clarity": 0.10, "eligibility": 0.20}
 MOST_REASONS = 5
 NO_DISCUSSION = '{"analysis":"","llm_evidence_explanation":"","original_text":"","translation":""}'
+EXPLANATION = "该审查材料原文是风险判断的依据。"
+MOST_SENTENCES = 5
 UNSTRUCTURED_NOTE = "模型未返回该维度的结构化原文证据，已保留分析结论；请根据审查材料补齐原文和翻译。"
 #: Canonical texts of values that count as missing.
 FALSY = ("null", '""', "0", "0.0", "false", "[]", "{}")
@@ -245,3 +249,33 @@ def merge_meta(documents: DataFrame, sources: DataFrame, case_col: str = "case_i
     merged = F.aggregate(F.coalesce(F.transform("s", lambda x: F.map_from_entries(x["meta"])), F.array().cast("array<map<string, string>>")), F.col("meta"), lambda acc, m: F.map_concat(acc, F.map_filter(m, lambda k, x: ~F.map_contains_key(acc, k))))
     first = lambda name: F.get(F.filter(F.transform("s", lambda x: x[name]), lambda x: x.isNotNull()), F.lit(0))
     return d.select("case_id", merged.alias("meta"), F.coalesce("label", first("label")).alias("grant_label"), F.coalesce("rounds", first("rounds")).alias("examination_rounds"))
+
+
+def source_sentences(analysis: Column) -> Column:
+    """Passages of an analysis (VARIANT) that bear its risks out, and its advice alike: array<struct<issue, source, original_text, translation,
+    llm_evidence_explanation>>.
+
+    Dimensions come by rising score (those without one last, ties in their order), each with its evidence first and its discussion then; a passage needs a
+    translation, and counts once whatever its spacing and case; the first ``MOST_SENTENCES`` stay."""
+    evidence = F.filter(elements(analysis, "evidence_trace.examination_material_evidence"), is_object)
+    said = lambda x, name: F.when(given(get(x, name)), F.trim(spelled(get(x, name)))).otherwise("")
+
+    def sentence(x, issue, source):
+        why = _first_given(x, ("llm_evidence_explanation", "relevance"), EXPLANATION)
+        return F.struct(F.lit(issue).alias("issue"), _first_given(x, ("source", "location"), source).alias("source"), said(x, "original_text").alias("original_text"), said(x, "translation").alias("translation"), why.alias("llm_evidence_explanation"))
+
+    def found(items, dimension, place):
+        disc = get(analysis, f"dimension_scores.{dimension}_disc")
+        own = F.transform(F.filter(items, lambda x: F.lower(said(x, "issue")) == dimension), lambda x: sentence(x, dimension, "examination_material_evidence"))
+        discussed = F.when(is_object(disc), F.array(sentence(disc, dimension, f"{dimension}_disc"))).otherwise(F.slice(own, 1, 0))
+        score = number(canonical(get(analysis, f"dimension_scores.{dimension}_score")))
+        return F.struct(F.coalesce(score, F.lit(101.0)).alias("score"), F.lit(place).alias("place"), F.concat(own, discussed).alias("sentences"))
+
+    def chosen(items):
+        by_score = F.array_sort(F.array(*[found(items, d, k) for k, d in enumerate(DIMENSIONS)]))
+        every = F.filter(F.flatten(F.transform(by_score, lambda g: g["sentences"])), lambda x: (x["original_text"] != "") & (x["translation"] != ""))
+        key = lambda x: F.lower(F.regexp_replace(x["original_text"], "(?U)\\s+", " "))
+        once = bound(every, lambda xs: bound(F.transform(xs, key), lambda ks: F.filter(xs, lambda x, i: F.array_position(ks, F.get(ks, i)) == i + 1)))
+        return F.slice(once, 1, MOST_SENTENCES)
+
+    return bound(evidence, chosen)

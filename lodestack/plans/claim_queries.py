@@ -268,3 +268,24 @@ def case_validation(t):
     none = [F.lit(None).cast("string").alias(c) for c in ("claims", "benchmark", "analysis", "html")]
     v = N.validate(t("orders").select(F.expr(_APP.format("o_orderkey")).alias("case_id"), *none), files, index)
     return v.select("case_id", "status", F.size("issues").cast("long").alias("n"), F.array_join("issues", ";").alias("issues"))
+
+
+#: An analysis with scores in several shapes, evidence by issue and discussions, from an order.
+_BORNE = """concat('{"dimension_scores":{"clarity_disc":{"original_text":"E', CAST(o_custkey % 3 AS VARCHAR(9)), '  here","translation":"t"},"clarity_score":"', CAST(o_custkey % 50 AS VARCHAR(9)), '","novelty_disc":"text","novelty_score":', CASE WHEN o_orderkey % 3 = 0 THEN 'null' ELSE CAST(o_orderkey % 60 AS VARCHAR(9)) END, ',"support_disc":{"original_text":"s","translation":"', CASE WHEN o_custkey % 2 = 0 THEN '' ELSE 'ts' END, '","source":"d.pdf"},"support_score":', CAST(o_custkey % 40 AS VARCHAR(9)),
+'},"evidence_trace":{"examination_material_evidence":[{"issue":" Novelty ","original_text":"e', CAST(o_orderkey % 3 AS VARCHAR(9)), ' here","translation":"t1","relevance":"why"},"loose",{"issue":"support","location":"p. 3","original_text":" n ","translation":"t2"},{"issue":"other","original_text":"o","translation":"t"},{"issue":"novelty","original_text":"more","translation":"t3","source":"e.pdf"}]}}')"""
+_BORNE_SQL = f"""WITH d AS (SELECT o_orderkey, CAST({_BORNE} AS JSON) AS j FROM orders),
+c AS (SELECT o_orderkey, CASE WHEN issue IN ('novelty', 'support') THEN issue END AS dim, n, trim(json_extract_string(x, '$.original_text')) AS text, trim(json_extract_string(x, '$.translation')) AS said, coalesce(json_extract_string(x, '$.source'), json_extract_string(x, '$.location'), 'examination_material_evidence') AS source, coalesce(json_extract_string(x, '$.relevance'), '{A.EXPLANATION}') AS why, j
+      FROM (SELECT o_orderkey, j, n, json_extract(j, '$.evidence_trace.examination_material_evidence[' || n || ']') AS x, lower(trim(json_extract_string(x, '$.issue'))) AS issue FROM d, range(0, 5) r(n))
+      UNION ALL SELECT o_orderkey, dim, 9, trim(json_extract_string(x, '$.original_text')), trim(json_extract_string(x, '$.translation')), coalesce(json_extract_string(x, '$.source'), dim || '_disc'), '{A.EXPLANATION}', j FROM (SELECT o_orderkey, j, dim, json_extract(j, '$.dimension_scores.' || dim || '_disc') AS x FROM d, (VALUES ('novelty'), ('support'), ('clarity')) v(dim)) WHERE json_type(x) = 'OBJECT'),
+s AS (SELECT *, coalesce(TRY_CAST(json_extract_string(j, '$.dimension_scores.' || dim || '_score') AS DOUBLE), 101) AS score, list_position({_DIMS}, dim) AS place FROM c WHERE dim IS NOT NULL AND text <> '' AND said <> ''),
+u AS (SELECT * FROM s QUALIFY row_number() OVER (PARTITION BY o_orderkey, lower(regexp_replace(text, '\\s+', ' ', 'g')) ORDER BY score, place, n) = 1),
+r AS (SELECT o_orderkey, row_number() OVER (PARTITION BY o_orderkey ORDER BY score, place, n) AS n, dim, source, text, said, why FROM u)
+SELECT o_orderkey AS case_id, n AS place, dim AS issue, source, text, said AS translation, why FROM r WHERE n <= 5"""
+
+
+@query(_BORNE_SQL)
+def risk_source_sentences(t):
+    """Passages that bear the risks of every analysis out, the weakest dimension's first."""
+    d = t("orders").select(F.col("o_orderkey").alias("case_id"), A.read(F.expr(_BORNE)).alias("v")).select("case_id", A.source_sentences(F.col("v")).alias("s"))
+    rows = d.select("case_id", F.posexplode_outer("s").alias("n", "x")).filter("x IS NOT NULL")
+    return rows.select("case_id", (F.col("n") + 1).cast("long").alias("place"), "x.issue", "x.source", F.col("x.original_text").alias("text"), "x.translation", F.col("x.llm_evidence_explanation").alias("why"))

@@ -5,6 +5,7 @@ import random
 
 import pytest
 from lodestack.operators import analysis as A
+from pyspark.sql import functions as F
 
 EMPTY = json.loads(A.NO_DISCUSSION)
 
@@ -169,3 +170,32 @@ def test_meta_gaps(spark):
     s = spark.createDataFrame([(k, n, json.dumps(x)) for k, n, x in passes], "case_id int, pass int, analysis string")
     got = {r.case_id: (r.meta, r.grant_label, r.examination_rounds) for r in A.merge_meta(d, s).collect()}
     assert got == {1: ({"applicant": '"A"', "title": '"first"', "filing": "[1]"}, '"no"', "2"), 2: ({}, '"yes"', "3"), 3: ({"title": '"T"'}, None, None)}
+
+
+def plain_sentences(doc):
+    scores, trace = doc.get("dimension_scores") or {}, doc.get("evidence_trace") or {}
+    value = lambda d: 101.0 if real(scores.get(f"{d}_score")) is None else real(scores[f"{d}_score"])
+    out, seen = [], set()
+    for d in sorted(A.DIMENSIONS, key=value):
+        items = [(e, "examination_material_evidence") for e in trace.get("examination_material_evidence") or [] if isinstance(e, dict) and str(e.get("issue") or "").strip().lower() == d]
+        items += [(scores[f"{d}_disc"], f"{d}_disc")] if isinstance(scores.get(f"{d}_disc"), dict) else []
+        for x, source in items:
+            text, translation = (str(x.get(k) or "").strip() for k in ("original_text", "translation"))
+            key = " ".join(text.split()).lower()
+            if text and translation and key not in seen:
+                seen.add(key)
+                out.append((d, str(x.get("source") or x.get("location") or source), text, translation, str(x.get("llm_evidence_explanation") or x.get("relevance") or A.EXPLANATION)))
+    return out[: A.MOST_SENTENCES]
+
+
+def test_source_sentences(spark):
+    rng, docs = random.Random(4), [{}, {"evidence_trace": None, "dimension_scores": None}]
+    for _ in range(150):
+        item = lambda **more: {k: v for k, v in {"original_text": rng.choice(["One passage", "one  PASSAGE", f"text {rng.randint(0, 9)}", "", " x "]), "translation": rng.choice(["t", "t", " ", None]), "source": rng.choice(["", "s.pdf"]), "location": rng.choice([None, "p. 3"]), "relevance": rng.choice(["why", ""]), **more}.items() if rng.random() < 0.95}
+        doc = {"dimension_scores": {}, "evidence_trace": {"examination_material_evidence": [rng.choice([item(issue=rng.choice([*A.DIMENSIONS, " Support ", None])), "loose"]) for _ in range(rng.randint(0, 8))]}}
+        for d in A.DIMENSIONS:
+            doc["dimension_scores"] |= {f"{d}_score": rng.choice([5, 50, "7.5", None, "high", True]), f"{d}_disc": rng.choice(["text", item(llm_evidence_explanation="so"), None])}
+        docs.append(doc)
+    df = spark.createDataFrame([(k, json.dumps(d)) for k, d in enumerate(docs)], "k int, j string").repartition(3)
+    for r in df.select("k", A.read(df["j"]).alias("v")).select("k", A.source_sentences(F.col("v")).alias("s")).collect():
+        assert [tuple(x) for x in r.s] == plain_sentences(docs[r.k]), docs[r.k]
