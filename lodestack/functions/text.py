@@ -1,9 +1,13 @@
-"""Column functions: cleansing, keys, identifiers, dates, predicates. JVM-side expressions only."""
+"""Column functions: cleansing, keys, identifiers, dates, predicates. JVM-side expressions, but for rare character references."""
 
 from __future__ import annotations
 
+import html
+
+import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType
 
 # Markers of page-delimited text.
 PAGE_MARK = "(?i)---\\s*PAGE\\s+[0-9]+\\s*---"
@@ -16,11 +20,20 @@ def bound(value: Column, body) -> Column:
     return F.get(F.transform(F.array(value), body), F.lit(0))
 
 
+@F.pandas_udf(StringType())
+def _unescape_all(x: pd.Series) -> pd.Series:
+    return x.map(html.unescape, na_action="ignore")
+
+
 def unescape(x: Column) -> Column:
-    """The references that pages use; the ampersand last so that nothing is decoded twice."""
+    """All named and numeric character references, also those without a semicolon, each decoded once. Texts with common ones only stay in the
+    JVM (the ampersand last, so that nothing is decoded twice); only the others are sent to Python."""
+    names = "|".join(ref[1:] for ref, _ in ENTITIES)
+    rare = x.rlike(f"&(?!{names})[#A-Za-z]")
+    common = x
     for ref, char in ENTITIES:
-        x = F.replace(x, F.lit(ref), F.lit(char))
-    return x
+        common = F.replace(common, F.lit(ref), F.lit(char))
+    return F.when(rare, _unescape_all(F.when(rare, x))).otherwise(common)
 
 
 def norm_space(x: Column) -> Column:

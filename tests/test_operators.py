@@ -100,3 +100,13 @@ def test_whole_lines_and_snippets(spark, tmp_path):
     assert got == [(1, 0, " ".join(["u" * 60, "a" * 50, "b", "c"]))]
     docs = ([(1, "x" * 200 + "LICENSE" + "y" * 500)], "doc_id long, text string")
     assert on_tables(spark, tmp_path / "snippets", "keyword_snippets", documents=docs) == [(1, "x" * 120, "x" * 180 + "LICENSE" + "y" * 420)]
+
+
+def test_character_references(spark):
+    """Named, numeric and unfinished references as the standard library reads them; nothing is decoded twice."""
+    import html
+
+    texts = ["a &amp; b &lt;i&gt; &quot;x&quot; &#39;y&#39;", "&amp;lt;b&amp;gt; &amp;amp;", "&auml;&ouml;&uuml; &hellip; &NotEqualTilde;", "&#228;&#xE4;&#XE4; &#128; &#0; &#1114112;", "&copy 2024 &ampx &notit; &nosuch; &", "AT&T R&D &;&#;", "&#38;lt; &amp;auml;", "", "no reference", None]
+    rows = spark.createDataFrame([(k, t) for k, t in enumerate(texts)], "k int, t string").withColumn("got", T.unescape(F.col("t"))).collect()
+    want = {k: None if t is None else html.unescape(t) for k, t in enumerate(texts)}
+    assert {r.k: r.got for r in rows} == want
