@@ -1,4 +1,12 @@
-"""Evidence against source texts: all quotes of a block are looked for in one scan of the sources."""
+"""Evidence against source texts: one scan of the sources for any number of quotes.
+
+Quotes are written to the shared folder in blocks of about BLOCK_BYTES; plan and driver hold their path and the number of blocks only. A
+task reads the sources once and looks for a block's patterns in up to TEXT_BYTES of texts before it takes the next block, so
+a worker holds one block and one portion. A block is kept between portions and tasks where it is the only one. What is stored are
+quotes, not automata: those are some fifty times as large, and building one costs less than reading it from a remote store.
+
+Cases: rows without an id and texts that are empty when normalised are left out; repeated rows each count; an empty side gives an empty result.
+"""
 
 from __future__ import annotations
 
@@ -8,10 +16,12 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, StringType, StructField, StructType
 
 from ..functions.text import match_text
-
+from ..sources.scratch import new_path, opened
 
 #: Bytes of quotes whose patterns a worker holds at a time.
-BLOCK_BYTES = 4 << 20
+BLOCK_BYTES = 2 << 20
+#: Bytes of texts that meet a block before the next one is read.
+TEXT_BYTES = 32 << 20
 HITS = "qid long, sid long, exact boolean, compact boolean, anchored boolean, prefixed boolean, ratio double"
 
 
@@ -22,66 +32,135 @@ def patterns(quote: str) -> tuple[str, str, str, str, str]:
     return quote, compact if len(compact) >= 30 else "", head, tail, " ".join(words[:6])
 
 
-def _scan(quotes: list[tuple[int, str]], ratios: bool):
-    """A source's row function: every quote's patterns are found in one pass over the normalised and one over the compact text."""
+def stored(quotes: DataFrame) -> tuple[str, int]:
+    """Quotes (qid, quote), normalised, written in blocks: their path and the number of blocks."""
+    q = quotes.select(F.col("qid").cast("long").alias("qid"), match_text(F.col("quote")).alias("q")).filter("qid IS NOT NULL AND q <> ''")
+    n = -(-(q.agg(F.sum(F.octet_length("q"))).first()[0] or 0) // BLOCK_BYTES)
+    path = new_path(quotes.sparkSession, "quotes")
+    if n:
+        dealt = q.withColumn("block", F.pmod(F.xxhash64("qid", "q"), F.lit(n))).repartition("block")
+        dealt.sortWithinPartitions("block", "qid").write.partitionBy("block").parquet(path)
+    return path, n
 
-    def run(batches):
-        from difflib import SequenceMatcher
 
+def read_block(path: str, k: int) -> list[tuple[int, str]]:
+    """A block's quotes; a block that no quote fell in has no folder."""
+    import pyarrow.parquet as pq
+    from pyarrow import fs
+
+    files, base = opened(f"{path}/block={k}")
+    if files.get_file_info(base).type == fs.FileType.NotFound:
+        return []
+    rows = pq.read_table(base, filesystem=files, columns=["qid", "q"])
+    return list(zip(rows["qid"].to_pylist(), rows["q"].to_pylist()))
+
+
+class Patterns:
+    """Automata over all patterns of a block, for the normalised and for the compact text."""
+
+    def __init__(self, quotes: list[tuple[int, str]]):
         import ahocorasick
-        import pyarrow as pa
 
-        spaced, joined = ahocorasick.Automaton(), ahocorasick.Automaton()
-        for automaton, kinds in ((spaced, (0, 2, 3, 4)), (joined, (1,))):
-            at: dict[str, list] = {}
+        self.quotes, self.searches = quotes, []
+        for kinds in ((0, 2, 3, 4), (1,)):
+            owners: dict[str, list[tuple[int, int]]] = {}
             for k, (_, text) in enumerate(quotes):
                 parts = patterns(text)
                 for kind in kinds:
                     if parts[kind]:
-                        at.setdefault(parts[kind], []).append((k, kind))
-            for pattern, owners in at.items():
-                automaton.add_word(pattern, owners)
-            if at:
+                        owners.setdefault(parts[kind], []).append((k, kind))
+            automaton = ahocorasick.Automaton(ahocorasick.STORE_INTS)
+            for i, pattern in enumerate(owners):
+                automaton.add_word(pattern, i)
+            if owners:
                 automaton.make_automaton()
-        for batch in batches:
-            rows = []
-            for sid, body in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
-                found: dict[int, set] = {}
-                for automaton, text in ((spaced, body), (joined, body.replace(" ", ""))):
-                    if len(automaton):
-                        for owners in {id(o): o for _, o in automaton.iter(text)}.values():
-                            for k, kind in owners:
-                                found.setdefault(k, set()).add(kind)
-                for k, kinds in found.items():
-                    qid, text = quotes[k]
-                    ratio = 0.0
-                    if ratios and 4 in kinds:
-                        start = body.find(patterns(text)[4])
-                        ratio = SequenceMatcher(None, text, body[max(0, start - 300) : start + len(text) + 300]).ratio()
-                    rows.append((qid, sid, 0 in kinds, 1 in kinds, 2 in kinds and 3 in kinds, 4 in kinds, ratio))
-            columns = list(zip(*rows)) if rows else [[]] * 7
-            kinds = [pa.int64(), pa.int64(), pa.bool_(), pa.bool_(), pa.bool_(), pa.bool_(), pa.float64()]
-            yield pa.RecordBatch.from_arrays([pa.array(c, x) for c, x in zip(columns, kinds)], names=[x.split()[0] for x in HITS.split(", ")])
-
-    return run
-
-
-def blocks(quotes: DataFrame) -> list[list[tuple[int, str]]]:
-    """Quotes (qid, quote), normalised, in blocks of about BLOCK_BYTES; a block at a time is on the driver."""
-    q = quotes.select(F.col("qid").cast("long").alias("qid"), match_text(F.col("quote")).alias("q")).filter("q <> ''")
-    n = -(-(q.agg(F.sum(F.octet_length("q"))).first()[0] or 0) // BLOCK_BYTES)
-    for k in range(n):
-        yield [tuple(r) for r in q.filter(F.pmod(F.xxhash64("qid"), F.lit(n)) == k).orderBy("qid").collect()]
+            self.searches.append((automaton, list(owners.values())))
+
+    def found(self, body: str) -> dict[int, set[int]]:
+        """Kinds of patterns that a text holds, by quote."""
+        out: dict[int, set[int]] = {}
+        for (automaton, owners), text in zip(self.searches, (body, body.replace(" ", ""))):
+            if owners:
+                for i in {i for _, i in automaton.iter(text)}:
+                    for k, kind in owners[i]:
+                        out.setdefault(k, set()).add(kind)
+        return out
+
+
+class Tokens:
+    """Which quotes of a block have a token, each by the first tokens that count."""
+
+    def __init__(self, quotes: list[tuple[int, str]], least: int, first: int):
+        import numpy as np
+
+        owners: dict[str, list[int]] = {}
+        for i, (_, text) in enumerate(quotes):
+            for token in set([w for w in text.split() if len(w) >= least][:first]):
+                owners.setdefault(token, []).append(i)
+        self.owners = {t: np.array(x) for t, x in owners.items()}
+        self.qids = np.array([q for q, _ in quotes], dtype=np.int64)
+
+
+_held: dict = {}
+
+
+def _block(make, path: str, k: int, *args):
+    """make(quotes of a block): a worker keeps the last one."""
+    key = (make.__name__, path, k, *args)
+    if key not in _held:
+        _held.clear()
+        _held[key] = make(read_block(path, k), *args)
+    return _held[key]
+
+
+def _portions(batches, n: int):
+    """(ids, texts) of a batch, or of batches of up to TEXT_BYTES where several blocks are to be read for them."""
+    ids, texts, size = [], [], 0
+    for batch in batches:
+        ids += batch.column(0).to_pylist()
+        texts += batch.column(1).to_pylist()
+        size += batch.nbytes
+        if n == 1 or size >= TEXT_BYTES:
+            yield ids, texts
+            ids, texts, size = [], [], 0
+    if ids:
+        yield ids, texts
+
+
+def _normal(sources: DataFrame) -> DataFrame:
+    return sources.select(F.col("sid").cast("long").alias("sid"), match_text(F.col("body")).alias("body")).filter("sid IS NOT NULL AND body <> ''")
+
+
+def _hits(block: Patterns, ids: list[int], texts: list[str], ratios: bool):
+    from difflib import SequenceMatcher
+
+    import pyarrow as pa
+
+    rows = []
+    for sid, body in zip(ids, texts):
+        for k, kinds in block.found(body).items():
+            qid, text = block.quotes[k]
+            ratio = 0.0
+            if ratios and 4 in kinds:
+                start = body.find(patterns(text)[4])
+                ratio = SequenceMatcher(None, text, body[max(0, start - 300) : start + len(text) + 300]).ratio()
+            rows.append((qid, sid, 0 in kinds, 1 in kinds, 2 in kinds and 3 in kinds, 4 in kinds, ratio))
+    columns = list(zip(*rows)) if rows else [[]] * 7
+    types = [pa.int64(), pa.int64(), pa.bool_(), pa.bool_(), pa.bool_(), pa.bool_(), pa.float64()]
+    return pa.RecordBatch.from_arrays([pa.array(c, x) for c, x in zip(columns, types)], names=[x.split()[0] for x in HITS.split(", ")])
 
 
 def evidence_hits(quotes: DataFrame, sources: DataFrame, ratios: bool = False) -> DataFrame:
-    """Every (quote, source) with any of the tiers' patterns, whatever the quote's length: one scan of the sources a block of
-    quotes, no shuffle of texts and no pairs but the hits. quotes (qid, quote), sources (sid, body)."""
-    body = sources.select(F.col("sid").cast("long").alias("sid"), match_text(F.col("body")).alias("body")).filter("body <> ''")
-    out = body.sparkSession.createDataFrame([], HITS)
-    for block in blocks(quotes):
-        out = out.unionByName(body.mapInArrow(_scan(block, ratios), HITS))
-    return out
+    """Every (quote, source) with any of the tiers' patterns, whatever the quote's length: one scan of the sources, no shuffle of
+    texts and no pairs but the hits. quotes (qid, quote), sources (sid, body)."""
+    path, n = stored(quotes)
+
+    def run(batches):
+        for ids, texts in _portions(batches, n):
+            for k in range(n):
+                yield _hits(_block(Patterns, path, k), ids, texts, ratios)
+
+    return _normal(sources).mapInArrow(run, HITS)
 
 
 def best_evidence(quotes: DataFrame, sources: DataFrame) -> DataFrame:
@@ -97,43 +176,36 @@ def best_evidence(quotes: DataFrame, sources: DataFrame) -> DataFrame:
     return every.select("qid", F.when(F.col("long"), F.col("best.sid")).alias("sid"), F.when(F.col("long"), F.coalesce("best.score", F.lit(0.0))).otherwise(0.0).alias("score"))
 
 
+def _overlaps(block: Tokens, ids: list[int], texts: list[str], k: int):
+    import numpy as np
+    import pyarrow as pa
+
+    parts = [np.zeros((3, 0), np.int64)]
+    for sid, body in zip(ids, texts):
+        hit = [block.owners[t] for t in set(body.split()) & block.owners.keys()]
+        if hit:
+            which, n = np.unique(np.concatenate(hit), return_counts=True)
+            parts.append(np.array([which, np.full(len(which), sid), n]))
+    which, sids, n = np.concatenate(parts, axis=1)
+    order = np.lexsort((sids, -n, which))
+    which, sids, n = which[order], sids[order], n[order]
+    # Place of a row among its quote's: only the first k can be among the best k of all.
+    best = np.arange(len(which)) - np.searchsorted(which, which) < k
+    return pa.RecordBatch.from_arrays([pa.array(c[best], pa.int64()) for c in (block.qids[which], sids, n)], names=["qid", "sid", "overlap"])
+
+
 def overlap_topk(quotes: DataFrame, sources: DataFrame, k: int, least: int = 3, first: int = 80) -> DataFrame:
     """qid, sid, overlap: the k sources with the most of a quote's first 80 tokens (of three letters and more, each once), ties to
-    the smaller sid. Sources without any are left out. A task keeps k rows a quote and batch, so no pair but those is made."""
-    schema = "qid long, sid long, overlap long"
-
-    def scan(block):
-        def run(batches):
-            import numpy as np
-            import pyarrow as pa
-
-            owners: dict[str, list[int]] = {}
-            for i, (_, text) in enumerate(block):
-                for token in set([w for w in text.split() if len(w) >= least][:first]):
-                    owners.setdefault(token, []).append(i)
-            arrays = {t: np.array(x) for t, x in owners.items()}
-            qids = np.array([q for q, _ in block], dtype=np.int64)
-            for batch in batches:
-                parts = [np.zeros((3, 0), np.int64)]
-                for sid, body in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
-                    hit = [arrays[t] for t in set(body.split()) & arrays.keys()]
-                    if hit:
-                        which, n = np.unique(np.concatenate(hit), return_counts=True)
-                        parts.append(np.array([which, np.full(len(which), sid), n]))
-                which, sids, n = np.concatenate(parts, axis=1)
-                order = np.lexsort((sids, -n, which))
-                which, sids, n = which[order], sids[order], n[order]
-                # Place of a row among its quote's: only the first k can be among the best k of all.
-                best = np.arange(len(which)) - np.searchsorted(which, which) < k
-                yield pa.RecordBatch.from_arrays([pa.array(c[best], pa.int64()) for c in (qids[which], sids, n)], names=["qid", "sid", "overlap"])
-
-        return run
-
-    body = sources.select(F.col("sid").cast("long").alias("sid"), match_text(F.col("body")).alias("body")).filter("body <> ''")
-    out = body.sparkSession.createDataFrame([], schema)
-    for block in blocks(quotes):
-        out = out.unionByName(body.mapInArrow(scan(block), schema))
+    the smaller sid. Sources without any are left out. A task keeps k rows a quote and portion, so no pair but those is made."""
+    path, n = stored(quotes)
+
+    def run(batches):
+        for ids, texts in _portions(batches, n):
+            for i in range(n):
+                yield _overlaps(_block(Tokens, path, i, least, first), ids, texts, k)
+
     w = Window.partitionBy("qid").orderBy(F.desc("overlap"), "sid")
+    out = _normal(sources).mapInArrow(run, "qid long, sid long, overlap long")
     return out.withColumn("rn", F.row_number().over(w)).filter(F.col("rn") <= k).drop("rn")
 
 

@@ -15,6 +15,7 @@ from ..functions import text as T
 from ..operators import matching as M
 from ..operators import relational as R
 from ..session import ship
+from ..sources.scratch import new_path
 from ..streaming import gates as G
 from ..streaming import status as S
 
@@ -467,13 +468,11 @@ def greedy_nms(t):
 
 def _stream(name, fn, sql, run_all=None):
     def run(spark, sf_dir):
-        import tempfile
         import uuid
 
         ship(spark)
         schema = spark.read.parquet(f"{sf_dir}/events.parquet").schema
-        base = spark.conf.get("spark.checkpoint.dir", None) or "file://" + tempfile.gettempdir()
-        stream, at = S.read_stream(spark, sf_dir, schema, "events.parquet"), f"{base}/stream-{uuid.uuid4().hex}"
+        stream, at = S.read_stream(spark, sf_dir, schema, "events.parquet"), new_path(spark, "stream")
         return run_all(fn(stream), f"{at}/out", f"{at}/checkpoint") if run_all else S.run_to_table(fn(stream), f"{name}_{uuid.uuid4().hex[:8]}", at)
 
     QUERIES[name], SQL[name] = run, sql

@@ -6,11 +6,15 @@ import os
 
 from pyspark.sql import SparkSession
 
+#: Arrow batches to Python workers end at this size, so that long texts come few at a time.
+BATCH_BYTES = 4 << 20
+
 DEFAULTS = {
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
+    "spark.sql.execution.arrow.maxBytesPerBatch": str(BATCH_BYTES),
     "spark.ui.enabled": "false",
     "spark.ui.showConsoleProgress": "false",
 }
@@ -27,7 +31,8 @@ def build_session(master: str = "local[8]", partitions: int = 8, memory: str = "
 
 
 def ship(spark: SparkSession) -> None:
-    """Let Python workers import this package also where the driver found it by sys.path alone."""
+    """Let Python workers import this package also where the driver found it by sys.path alone, in batches of bounded size."""
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(BATCH_BYTES))
     root = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
     env = spark.sparkContext.environment
     if root not in env.get("PYTHONPATH", "").split(os.pathsep):
