@@ -10,6 +10,7 @@ from ..functions import publications as P
 from ..functions import rules
 from ..functions import text as T
 from ..operators import cases as C
+from ..operators import outcomes as O
 from ..operators import review as V
 from .catalog import query
 
@@ -314,3 +315,42 @@ def fingerprint_matches(t):
     p = t("pages").withColumn("now", F.when(F.col("page_id") % 3 == 0, F.replace("html", F.lit("<p>"), F.lit("<p >"))).otherwise(F.col("html")))
     none = F.lit(None).cast("string")
     return p.select("page_id", V.fingerprint_matches(F.sha2("html", 256), none, F.sha2("now", 256), none).alias("same"))
+
+
+_TITLES = ["Decision to grant a European patent", "Communication", "Application deemed to be withdrawn", "2019-03-01 Decision  to refuse", "05-06-2018 mention of the grant", "", "Claims", "03-02-2020 application withdrawn", "Minutes", "Annex", "Search report", "Reply", "Letter", "Fee"]
+_SAID = ["", "No opposition filed within time limit", "The application is deemed to be withdrawn", "Application refused", "Grant of patent is intended", "unknown"]
+_TITLE, _TITLE_SQL = pick(_TITLES, "o_orderkey + o_custkey")
+_TELLS, _TELLS_SQL = pick(["The patent is hereby\n granted.", "nothing", "it is  refused", "no", "none", "nil", "void"], "l_partkey")
+_LNAME, _LNAME_SQL = pick(["a.pdf", "2016-05-05_x.txt", "07-08-2021_y.txt", "2012-02-02_decision_to_refuse.pdf", "b.pdf", "c.pdf", "d.pdf", "e.pdf", "f.pdf"], "l_suppkey")
+_REGISTER, _REGISTER_SQL = pick(_SAID, "c_custkey")
+_DATE_SQL = "CASE WHEN regexp_matches({x}, '^\\d{{2}}-\\d{{2}}-\\d{{4}}') THEN CAST({x}[7:10] || {x}[4:5] || {x}[1:2] AS INTEGER) WHEN regexp_matches({x}, '^\\d{{4}}-\\d{{2}}-\\d{{2}}') THEN CAST(replace({x}[1:10], '-', '') AS INTEGER) ELSE 0 END"
+
+
+@query(f"""WITH o AS (SELECT o_custkey AS case_id, o_orderkey AS place, {_TITLE_SQL} AS title, strftime(o_orderdate, '%d-%m-%Y') AS date FROM orders WHERE o_custkey IS NOT NULL),
+e AS (SELECT case_id, 0 AS origin, place, title AS source, date, title AS text FROM o WHERE title <> '' UNION ALL SELECT l_orderkey, 1, l_linenumber, {_LNAME_SQL}, '', {_LNAME_SQL} || ' ' || regexp_replace({_TELLS_SQL}, '\\s+', ' ', 'g') FROM lineitem),
+j AS (SELECT *, CASE WHEN {_DATE_SQL.format(x='source')} <> 0 THEN {_DATE_SQL.format(x='source')} ELSE {_DATE_SQL.format(x='date')} END AS rank, lower(text) AS low FROM e),
+k AS (SELECT *, 1 AS class FROM j WHERE regexp_matches(low, 'decision\\s+to\\s+grant|decision_to_grant|is\\s+hereby\\s+granted|mention\\s+of\\s+the\\s+grant') UNION ALL SELECT *, 2 FROM j WHERE regexp_matches(low, 'decision\\s+to\\s+refus|decision_to_refus|application\\s+refused|is\\s+refused') UNION ALL SELECT *, 3 FROM j WHERE contains(low, 'withdrawn')),
+w AS (SELECT * FROM k QUALIFY row_number() OVER (PARTITION BY case_id ORDER BY class, rank DESC, origin, place, source) = 1),
+s AS (SELECT c_custkey AS case_id, lower({_REGISTER_SQL}) AS low FROM customer),
+r AS (SELECT case_id, CASE WHEN regexp_matches(low, 'patent has been granted|no opposition filed') THEN 1 WHEN contains(low, 'application refused') THEN 2 WHEN contains(low, 'deemed to be withdrawn') THEN 3 WHEN regexp_matches(low, 'grant of patent is intended|examination is in progress') THEN 4 END AS class FROM s),
+a AS (SELECT case_id FROM j UNION SELECT case_id FROM r UNION SELECT case_id FROM o WHERE title <> '')
+SELECT case_id, ['granted', 'rejected', 'withdrawn', 'pending'][coalesce(w.class, r.class)] AS outcome, ['yes', 'no', 'no', 'no'][coalesce(w.class, r.class)] AS grant_label, CASE WHEN w.class IS NOT NULL THEN w.source WHEN r.class IS NOT NULL THEN 'register_status' END AS source, CASE WHEN w.class IS NOT NULL THEN w.date WHEN r.class IS NOT NULL THEN '' END AS date
+FROM a LEFT JOIN w USING (case_id) LEFT JOIN r USING (case_id)""")
+def known_outcomes(t):
+    """How every case ended: register rows are orders, documents are line items of the case, statuses come from customers."""
+    rows = t("orders").filter("o_custkey IS NOT NULL").select(F.col("o_custkey").alias("case_id"), F.col("o_orderkey").alias("place"), F.expr(_TITLE).alias("title"), F.date_format("o_orderdate", "dd-MM-yyyy").alias("date"))
+    tells = F.element_at(F.array(*[F.lit(x) for x in ["The patent is hereby\n granted.", "nothing", "it is  refused", "no", "none", "nil", "void"]]), (F.col("l_partkey") % 7 + 1).cast("int"))
+    documents = t("lineitem").select(F.col("l_orderkey").alias("case_id"), F.col("l_linenumber").cast("long").alias("place"), F.expr(_LNAME).alias("name"), tells.alias("text"))
+    return O.known_outcomes(rows, documents, t("customer").select(F.col("c_custkey").alias("case_id"), F.expr(_REGISTER).alias("register_status")))
+
+
+_CITED_PAGE = """concat('<html><body><table><tr><td>', c_name, '</td>', CASE c_custkey % 4 WHEN 0 THEN '<td>Documents cited:</td>' WHEN 1 THEN '<td class="x"> <b> CITED in </b></td>' WHEN 2 THEN '<th>> Cited  in <</th>' ELSE '' END, '<td>D1 WO 2004/', CAST(c_custkey AS VARCHAR(20)), '</td>',
+CASE WHEN c_custkey % 3 = 0 THEN '<td> By Applicant </td><td>US 1</td>' ELSE '' END, CASE WHEN c_custkey % 5 = 0 THEN '<div id="epoFooter">x</div>' WHEN c_custkey % 5 = 1 THEN 'The EPO accepts no responsibility for it' ELSE '' END, CASE WHEN c_custkey % 7 = 0 THEN '' ELSE '</body>' END, '</html>')"""
+
+
+@query(f"""WITH p AS (SELECT c_custkey, {_CITED_PAGE} AS h FROM customer), m AS (SELECT *, strpos(h, 'Documents cited:') AS d, strpos(h, nullif(regexp_extract(h, '(?i)>\\s*Cited in\\s*<'), '')) AS c FROM p),
+s AS (SELECT *, CASE WHEN d > 0 THEN d WHEN c > 0 THEN CASE WHEN contains(left(h, c - 1), '<td') THEN c - strpos(reverse(left(h, c - 1)), 'dt<') - 2 ELSE c END END AS start FROM m), u AS (SELECT c_custkey, substr(h, start) AS tail FROM s)
+SELECT c_custkey, coalesce(left(tail, least(coalesce(nullif(strpos(tail, nullif(regexp_extract(tail, '(?i)>\\s*by applicant\\s*<'), '')), 0), length(tail) + 1), coalesce(nullif(strpos(tail, 'The EPO accepts no responsibility'), 0), length(tail) + 1), coalesce(nullif(strpos(tail, '<div id="epoFooter"'), 0), length(tail) + 1), coalesce(nullif(strpos(tail, '</body>'), 0), length(tail) + 1)) - 1), '') AS block FROM u""")
+def register_citations(t):
+    """The citations' part of every register page."""
+    return t("customer").select("c_custkey", O.citations_block(F.expr(_CITED_PAGE)).alias("block"))
