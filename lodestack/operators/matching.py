@@ -3,7 +3,7 @@
 Quotes are written to the shared folder in blocks of about BLOCK_BYTES; plan and driver hold their path and the number of blocks only. A
 task reads the sources once and looks for a block's patterns in up to TEXT_BYTES of texts before it takes the next block, so
 a worker holds one block and one portion. A block is kept between portions and tasks where it is the only one. What is stored are
-quotes, not automata: those are some fifty times as large, and building one costs less than reading it from a remote store.
+quotes; a worker builds a block's automaton itself, again for each portion where there are several blocks. Work goes with the texts times the number of blocks.
 
 Cases: rows without an id and texts that are empty when normalised are left out; repeated rows each count; an empty side gives an empty result.
 """
