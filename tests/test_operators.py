@@ -110,3 +110,17 @@ def test_character_references(spark):
     rows = spark.createDataFrame([(k, t) for k, t in enumerate(texts)], "k int, t string").withColumn("got", T.unescape(F.col("t"))).collect()
     want = {k: None if t is None else html.unescape(t) for k, t in enumerate(texts)}
     assert {r.k: r.got for r in rows} == want
+
+
+def test_clean_html_keeps_what_its_sql_keeps(spark, tmp_path):
+    """The queries decode the references that their SQL names, also beside unfinished and rare ones; the operators decode all."""
+    import duckdb
+    from __spark_entry__ import oracle_sql
+
+    pages = [(1, "u", "<p>a &amp b &amp; c</p>"), (2, "u", "R&ampD &eacute; &#39;x&#39; &copy &copy;"), (3, "u", "<i>plain</i> &lt;b&gt; &am")]
+    for name in ("clean_html_cells",):
+        got = on_tables(spark, tmp_path / name, name, pages=(pages, "page_id long, url string, html string"))
+        con = duckdb.connect()
+        con.sql("CREATE TABLE pages (page_id BIGINT, url VARCHAR, html VARCHAR)")
+        con.executemany("INSERT INTO pages VALUES (?, ?, ?)", pages)
+        assert sorted(got) == sorted(con.sql(oracle_sql()[name]).fetchall())
