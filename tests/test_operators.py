@@ -118,7 +118,7 @@ def test_clean_html_keeps_what_its_sql_keeps(spark, tmp_path):
     from __spark_entry__ import oracle_sql
 
     pages = [(1, "u", "<p>a &amp b &amp; c</p>"), (2, "u", "R&ampD &eacute; &#39;x&#39; &copy &copy;"), (3, "u", "<i>plain</i> &lt;b&gt; &am")]
-    for name in ("clean_html_cells",):
+    for name in ("clean_html_text", "clean_html_cells"):
         got = on_tables(spark, tmp_path / name, name, pages=(pages, "page_id long, url string, html string"))
         con = duckdb.connect()
         con.sql("CREATE TABLE pages (page_id BIGINT, url VARCHAR, html VARCHAR)")
