@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from string import ascii_lowercase, ascii_uppercase
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -33,19 +35,29 @@ LAST_US_PATENT = 13_000_000
 TAIL_LINES, LEAST_REST = 3, 5
 
 
-def _spaced(x: Column) -> Column:
-    return F.btrim(F.regexp_replace(x, "(?U)\\s+", " "))
+def spelt(pattern: str, ascii: bool, flags: str = "") -> str:
+    """The pattern for Java: over Unicode's words, digits and spaces, or over those of ASCII, where any other letter ends a word."""
+    if not ascii:
+        return f"(?{flags}U)" + pattern
+    return f"(?s{flags + 'u' * ('i' in flags)})" + pattern.replace("\\b", r"(?:(?<=\w)(?!\w)|(?<!\w)(?=\w))").replace("\\s", r"[\t\n\f\r ]")
+
+
+def _spaced(x: Column, ascii: bool) -> Column:
+    return F.btrim(F.regexp_replace(x, spelt("\\s+", ascii), " "))
 
 
-def find(text: Column) -> Column:
+def find(text: Column, ascii: bool = False) -> Column:
     """The publication number of the first family that occurs in a text, '' for none. A leading label (D1) doesn't count."""
-    return bound(F.regexp_replace(F.upper(_spaced(F.coalesce(text, F.lit("")))), LABEL, ""), _cascade)
+    t = _spaced(F.coalesce(text, F.lit("")), ascii)
+    # No letter outside ASCII becomes one of ASCII (as ss), which would end words elsewhere.
+    t = F.translate(t, ascii_lowercase, ascii_uppercase) if ascii else F.upper(t)
+    return bound(F.regexp_replace(t, LABEL, ""), lambda x: _cascade(x, ascii))
 
 
-def _cascade(t: Column) -> Column:
-    pattern = {name: "(?U)" + p for name, p in FAMILIES}
+def _cascade(t: Column, ascii: bool) -> Column:
+    pattern = {name: spelt(p, ascii) for name, p in FAMILIES}
     part = lambda name, k: F.regexp_extract(t, pattern[name], k)
-    digits = lambda name, k: F.regexp_replace(part(name, k), "(?U)\\D+", "")
+    digits = lambda name, k: F.regexp_replace(part(name, k), spelt("\\D+", ascii), "")
     patent = digits("us_patent", 1)
     application = (part("us_patent", 2) == "") & (F.length(patent) == 8) & (patent.try_cast("int") > LAST_US_PATENT)
     made = {
@@ -64,34 +76,34 @@ def _cascade(t: Column) -> Column:
     return out
 
 
-def all_in(text: Column) -> Column:
+def all_in(text: Column, ascii: bool = False) -> Column:
     """Distinct publications of a text in order of their first occurrence."""
-    found = F.transform(F.regexp_extract_all(text, F.lit("(?iU)" + BROAD), F.lit(0)), find)
+    found = F.transform(F.regexp_extract_all(text, F.lit(spelt(BROAD, ascii, "i")), F.lit(0)), lambda x: find(x, ascii))
     return F.array_distinct(F.filter(found, lambda p: p != ""))
 
 
-def labelled_lines(text: Column) -> Column:
+def labelled_lines(text: Column, ascii: bool = False) -> Column:
     """Citations (D1 and its publication) of lines that begin with a label; a bare label takes the lines below it."""
-    lines = F.transform(F.split(text, "\\r?\\n"), _spaced)
-    label = "(?iU)" + LABELLED_LINE
+    lines = F.transform(F.split(text, "\\r?\\n"), lambda x: _spaced(x, ascii))
+    label = spelt(LABELLED_LINE, ascii, "i")
 
     def one(line, i):
         below = F.slice(lines, i + 2, TAIL_LINES)
-        stop = F.array_position(F.transform(below, lambda x: x.rlike("(?iU)^D[0-9]{1,2}\\s*[:\\-]?")), True)
+        stop = F.array_position(F.transform(below, lambda x: x.rlike(spelt("^D[0-9]{1,2}", ascii, "i"))), True)
         tail = F.array_join(F.filter(F.slice(below, 1, F.when(stop > 0, stop - 1).otherwise(TAIL_LINES).cast("int")), lambda x: x != ""), " ")
         rest = F.trim(F.regexp_extract(line, label, 2))
-        return F.when(line.rlike(label), cited(F.regexp_extract(line, label, 1), F.when((F.length(rest) < LEAST_REST) & (i + 1 < F.size(lines)), tail).otherwise(rest)))
+        return F.when(line.rlike(label), cited(F.regexp_extract(line, label, 1), F.when((F.length(rest) < LEAST_REST) & (i + 1 < F.size(lines)), tail).otherwise(rest), ascii))
 
     return F.filter(F.transform(lines, one), lambda x: x.isNotNull())
 
 
-def labelled(text: Column) -> Column:
+def labelled(text: Column, ascii: bool = False) -> Column:
     """Citations of labels that a reference follows anywhere in the text."""
-    pattern = F.lit("(?iU)" + LABELLED)
+    pattern = F.lit(spelt(LABELLED, ascii, "i"))
     both = F.arrays_zip(F.regexp_extract_all(text, pattern, F.lit(1)).alias("label"), F.regexp_extract_all(text, pattern, F.lit(2)).alias("rest"))
-    return F.filter(F.transform(both, lambda x: cited(x["label"], x["rest"])), lambda x: x.isNotNull())
+    return F.filter(F.transform(both, lambda x: cited(x["label"], x["rest"], ascii)), lambda x: x.isNotNull())
 
 
-def cited(label: Column, rest: Column) -> Column:
+def cited(label: Column, rest: Column, ascii: bool = False) -> Column:
     """Label and publication, null without one."""
-    return bound(find(rest), lambda p: F.when(p != "", F.concat(F.upper(label), F.lit(" "), p)))
+    return bound(find(rest, ascii), lambda p: F.when(p != "", F.concat(F.upper(label), F.lit(" "), p)))

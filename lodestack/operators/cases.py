@@ -145,11 +145,11 @@ def register_meta(pages: DataFrame) -> DataFrame:
     )
 
 
-def mentions(documents: DataFrame, case_col: str = "case_id", application_col: str = "application", source_col: str = "source", text_col: str = "text", order_col: str = "place") -> DataFrame:
+def mentions(documents: DataFrame, case_col: str = "case_id", application_col: str = "application", source_col: str = "source", text_col: str = "text", order_col: str = "place", ascii: bool = False) -> DataFrame:
     """Row per citation in the texts of a case: case_id, application, source, citation, at (place of the document, then labelled lines, labels in
-    the text, bare publications, in order). A null text has none."""
+    the text, bare publications, in order). A null text has none. ascii: words, digits and spaces are those of ASCII, not of Unicode."""
     text = F.coalesce(F.col(text_col), F.lit(""))
-    found = F.array(publications.labelled_lines(text), publications.labelled(text), publications.all_in(text))
+    found = F.array(*[way(text, ascii) for way in (publications.labelled_lines, publications.labelled, publications.all_in)])
     rows = documents.select(F.col(case_col).alias("case_id"), F.col(application_col).alias("application"), F.col(source_col).alias("source"), F.col(order_col).alias("place"), F.posexplode_outer(found).alias("way", "cited"))
     rows = rows.select("case_id", "application", "source", "place", "way", F.posexplode_outer("cited").alias("n", "citation")).filter(F.col("citation").isNotNull())
     return rows.select("case_id", "application", "source", "citation", F.struct("place", "way", "n").alias("at"))

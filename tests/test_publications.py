@@ -98,3 +98,18 @@ def test_prior_art_of_cases(spark):
 
 def test_noise_of_headings(spark):
     assert values(spark, rules.is_noise_line, ["Amended claims", "CLAIMS (new)", "claims of", "1000", " 7 ", " "]) == [True, True, False, False, True, True]
+
+
+def test_words_end_as_in_the_sql(spark, tmp_path):
+    """Letters outside ASCII beside a country's: the query's words end there, as its SQL's do; the operators' don't."""
+    import duckdb
+    from __spark_entry__ import oracle_sql, queries
+
+    turns = [(17107, 0, "user", "Mit der \xdf das, \xfcau eineschschzuzu aueinbe zu ensterer enzuungkeit einungpf."), (3, 1, "user", "stra\xdfep 1234567 A1 x\xa0EP 1 492 031 B1 İ"), (4, 0, "user", "keinſep 7654321\x0bD2: ßus 6123457")]
+    spark.createDataFrame(turns, "conv_id long, turn long, role string, text string").write.parquet(str(tmp_path / "conversations.parquet"))
+    con = duckdb.connect()
+    con.sql(f"CREATE VIEW conversations AS SELECT * FROM read_parquet('{tmp_path}/conversations.parquet/*.parquet')")
+    rows = queries()["prior_art_in_texts"](spark, str(tmp_path))
+    want = con.sql(f"SELECT {', '.join(rows.columns)} FROM ({oracle_sql()['prior_art_in_texts']})").fetchall()
+    assert sorted(map(tuple, rows.collect())) == sorted(want)
+    assert values(spark, P.all_in, ["\xfcau einesch\nCN 1234567 A"]) == [["CN1234567A"]]
