@@ -199,3 +199,36 @@ def test_source_sentences(spark):
     df = spark.createDataFrame([(k, json.dumps(d)) for k, d in enumerate(docs)], "k int, j string").repartition(3)
     for r in df.select("k", A.read(df["j"]).alias("v")).select("k", A.source_sentences(F.col("v")).alias("s")).collect():
         assert [tuple(x) for x in r.s] == plain_sentences(docs[r.k]), docs[r.k]
+
+
+def test_values_are_read_few_times(spark, tmp_path):
+    """Every reading of a VARIANT costs about a microsecond, so a row's number of them is what these queries take at size."""
+    def readings(df):
+        plan = df._jdf.queryExecution().optimizedPlan().toString()
+        return plan.count("variant_get(") + plan.count("to_json(")
+
+    rows = spark.createDataFrame([(1, "novelty", "{}")], "c int, dim string, j string")
+    assert readings(A.partials(rows, "c", "dim", "j")) < 100  # 125 before
+    assert readings(rows.select(A.source_sentences(A.read(F.col("j"))))) < 800  # 1,618 before
+    from lodestack.operators import review as V
+
+    assert readings(V.review_items(rows.selectExpr("c AS case_id", "j AS analysis", "j AS benchmark", "j AS claims"))) < 100  # 122 before
+
+
+@pytest.mark.parametrize("name, table, schema", [("review_items", "customer", "c_custkey long, c_name string"), ("risk_source_sentences", "orders", "o_orderkey long, o_custkey long")])
+def test_narrow_tables_are_spread(spark, tmp_path, name, table, schema):
+    from lodestack.plans import catalog, claim_queries  # noqa: F401
+
+    spark.createDataFrame([(1, "1" if table == "customer" else 1)], schema).write.parquet(str(tmp_path / f"{table}.parquet"))
+    assert catalog.QUERIES[name](spark, str(tmp_path)).rdd.getNumPartitions() >= spark.sparkContext.defaultParallelism
+
+
+def test_texts_that_look_like_other_values(spark):
+    """A text of digits, 'false' or brackets is given; the number, boolean or list of the same spelling isn't."""
+    docs = [('"0"', True, None), ("0", False, 0), ('"false"', True, None), ("false", False, 0), ('"[]"', True, None), ("[]", False, None), ('" 7 "', True, 7), ("7.9", True, 7), ("null", False, None), ('""', False, None), ("{}", False, None), ('"{x"', True, None)]
+    df = spark.createDataFrame([(k, j) for k, (j, _, _) in enumerate(docs)], "k int, j string").withColumn("v", F.parse_json("j"))
+    got = sorted(tuple(r) for r in df.select("k", A.given(F.col("v")), A.whole_number(F.col("v")), A.is_object(F.col("v")), A.is_text(F.col("v"))).collect())
+    assert [r[1] for r in got] == [g for _, g, _ in docs]
+    assert [r[2] for r in got] == [0 if j == '"0"' else n for j, _, n in docs]
+    assert [r[3] for r in got] == [j == "{}" for j, _, _ in docs]
+    assert [r[4] for r in got] == [j.startswith('"') for j, _, _ in docs]
