@@ -12,7 +12,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .analysis import canonical, elements, get, is_object, read, spelled
+from ..functions.text import bound
+from .analysis import canonical, elements, get, is_object, is_text, plain, read, spelled
 from .cases import evidence_files, review_progress
 
 # Sections, labels and kinds of items in their order; keys under which a record names its file; folders where bare names are looked up.
@@ -38,25 +39,25 @@ PICTURES = (IMAGES, "benchmark_input.drug_structure.markush_candidate_images", "
 
 def _text(value: Column) -> Column:
     """A string value, '' for anything else."""
-    return F.when(canonical(value).startswith('"'), spelled(value)).otherwise("")
+    return F.when(is_text(value), plain(value)).otherwise("")
 
 
 def evidence_paths(value: Column) -> Column:
     """Files that a value names: itself, the elements of a list, and what stands under a record's path keys, in that order."""
 
+    kind = "struct<" + ", ".join(f"{k}: variant" for k in PATH_KEYS) + ">"
+    named = lambda r: F.filter(F.array(*[r[k] for k in PATH_KEYS]), lambda y: y.isNotNull())
+
     def opened(x):
-        record = F.array(*[get(x, k) for k in PATH_KEYS])
-        return F.when(canonical(x).startswith("["), F.coalesce(F.try_variant_get(x, "$", "array<variant>"), _none())).when(is_object(x), F.filter(record, lambda y: y.isNotNull())).otherwise(F.array(x))
+        record = bound(F.try_variant_get(x, "$", kind), lambda r: F.when(r.isNotNull(), named(r)).otherwise(F.array(x)))
+        return F.coalesce(F.try_variant_get(x, "$", "array<variant>"), record)
 
     found = F.array(value)
     for _ in range(LEVELS):
         found = F.flatten(F.transform(found, opened))
     paths = F.filter(F.transform(found, _text), evidence_files)
-    return F.when(value.isNull(), F.array().cast("array<string>")).when(is_object(value), F.array_distinct(paths)).otherwise(paths)
-
-
-def _none() -> Column:
-    return F.array().cast("array<variant>")
+    text, none = plain(value), F.array().cast("array<string>")
+    return F.when(text.rlike("^[{\\[]"), F.when(is_object(value), F.array_distinct(paths)).otherwise(paths)).when(evidence_files(text), F.array(text)).otherwise(none)
 
 
 def _item(id_: Column | str, section: str, label: Column | str, value: Column, kind: str = "text", required: bool = True, auto: bool = False) -> Column:
@@ -89,7 +90,7 @@ def items(analysis: Column, benchmark: Column, claims: Column) -> Column:
 
     def claim(x, i):
         number = get(x, "claim_number")
-        label = F.concat(F.lit(S_CLAIMS + " "), F.when(canonical(number) == "null", (i + 1).cast("string")).otherwise(spelled(number)))
+        label = F.concat(F.lit(S_CLAIMS + " "), F.coalesce(plain(number), (i + 1).cast("string")))
         return _item(indexed("/claims_verified/claims", i), S_CLAIMS, label, x, "claim")
 
     single = [_item(f"/meta/{k}", S_META, label, at(f"meta.{k}"), auto=True) for k, label in META]
@@ -124,7 +125,7 @@ def review_items(cases: DataFrame, case_col: str = "case_id", analysis: str = "a
         *("case_id", "place", "id", "section", "label", "kind"),
         F.when(value.isNotNull(), canonical(value)).alias("value"),
         F.when(picture, F.filter(F.array(path), lambda p: p != "")).otherwise(evidence_paths(value)).alias("evidence_paths"),
-        (F.col("required") & F.when(picture, path == "").otherwise(canonical(value).isin("null", '""'))).alias("missing_required"),
+        (F.col("required") & F.when(picture, path == "").otherwise(spelled(value) == "")).alias("missing_required"),
         "auto_pass",
     )
 

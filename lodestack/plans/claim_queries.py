@@ -12,6 +12,7 @@ from ..operators import pages as G
 from ..operators import repair as W
 from ..operators import review as V
 from ..operators import validation as N
+from ..session import spread
 from ..sources import discovery as D
 from .catalog import query
 
@@ -156,7 +157,7 @@ CASE WHEN json_type(v) IN ('OBJECT') THEN CAST(v AS VARCHAR) ELSE json_extract_s
 
 
 def _reviewed(t):
-    return t("customer").select(F.col("c_custkey").alias("case_id"), F.expr(_REVIEWED).alias("analysis"), F.expr(_REVIEWED_INPUT).alias("benchmark"), F.expr(_REVIEWED_CLAIMS).alias("claims"))
+    return spread(t("customer").select("c_custkey", "c_name")).select(F.col("c_custkey").alias("case_id"), F.expr(_REVIEWED).alias("analysis"), F.expr(_REVIEWED_INPUT).alias("benchmark"), F.expr(_REVIEWED_CLAIMS).alias("claims"))
 
 
 @query(_REVIEW_SQL)
@@ -178,7 +179,7 @@ SELECT root, any_value(marker) AS marker, count(*) AS files, CAST(sum(l_suppkey)
 @query(_OWNER_SQL)
 def case_discovery(t):
     """Case folders by their marker files, and what each owns of a file listing."""
-    files = t("lineitem").select(F.expr(_TREE).alias("path"), "l_suppkey")
+    files = spread(t("lineitem").select("l_orderkey", "l_partkey", "l_suppkey")).select(F.expr(_TREE).alias("path"), "l_suppkey")
     roots = D.roots(files)
     own = D.owned(files, roots).groupBy("root").agg(F.count(F.lit(1)).alias("files"), F.sum("l_suppkey").cast("long").alias("bytes"), F.countDistinct("inside").alias("names"))
     return own.join(roots, "root").select("root", "marker", "files", "bytes", "names", D.category(F.col("root")).alias("category"))
@@ -286,6 +287,6 @@ SELECT o_orderkey AS case_id, n AS place, dim AS issue, source, text, said AS tr
 @query(_BORNE_SQL)
 def risk_source_sentences(t):
     """Passages that bear the risks of every analysis out, the weakest dimension's first."""
-    d = t("orders").select(F.col("o_orderkey").alias("case_id"), A.read(F.expr(_BORNE)).alias("v")).select("case_id", A.source_sentences(F.col("v")).alias("s"))
+    d = spread(t("orders").select("o_orderkey", "o_custkey")).select(F.col("o_orderkey").alias("case_id"), A.read(F.expr(_BORNE)).alias("v")).select("case_id", A.source_sentences(F.col("v")).alias("s"))
     rows = d.select("case_id", F.posexplode_outer("s").alias("n", "x")).filter("x IS NOT NULL")
     return rows.select("case_id", (F.col("n") + 1).cast("long").alias("place"), "x.issue", "x.source", F.col("x.original_text").alias("text"), "x.translation", F.col("x.llm_evidence_explanation").alias("why"))
