@@ -113,14 +113,14 @@ def is_examined_source(name: Column) -> Column:
     return n.rlike(EXAMINED) | ~n.rlike(UNEXAMINED)
 
 
-def is_noise_citation(citation: Column, application: Column) -> Column:
-    """Phrases, numbers without a publication, the application itself, application numbers, and terms of forms."""
+def is_noise_citation(citation: Column, application: Column, publication: Column | None = None) -> Column:
+    """Phrases, numbers without a publication, the application itself, application numbers, and terms of forms. publication: the cited one, where known."""
     upper = F.upper(citation)
     digits = lambda c: F.regexp_replace(c, "\\D", "")
     own, cited = digits(F.coalesce(application, F.lit(""))), digits(upper)
     phrase = upper.rlike("^D[0-9]{1,2}\\s+(IS|FROM|DOES|REPRESENTS|MENTIONS|SHOWS)\\b")
     itself = (own != "") & F.contains(cited, F.substring(own, 1, 8))
-    return phrase | (cited_publication(citation) == "") | itself | upper.rlike("\\b(?:PCT/)?[A-Z]{2}\\d{2}/\\d{4,}\\b") | upper.rlike("|".join(NOISE_TERMS))
+    return phrase | ((cited_publication(citation) if publication is None else publication) == "") | itself | upper.rlike("\\b(?:PCT/)?[A-Z]{2}\\d{2}/\\d{4,}\\b") | upper.rlike("|".join(NOISE_TERMS))
 
 
 def cited_publication(citation: Column) -> Column:
@@ -139,9 +139,9 @@ def citation_query(citation: Column) -> Column:
     return bound(cited_publication(citation), lambda p: F.when(p != "", p).otherwise(_number_or_start(citation)))
 
 
-def citation_key(citation: Column) -> Column:
-    """Citations with the same key are the same document: the publication without its kind, else the query."""
-    return F.lower(bound(cited_publication(citation), lambda p: F.when(p != "", F.regexp_replace(p, "[A-Z]\\d?$", "")).otherwise(_number_or_start(citation))))
+def citation_key(citation: Column, publication: Column | None = None) -> Column:
+    """Citations with the same key are the same document: the publication without its kind, else the query. publication: the cited one, where known."""
+    return F.lower(bound(cited_publication(citation) if publication is None else publication, lambda p: F.when(p != "", F.regexp_replace(p, "[A-Z]\\d?$", "")).otherwise(_number_or_start(citation))))
 
 
 def is_noise_line(line: Column) -> Column:

@@ -164,12 +164,12 @@ def prior_art(mentions: DataFrame, k: int, documents: DataFrame | None = None) -
     tidy = F.regexp_replace(norm_space(F.col("citation")), "^[ ;,.]+|[ ;,.]+$", "")
     examined = rules.is_examined_source(F.col("source"))
     known = (mentions if documents is None else documents).groupBy("case_id").agg(F.bool_or(examined).alias("any_examined"))
-    m = mentions.join(known, "case_id").filter(examined | ~F.col("any_examined")).withColumn("citation", tidy)
-    m = m.filter((F.col("citation") != "") & ~rules.is_noise_citation(F.col("citation"), F.col("application")))
-    g = m.groupBy("case_id", "citation").agg(F.count(F.lit(1)).alias("mentions"), F.array_join(F.array_sort(F.collect_set("source")), ",").alias("sources"), F.min("at").alias("at"))
-    g = g.filter(~publications.find(F.col("citation")).isin(*publications.UNTRUSTED))
+    m = mentions.join(known, "case_id").filter(examined | ~F.col("any_examined")).withColumn("citation", tidy).withColumn("publication", rules.cited_publication(F.col("citation")))
+    m = m.filter((F.col("citation") != "") & ~rules.is_noise_citation(F.col("citation"), F.col("application"), F.col("publication")))
+    g = m.groupBy("case_id", "citation", "publication").agg(F.count(F.lit(1)).alias("mentions"), F.array_join(F.array_sort(F.collect_set("source")), ",").alias("sources"), F.min("at").alias("at"))
+    g = g.filter(~F.col("publication").isin(*publications.UNTRUSTED))
     best = F.min_by(F.struct("citation", "mentions", "sources", "at"), F.struct(-F.col("mentions"), "at", "citation")).alias("best")
-    g = g.groupBy("case_id", rules.citation_key(F.col("citation")).alias("key")).agg(best).select("case_id", "best.*")
+    g = g.groupBy("case_id", rules.citation_key(F.col("citation"), F.col("publication")).alias("key")).agg(best).select("case_id", "best.*")
     w = Window.partitionBy("case_id").orderBy(F.desc("mentions"), "at", "citation")
     return g.withColumn("rank", F.row_number().over(w)).filter(F.col("rank") <= k).select("case_id", "rank", "citation", "mentions", "sources")
 
