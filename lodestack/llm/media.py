@@ -40,11 +40,9 @@ def store(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Da
 
         for batch in batches:
             ids, texts = batch.column(0), batch.column(1)
-            sizes, media = [], []
-            for x in texts:
-                data = x.as_py()
-                sizes.append(len(data))
-                media.append(webp.encode_bytes(to_payload(data)))
+            data = texts.to_pylist()
+            sizes = [len(x) for x in data]
+            media = webp.encode_many([to_payload(x) for x in data])
             yield pa.RecordBatch.from_arrays([ids.cast(pa.int64()), pa.array(sizes, pa.int64()), pa.array(media, pa.binary())], names=["doc_id", "n_bytes", "media"])
 
     text = F.coalesce(F.col(text_col), F.lit("")).cast("binary")
@@ -59,10 +57,9 @@ def describe(stored: DataFrame) -> DataFrame:
 
         for batch in batches:
             rows = []
-            for doc_id, n_bytes, media in zip(*(batch.column(k) for k in range(3))):
-                data = media.as_py()
-                payload, images = webp.decode_bytes(data)
-                rows.append((doc_id.as_py(), n_bytes.as_py(), len(payload), hashlib.sha256(payload).hexdigest(), zlib.crc32(payload[-webp.ROW :]), len(data), hashlib.sha256(data).hexdigest(), feature(payload), images[0].shape[1], sum(x.shape[0] for x in images)))
+            ids, sizes, media = (batch.column(k).to_pylist() for k in range(3))
+            for doc_id, n_bytes, data, (payload, images) in zip(ids, sizes, media, webp.decode_many(media)):
+                rows.append((doc_id, n_bytes, len(payload), hashlib.sha256(payload).hexdigest(), zlib.crc32(payload[-webp.ROW :]), len(data), hashlib.sha256(data).hexdigest(), feature(payload), images[0].shape[1], sum(x.shape[0] for x in images)))
             names = [x.split()[0] for x in DESCRIBED.split(", ")]
             kinds = [pa.int64(), pa.int64(), pa.int64(), pa.string(), pa.int64(), pa.int64(), pa.string(), pa.string(), pa.int32(), pa.int32()]
             columns = list(zip(*rows)) if rows else [[]] * len(names)

@@ -293,3 +293,56 @@ def test_writer_uses_transforms():
         kinds.add((bits >> 1) & 3 if bits & 1 else None)
         assert webp.decode_bytes(media)[0] == payload and len(media) < len(payload)
     assert kinds == {0, 1, 2, 3}
+
+
+def mixed():
+    """Payloads of many lengths and kinds: prose, repeats, few colours, noise, ramps, single rows."""
+    rng = np.random.default_rng(9)
+    words = [bytes(rng.integers(97, 123, int(n), dtype=np.uint8)) for n in rng.integers(2, 9, 80)]
+    for k in range(130):
+        rows = int(rng.integers(1, 60)) if k % 9 else 400
+        line = b" ".join(words[i] for i in rng.integers(0, 80, 20 * rows))
+        line = (line, line[:200] * rows, b"ab" * 64 * rows, rng.bytes(64 * rows), bytes(range(256)) * rows, b"\0" * 64 * rows)[k % 11 if k % 11 < 6 else 0]
+        yield line[: 64 * rows]
+    yield b"long " * 64 * 60000
+
+
+def test_many_images_are_those_of_each_alone(monkeypatch):
+    payloads = list(mixed())
+    media = webp.encode_many(payloads)
+    assert media == [webp.encode_bytes(p) for p in payloads] == webp.encode_many(payloads[::-1])[::-1]
+    calls, inner = [], webp._symbols
+    monkeypatch.setattr(webp, "_symbols", lambda *a: calls.append(a) or inner(*a))
+    back = webp.decode_many(media)
+    assert [x for x, _ in back] == payloads
+    together = sum(len(a) == 8 for a in calls)
+    assert 0 < together < webp.FEWEST_LANES  # the rest ended in common steps
+    monkeypatch.setattr(webp, "FEWEST_LANES", 1)
+    assert [x for x, _ in webp.decode_many(media)] == payloads
+    assert webp.encode_many([]) == webp.decode_many([]) == []
+
+
+@pytest.mark.parametrize("lanes", [1, 3, 40])
+def test_streams_of_other_writers_together(monkeypatch, lanes):
+    """Caches, copies that reach over themselves, transforms and meta codes of the test encoder, many at once."""
+    monkeypatch.setattr(webp, "FEWEST_LANES", lanes)
+    files, images = [], []
+    for k in range(60):
+        width, height = 5 + k % 7, 6 + k % 5
+        image = picture(width, height, k, colours=9 if k % 2 else None)
+        copies, pixels = {}, image.reshape(-1, 4)
+        if k % 3 == 0:
+            copies = {10: (12, 121 + k % 4)}
+            for i in range(10, 22):
+                pixels[i] = pixels[i - 1 - k % 4]
+
+        def body(out):
+            out.put(0, 1)
+            put_image(out, flat(image), width, True, (0, 1, 5, 11)[k % 4], copies, meta=k % 5 == 0)
+
+        files.append(file(width, height, body))
+        images.append(image)
+    for got, image in zip(webp.decode_all(files), images):
+        assert (got == image[..., [1, 2, 3, 0]]).all()
+    with pytest.raises(ValueError):
+        webp.decode_all([*files[:-1], files[-1][:-12]])
