@@ -2,6 +2,7 @@
 
 from datetime import datetime, timedelta
 
+import pandas as pd
 import pytest
 from lodestack.session import ship
 from lodestack.streaming import gates, status
@@ -38,3 +39,49 @@ def test_targets_deadlines_and_a_restart(run):
 def test_nothing_new_decides_nothing(run):
     rows = [("a", str(k), 0) for k in range(5)]
     assert run(rows) == [("a", "started", 3, 0)] == run(rows)
+
+
+def test_state_is_read_and_written_once_a_batch():
+    """However many records a key brings; each access is a message to the store."""
+    calls, kept = [], {}
+
+    class Value:
+        def __init__(self, name):
+            self.name = name
+
+        def exists(self):
+            calls.append("exists")
+            return self.name in kept
+
+        def get(self):
+            calls.append("get")
+            return kept.get(self.name)
+
+        def update(self, value):
+            calls.append("update")
+            kept[self.name] = value
+
+        def containsKey(self, key):
+            calls.append("has")
+            return False
+
+        def updateValue(self, key, value):
+            calls.append("put")
+
+    class Handle:
+        def getValueState(self, name, schema):
+            return Value(name)
+
+        getMapState = getValueState
+
+        def registerTimer(self, at):
+            calls.append(("timer", at))
+
+    gate = gates.Gate(300, 1000)
+    gate.init(Handle())
+    batch = lambda a, b: iter([pd.DataFrame({"ms": [5] * (b - a), "id": [str(k) for k in range(a, b)]})])
+    assert list(gate.handleInputRows(("k",), batch(0, 250), None)) == []
+    assert calls == ["get", "update", ("timer", 1005)]
+    calls.clear()
+    (out,) = gate.handleInputRows(("k",), batch(200, 400), None)
+    assert out.values.tolist() == [["k", "started", 300, 0]] and calls == ["get", "update"]
