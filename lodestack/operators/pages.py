@@ -18,7 +18,8 @@ from ..functions.text import bound
 # Marks, words and numbers that speak for a formula, what refers to one, words of snippets that have no page.
 PAGE = r"(?i)---\s*PAGE\s+(\d+)\s*---"
 KEYWORDS = ("markush", "formula", "compound represented by the following formula", "scope of formula", "wherein")
-SYMBOLS = r"(?i)\bR\d*[A-Z]?\b|\bX\d*[A-Z]?\b|\bFormula\s*\(?[IVX0-9]+\)?"
+#: The look ahead costs less than the boundary at the many places where nothing begins.
+SYMBOLS = r"(?i)(?=[RXF])\b(?:[RX]\d*[A-Z]?\b|Formula\s*\(?[IVX0-9]+\)?)"
 FORMULA = r"(?i)formula\s*\(?\s*([ivx0-9]+)\s*\)?"
 NO_PAGE = ("chemical formulae", "definitions")
 #: Tokens of a snippet that count, their least length, and the tokens a page needs with and without the snippet's formula.
@@ -39,12 +40,16 @@ def text_pages(text: Column) -> Column:
 
 def formula_score(text: Column) -> Column:
     """How much speaks for a formula on a page: three for each keyword, one for each symbol."""
-    low = F.lower(text)
-    return sum((F.regexp_count(low, F.lit(k)) * 3 for k in KEYWORDS), F.regexp_count(text, F.lit("(?U)" + SYMBOLS)))
 
+    def times(low, word):
+        return ((F.length(low) - F.length(F.replace(low, F.lit(word), F.lit("")))) / len(word)).cast("int") * 3
 
-def tokens(text: Column) -> Column:
-    return F.filter(F.split(simple(text), " "), lambda t: F.length(t) >= LEAST_TOKEN)
+    return bound(F.lower(text), lambda low: sum((times(low, k) for k in KEYWORDS), F.lit(0))) + F.regexp_count(text, F.lit("(?U)" + SYMBOLS))
+
+
+def tokens(plain: Column) -> Column:
+    """The words that count of what simple gives."""
+    return F.filter(F.split(plain, " "), lambda t: F.length(t) >= LEAST_TOKEN)
 
 
 def _best(scored: Column, most: int) -> Column:
@@ -64,7 +69,7 @@ def snippet_pages(snippet: Column, pages: Column, most: int) -> Column:
 
     Where it names formulas, pages that name one of them too (and the scope, if it does) come first, with a few tokens in common; else, or where no such page
     is found, many tokens must agree."""
-    own = F.array_distinct(F.slice(tokens(snippet), 1, FIRST_TOKENS))
+    own = F.array_distinct(F.slice(tokens(simple(snippet)), 1, FIRST_TOKENS))
     names = F.transform(F.array_distinct(F.regexp_extract_all(snippet, F.lit(FORMULA), F.lit(1))), lambda x: F.concat(F.lit("formula "), F.lower(x)))
     scope = F.lower(snippet).contains("scope of formula")
     scored = bound(own, lambda o: F.transform(pages, lambda p: F.struct(F.size(F.array_intersect(o, p["tokens"])).alias("score"), p["page"].alias("page"), p["plain"].alias("plain"))))
@@ -93,17 +98,25 @@ def page_jobs(snippets: DataFrame, documents: DataFrame, max_pages: int, snippet
     pages, unless its priority is negative."""
     s = snippets.filter(F.coalesce("source", F.lit("")) != "").select("case_id", "source", F.struct("place", F.coalesce("text", F.lit("")).alias("text")).alias("s"))
     s = s.groupBy("case_id", "source").agg(F.array_sort(F.collect_list("s")).alias("snippets"))
-    d = documents.select("case_id", "source", text_pages(F.col("text")).alias("pages")).join(s, ["case_id", "source"])
-    d = d.withColumn("read", F.transform("pages", lambda p: F.struct(p["page"].alias("page"), F.array_distinct(tokens(p["text"])).alias("tokens"), simple(p["text"]).alias("plain"))))
-    d = d.withColumn("formulas", formula_pages(F.col("pages"), max_pages))
+    d = documents.select("case_id", "source", "text").join(s, ["case_id", "source"])
+    most = min(snippet_pages_at_most, max_pages)
+
+    def read(pages):
+        return F.transform(pages, lambda p: bound(simple(p["text"]), lambda x: F.struct(p["page"].alias("page"), tokens(x).alias("tokens"), x.alias("plain"))))
+
+    def searched(pages):
+        return F.transform("snippets", lambda x: F.struct(x["place"].alias("place"), rules.snippet_priority(x["text"]).alias("priority"), snippet_pages(x["text"], pages, most).alias("pages")))
+
+    def jobs_of(pages):
+        """The snippets with their pages; pages are scored for formulas once, and only where a snippet asks for it."""
+        lost = lambda x: (F.size(x["pages"]) == 0) & (x["priority"] >= 0)
+
+        def filled(found):
+            return bound(formula_pages(pages, max_pages), lambda f: F.transform(found, lambda x: F.when(lost(x), x.withField("pages", f)).otherwise(x)))
 
-    def job(x):
-        priority = rules.snippet_priority(x["text"])
-        found = snippet_pages(x["text"], F.col("read"), min(snippet_pages_at_most, max_pages))
-        pages = bound(found, lambda f: F.when(F.size(f) > 0, f).when(priority >= 0, F.col("formulas")).otherwise(f))
-        return F.struct(x["place"].alias("place"), priority.alias("priority"), pages.alias("pages"))
+        return bound(bound(read(pages), searched), lambda found: F.when(F.exists(found, lost), filled(found)).otherwise(found))
 
-    jobs = d.select("case_id", "source", F.inline_outer(F.transform("snippets", job)))
+    jobs = d.select("case_id", "source", F.inline_outer(bound(text_pages(F.col("text")), jobs_of)))
     jobs = jobs.select("case_id", "source", pdf_of(F.col("source")).alias("pdf"), "place", "priority", F.explode_outer("pages").alias("page")).filter("page IS NOT NULL")
     first = F.min_by(F.struct("source", "priority"), F.struct(-F.col("priority"), "place")).alias("best")
     return jobs.groupBy("case_id", "pdf", "page").agg(first).select("case_id", "pdf", "page", "best.*")

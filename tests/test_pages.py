@@ -87,3 +87,19 @@ def test_pages_of_texts(spark):
     texts = ["no marks", "before --- PAGE 3 --- three ---page 4--- four", "", None, "--- PAGE 9 ---"]
     got = [r[0] for r in spark.createDataFrame([(t,) for t in texts], "t string").select(G.text_pages(F.col("t"))).collect()]
     assert [[tuple(p) for p in x] for x in got] == [[(1, "no marks")], [(3, " three "), (4, " four")], [(1, "")], [], [(9, "")]]
+
+
+def test_pages_are_read_once(spark):
+    """One pass of a pattern over a page for formulas, and one cleaning of a page; formulas are scored inside the branch that asks for them."""
+    s = spark.createDataFrame([(1, 1, "a.txt", "x")], "case_id int, place int, source string, text string")
+    d = spark.createDataFrame([(1, "a.txt", "y")], "case_id int, source string, text string")
+    plan = G.page_jobs(s, d, 4)._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("(?=[RXF])") == 1
+    assert plan.index("exists(") < plan.index("(?=[RXF])")
+
+
+def test_symbols_are_those_of_three_patterns():
+    rng, old = random.Random(3), r"(?i)\bR\d*[A-Z]?\b|\bX\d*[A-Z]?\b|\bFormula\s*\(?[IVX0-9]+\)?"
+    for _ in range(300):
+        text = "".join(rng.choice(["R", "x", "12", "A", " ", "formula", "Formula (IV)", "-", "é", "f", "_", "IX", ")", "\n"]) for _ in range(30))
+        assert re.findall(G.SYMBOLS, text) == re.findall(old, text)
