@@ -26,13 +26,15 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from . import lexicon
-from .shared import new_path, table
+from .shared import drop, new_path, remove, table
 
 LEXICON_WORDS = 300_000
 #: Chunks or words in one generation of a worker's memos; they stay with the worker, beside the next stages' ones.
 MEMO = 90_000
 #: Chunks in a partial count.
 COUNTED = 200_000
+#: Words that are merged, or read from the sorted table, together.
+MERGED = 10_000
 #: Words of more parts are merged a whole round at a time, which costs less than single steps there.
 LONG = 100
 #: Words of at most this many bytes are merged many at a time.
@@ -305,8 +307,9 @@ def word_counts(docs: DataFrame, tokenizer: str, text_col: str = "text") -> Data
 def compile_lexicon(docs: DataFrame, tokenizer: str, text_col: str = "text", words: int = LEXICON_WORDS) -> str:
     """Writes the transducer of the most frequent words to the shared folder; returns its URI.
 
-    A histogram of counts (at most 2,048 bars) sets the least count, so that about ``words`` rows reach the driver and
-    nothing is sorted; of the bar that does not fit whole, a share by the hash of the word is taken."""
+    A histogram of counts (at most 2,048 bars) sets the least count, so that about ``words`` rows are sorted and merged by tasks
+    and the driver writes the file from them as a stream; of the bar that does not fit whole, a share by the hash of the word is
+    taken."""
     from .warc import _file_system
 
     counts = table(word_counts(docs, tokenizer, text_col).filter("n > 1").withColumn("bar", F.floor(32 * F.log2("n"))), "word-counts")
@@ -317,17 +320,69 @@ def compile_lexicon(docs: DataFrame, tokenizer: str, text_col: str = "text", wor
             break
         total += n
     partly = (F.col("bar") == least) & (F.pmod(F.xxhash64("word"), F.lit(10_000)) < share)
-    bpe, frequent = Bpe(tokenizer), counts.filter((F.col("bar") > least) | partly).select("word")
-    found = [w.encode() for w in frequent.toPandas()["word"]]
-    data = lexicon.build(list(zip(found, map(tuple, bpe.merge_many(found)))))
+    frequent = merged_words(counts.filter((F.col("bar") > least) | partly), tokenizer)
+    path = new_path(docs.sparkSession, "frequent-words")
+    frequent.write.parquet(path)
     uri = new_path(docs.sparkSession, "lexicon")
     files, base = _file_system(uri)
     files.create_dir(os.path.dirname(base), recursive=True)
     with files.open_output_stream(base) as out:
-        out.write(data)
+        for part in lexicon.sections(*_frequent(path)):
+            out.write(part)
+    remove(docs.sparkSession, path)
+    drop(counts)
     return uri
 
 
+def merged_words(words: DataFrame, tokenizer: str) -> DataFrame:
+    """word in UTF-8 and ids, in order of the words: merged in the tasks, many words together."""
+
+    def run(batches):
+        import pyarrow as pa
+
+        bpe, held = Bpe(tokenizer), []
+
+        def flush():
+            ids = pa.array(bpe.merge_many(held), pa.list_(pa.int32()))
+            out = pa.RecordBatch.from_arrays([pa.array(held, pa.binary()), ids], names=["word", "ids"])
+            held.clear()
+            return out
+
+        for batch in batches:
+            held += batch.column(0).to_pylist()
+            if len(held) >= MERGED:
+                yield flush()
+        if held:
+            yield flush()
+
+    return words.select(F.col("word").cast("binary").alias("word")).sort("word").mapInArrow(run, "word binary, ids array<int>")
+
+
+def _frequent(path: str) -> tuple:
+    """Words of the sorted table in order, a batch at a time, where each one's ids begin, and the ids. Read file by file and not
+    through the session, so that neither the driver's JVM nor Python holds a row object for each word."""
+    import pyarrow.parquet as pq
+    from pyarrow import fs
+
+    from .warc import _file_system
+
+    files, base = _file_system(path)
+    # Spark names part files in order of the partitions.
+    parts = sorted(f.path for f in files.get_file_info(fs.FileSelector(base)) if f.base_name.startswith("part-"))
+    lists, flat = [np.zeros(1, dtype=np.int64)], [np.zeros(0, dtype=np.int32)]
+
+    def batches(column: str):
+        for part in parts:
+            with files.open_input_file(part) as f:
+                for batch in pq.ParquetFile(f).iter_batches(MERGED, columns=[column]):
+                    yield batch.column(0)
+
+    for ids in batches("ids"):
+        lists.append(lists[-1][-1] + np.asarray(ids.offsets)[1:].astype(np.int64) - ids.offsets[0].as_py())
+        flat.append(np.asarray(ids.flatten()))
+    return (w for column in batches("word") for w in column.to_pylist()), np.concatenate(lists), np.concatenate(flat)
+
+
 def open_lexicon(uri: str) -> lexicon.Lexicon:
     """Memory-maps the file where it lies; from a remote store it is copied to an unnamed local file first."""
     from .warc import _file_system

@@ -36,14 +36,33 @@ class _State:
 def build(pairs) -> bytes:
     """pairs: (word as bytes, list of ids), any order, distinct words."""
     pairs = sorted(pairs)
+    lists = np.cumsum([0] + [len(ids) for _, ids in pairs])
+    return b"".join(sections((word for word, _ in pairs), lists, np.array([i for _, ids in pairs for i in ids], dtype="<u4")))
+
+
+def sections(words, lists: np.ndarray, flat: np.ndarray):
+    """The file of distinct words in ascending order, part by part; a word's ids are those of ``flat`` between its two places in ``lists``.
+
+    Arcs are written as soon as their state is settled, so that beside them only the register of states is held."""
     register: dict[bytes, int] = {}
     behind = array("I")  # words behind each settled state
-    root, path, last = _State(), [], b""
+    starts, labels, targets, outputs = array("I"), array("B"), array("I"), array("I")
+    root, path, last, n_words = _State(), [], None, 0
+
+    def write(state: _State) -> None:
+        starts.append(len(labels) | (FINAL if state.final else 0))
+        before = int(state.final)
+        for c, t in state.arcs.items():
+            labels.append(c)
+            targets.append(t)
+            outputs.append(before)
+            before += behind[t]
+        behind.append(before)
 
     def add(state: _State) -> int:
         number = register.setdefault(state.key(), len(register))
         if number == len(behind):
-            behind.append(state.final + sum(behind[t] for t in state.arcs.values()))
+            write(state)
         return number
 
     def settle(depth: int) -> None:
@@ -51,12 +70,12 @@ def build(pairs) -> bytes:
             parent, label, child = path.pop()
             parent.arcs[label] = add(child)
 
-    for word, _ in pairs:
-        common = 0
+    for word in words:
+        if last is not None and word <= last:
+            raise ValueError("a word is given twice or out of order")
+        common, last = 0, last or b""
         while common < min(len(word), len(last)) and word[common] == last[common]:
             common += 1
-        if word == last and path:
-            raise ValueError("a word is given twice")
         settle(common)
         state = path[-1][2] if path else root
         for c in word[common:]:
@@ -64,31 +83,22 @@ def build(pairs) -> bytes:
             path.append((state, c, child))
             state = child
         state.final = True
-        last = word
+        last, n_words = word, n_words + 1
     settle(0)
-    keys = [*register, root.key()]
-    starts, labels, targets, outputs = array("I", [0]), array("B"), array("I"), array("I")
-    for key in keys:
-        final, *arcs = array("I", key)
-        before = final
-        for c, t in zip(arcs[::2], arcs[1::2]):
-            labels.append(c)
-            targets.append(t)
-            outputs.append(before)
-            before += behind[t]
-        starts.append(len(labels))
-    finals = np.array([key[0] for key in keys], dtype=bool)
-    starts = np.array(starts, dtype="<u4")
-    starts[:-1][finals] |= FINAL
-    if len(keys) >= 1 << 24:
+    register.clear()
+    write(root)
+    states = len(starts)
+    if states >= 1 << 24:
         raise ValueError("too many states for an arc key of 32 bits")
+    starts.append(len(labels))
+    starts, targets, outputs = (np.array(x, dtype="<u4") for x in (starts, targets, outputs))
     arcs_of = np.diff(starts & np.uint32(FINAL - 1))
-    arc_keys = np.repeat(np.arange(len(keys), dtype="<u4") << np.uint32(8), arcs_of) | np.array(labels, dtype="<u4")
-    lists = np.cumsum([0] + [len(ids) for _, ids in pairs]).astype("<u4")
-    flat = np.array([i for _, ids in pairs for i in ids], dtype="<u4")
-    head = MAGIC + struct.pack("<4I", len(keys), len(labels), len(pairs), len(flat))
-    pad = b"\0" * (-len(labels) % 4)
-    return head + starts.tobytes() + np.array(labels, dtype="u1").tobytes() + pad + arc_keys.tobytes() + np.array(targets, dtype="<u4").tobytes() + np.array(outputs, dtype="<u4").tobytes() + lists.tobytes() + flat.tobytes()
+    yield MAGIC + struct.pack("<4I", states, len(labels), n_words, len(flat))
+    yield starts.tobytes()
+    yield labels.tobytes() + b"\0" * (-len(labels) % 4)
+    yield (np.repeat(np.arange(states, dtype="<u4") << np.uint32(8), arcs_of) | np.array(labels, dtype="<u4")).tobytes()
+    for part in (targets, outputs, lists, flat):
+        yield part.astype("<u4").tobytes()
 
 
 class Lexicon:

@@ -3,6 +3,7 @@
 import hashlib
 import random
 
+import numpy as np
 import public_tokenizers
 import pytest
 from tokenizers import Tokenizer
@@ -80,6 +81,33 @@ def test_query_on_cases(spark):
     assert hashlib.sha256(b"").hexdigest() in {r.ids_sha256 for r in bpe.digests(docs, PATH, uri).collect()}
 
 
+def test_no_row_a_word_reaches_the_driver(spark, model, monkeypatch):
+    words = [a + b + c + d for a in ("a", "é", "st") for b in ("bc", "日本", "s") for c in "abcdefghij" for d in "klmnopqrst"]
+    docs = spark.createDataFrame([(k, " ".join(words[k:] + words[:k])) for k in range(2)], "doc_id long, text string").repartition(2)
+    fetched = []
+    for name in ("collect", "toPandas"):
+        def seen(df, plain=getattr(type(docs), name)):
+            out = plain(df)
+            fetched.append(len(out))
+            return out
+
+        monkeypatch.setattr(type(docs), name, seen)
+    uri = bpe.compile_lexicon(docs, PATH)
+    assert max(fetched) < 100
+    built, want = bpe.open_lexicon(uri), {w.encode() for word in words for w in model.find(word)}
+    assert built.n_words == len(want)
+    for w in want:
+        assert built.get(w) == model.merge(w)
+
+
+def test_words_come_in_order():
+    plain = [(b"", [1]), (b"a", []), (b"ab", [2, 3]), (b"b", [4])]
+    assert b"".join(lexicon.sections((w for w, _ in plain), np.array([0, 1, 1, 3, 4]), np.array([1, 2, 3, 4]))) == lexicon.build(plain[::-1])
+    for wrong in ([b"a", b"a"], [b"b", b"a"], [b"", b""]):
+        with pytest.raises(ValueError):
+            list(lexicon.sections(iter(wrong), np.array([0, 0, 0]), np.array([])))
+
+
 def test_merging_many_equals_merging_one(model):
     rng = random.Random(3)
     words = ["".join(rng.choice("abcdehilnorst'éß日") for _ in range(rng.randrange(1, 30))).encode() for _ in range(3000)] + [b"", b"a" * 47, b"ab" * 40]
