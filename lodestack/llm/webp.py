@@ -253,22 +253,29 @@ def _symbols(bits, codes, meta, side, cache_bits, width, total, begun=None) -> n
     green, green_mask, red, red_mask, blue, blue_mask, alpha, alpha_mask = tables[0]
     distances = codes[0][4]
     data, pos, literal = bits.data, bits.pos, LITERALS
+    window = left = 0
 
     while at < total:
         if meta is not None:
             group = meta[at // width >> side, at % width >> side]
             green, green_mask, red, red_mask, blue, blue_mask, alpha, alpha_mask = tables[group]
             distances = codes[group][4]
-        byte = pos >> 3
-        window = int.from_bytes(data[byte : byte + 9], "little") >> (pos & 7)
+        if left < 60:  # the longest codes of a pixel
+            byte = pos >> 3
+            window, left = int.from_bytes(data[byte : byte + 32], "little") >> (pos & 7), 256 - (pos & 7)
         g = green[window & green_mask]
         if g < literal:
             window >>= g & 63
             r = red[window & red_mask]
             window >>= r & 63
             b = blue[window & blue_mask]
-            g += r + b + alpha[(window >> (b & 63)) & alpha_mask]
-            pos += g & 63
+            window >>= b & 63
+            a = alpha[window & alpha_mask]
+            window >>= a & 63
+            g += r + b + a
+            used = g & 63
+            pos += used
+            left -= used
             pixel = g >> 6
             out[at] = pixel
             if cache is not None:
@@ -280,13 +287,15 @@ def _symbols(bits, codes, meta, side, cache_bits, width, total, begun=None) -> n
         if s < 280:
             bits.pos = pos
             length, back = _copy(bits, s, distances, width, at, total)
-            pos = bits.pos
+            pos, left = bits.pos, 0
             for k in range(at, at + length):
                 pixel = out[k] = out[k - back]
                 if cache is not None:
                     cache[((CACHE_MULTIPLIER * pixel) & 0xFFFFFFFF) >> shift] = pixel
             at += length
         else:
+            window >>= g & 63
+            left -= g & 63
             pixel = cache[s - 280]
             out[at] = pixel
             cache[((CACHE_MULTIPLIER * pixel) & 0xFFFFFFFF) >> shift] = pixel
@@ -345,12 +354,15 @@ def _lanes(jobs: list[tuple]) -> list[np.ndarray]:
     cache_bits, totals = np.array([j[2] for j in jobs]), np.array([j[4] for j in jobs])
     held = np.cumsum(1 << cache_bits) - (1 << cache_bits)
     cache, out = np.zeros(int((1 << cache_bits).sum()), dtype=np.int64), np.empty(int(totals.sum()), dtype=np.int64)
-    first = np.cumsum(totals) - totals
-    place, left, back = first.copy(), np.zeros(len(jobs), dtype=np.int64), np.zeros(len(jobs), dtype=np.int64)
+    # A step's pixels lie together, those of the largest image first.
+    width_of = np.searchsorted(-totals, -np.arange(int(totals[0])), "left")
+    steps = np.cumsum(width_of) - width_of
+    begin = steps.tolist()
+    left, back = np.zeros(len(jobs), dtype=np.int64), np.zeros(len(jobs), dtype=np.int64)
     shift, n, at, copying = 32 - cache_bits, len(jobs), 0, 0
     while n >= FEWEST_LANES:
         (b0, b1, b2, b3), (m0, m1, m2, m3) = begins[:, :n], masks[:, :n]
-        p, put, gone, to, off, slot = pos[:n], place[:n], left[:n], back[:n], shift[:n], held[:n]
+        p, gone, to, off, slot = pos[:n], left[:n], back[:n], shift[:n], held[:n]
         for at in range(at, int(totals[n - 1])):  # noqa: B020 - goes on where the last stretch ended
             w = windows[p >> 3] >> (p & 7)
             g = table.take(b0 + (w & m0))
@@ -362,7 +374,7 @@ def _lanes(jobs: list[tuple]) -> list[np.ndarray]:
             pixel = g + r + b + table.take(b3 + (w & m3))
             used = pixel & 63
             pixel >>= 6
-            other = np.flatnonzero(g >= LITERALS)
+            other = (g >= LITERALS).nonzero()[0]
             if copying:
                 other = other[gone[other] == 0]
             if len(other):
@@ -379,13 +391,12 @@ def _lanes(jobs: list[tuple]) -> list[np.ndarray]:
                         gone[i], to[i] = _copy(bits, s, codes[4], width, at, total)
                         p[i], copying = bits.pos + base[i], copying + 1
             if copying:
-                some = np.flatnonzero(gone)
-                pixel[some] = out[put[some] - to[some]]
+                some = gone.nonzero()[0]
+                pixel[some] = out[steps[at - to[some]] + some]
                 used[some] = 0
                 gone[some] -= 1
                 copying -= int(np.count_nonzero(gone[some] == 0))
-            out[put] = pixel
-            put += 1
+            out[begin[at] : begin[at] + n] = pixel
             p += used
             cache[slot + ((pixel * CACHE_MULTIPLIER & 0xFFFFFFFF) >> off)] = pixel
         at = int(totals[n - 1])
@@ -395,7 +406,7 @@ def _lanes(jobs: list[tuple]) -> list[np.ndarray]:
         bits.pos = int(pos[i] - base[i])
         if bits.pos > bits.end:
             raise ValueError("the bit stream ends early")
-        done = out[first[i] : place[i]]
+        done = out.take(steps[: min(at, total)] + i)
         if i < n:
             # A copy that has begun ends first.
             done, kept = done.tolist(), cache[held[i] : held[i] + (1 << some)].tolist()
@@ -712,8 +723,11 @@ SHORTEST_COPY, LONGEST_COPY = 3, 4096
 BIT = 1 << 12
 #: Images are encoded together up to so many bytes.
 TOGETHER = 128 << 10
-#: Predictors that the writer tries, each for the whole image.
+#: Predictors that the writer tries, each for the whole image: left and top, and those made of both. The latter are tried where
+#: one of the former or subtract-green comes within an eighth of the plain size.
 TRIED = (1, 2, 7, 11, 12)
+#: The cross-colour step is tried where a channel explains this share of what varies in another one.
+TOLD = 1 / 16
 
 
 def _code_lengths(w: list[int], symbols: list[int]) -> list[int]:
@@ -813,16 +827,17 @@ def _copies(pixels: np.ndarray, stream: np.ndarray, ends: np.ndarray) -> list[tu
     p = pixels.astype(np.uint64)
     key = p[:n] * np.uint64(0x9E3779B97F4A7C15) + p[1 : n + 1] * np.uint64(0xC2B2AE3D27D4EB4F) + p[2 : n + 2] * np.uint64(0x165667B19E3779F9)
     key += stream[:n].astype(np.uint64) * np.uint64(0xD6E8FEB86659FD93)
-    order = np.argsort(key, kind="stable")
-    held = key[order]
+    # The upper bits of the key above the place: sorting numbers takes less than ordering them.
+    wide = np.uint64(n.bit_length())
+    held = np.sort(key >> wide << wide | np.arange(n, dtype=np.uint64))
+    order, held = (held & (np.uint64(1) << wide) - np.uint64(1)).astype(np.int64), held >> wide
     same = held[1:] == held[:-1]
-    places, before = order[1:][same], order[:-1][same]
-    near = stream[places] == stream[before]
-    places, before = places[near], before[near]
+    like = np.full(n, -1)
+    like[order[1:][same]] = order[:-1][same]
+    places = np.flatnonzero(like >= 0)
+    places = places[stream[places] == stream[like[places]]]
     found, at = [], 0
-    by_place = np.argsort(places)
-    places = places[by_place]
-    for i, j, end in zip(places.tolist(), before[by_place].tolist(), ends[stream[places]].tolist()):
+    for i, j, end in zip(places.tolist(), like[places].tolist(), ends[stream[places]].tolist()):
         if i < at:
             continue
         part = pixels[i : min(i + LONGEST_COPY, end)]
@@ -947,32 +962,41 @@ def _joined(image: np.ndarray) -> np.ndarray:
     return np.ascontiguousarray(image[..., ::-1].astype(np.uint8)).view("<u4").ravel()
 
 
-def _residuals(image: np.ndarray, first: np.ndarray):
-    """(mode, what unpredict undoes when every block has it) for every mode tried; whole arrays of uint8, since the encoder knows all pixels.
+def _residuals(image: np.ndarray, first: np.ndarray, modes: tuple[int, ...]):
+    """(mode, what unpredict undoes when every block has it) for every mode; whole arrays of uint8, since the encoder knows all pixels.
 
     first: images' first rows."""
     edges = image.copy()
     edges[:, 1:] -= image[:, :-1]
     edges[1:, 0] -= image[:-1, 0]
     edges[first, 0] = image[first, 0] - np.array((255, 0, 0, 0), dtype=np.uint8)
-    wide = image.astype(np.int16)
-    left, top, corner = wide[1:, :-1], wide[:-1, 1:], wide[:-1, :-1]
-    for mode in TRIED:
-        out = edges.copy()
+    wide = image.astype(np.int16) if max(modes) > 2 else None
+    for mode in modes:
+        out = edges.copy() if mode > 1 else edges
         if mode == 2:
             np.subtract(image[1:, 1:], image[:-1, 1:], out=out[1:, 1:])
         elif mode > 2:
+            left, top, corner = wide[1:, :-1], wide[:-1, 1:], wide[:-1, :-1]
             right = np.concatenate((wide[:-1, 2:], wide[1:, :1]), 1) if mode in (3, 5, 9, 10) else None
             np.subtract(image[1:, 1:], predict(mode, left, top, right, corner).astype(np.uint8), out=out[1:, 1:])
-        out[first, 1:] = edges[first, 1:]
+        if mode > 1:
+            out[first, 1:] = edges[first, 1:]
         yield mode, out
 
 
-def _slopes(x: np.ndarray, y: np.ndarray, begins: np.ndarray, n: np.ndarray) -> np.ndarray:
-    """Least-squares slopes of y on x in 32nds for every image, as the cross-colour transform has them; x, y: rows of samples."""
-    sums = [np.add.reduceat(v.sum(1), begins) for v in (x, y, x * x, x * y)]
-    square, both = n * sums[2] - sums[0] * sums[0], n * sums[3] - sums[0] * sums[1]
-    return np.where(square > 0, np.clip(np.round(32 * both / np.maximum(square, 1)), -128, 127), 0).astype(np.int64)
+def _slopes(samples: tuple[np.ndarray, ...], begins: np.ndarray, n: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Least-squares slopes of blue on red, blue on green and red on green in 32nds for every image, as the cross-colour transform has them,
+    and whether any of them explains ``TOLD`` of what varies. samples: rows of red, green and blue."""
+    red, green, blue = samples
+    total = [np.add.reduceat(x.sum(1), begins) for x in samples]
+    across = lambda x, y: np.add.reduceat(np.einsum("ij,ij->i", x, y), begins, dtype=np.int64)
+    vary = [n * across(x, x) - t * t for x, t in zip(samples, total)]
+    slopes, telling = [], np.zeros(len(n), dtype=bool)
+    for x, y in ((0, 2), (1, 2), (1, 0)):
+        both = n * across(samples[x], samples[y]) - total[x] * total[y]
+        slopes.append(np.where(vary[x] > 0, np.clip(np.round(32 * both / np.maximum(vary[x], 1)), -128, 127), 0).astype(np.int64))
+        telling |= both.astype(float) ** 2 > TOLD * vary[x].astype(float) * vary[y]
+    return np.stack(slopes, 1), telling
 
 
 def _palette(image: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -1015,33 +1039,49 @@ def _forms(image: np.ndarray, rows: np.ndarray) -> list[tuple]:
     image: uint8 in the order A, R, G, B, the images' rows one after the other; rows: their numbers."""
     n, first = len(rows), np.cumsum(rows) - rows
     owner = np.repeat(np.arange(n), rows)
-    tried = [(None, None, image)]
+    tried = [(None, None, image, first)]
     best, which = _channels(image, owner, n), np.zeros(n, dtype=np.int64)
-
-    def offer(kind, data, coded, more):
-        nonlocal best, which
-        size = np.where(more < 0, np.iinfo(np.int64).max, _channels(coded, owner, n) + more * BIT)
-        which = np.where(size < best, len(tried), which)
-        best = np.minimum(size, best)
-        tried.append((kind, data, coded))
-
+    plain, every = best, np.arange(n)
+
+    def offer(kind, data, coded, more, some):
+        """data and more: of the images ``some``, whose rows ``coded`` holds."""
+        size = _channels(coded, np.repeat(np.arange(len(some)), rows[some]), len(some)) + more * BIT
+        less = size < best[some]
+        which[some] = np.where(less, len(tried), which[some])
+        best[some] = np.minimum(size, best[some])
+        at = np.zeros(n, dtype=np.int64)
+        at[some] = np.cumsum(rows[some]) - rows[some]
+        tried.append((kind, data and dict(zip(some.tolist(), data)), coded, at))
+        return size
+
+    best = best.copy()
     green = image.copy()
     green[..., [1, 3]] -= image[..., 2:3]
-    offer(2, None, green, np.full(n, 3))
-    for mode, rest in _residuals(image, first):
-        offer(0, [(0, 0, mode, 0)] * n, rest, np.full(n, 64))
-    alpha, red, green, blue = (image[..., k].astype(np.int8).astype(np.int64) for k in range(4))
-    steps = np.stack((_slopes(red, blue, first, 16 * rows), _slopes(green, blue, first, 16 * rows), _slopes(green, red, first, 16 * rows)), 1)
-    red_blue, green_blue, green_red = (steps[owner, k][:, None] for k in range(3))
-    crossed = image.copy()
-    crossed[..., 1] -= (green_red * green >> 5).astype(np.uint8)
-    crossed[..., 3] -= ((green_blue * green >> 5) + (red_blue * red >> 5)).astype(np.uint8)
-    offer(1, [(0, *(x & 255 for x in some)) for some in steps.tolist()], crossed, np.where(steps.any(1), 64, -1))
+    least = offer(2, None, green, 3, every)
+    for mode, rest in _residuals(image, first, TRIED[:2]):
+        least = np.minimum(least, offer(0, [(0, 0, mode, 0)] * n, rest, 64, every))
+    some = np.flatnonzero(least * 8 <= plain * 9)
+    if len(some):
+        part = image[np.isin(owner, some)] if len(some) < n else image
+        for mode, rest in _residuals(part, np.cumsum(rows[some]) - rows[some], TRIED[2:]):
+            offer(0, [(0, 0, mode, 0)] * len(some), rest, 64, some)
+    signed = tuple(image[..., k].astype(np.int8).astype(np.int32) for k in (1, 2, 3))
+    steps, telling = _slopes(signed, first, 16 * rows)
+    some = np.flatnonzero(telling & steps.any(1))
+    if len(some):
+        mine = np.isin(owner, some)
+        red, green, blue = (x[mine] for x in signed)
+        red_blue, green_blue, green_red = (steps[owner[mine], k][:, None] for k in range(3))
+        crossed = image[mine]
+        crossed[..., 1] -= (green_red * green >> 5).astype(np.uint8)
+        crossed[..., 3] -= ((green_blue * green >> 5) + (red_blue * red >> 5)).astype(np.uint8)
+        offer(1, [(0, *(x & 255 for x in steps[k].tolist())) for k in some.tolist()], crossed, 64, some)
     chosen = []
     with_palette = _palette_sizes(image, owner, n)
     for k, (at, height, form) in enumerate(zip(first.tolist(), rows.tolist(), which.tolist())):
-        kind, data, coded = tried[form]
-        chosen.append((kind, data and data[k], coded[at : at + height]))
+        kind, data, coded, begins = tried[form]
+        begin = int(begins[k])
+        chosen.append((kind, data and data[k], coded[begin : begin + height]))
         if k in with_palette and with_palette[k] < best[k]:
             chosen[-1] = 3, *_palette(image[at : at + height])
     return chosen

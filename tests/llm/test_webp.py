@@ -3,7 +3,7 @@
 import numpy as np
 import pytest
 
-from lodestack.llm import webp
+from lodestack.llm import media, webp
 
 
 def huffman(counts):
@@ -295,6 +295,48 @@ def test_writer_uses_transforms():
     assert kinds == {0, 1, 2, 3}
 
 
+def test_forms_that_promise_nothing_are_not_made(monkeypatch):
+    """Prose is neither smooth nor are its channels alike: no mixed predictor and no cross-colour step is computed for it; a ramp beside it has them."""
+    calls, inner = [], webp.predict
+    monkeypatch.setattr(webp, "predict", lambda mode, *a: calls.append((mode, a)) or inner(mode, *a))
+    rng = np.random.default_rng(4)
+    words = [bytes(rng.integers(97, 123, int(n), dtype=np.uint8)) for n in rng.integers(2, 9, 80)]
+    text = b" ".join(words[i] for i in rng.integers(0, 80, 3000))[:12800]
+    alone = webp.encode_bytes(text)
+    assert not calls
+    ramp = ((np.arange(16)[None, :, None] * np.array([3, 5, 7, 11]) + np.arange(400)[:, None, None] * 13 + rng.integers(0, 2, (400, 16, 4))) & 255).astype(np.uint8).tobytes()
+    files = webp.encode_many([text, ramp, text])
+    assert [mode for mode, _ in calls] == [7, 11, 12] and {left.shape for _, (left, *_) in calls} == {(399, 15, 4)}
+    assert files[::2] == [alone, alone] and [x for x, _ in webp.decode_many(files)] == [text, ramp, text]
+
+
+def test_slopes_of_the_tallest_image():
+    rows = webp.MAX_SIDE
+    samples = tuple(np.full((rows + 2, 16), x, dtype=np.int32) for x in (-128, -128, 127))
+    samples[0][::2], samples[1][::3], samples[2][::2] = 127, 5, -128
+    slopes, telling = webp._slopes(samples, np.array([0, rows]), np.array([16 * rows, 32]))
+    for k, part in enumerate((slice(0, rows), slice(rows, rows + 2))):
+        red, green, blue = (x[part].ravel().astype(float) for x in samples)
+        want = [round(32 * np.cov(x, y, bias=True)[0, 1] / x.var()) if x.var() else 0 for x, y in ((red, blue), (green, blue), (green, red))]
+        assert slopes[k].tolist() == np.clip(want, -128, 127).tolist()
+    assert telling.all()
+
+
+def test_images_of_many_batches_are_read_together(monkeypatch):
+    import pyarrow as pa
+
+    def batch(begin, n, size):
+        return pa.RecordBatch.from_arrays([pa.array(range(begin, begin + n)), pa.array([size] * n), pa.array([b"%d" % k for k in range(begin, begin + n)], pa.binary())], names=["doc_id", "n_bytes", "media"])
+
+    monkeypatch.setattr(media, "READ_ROWS", 100)
+    monkeypatch.setattr(media, "READ_BYTES", 5000)
+    got = list(media._gathered(batch(10 * k, 10, 1) for k in range(25)))
+    assert [len(ids) for ids, _, _ in got] == [100, 100, 50]
+    assert [x for ids, _, data in got for x in zip(ids, data)] == [(k, b"%d" % k) for k in range(250)]
+    assert [sum(sizes) for _, sizes, _ in media._gathered(batch(10 * k, 10, 400) for k in range(5))] == [8000, 8000, 4000]
+    assert list(media._gathered(iter([]))) == list(media._gathered(iter([batch(0, 0, 0)]))) == []
+
+
 def mixed():
     """Payloads of many lengths and kinds: prose, repeats, few colours, noise, ramps, single rows."""
     rng = np.random.default_rng(9)
