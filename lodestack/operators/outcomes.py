@@ -13,9 +13,9 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.text import date_rank, norm_space
+from ..functions.text import date_rank
 
-# Outcomes in order of precedence with their label and the words that tell them in titles and texts.
+# Outcomes in order of precedence with their label and the words that tell them in titles and texts, by any white space between.
 TOLD = (
     ("granted", "yes", r"decision\s+to\s+grant|decision_to_grant|is\s+hereby\s+granted|mention\s+of\s+the\s+grant"),
     ("rejected", "no", r"decision\s+to\s+refus|decision_to_refus|application\s+refused|is\s+refused"),
@@ -31,7 +31,7 @@ STATUS = (
 # Where the citations of a register page begin and where they end at the latest.
 CITED, CITED_CELL, CELL = "Documents cited:", r"(?iU)>\s*Cited in\s*<", "<td"
 END_CELL, ENDS = r"(?iU)>\s*by applicant\s*<", ("The EPO accepts no responsibility", '<div id="epoFooter"', "</body>")
-#: Characters of a document that are looked at.
+#: Characters of a document that the workload's own rule looks at.
 LOOKED_AT = 5000
 
 
@@ -46,16 +46,17 @@ def _evidence(rows: DataFrame, origin: int, source: Column, date: Column, text:
     return rows.select("case_id", *[_has(text, pattern).alias(outcome) for outcome, _, pattern in TOLD], item.alias("item"))
 
 
-def known_outcomes(rows: DataFrame, documents: DataFrame, statuses: DataFrame) -> DataFrame:
+def known_outcomes(rows: DataFrame, documents: DataFrame, statuses: DataFrame, most: int | None = LOOKED_AT) -> DataFrame:
     """Row per case: case_id, outcome, grant_label, source, date (all null where nothing tells).
 
     rows: case_id, place, title, date of register rows. documents: case_id, place, name, text. statuses: case_id, register_status. Of the first
-    outcome that any evidence tells, the evidence with the latest date stands for it: the one leading its source's name, else its own."""
+    outcome that any evidence tells, the evidence with the latest date stands for it: the one leading its source's name, else its own.
+    most: characters of a document's text that are looked at, None for the whole text."""
     text_of = lambda name: F.coalesce(F.col(name), F.lit(""))
     titled = rows.filter(text_of("title") != "")
     seen = _evidence(titled, 0, text_of("title"), text_of("date"), text_of("title"), F.col("place"))
-    head = norm_space(F.substring(text_of("text"), 1, LOOKED_AT))
-    seen = seen.unionByName(_evidence(documents, 1, text_of("name"), F.lit(""), F.concat(text_of("name"), F.lit(" "), head), F.col("place")))
+    text = text_of("text") if most is None else F.substring(text_of("text"), 1, most)
+    seen = seen.unionByName(_evidence(documents, 1, text_of("name"), F.lit(""), F.concat(text_of("name"), F.lit(" "), text), F.col("place")))
     told = seen.groupBy("case_id").agg(*[F.min(F.when(F.col(outcome), F.col("item"))).alias(outcome) for outcome, _, _ in TOLD])
 
     status = statuses.select("case_id", text_of("register_status").alias("status"))

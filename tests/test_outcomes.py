@@ -53,6 +53,32 @@ def test_outcomes_against_the_rule(spark):
     assert {w[0] for w in want.values()} == {"granted", "rejected", "withdrawn", "pending", None}
 
 
+def test_query_reads_whole_texts(spark, monkeypatch):
+    """The query's outcomes don't change when every document begins with a long part that tells nothing."""
+    from lodestack.plans import case_queries, catalog  # noqa: F401 - the first adds to the second
+
+    sf, operator = "/root/testdata/sf0.001", O.known_outcomes
+    want = sorted(map(str, catalog.QUERIES["known_outcomes"](spark, sf).collect()))
+
+    def behind(rows, documents, *others, **how):
+        return operator(rows, documents.withColumn("text", F.concat(F.lit("x\n" * 40_000), "text")), *others, **how)
+
+    monkeypatch.setattr(O, "known_outcomes", behind)
+    assert sorted(map(str, catalog.QUERIES["known_outcomes"](spark, sf).collect())) == want
+
+
+def test_whole_texts_against_the_rule(spark):
+    parts = ["x" * 4990, "is ", " \n refused", "is\u2003hereby granted", "with", "drawn", " ", "\u00e9\U0001d538" * 3000, "decision", "\t to  grant"]
+    rng = random.Random(6)
+    texts = ["".join(rng.choice(parts) for _ in range(rng.randrange(9))) for _ in range(200)] + [None, "x" * 3_000_000 + "\nis\nrefused"]
+    got = O.known_outcomes(
+        spark.createDataFrame([], ROWS), spark.createDataFrame([(str(k), 0, "a", x) for k, x in enumerate(texts)], DOCS), spark.createDataFrame([], STATUS), most=None
+    )
+    want = {str(k): next((o for o, _, p in O.TOLD if re.search(p, x or "", re.I)), None) for k, x in enumerate(texts)}
+    assert {r.case_id: r.outcome for r in got.collect()} == want
+    assert sum(want[str(k)] is not None and not any(re.search(p, (x or "")[: O.LOOKED_AT], re.I) for _, _, p in O.TOLD) for k, x in enumerate(texts)) > 20
+
+
 def test_empty_inputs(spark):
     rows, docs, status = (spark.createDataFrame([], s) for s in (ROWS, DOCS, STATUS))
     assert O.known_outcomes(rows, docs, status).count() == 0
